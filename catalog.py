@@ -150,3 +150,186 @@ FROM fact_listings GROUP BY ROLLUP (city)
 """))
 def _m10(spark, d):
     return M.kpi_cards(market_for(spark, d).fact_listings)
+
+
+# ------------------------------------------------------------------ SQL helpers for the oracle
+def cap_sql(caps: dict) -> str:
+    return "CASE city " + " ".join(f"WHEN '{k}' THEN {float(v)!r}" for k, v in caps.items()) + " END"
+
+
+def hist_ctes(source: str, value: str, n: int, by: str = "city") -> str:
+    """Leading-comma CTEs of an equal-width histogram per group (last bin closed)."""
+    return f"""
+, hbase AS (SELECT {by}, {value} AS v FROM {source} WHERE {value} IS NOT NULL),
+hrng AS (SELECT {by}, CASE WHEN max(v) > min(v) THEN min(v) ELSE min(v) - 0.5 END AS lo,
+                      CASE WHEN max(v) > min(v) THEN max(v) ELSE max(v) + 0.5 END AS hi
+         FROM hbase GROUP BY {by}),
+hb AS (SELECT {', '.join('b.' + x.strip() for x in by.split(','))}, lo, hi,
+              CAST(least(floor((v - lo) / (hi - lo) * {n}) + 1, {n}) AS INTEGER) AS bin
+       FROM hbase b JOIN hrng r USING ({by}))
+"""
+
+
+def hist_select(n: int, by: str = "city") -> str:
+    return f"""SELECT {by}, bin, {re(f'lo + (bin - 1) * ((hi - lo) / {n})', 6)} AS bin_lo,
+       {re(f'lo + bin * ((hi - lo) / {n})', 6)} AS bin_hi, count(*) AS count
+FROM hb GROUP BY {by}, bin, lo, hi"""
+
+
+def hist_sql(source: str, value: str, n: int, by: str = "city") -> str:
+    return hist_ctes(source, value, n, by) + hist_select(n, by)
+
+
+from rentalytics.sources.config import PRICE_CAPS  # noqa: E402
+from rentalytics.plans.queries import (DISTANCE_EDGES, DISTANCE_LABELS, MIN_NIGHT_EDGES, MIN_NIGHT_LABELS,  # noqa: E402
+                                       PORTFOLIO_EDGES, PORTFOLIO_LABELS, TENURE_EDGES, TENURE_LABELS)
+
+
+def bucket_sql(v: str, edges, labels=None) -> str:
+    parts = []
+    for i in range(len(edges) - 1):
+        out = f"'{labels[i]}'" if labels else str(i)
+        parts.append(f"WHEN {v} > {edges[i]} AND {v} <= {edges[i + 1]} THEN {out}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+DIST_CAP = cap_sql(PRICE_CAPS["distribution"])
+COMM_CAP = cap_sql(PRICE_CAPS["commercial"])
+SCAT_CAP = cap_sql(PRICE_CAPS["scatter"])
+
+
+# ------------------------------------------------------------------ M12-M39
+@register("m12_price_histogram", q(f"""
+, capped AS (SELECT * FROM serving WHERE price IS NOT NULL AND price <= {DIST_CAP})
+{hist_sql('capped', 'price', 50)}"""))
+def _m12a(spark, d):
+    return M.price_distribution(market_for(spark, d).serving())
+
+
+@register("m12_price_summary", q(f"""
+SELECT city, {re('quantile_cont(price, 0.5)', 6)} AS median_price, {re('avg(price)', 6)} AS mean_price,
+       CAST({DIST_CAP} AS DOUBLE) AS price_cap
+FROM serving WHERE price IS NOT NULL GROUP BY city
+"""))
+def _m12b(spark, d):
+    return M.price_summary(market_for(spark, d).serving())
+
+
+@register("m12_price_by_room_type_box", q(f"""
+, base AS (SELECT city, room_type, price AS v FROM serving WHERE price IS NOT NULL AND price <= {DIST_CAP}),
+qs AS (SELECT city, room_type, count(v) AS n, avg(v) AS mean, quantile_cont(v, 0.25) AS q1,
+              quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3
+       FROM base GROUP BY city, room_type HAVING count(v) > 10),
+w AS (SELECT b.city, b.room_type, min(CASE WHEN v >= q1 - 1.5 * (q3 - q1) THEN v END) AS whisker_low,
+             max(CASE WHEN v <= q3 + 1.5 * (q3 - q1) THEN v END) AS whisker_high
+      FROM base b JOIN qs USING (city, room_type) GROUP BY b.city, b.room_type)
+SELECT city, room_type, n, {re('mean', 6)} AS mean, {re('q1', 6)} AS q1, {re('median', 6)} AS median,
+       {re('q3', 6)} AS q3, {re('whisker_low', 6)} AS whisker_low, {re('whisker_high', 6)} AS whisker_high
+FROM qs JOIN w USING (city, room_type)
+"""))
+def _m12c(spark, d):
+    return M.price_by_room_type_box(market_for(spark, d).serving())
+
+
+@register("m13_rating_inflation", q(f"""
+SELECT city, count(review_scores_rating) AS rated,
+       {re('CAST(count_if(review_scores_rating >= 4.5) AS DOUBLE) / CAST(count(review_scores_rating) AS DOUBLE) * 100', 6)} AS pct_at_least_high,
+       {re('CAST(count_if(review_scores_rating = 5.0) AS DOUBLE) / CAST(count(review_scores_rating) AS DOUBLE) * 100', 6)} AS pct_perfect
+FROM serving WHERE review_scores_rating IS NOT NULL GROUP BY city
+"""))
+def _m13(spark, d):
+    return M.rating_inflation(market_for(spark, d).serving())
+
+
+_DIMS = ["review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness", "review_scores_checkin",
+         "review_scores_communication", "review_scores_location", "review_scores_value"]
+_PRESENT = {"review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness", "review_scores_value"}
+
+
+def _dim_sql(c):
+    x = c if c in _PRESENT else "CAST(NULL AS DOUBLE)"
+    return (f"SELECT city, '{c}' AS dimension, {re(f'avg(CASE WHEN host_is_superhost THEN {x} END)', 6)} AS mean_pos, "
+            f"{re(f'avg(CASE WHEN NOT host_is_superhost THEN {x} END)', 6)} AS mean_neg, "
+            f"{re(f'avg(CASE WHEN host_is_superhost THEN {x} END) - avg(CASE WHEN NOT host_is_superhost THEN {x} END)', 6)} AS gap "
+            f"FROM serving WHERE host_is_superhost IS NOT NULL GROUP BY city")
+
+
+@register("m14_review_dimension_gap", q("\n" + "\nUNION ALL\n".join(_dim_sql(c) for c in _DIMS)))
+def _m14(spark, d):
+    return M.review_dimension_gap(market_for(spark, d).serving())
+
+
+@register("m15_host_portfolio", q(f"""
+, per AS (SELECT city, host_id, count(listing_id) AS n FROM fact_listings WHERE host_id IS NOT NULL GROUP BY city, host_id)
+SELECT city, {bucket_sql('n', PORTFOLIO_EDGES, PORTFOLIO_LABELS)} AS bucket,
+       {bucket_sql('n', PORTFOLIO_EDGES)} AS bucket_order, count(*) AS entity_count
+FROM per WHERE {bucket_sql('n', PORTFOLIO_EDGES)} IS NOT NULL GROUP BY ALL
+"""))
+def _m15(spark, d):
+    return M.host_portfolio(market_for(spark, d).fact_listings)
+
+
+@register("m16_market_concentration", q(f"""
+, per AS (SELECT city, host_id, count(*) AS n FROM fact_listings WHERE host_id IS NOT NULL GROUP BY city, host_id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY n DESC, host_id) AS r,
+              count(*) OVER (PARTITION BY city) AS th FROM per)
+SELECT city, count(*) AS total_hosts, CAST(sum(n) AS BIGINT) AS total_items, count_if(n > 1) AS multi_hosts,
+       {re('CAST(count_if(n > 1) AS DOUBLE) / count(*) * 100', 6)} AS multi_host_pct,
+       {re('CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS DOUBLE) / CAST(sum(n) AS DOUBLE) * 100', 6)} AS multi_item_pct,
+       {re('CAST(sum(CASE WHEN r <= floor(th * 0.1) THEN n ELSE 0 END) AS DOUBLE) / CAST(sum(n) AS DOUBLE) * 100', 6)} AS top_share_pct
+FROM rk GROUP BY city
+"""))
+def _m16(spark, d):
+    return M.market_concentration(market_for(spark, d).fact_listings)
+
+
+@register("m17_availability_histogram", q(hist_sql("serving", "availability_365", 50)))
+def _m17a(spark, d):
+    return M.availability_distribution(market_for(spark, d).serving())
+
+
+@register("m17_zero_availability_share", q(f"""
+SELECT city, {re('CAST(count_if(availability_365 = 0) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100', 6)} AS pct_zero_availability
+FROM serving GROUP BY city
+"""))
+def _m17b(spark, d):
+    return M.zero_availability_share(market_for(spark, d).serving())
+
+
+@register("m18_monthly_availability", q(f"""
+, m AS (SELECT city, month, {re('avg(CAST(available AS DOUBLE)) * 100', 6)} AS availability_rate
+        FROM calendar GROUP BY city, month),
+axis AS (SELECT c.city, CAST(g.month AS INTEGER) AS month FROM (SELECT DISTINCT city FROM m) c,
+         (SELECT unnest(range(1, 13)) AS month) g)
+SELECT a.city, a.month, m.availability_rate FROM axis a LEFT JOIN m ON a.city = m.city AND a.month = m.month
+"""))
+def _m18(spark, d):
+    return M.monthly_availability(market_for(spark, d).fact_calendar)
+
+
+_RATES = """
+, rates AS (SELECT city, month, is_weekend, avg(CASE WHEN available THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100.0::DOUBLE AS availability_rate
+            FROM calendar GROUP BY city, month, is_weekend)
+"""
+
+
+@register("m19_monthly_mean_of_rates", q(_RATES + f"""
+SELECT city, month, {re('avg(availability_rate)', 6)} AS availability_rate FROM rates GROUP BY city, month
+"""))
+def _m19a(spark, d):
+    return M.availability_dashboard_views(market_for(spark, d).fact_calendar)[0]
+
+
+@register("m19_weekend_mean_of_rates", q(_RATES + f"""
+SELECT city, is_weekend, {re('avg(availability_rate)', 6)} AS availability_rate FROM rates GROUP BY city, is_weekend
+"""))
+def _m19b(spark, d):
+    return M.availability_dashboard_views(market_for(spark, d).fact_calendar)[1]
+
+
+@register("m20_occupancy_histogram", q(hist_ctes("serving", "occupancy_rate", 50) + f"""
+, med AS (SELECT city, {re('quantile_cont(occupancy_rate, 0.5)', 6)} AS median_occupancy FROM serving GROUP BY city)
+SELECT h.*, med.median_occupancy FROM ({hist_select(50)}) h JOIN med USING (city)
+"""))
+def _m20(spark, d):
+    return M.occupancy_distribution(market_for(spark, d).serving())

@@ -115,3 +115,316 @@ def kpi_cards(listing_frame: DataFrame) -> DataFrame:
                     round_even("median_price", 2).alias("median_price"),
                     round_even("mean_occupancy", 4).alias("mean_occupancy"),
                     round_even("mean_rating", 4).alias("mean_rating"))
+
+
+# ----------------------------------------------------------------- notebook / dashboard views
+def _r(c, d=6):
+    return round_even(c, d)
+
+
+def price_distribution(listing_frame: DataFrame, bins: int = 50, caps=PRICE_CAPS["distribution"]) -> DataFrame:
+    """Histogram of capped prices per city (P12 + A24)."""
+    capped = cap_by_group(listing_frame.where(F.col("price").isNotNull()), "price", caps)
+    h = A.histogram(capped, "price", bins)
+    return h.select("city", "bin", _r("bin_lo").alias("bin_lo"), _r("bin_hi").alias("bin_hi"), "count")
+
+
+def price_summary(listing_frame: DataFrame, caps=PRICE_CAPS["distribution"]) -> DataFrame:
+    """Median / mean of all prices and the cap used, per city."""
+    cap = None
+    for k, v in caps.items():
+        cap = F.when(F.col("city") == k, F.lit(v)) if cap is None else cap.when(F.col("city") == k, F.lit(v))
+    return (listing_frame.where(F.col("price").isNotNull()).groupBy("city")
+            .agg(_r(F.percentile("price", 0.5)).alias("median_price"), _r(F.avg("price")).alias("mean_price"))
+            .withColumn("price_cap", cap))
+
+
+def price_by_room_type_box(listing_frame: DataFrame, caps=PRICE_CAPS["distribution"], min_n: int = 10) -> DataFrame:
+    """Box statistics of capped price per room type (A25), classes with n > 10."""
+    capped = cap_by_group(listing_frame.where(F.col("price").isNotNull()), "price", caps)
+    b = A.box_stats(capped, "price", ["city", "room_type"], min_n=min_n)
+    return b.select("city", "room_type", "n", *[_r(c).alias(c) for c in
+                                                 ["mean", "q1", "median", "q3", "whisker_low", "whisker_high"]])
+
+
+def rating_inflation(listing_frame: DataFrame, high: float = 4.5, top: float = 5.0) -> DataFrame:
+    """Share of rated listings at or above 4.5 and exactly 5.0."""
+    r = F.col("review_scores_rating")
+    return listing_frame.where(r.isNotNull()).groupBy("city").agg(
+        F.count(r).alias("rated"),
+        _r(F.count_if(r >= high) / F.count(r) * 100).alias("pct_at_least_high"),
+        _r(F.count_if(r == top) / F.count(r) * 100).alias("pct_perfect"))
+
+
+SUB_DIMENSIONS = ["review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness",
+                  "review_scores_checkin", "review_scores_communication", "review_scores_location",
+                  "review_scores_value"]
+
+
+def review_dimension_gap(listing_frame: DataFrame, class_col: str = "host_is_superhost") -> DataFrame:
+    """Mean of each review sub-dimension for the class vs the rest, and the gap."""
+    present = [c for c in SUB_DIMENSIONS if c in listing_frame.columns]
+    g = A.class_means(listing_frame.where(F.col(class_col).isNotNull()), present, class_col)
+    return g.select("city", "dimension", *[_r(c).alias(c) for c in ["mean_pos", "mean_neg", "gap"]])
+
+
+# Host portfolio buckets (labels as displayed; edges start at 0
+# so a single-listing host is counted in "1").
+PORTFOLIO_EDGES = [0, 1, 2, 3, 5, 10, 20, 50, 100, 9999]
+PORTFOLIO_LABELS = ["1", "2", "3", "4-5", "6-10", "11-20", "21-50", "51-100", "100+"]
+
+
+def host_portfolio(fact: DataFrame, edges=PORTFOLIO_EDGES, labels=PORTFOLIO_LABELS) -> DataFrame:
+    """M15 (A16)."""
+    return A.portfolio_distribution(fact.where(F.col("host_id").isNotNull()), "host_id", "listing_id", edges, labels)
+
+
+def market_concentration(fact: DataFrame) -> DataFrame:
+    """M16 (A17)."""
+    c = A.concentration(fact.where(F.col("host_id").isNotNull()), "host_id")
+    return c.select("city", "total_hosts", "total_items", "multi_hosts",
+                    *[_r(x).alias(x) for x in ["multi_host_pct", "multi_item_pct", "top_share_pct"]])
+
+
+def availability_distribution(listing_frame: DataFrame, bins: int = 50) -> DataFrame:
+    """Histogram of ``availability_365`` per city."""
+    h = A.histogram(listing_frame, "availability_365", bins)
+    return h.select("city", "bin", _r("bin_lo").alias("bin_lo"), _r("bin_hi").alias("bin_hi"), "count")
+
+
+def zero_availability_share(listing_frame: DataFrame) -> DataFrame:
+    """Share of listings with zero days available (over all rows)."""
+    return listing_frame.groupBy("city").agg(
+        _r(F.count_if(F.col("availability_365") == 0) / F.count(F.lit(1)) * 100).alias("pct_zero_availability"))
+
+
+def monthly_availability(calendar: DataFrame) -> DataFrame:
+    """True mean availability per month (null flags skipped) on a complete 1-12 axis."""
+    m = calendar.groupBy("city", "month").agg(_r(A.rate_pct("available", "pandas")).alias("availability_rate"))
+    return complete_axis(m, "month", list(range(1, 13)), by=["city"])
+
+
+def availability_dashboard_views(calendar: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The dashboard's monthly and weekend lines = unweighted means of (month, weekend) rates."""
+    rates = availability_by_month_weekend(calendar)
+    monthly = A.mean_of_rates(rates, ["city", "month"], "availability_rate")
+    weekend = A.mean_of_rates(rates, ["city", "is_weekend"], "availability_rate")
+    return monthly.withColumn("availability_rate", _r("availability_rate")), \
+        weekend.withColumn("availability_rate", _r("availability_rate"))
+
+
+def occupancy_distribution(listing_frame: DataFrame, bins: int = 50) -> DataFrame:
+    """Occupancy histogram per city with the city median on every row (A24 + A03)."""
+    h = A.histogram(listing_frame, "occupancy_rate", bins)
+    med = listing_frame.groupBy("city").agg(_r(F.percentile("occupancy_rate", 0.5)).alias("median_occupancy"))
+    return h.select("city", "bin", _r("bin_lo").alias("bin_lo"), _r("bin_hi").alias("bin_hi"), "count") \
+            .join(F.broadcast(med), "city")
+
+
+def top_neighbourhoods_by_median_price(listing_frame: DataFrame, k: int = 10) -> DataFrame:
+    """M21 (A03 + W03)."""
+    s = A.median_by(listing_frame.where(F.col("price").isNotNull()), ["city", "neighbourhood_cleansed"], "price",
+                    out="median_price")
+    return top_k_per_group(s, k, ["median_price"], tie_break=["neighbourhood_cleansed"])
+
+
+def neighbourhood_metrics(listing_frame: DataFrame) -> DataFrame:
+    """Per-area metrics used by the ranking and the map (pandas rounding)."""
+    return (listing_frame.where(F.col("neighbourhood_cleansed").isNotNull()).groupBy("city", "neighbourhood_cleansed")
+            .agg(_r(F.percentile("price", 0.5)).alias("median_price"),
+                 F.count(F.lit(1)).alias("listing_count"),
+                 _r(F.avg("occupancy_rate")).alias("avg_occupancy"),
+                 _r(F.avg("review_scores_rating")).alias("avg_rating")))
+
+
+def neighbourhood_ranking(listing_frame: DataFrame, metric: str = "avg_occupancy", k: int = 10) -> DataFrame:
+    """M22 (T04)."""
+    return rank_by_metric(neighbourhood_metrics(listing_frame), metric, k)
+
+
+def price_vs_occupancy(fact: DataFrame, min_listings: int = 5) -> DataFrame:
+    """Per-area stats (M09) for areas with at least 5 listings."""
+    return neighbourhood_stats(fact).where(F.col("listing_count") >= min_listings)
+
+
+def choropleth_features(fact: DataFrame, neighbourhoods: DataFrame) -> DataFrame:
+    """Per-area stats merged into the area features (J07: unmatched -> count 0, stats null)
+    with the city's colour range (p5 / p95 of area median price, A26)."""
+    stats = neighbourhood_stats(fact).select(
+        "city", F.col("neighbourhood_cleansed").alias("neighbourhood"), "listing_count", "median_price",
+        "avg_occupancy")
+    feats = neighbourhoods.select("city", "neighbourhood", F.struct(
+        F.struct(F.col("neighbourhood").alias("neighbourhood")).alias("properties")).alias("feature"))
+    from ..operators.joins import merge_into_features
+    merged = merge_into_features(feats, stats, ["city", "neighbourhood"], defaults={"listing_count": 0})
+    rng = A.quantiles(stats, "median_price", [0.05, 0.95], by=["city"], prefix="colour_p")
+    p = F.col("feature.properties")
+    return merged.select("city", "neighbourhood", p["listing_count"].alias("listing_count"),
+                         p["median_price"].alias("median_price"), p["avg_occupancy"].alias("avg_occupancy")) \
+                 .join(F.broadcast(rng), "city", "left") \
+                 .withColumns({"colour_p05": _r("colour_p05"), "colour_p95": _r("colour_p95")})
+
+
+# Distance bands from the city centre (km).
+DISTANCE_EDGES = [0, 2, 4, 6, 8, 10, 15, 20, 50]
+DISTANCE_LABELS = ["0-2", "2-4", "4-6", "6-8", "8-10", "10-15", "15-20", "20+"]
+
+
+def price_gradient(listings: DataFrame) -> DataFrame:
+    """Median price, count and occupancy by distance band from the city centre (F23 + F24 + A03)."""
+    cols = ["id", "latitude", "longitude", "price", "occupancy_rate", "room_type"]
+    df = listings.select("city", *cols).na.drop("any", subset=cols)
+    clat = clon = None
+    for name, s in CITY_SETTINGS.items():
+        clat = F.when(F.col("city") == name, F.lit(s["centre"][0])) if clat is None else clat.when(F.col("city") == name, F.lit(s["centre"][0]))
+        clon = F.when(F.col("city") == name, F.lit(s["centre"][1])) if clon is None else clon.when(F.col("city") == name, F.lit(s["centre"][1]))
+    d = haversine_km("latitude", "longitude", clat, clon)
+    df = df.withColumn("distance_bin", bucket_right(d, DISTANCE_EDGES, DISTANCE_LABELS)) \
+           .withColumn("bin_order", bucket_right(d, DISTANCE_EDGES))
+    return (df.where(F.col("distance_bin").isNotNull()).groupBy("city", "distance_bin", "bin_order")
+            .agg(_r(F.percentile("price", 0.5)).alias("median_price"), F.count("id").alias("listing_count"),
+                 _r(F.avg("occupancy_rate")).alias("avg_occupancy")))
+
+
+def room_mix_top_neighbourhoods(listing_frame: DataFrame, k: int = 15) -> DataFrame:
+    """Room-type shares inside the k largest areas per city (J08 + A20 + W06)."""
+    counts = A.count_by(listing_frame.where(F.col("neighbourhood_cleansed").isNotNull()),
+                        ["city", "neighbourhood_cleansed"], "n")
+    top = top_k_per_group(counts, k, ["n"], tie_break=["neighbourhood_cleansed"])
+    sub = semi_join(listing_frame, top, ["city", "neighbourhood_cleansed"])
+    x = A.crosstab_pct(sub, "neighbourhood_cleansed", "room_type", by=["city"])
+    from ..operators.windows import cumulative_before
+    x = cumulative_before(x, "row_pct", ["room_type"], ["city", "neighbourhood_cleansed"], "cum_before")
+    return x.select("city", "neighbourhood_cleansed", "room_type", "count", _r("row_pct").alias("row_pct"),
+                    _r("cum_before").alias("cum_before"))
+
+
+def yearly_review_trend(reviews: DataFrame, first_year: int = 2015, last_year: int = 2026) -> DataFrame:
+    """Reviews per city and year inside a year window (A01 + A18)."""
+    monthly = review_counts_monthly(reviews, first_year)
+    yearly = A.reaggregate(monthly, ["city", "review_year"], "review_count")
+    return yearly.where(F.col("review_year") <= last_year)
+
+
+def weekend_vs_weekday(calendar: DataFrame) -> DataFrame:
+    """Availability % by weekend flag (mean over non-null flags)."""
+    return calendar.groupBy("city", "is_weekend").agg(_r(A.rate_pct("available", "pandas")).alias("availability_rate"))
+
+
+MIN_NIGHT_EDGES = [0, 1, 2, 3, 7, 14, 30, 90, 365]
+MIN_NIGHT_LABELS = ["1", "2", "3", "4-7", "8-14", "15-30", "31-90", "90+"]
+
+
+def minimum_night_policy(listing_frame: DataFrame) -> DataFrame:
+    """Share of listings per minimum-night band (nights <= 365), % of the bucketed rows."""
+    df = listing_frame.where(F.col("minimum_nights") <= 365).withColumn(
+        "band", bucket_right("minimum_nights", MIN_NIGHT_EDGES, MIN_NIGHT_LABELS))
+    s = A.share_of_total(df.where(F.col("band").isNotNull()), ["band"])
+    return s.select("city", "band", "count", _r("share_pct").alias("share_pct"))
+
+
+TENURE_EDGES = [0, 1, 2, 3, 4, 5, 7, 10, 16]
+TENURE_LABELS = ["<1", "1-2", "2-3", "3-4", "4-5", "5-7", "7-10", "10+"]
+
+
+def tenure_vs_price(listing_frame: DataFrame, max_years: float = 16) -> DataFrame:
+    """Median price per host-tenure band (tenure <= 16 years)."""
+    df = listing_frame.where(F.col("host_tenure_years").isNotNull() & F.col("price").isNotNull()
+                             & (F.col("host_tenure_years") <= max_years))
+    df = df.withColumn("tenure_bin", bucket_right("host_tenure_years", TENURE_EDGES, TENURE_LABELS))
+    return A.median_by(df, ["city", "tenure_bin"], "price", out="median_price") \
+            .withColumn("median_price", _r("median_price"))
+
+
+def superhost_profile(listing_frame: DataFrame) -> DataFrame:
+    """Superhost share, medians, means and rating advantage per city."""
+    sh = F.col("host_is_superhost")
+    yes, no = sh == F.lit(True), sh == F.lit(False)
+    g = listing_frame.groupBy("city").agg(
+        (F.count_if(yes) / F.count(sh) * 100).alias("superhost_pct"),
+        F.percentile(F.when(yes, F.col("price")), 0.5).alias("sh_median_price"),
+        F.percentile(F.when(no, F.col("price")), 0.5).alias("nsh_median_price"),
+        F.avg(F.when(yes, F.col("occupancy_rate"))).alias("sh_avg_occupancy"),
+        F.avg(F.when(no, F.col("occupancy_rate"))).alias("nsh_avg_occupancy"),
+        F.avg(F.when(yes, F.col("review_scores_rating"))).alias("sh_avg_rating"),
+        F.avg(F.when(no, F.col("review_scores_rating"))).alias("nsh_avg_rating"))
+    g = g.withColumn("rating_advantage", F.col("sh_avg_rating") - F.col("nsh_avg_rating"))
+    return g.select("city", *[_r(c).alias(c) for c in g.columns if c != "city"])
+
+
+def commercial_profile(listing_frame: DataFrame) -> DataFrame:
+    """Commercial (count > 1) vs casual hosts: count, share, median price, means."""
+    df = listing_frame.where(F.col("is_commercial_host").isNotNull())
+    s = A.share_of_total(df, ["is_commercial_host"])
+    m = df.groupBy("city", "is_commercial_host").agg(
+        _r(F.percentile("price", 0.5)).alias("median_price"),
+        _r(F.avg("occupancy_rate")).alias("avg_occupancy"),
+        _r(F.avg("review_scores_rating")).alias("avg_rating"))
+    return s.withColumn("share_pct", _r("share_pct")).join(m, ["city", "is_commercial_host"])
+
+
+def commercial_price_histograms(listing_frame: DataFrame, bins: int = 40, caps=PRICE_CAPS["commercial"]) -> DataFrame:
+    """Capped price histogram per city and host class."""
+    df = cap_by_group(listing_frame.where(F.col("price").isNotNull() & F.col("is_commercial_host").isNotNull()),
+                      "price", caps)
+    h = A.histogram(df, "price", bins, by=["city", "is_commercial_host"])
+    return h.select("city", "is_commercial_host", "bin", _r("bin_lo").alias("bin_lo"), _r("bin_hi").alias("bin_hi"), "count")
+
+
+def scatter_sample(listing_frame: DataFrame, n: int = 500, seed: int = 42, caps=PRICE_CAPS["scatter"]) -> DataFrame:
+    """Reproducible sample (at most n rows) of reviews-vs-price points under the price cap (P12 + P15)."""
+    from ..operators.filters import seeded_sample
+    df = cap_by_group(listing_frame.where(F.col("price").isNotNull()), "price", caps)
+    return seeded_sample(df.select("listing_id", "city", "number_of_reviews", "price", "review_scores_rating"),
+                         n, "listing_id", seed)
+
+
+def review_velocity_summary(listing_frame: DataFrame, fast: float = 20) -> DataFrame:
+    """Median / mean velocity, share above 20/yr, and the p95 trim point used for the histogram."""
+    v = F.col("review_velocity")
+    return listing_frame.where(v.isNotNull()).groupBy("city").agg(
+        _r(F.percentile(v, 0.5)).alias("median_velocity"), _r(F.avg(v)).alias("mean_velocity"),
+        _r(F.count_if(v > fast) / F.count(v) * 100).alias("pct_fast"),
+        _r(F.percentile(v, 0.95)).alias("p95_velocity"))
+
+
+def high_review_low_score(listing_frame: DataFrame, min_reviews: int = 50, max_score: float = 4.5) -> DataFrame:
+    """Flagged listings (many reviews, low score) per city, with their median price."""
+    f = listing_frame.where((F.col("number_of_reviews") > min_reviews) & (F.col("review_scores_rating") < max_score))
+    return f.groupBy("city").agg(F.count(F.lit(1)).alias("flagged"), _r(F.percentile("price", 0.5)).alias("median_price"))
+
+
+TIER_ORDER = ["Budget", "Mid-range", "Premium"]
+
+
+def price_tier_performance(listing_frame: DataFrame) -> DataFrame:
+    """Per tier count, share, mean occupancy, median revenue, in tier order."""
+    from ..functions import ordinal
+    df = listing_frame.where(F.col("price_tier").isNotNull())
+    s = A.share_of_total(df, ["price_tier"])
+    m = df.groupBy("city", "price_tier").agg(_r(F.avg("occupancy_rate")).alias("avg_occupancy"),
+                                             _r(F.percentile("estimated_annual_revenue", 0.5)).alias("median_revenue"))
+    return s.withColumn("share_pct", _r("share_pct")).join(m, ["city", "price_tier"]) \
+            .withColumn("tier_order", ordinal("price_tier", TIER_ORDER))
+
+
+def category_counts(listing_frame: DataFrame) -> DataFrame:
+    """Room-type and property-group counts per city, in one long frame."""
+    rt = A.value_counts(listing_frame, "room_type", by=["city"]).select(
+        "city", F.lit("room_type").alias("dimension"), F.col("room_type").alias("value"), "count")
+    pg = A.value_counts(listing_frame, "property_type_grouped", by=["city"]).select(
+        "city", F.lit("property_type_grouped").alias("dimension"), F.col("property_type_grouped").alias("value"), "count")
+    return rt.unionByName(pg)
+
+
+def neighbourhood_top5_summary(enriched: DataFrame, k: int = 5) -> DataFrame:
+    """The k areas with the highest benchmark median price per city (T02 on the benchmark table)."""
+    from ..plans.enrich import neighbourhood_benchmarks
+    b = neighbourhood_benchmarks(enriched)
+    t = top_k_per_group(b, k, ["neighbourhood_median_price"], tie_break=["neighbourhood_cleansed"])
+    return t.select("city", "neighbourhood_cleansed", "neighbourhood_median_price", "neighbourhood_listing_count", "rank")
+
+
+def listing_count_per_city(fact: DataFrame) -> DataFrame:
+    """M39."""
+    return A.count_by(fact, ["city"], "listing_count")
