@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oracle_queries import hu, q, re
+from oracle_queries import CITY_OF_BRAND, hu, q, re
 from rentalytics.plans import queries as M
 from rentalytics.plans.market import Market
 
@@ -333,3 +333,222 @@ SELECT h.*, med.median_occupancy FROM ({hist_select(50)}) h JOIN med USING (city
 """))
 def _m20(spark, d):
     return M.occupancy_distribution(market_for(spark, d).serving())
+
+
+@register("m21_top_neighbourhoods_median_price", q(f"""
+SELECT * FROM (
+  SELECT city, neighbourhood_cleansed, median_price,
+         CAST(row_number() OVER (PARTITION BY city ORDER BY median_price DESC, neighbourhood_cleansed) AS INTEGER) AS rank
+  FROM (SELECT city, neighbourhood_cleansed, quantile_cont(price, 0.5) AS median_price FROM serving
+        WHERE price IS NOT NULL AND neighbourhood_cleansed IS NOT NULL GROUP BY city, neighbourhood_cleansed))
+WHERE rank <= 10
+"""))
+def _m21(spark, d):
+    return M.top_neighbourhoods_by_median_price(market_for(spark, d).serving())
+
+
+_NB_METRICS = f"""
+, nm AS (SELECT city, neighbourhood_cleansed, {re('quantile_cont(price, 0.5)', 6)} AS median_price,
+                count(*) AS listing_count, {re('avg(occupancy_rate)', 6)} AS avg_occupancy,
+                {re('avg(review_scores_rating)', 6)} AS avg_rating
+         FROM serving WHERE neighbourhood_cleansed IS NOT NULL GROUP BY city, neighbourhood_cleansed)
+"""
+
+
+@register("m22_neighbourhood_ranking", q(_NB_METRICS + """
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY city ORDER BY avg_occupancy DESC NULLS LAST,
+                      neighbourhood_cleansed) AS INTEGER) AS rank FROM nm) WHERE rank <= 10
+"""))
+def _m22(spark, d):
+    return M.neighbourhood_ranking(market_for(spark, d).serving(), "avg_occupancy", 10)
+
+
+@register("m23_price_vs_occupancy", q(f"""
+SELECT * FROM (
+SELECT city, neighbourhood_cleansed, count(*) AS listing_count, {hu('avg(price)', 0)} AS avg_price,
+       {hu('quantile_cont(price, 0.5)', 0)} AS median_price, {hu('avg(review_scores_rating)', 3)} AS avg_rating,
+       {hu('avg(occupancy_rate)', 1)} AS avg_occupancy, {hu('avg(estimated_annual_revenue)', 0)} AS avg_revenue
+FROM fact_listings WHERE price IS NOT NULL GROUP BY city, neighbourhood_cleansed) WHERE listing_count >= 5
+"""))
+def _m23(spark, d):
+    return M.price_vs_occupancy(market_for(spark, d).fact_listings)
+
+
+@register("m24_choropleth_features", q(f"""
+, feats AS (SELECT DISTINCT {CITY_OF_BRAND} AS city, p_brand AS neighbourhood FROM part),
+st AS (SELECT city, neighbourhood_cleansed AS neighbourhood, count(*) AS listing_count,
+              {hu('quantile_cont(price, 0.5)', 0)} AS median_price, {hu('avg(occupancy_rate)', 1)} AS avg_occupancy
+       FROM fact_listings WHERE price IS NOT NULL GROUP BY city, neighbourhood_cleansed),
+rng AS (SELECT city, {re('quantile_cont(median_price, 0.05)', 6)} AS colour_p05,
+               {re('quantile_cont(median_price, 0.95)', 6)} AS colour_p95 FROM st GROUP BY city)
+SELECT f.city, f.neighbourhood, coalesce(st.listing_count, 0) AS listing_count, st.median_price, st.avg_occupancy,
+       rng.colour_p05, rng.colour_p95
+FROM feats f LEFT JOIN st ON f.city = st.city AND f.neighbourhood = st.neighbourhood LEFT JOIN rng ON f.city = rng.city
+"""))
+def _m24(spark, d):
+    m = market_for(spark, d)
+    return M.choropleth_features(m.fact_listings, m.neighbourhoods)
+
+
+_HAV = ("6371.0 * 2 * asin(sqrt(pow(sin((radians(clat) - radians(latitude)) / 2), 2) + "
+        "cos(radians(latitude)) * cos(radians(clat)) * pow(sin((radians(clon) - radians(longitude)) / 2), 2)))")
+
+
+@register("m25_price_gradient", q(f"""
+, g AS (SELECT city, id, price, occupancy_rate,
+               {_HAV.replace('clat', "(CASE city WHEN 'bangkok' THEN 13.7563 WHEN 'lisbon' THEN 38.7169 END)").replace('clon', "(CASE city WHEN 'bangkok' THEN 100.5018 WHEN 'lisbon' THEN -9.1399 END)")} AS dist
+        FROM enriched WHERE id IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL AND price IS NOT NULL
+          AND occupancy_rate IS NOT NULL AND room_type IS NOT NULL)
+SELECT city, {bucket_sql('dist', DISTANCE_EDGES, DISTANCE_LABELS)} AS distance_bin, {bucket_sql('dist', DISTANCE_EDGES)} AS bin_order,
+       {re('quantile_cont(price, 0.5)', 6)} AS median_price, count(id) AS listing_count, {re('avg(occupancy_rate)', 6)} AS avg_occupancy
+FROM g WHERE {bucket_sql('dist', DISTANCE_EDGES)} IS NOT NULL GROUP BY ALL
+"""))
+def _m25(spark, d):
+    return M.price_gradient(market_for(spark, d).enriched)
+
+
+@register("m26_room_mix_top_neighbourhoods", q(f"""
+, cnt AS (SELECT city, neighbourhood_cleansed, count(*) AS n FROM serving WHERE neighbourhood_cleansed IS NOT NULL
+          GROUP BY city, neighbourhood_cleansed),
+top AS (SELECT city, neighbourhood_cleansed FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY n DESC,
+        neighbourhood_cleansed) AS r FROM cnt) WHERE r <= 15),
+sub AS (SELECT s.* FROM serving s SEMI JOIN top t ON s.city = t.city AND s.neighbourhood_cleansed = t.neighbourhood_cleansed),
+grid AS (SELECT r.city, r.neighbourhood_cleansed, c.room_type FROM (SELECT DISTINCT city, neighbourhood_cleansed FROM sub) r,
+         (SELECT DISTINCT room_type FROM sub) c),
+x AS (SELECT g.city, g.neighbourhood_cleansed, g.room_type, count(s.listing_id) AS count
+      FROM grid g LEFT JOIN sub s ON g.city = s.city AND g.neighbourhood_cleansed = s.neighbourhood_cleansed AND g.room_type = s.room_type
+      GROUP BY ALL),
+p AS (SELECT *, CAST(count AS DOUBLE) / sum(count) OVER (PARTITION BY city, neighbourhood_cleansed) * 100 AS row_pct FROM x)
+SELECT city, neighbourhood_cleansed, room_type, count, {re('row_pct', 6)} AS row_pct,
+       {re('coalesce(sum(row_pct) OVER (PARTITION BY city, neighbourhood_cleansed ORDER BY room_type ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)', 6)} AS cum_before
+FROM p
+"""))
+def _m26(spark, d):
+    return M.room_mix_top_neighbourhoods(market_for(spark, d).serving())
+
+
+@register("m27_yearly_review_trend", q("""
+SELECT city, review_year, count(*) AS review_count FROM reviews WHERE review_year BETWEEN 1996 AND 2000
+GROUP BY city, review_year
+"""))
+def _m27(spark, d):
+    return M.yearly_review_trend(market_for(spark, d).fact_reviews, 1996, 2000)
+
+
+@register("m28_weekend_vs_weekday", q(f"""
+SELECT city, is_weekend, {re('avg(CAST(available AS DOUBLE)) * 100', 6)} AS availability_rate FROM calendar GROUP BY city, is_weekend
+"""))
+def _m28(spark, d):
+    return M.weekend_vs_weekday(market_for(spark, d).fact_calendar)
+
+
+@register("m29_minimum_night_policy", q(f"""
+, b AS (SELECT city, {bucket_sql('minimum_nights', MIN_NIGHT_EDGES, MIN_NIGHT_LABELS)} AS band FROM serving WHERE minimum_nights <= 365),
+c AS (SELECT city, band, count(*) AS count FROM b WHERE band IS NOT NULL GROUP BY city, band)
+SELECT city, band, count, {re('CAST(count AS DOUBLE) / sum(count) OVER (PARTITION BY city) * 100', 6)} AS share_pct FROM c
+"""))
+def _m29(spark, d):
+    return M.minimum_night_policy(market_for(spark, d).serving())
+
+
+@register("m30_tenure_vs_price", q(f"""
+, t AS (SELECT city, price, {bucket_sql('host_tenure_years', TENURE_EDGES, TENURE_LABELS)} AS tenure_bin FROM serving
+        WHERE host_tenure_years IS NOT NULL AND price IS NOT NULL AND host_tenure_years <= 16)
+SELECT city, tenure_bin, {re('quantile_cont(price, 0.5)', 6)} AS median_price FROM t WHERE tenure_bin IS NOT NULL
+GROUP BY city, tenure_bin
+"""))
+def _m30(spark, d):
+    return M.tenure_vs_price(market_for(spark, d).serving())
+
+
+@register("m31_superhost_profile", q(f"""
+SELECT city,
+  {re('CAST(count_if(host_is_superhost) AS DOUBLE) / CAST(count(host_is_superhost) AS DOUBLE) * 100', 6)} AS superhost_pct,
+  {re('quantile_cont(price, 0.5) FILTER (WHERE host_is_superhost)', 6)} AS sh_median_price,
+  {re('quantile_cont(price, 0.5) FILTER (WHERE NOT host_is_superhost)', 6)} AS nsh_median_price,
+  {re('avg(occupancy_rate) FILTER (WHERE host_is_superhost)', 6)} AS sh_avg_occupancy,
+  {re('avg(occupancy_rate) FILTER (WHERE NOT host_is_superhost)', 6)} AS nsh_avg_occupancy,
+  {re('avg(review_scores_rating) FILTER (WHERE host_is_superhost)', 6)} AS sh_avg_rating,
+  {re('avg(review_scores_rating) FILTER (WHERE NOT host_is_superhost)', 6)} AS nsh_avg_rating,
+  {re('avg(review_scores_rating) FILTER (WHERE host_is_superhost) - avg(review_scores_rating) FILTER (WHERE NOT host_is_superhost)', 6)} AS rating_advantage
+FROM serving GROUP BY city
+"""))
+def _m31(spark, d):
+    return M.superhost_profile(market_for(spark, d).serving())
+
+
+@register("m32_commercial_profile", q(f"""
+SELECT city, is_commercial_host, count(*) AS count,
+       {re('CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY city) * 100', 6)} AS share_pct,
+       {re('quantile_cont(price, 0.5)', 6)} AS median_price, {re('avg(occupancy_rate)', 6)} AS avg_occupancy,
+       {re('avg(review_scores_rating)', 6)} AS avg_rating
+FROM serving WHERE is_commercial_host IS NOT NULL GROUP BY city, is_commercial_host
+"""))
+def _m32(spark, d):
+    return M.commercial_profile(market_for(spark, d).serving())
+
+
+@register("m32_commercial_price_histograms", q(f"""
+, capped AS (SELECT * FROM serving WHERE price IS NOT NULL AND is_commercial_host IS NOT NULL AND price <= {COMM_CAP})
+{hist_sql('capped', 'price', 40, 'city, is_commercial_host')}"""))
+def _m32b(spark, d):
+    return M.commercial_price_histograms(market_for(spark, d).serving())
+
+
+@register("m33_scatter_sample", None)
+def _m33(spark, d):
+    return M.scatter_sample(market_for(spark, d).serving())
+
+
+@register("m34_review_velocity_summary", q(f"""
+SELECT city, {re('quantile_cont(review_velocity, 0.5)', 6)} AS median_velocity, {re('avg(review_velocity)', 6)} AS mean_velocity,
+       {re('CAST(count_if(review_velocity > 20) AS DOUBLE) / CAST(count(review_velocity) AS DOUBLE) * 100', 6)} AS pct_fast,
+       {re('quantile_cont(review_velocity, 0.95)', 6)} AS p95_velocity
+FROM serving WHERE review_velocity IS NOT NULL GROUP BY city
+"""))
+def _m34(spark, d):
+    return M.review_velocity_summary(market_for(spark, d).serving())
+
+
+@register("m35_high_review_low_score", q(f"""
+SELECT city, count(*) AS flagged, {re('quantile_cont(price, 0.5)', 6)} AS median_price FROM serving
+WHERE number_of_reviews > 18 AND review_scores_rating < 4.5 GROUP BY city
+"""))
+def _m35(spark, d):
+    return M.high_review_low_score(market_for(spark, d).serving(), min_reviews=18)
+
+
+@register("m36_price_tier_performance", q(f"""
+SELECT city, price_tier, count(*) AS count,
+       {re('CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY city) * 100', 6)} AS share_pct,
+       {re('avg(occupancy_rate)', 6)} AS avg_occupancy, {re('quantile_cont(estimated_annual_revenue, 0.5)', 6)} AS median_revenue,
+       CASE price_tier WHEN 'Budget' THEN 0 WHEN 'Mid-range' THEN 1 WHEN 'Premium' THEN 2 END AS tier_order
+FROM serving WHERE price_tier IS NOT NULL GROUP BY city, price_tier
+"""))
+def _m36(spark, d):
+    return M.price_tier_performance(market_for(spark, d).serving())
+
+
+@register("m37_category_counts", q("""
+SELECT city, 'room_type' AS dimension, room_type AS value, count(*) AS count FROM serving GROUP BY city, room_type
+UNION ALL
+SELECT city, 'property_type_grouped', property_type_grouped, count(*) FROM serving GROUP BY city, property_type_grouped
+"""))
+def _m37(spark, d):
+    return M.category_counts(market_for(spark, d).serving())
+
+
+@register("m38_neighbourhood_top5_summary", q("""
+SELECT city, neighbourhood_cleansed, neighbourhood_median_price, neighbourhood_listing_count, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY city ORDER BY neighbourhood_median_price DESC, neighbourhood_cleansed) AS INTEGER) AS rank
+  FROM nb) WHERE rank <= 5
+"""))
+def _m38(spark, d):
+    return M.neighbourhood_top5_summary(market_for(spark, d).enriched)
+
+
+@register("m39_listing_count_per_city", q("""
+SELECT city, count(*) AS listing_count FROM fact_listings GROUP BY city
+"""))
+def _m39(spark, d):
+    return M.listing_count_per_city(market_for(spark, d).fact_listings)

@@ -278,9 +278,9 @@ def price_gradient(listings: DataFrame) -> DataFrame:
     for name, s in CITY_SETTINGS.items():
         clat = F.when(F.col("city") == name, F.lit(s["centre"][0])) if clat is None else clat.when(F.col("city") == name, F.lit(s["centre"][0]))
         clon = F.when(F.col("city") == name, F.lit(s["centre"][1])) if clon is None else clon.when(F.col("city") == name, F.lit(s["centre"][1]))
-    d = haversine_km("latitude", "longitude", clat, clon)
-    df = df.withColumn("distance_bin", bucket_right(d, DISTANCE_EDGES, DISTANCE_LABELS)) \
-           .withColumn("bin_order", bucket_right(d, DISTANCE_EDGES))
+    df = df.withColumn("distance_km", haversine_km("latitude", "longitude", clat, clon))
+    df = df.withColumn("distance_bin", bucket_right("distance_km", DISTANCE_EDGES, DISTANCE_LABELS)) \
+           .withColumn("bin_order", bucket_right("distance_km", DISTANCE_EDGES))
     return (df.where(F.col("distance_bin").isNotNull()).groupBy("city", "distance_bin", "bin_order")
             .agg(_r(F.percentile("price", 0.5)).alias("median_price"), F.count("id").alias("listing_count"),
                  _r(F.avg("occupancy_rate")).alias("avg_occupancy")))
