@@ -552,3 +552,174 @@ SELECT city, count(*) AS listing_count FROM fact_listings GROUP BY city
 """))
 def _m39(spark, d):
     return M.listing_count_per_city(market_for(spark, d).fact_listings)
+
+
+# ------------------------------------------------------------------ builders
+from rentalytics.schema import FACT_LISTINGS  # noqa: E402
+
+
+@register("b03_occupancy_summary", q("SELECT city, listing_id, total_days, available_days, booked_days, occupancy_rate FROM occ"))
+def _b03(spark, d):
+    return market_for(spark, d).occupancy
+
+
+@register("b06_dim_host", q("""
+SELECT host_id, city, f.name AS host_name, CAST(NULL AS DATE) AS host_since, CAST(NULL AS VARCHAR) AS host_location,
+       CAST(NULL AS VARCHAR) AS host_response_time, f.rr AS host_response_rate, f.ar AS host_acceptance_rate,
+       f.sh AS host_is_superhost, TRUE AS host_has_profile_pic, f.iv AS host_identity_verified,
+       CAST(NULL AS DOUBLE) AS host_listings_count, CAST(NULL AS DOUBLE) AS host_total_listings_count,
+       f.ten AS host_tenure_years, f.com AS is_commercial_host
+FROM dim_host
+"""))
+def _b06(spark, d):
+    return market_for(spark, d).dim_host
+
+
+@register("b07_dim_neighbourhood", q(f"""
+, feats AS (SELECT DISTINCT {CITY_OF_BRAND} AS city, p_brand AS neighbourhood FROM part),
+st AS (SELECT city, neighbourhood_cleansed AS neighbourhood, count(id) AS listing_count,
+              {re('quantile_cont(price, 0.5)', 2)} AS median_price, {re('avg(review_scores_rating)', 2)} AS avg_rating,
+              {re('avg(occupancy_rate)', 2)} AS avg_occupancy
+       FROM enriched WHERE neighbourhood_cleansed IS NOT NULL GROUP BY city, neighbourhood_cleansed)
+SELECT CAST(row_number() OVER (PARTITION BY f.city ORDER BY f.neighbourhood) AS INTEGER) AS neighbourhood_id,
+       f.city, f.neighbourhood, CAST(NULL AS VARCHAR) AS neighbourhood_group, 'Polygon' AS geometry_type,
+       st.listing_count, st.median_price, st.avg_rating, st.avg_occupancy
+FROM feats f LEFT JOIN st ON f.city = st.city AND f.neighbourhood = st.neighbourhood
+"""))
+def _b07(spark, d):
+    return market_for(spark, d).dim_neighbourhood
+
+
+@register("b08_dim_room_type", q(f"""
+SELECT CAST(row_number() OVER (PARTITION BY city ORDER BY room_type) AS INTEGER) AS room_type_id, city, room_type,
+       count(id) AS listing_count, {re('avg(price)', 2)} AS avg_price, {re('avg(occupancy_rate)', 2)} AS avg_occupancy
+FROM enriched WHERE room_type IS NOT NULL GROUP BY city, room_type
+"""))
+def _b08(spark, d):
+    return market_for(spark, d).dim_room_type
+
+
+@register("b09_dim_property_type", q(f"""
+SELECT CAST(row_number() OVER (PARTITION BY city ORDER BY property_type) AS INTEGER) AS property_type_id, city,
+       property_type, count(id) AS listing_count, {re('avg(price)', 2)} AS avg_price
+FROM enriched WHERE property_type IS NOT NULL GROUP BY city, property_type
+"""))
+def _b09(spark, d):
+    return market_for(spark, d).dim_property_type
+
+
+@register("b10_dim_date", q("""
+, dates AS (SELECT DISTINCT city, date FROM (SELECT city, date FROM reviews UNION ALL SELECT city, date FROM calendar)
+            WHERE date IS NOT NULL)
+SELECT CAST(row_number() OVER (PARTITION BY city ORDER BY date) AS INTEGER) AS date_id, city, date,
+       CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, monthname(date) AS month_name,
+       CAST(quarter(date) AS INTEGER) AS quarter, dayname(date) AS day_of_week, dayofweek(date) IN (0, 6) AS is_weekend
+FROM dates
+"""))
+def _b10(spark, d):
+    return market_for(spark, d).dim_date
+
+
+@register("b11_fact_listings", q("SELECT * FROM fact_full"))
+def _b11(spark, d):
+    return market_for(spark, d).fact_listings
+
+
+@register("b12_fact_reviews", q("""
+SELECT review_id, city, listing_id, reviewer_id, reviewer_name, date, comment_length, review_year, review_month,
+       review_year_month FROM reviews
+"""))
+def _b12(spark, d):
+    return market_for(spark, d).fact_reviews
+
+
+@register("b13_fact_calendar", q("""
+SELECT listing_id, city, date, available, minimum_nights, maximum_nights, day_of_week, month, year, year_month,
+       is_weekend FROM calendar
+"""))
+def _b13(spark, d):
+    return market_for(spark, d).fact_calendar
+
+
+# ------------------------------------------------------------------ profile and quality
+from rentalytics.operators import profile as PR, quality as QU  # noqa: E402
+from rentalytics.sources.files import read_table  # noqa: E402
+
+
+@register("a07_describe_events", f"""
+SELECT event_type, 'value' AS column, count(value) AS count, {re('avg(value)', 2)} AS mean,
+       {re('stddev_samp(value)', 2)} AS std, {re('min(value)', 2)} AS min, {re('quantile_cont(value, 0.25)', 2)} AS q25,
+       {re('quantile_cont(value, 0.5)', 2)} AS q50, {re('quantile_cont(value, 0.75)', 2)} AS q75, {re('max(value)', 2)} AS max
+FROM events GROUP BY event_type
+""")
+def _a07(spark, d):
+    return PR.describe(read_table(spark, d, "events"), ["value"], by=["event_type"])
+
+
+def _null_profile_sql() -> str:
+    parts = [f"SELECT '{f.name}' AS \"column\", count_if({f.name} IS NULL) AS null_count, count(*) AS n FROM fact_full"
+             for f in FACT_LISTINGS.fields]
+    return q(f"""
+, np AS ({' UNION ALL '.join(parts)})
+SELECT "column", CAST(null_count AS BIGINT) AS null_count, {re('CAST(null_count AS DOUBLE) / CAST(n AS DOUBLE) * 100', 2)} AS null_pct
+FROM np WHERE null_count > 0
+""")
+
+
+@register("a08_null_profile_fact_listings", _null_profile_sql())
+def _a08(spark, d):
+    return PR.null_profile(market_for(spark, d).fact_listings)
+
+
+@register("a10_duplicate_documents", """
+SELECT r.total_rows, r.duplicate_rows, k.duplicate_keys FROM
+ (SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
+  FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang, source)) r,
+ (SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_keys FROM (SELECT count(*) AS n FROM documents GROUP BY text)) k
+""")
+def _a10(spark, d):
+    docs = read_table(spark, d, "documents").select("text", "lang", "source")
+    return PR.duplicate_counts(docs, key=["text"])
+
+
+@register("q01_listing_rule_counts", q("""
+, r AS (SELECT city,
+          count_if(price < 0) AS negative_price, count_if(price = 0) AS zero_price, count_if(price > 100000) AS extreme_price,
+          count_if(NOT coalesce(latitude BETWEEN (CASE city WHEN 'bangkok' THEN 13.4 ELSE 38.4 END) AND (CASE city WHEN 'bangkok' THEN 14.1 ELSE 39.4 END)
+                   AND longitude BETWEEN (CASE city WHEN 'bangkok' THEN 100.2 ELSE -9.6 END) AND (CASE city WHEN 'bangkok' THEN 101.0 ELSE -8.8 END), FALSE)) AS outside_coordinates,
+          count_if(accommodates < 1) AS accommodates_below_1, count_if(minimum_nights > 365) AS minimum_nights_over_365
+        FROM listings GROUP BY city)
+SELECT city, rule, CAST(violations AS BIGINT) AS violations FROM r
+UNPIVOT (violations FOR rule IN (negative_price, zero_price, extreme_price, outside_coordinates,
+                                 accommodates_below_1, minimum_nights_over_365))
+"""))
+def _q01(spark, d):
+    return QU.listing_rule_counts(market_for(spark, d).listings)
+
+
+@register("q03_unmapped_property_types", q("""
+SELECT city, property_type, count(*) AS count FROM listings WHERE property_type_grouped = 'Other' GROUP BY city, property_type
+"""))
+def _q03(spark, d):
+    return QU.unmapped_categories(market_for(spark, d).listings)
+
+
+@register("q05_calendar_key_violations", q("""
+SELECT listing_id, date, count(*) AS count FROM calendar GROUP BY listing_id, date HAVING count(*) > 1
+"""))
+def _q05(spark, d):
+    return QU.key_violations(market_for(spark, d).fact_calendar, ["listing_id", "date"])
+
+
+@register("f04_document_text_lengths", """
+SELECT lang, count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS total_chars, max(length(text)) AS max_chars,
+       count_if(length(text) <> n_chars) AS length_mismatches
+FROM documents GROUP BY lang
+""")
+def _f04(spark, d):
+    from pyspark.sql import functions as F
+    from rentalytics.functions import text_length
+    docs = read_table(spark, d, "documents").withColumn("len", text_length("text"))
+    return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"), F.sum("len").alias("total_chars"),
+                                    F.max("len").alias("max_chars"),
+                                    F.count_if(F.col("len") != F.col("n_chars")).alias("length_mismatches"))

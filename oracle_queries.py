@@ -172,6 +172,20 @@ reviews AS (
 serving AS (
   SELECT f.*, h.host_is_superhost, h.is_commercial_host, h.host_response_rate, h.host_acceptance_rate
   FROM fact_listings f LEFT JOIN dim_host_flat h ON f.host_id = h.host_id AND f.city = h.city
+),
+fact_full AS (
+  SELECT listing_id, city, host_id, neighbourhood_cleansed, room_type, property_type, property_type_grouped,
+         price, price_per_bedroom, price_vs_neighbourhood, price_tier, minimum_nights, maximum_nights,
+         CAST(NULL AS INTEGER) AS availability_30, CAST(NULL AS INTEGER) AS availability_60,
+         CAST(NULL AS INTEGER) AS availability_90, availability_365, number_of_reviews,
+         CAST(NULL AS INTEGER) AS number_of_reviews_ltm, CAST(NULL AS INTEGER) AS number_of_reviews_l30d,
+         CAST(NULL AS DOUBLE) AS reviews_per_month, review_scores_rating, review_scores_accuracy,
+         review_scores_cleanliness, CAST(NULL AS DOUBLE) AS review_scores_checkin,
+         CAST(NULL AS DOUBLE) AS review_scores_communication, CAST(NULL AS DOUBLE) AS review_scores_location,
+         review_scores_value, review_score_composite, review_velocity, occupancy_rate, booked_days,
+         available_days, total_days, estimated_annual_revenue, host_tenure_years, instant_bookable,
+         has_availability, calculated_host_listings_count, last_scraped
+  FROM fact_listings
 )
 """
 
