@@ -723,3 +723,167 @@ def _f04(spark, d):
     return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"), F.sum("len").alias("total_chars"),
                                     F.max("len").alias("max_chars"),
                                     F.count_if(F.col("len") != F.col("n_chars")).alias("length_mismatches"))
+
+
+# ------------------------------------------------------------------ statistics
+from rentalytics.operators import stats as ST  # noqa: E402
+from rentalytics.plans import hypotheses as H  # noqa: E402
+
+
+def _rounded(df, digits=6):
+    return H.round_report(df, digits)
+
+
+@register("x01_mann_whitney_u", q(f"""
+, s AS (SELECT city, price AS v, room_type = 'LARGE' AS g1 FROM serving
+        WHERE price IS NOT NULL AND room_type IN ('LARGE', 'ECONOMY')),
+r AS (SELECT city, g1, CAST(rank() OVER (PARTITION BY city ORDER BY v) AS DOUBLE)
+                      + (CAST(count(*) OVER (PARTITION BY city, v) AS DOUBLE) - 1) / 2.0 AS mr FROM s),
+t AS (SELECT city, sum(CAST(c AS DOUBLE) * c * c - c) AS tie FROM (SELECT city, v, count(*) AS c FROM s GROUP BY city, v) GROUP BY city),
+a AS (SELECT city, CAST(count_if(g1) AS DOUBLE) AS n1, CAST(count_if(NOT g1) AS DOUBLE) AS n2,
+             sum(CASE WHEN g1 THEN mr ELSE 0 END) AS r1 FROM r GROUP BY city),
+u AS (SELECT a.city, n1, n2, r1 - n1 * (n1 + 1) / 2 AS u1, tie FROM a JOIN t USING (city))
+SELECT city, CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, {re('u1', 6)} AS u,
+       {re('(u1 - n1 * n2 / 2 - 0.5) / sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1))))', 6)} AS z,
+       {re('1.0 - 2 * u1 / (n1 * n2)', 6)} AS rank_biserial
+FROM u
+"""))
+def _x01(spark, d):
+    from pyspark.sql import functions as F
+    rt = F.col("room_type")
+    t = ST.mann_whitney(market_for(spark, d).serving(), "price", rt == "LARGE", rt == "ECONOMY",
+                        alternative="greater", with_p=False)
+    return _rounded(t)
+
+
+@register("x03_cohens_d", q(f"""
+SELECT city, {re('avg(review_scores_rating) FILTER (WHERE host_is_superhost)', 6)} AS mean1,
+       {re('avg(review_scores_rating) FILTER (WHERE NOT host_is_superhost)', 6)} AS mean2,
+       {re('stddev_samp(review_scores_rating) FILTER (WHERE host_is_superhost)', 6)} AS sd1,
+       {re('stddev_samp(review_scores_rating) FILTER (WHERE NOT host_is_superhost)', 6)} AS sd2,
+       {re('''(avg(review_scores_rating) FILTER (WHERE host_is_superhost) - avg(review_scores_rating) FILTER (WHERE NOT host_is_superhost))
+            / sqrt((power(stddev_samp(review_scores_rating) FILTER (WHERE host_is_superhost), 2)
+                  + power(stddev_samp(review_scores_rating) FILTER (WHERE NOT host_is_superhost), 2)) / 2)''', 6)} AS cohens_d
+FROM serving WHERE review_scores_rating IS NOT NULL GROUP BY city
+"""))
+def _x03(spark, d):
+    from pyspark.sql import functions as F
+    sh = F.col("host_is_superhost")
+    df = market_for(spark, d).serving().where(F.col("review_scores_rating").isNotNull())
+    return _rounded(ST.cohens_d(df, "review_scores_rating", sh == F.lit(True), sh == F.lit(False)))
+
+
+@register("x04_kruskal_wallis", q(f"""
+, cnt AS (SELECT city, neighbourhood_cleansed, count(*) AS n FROM serving WHERE neighbourhood_cleansed IS NOT NULL
+          GROUP BY city, neighbourhood_cleansed),
+top AS (SELECT city, neighbourhood_cleansed FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY n DESC,
+        neighbourhood_cleansed) AS r FROM cnt) WHERE r <= 15),
+s AS (SELECT s.city, s.neighbourhood_cleansed AS grp, s.price AS v FROM serving s
+      SEMI JOIN top t ON s.city = t.city AND s.neighbourhood_cleansed = t.neighbourhood_cleansed WHERE s.price IS NOT NULL),
+r AS (SELECT city, grp, CAST(rank() OVER (PARTITION BY city ORDER BY v) AS DOUBLE)
+                        + (CAST(count(*) OVER (PARTITION BY city, v) AS DOUBLE) - 1) / 2.0 AS mr FROM s),
+t AS (SELECT city, sum(CAST(c AS DOUBLE) * c * c - c) AS tie FROM (SELECT city, v, count(*) AS c FROM s GROUP BY city, v) GROUP BY city),
+g AS (SELECT city, grp, count(*) AS ng, sum(mr) AS rg FROM r GROUP BY city, grp),
+a AS (SELECT city, count(*) AS k, CAST(sum(ng) AS DOUBLE) AS n, sum(rg * rg / ng) AS ss FROM g GROUP BY city),
+hh AS (SELECT a.city, k, n, (12.0 / (n * (n + 1)) * ss - 3 * (n + 1)) / (1.0 - tie / (n * n * n - n)) AS h
+       FROM a JOIN t USING (city))
+SELECT city, k, CAST(n AS BIGINT) AS n, {re('h', 6)} AS h, {re('(h - k + 1) / (n - k)', 6)} AS eta_squared FROM hh
+"""))
+def _x04(spark, d):
+    from pyspark.sql import functions as F
+    from rentalytics.operators.aggregates import count_by
+    from rentalytics.operators.joins import semi_join
+    from rentalytics.operators.windows import top_k_per_group
+    lf = market_for(spark, d).serving()
+    counts = count_by(lf.where(F.col("neighbourhood_cleansed").isNotNull()), ["city", "neighbourhood_cleansed"], "n")
+    keys = top_k_per_group(counts, 15, ["n"], tie_break=["neighbourhood_cleansed"])
+    sub = semi_join(lf.where(F.col("price").isNotNull()), keys, ["city", "neighbourhood_cleansed"])
+    return _rounded(ST.kruskal_stats(sub, "price", "neighbourhood_cleansed"))
+
+
+@register("x06_moments_events", f"""
+WITH m AS (SELECT event_type, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS sd FROM events
+           WHERE value IS NOT NULL GROUP BY event_type),
+c AS (SELECT e.event_type, avg(power(value - mean, 2)) AS m2, avg(power(value - mean, 3)) AS m3,
+             avg(power(value - mean, 4)) AS m4 FROM events e JOIN m USING (event_type) WHERE value IS NOT NULL
+      GROUP BY e.event_type),
+g AS (SELECT m.event_type, CAST(n AS DOUBLE) AS n, mean, sd, m3 / power(m2, 1.5) AS g1, m4 / (m2 * m2) - 3 AS g2
+      FROM m JOIN c USING (event_type))
+SELECT event_type, CAST(n AS BIGINT) AS n, {re('mean', 6)} AS mean, {re('sd', 6)} AS sd,
+       {re('g1 * sqrt(n * (n - 1)) / (n - 2)', 6)} AS skewness,
+       {re('(n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)', 6)} AS kurtosis,
+       {re('n / 6 * (g1 * g1 + g2 * g2 / 4)', 6)} AS jarque_bera, {re('exp(-(n / 6 * (g1 * g1 + g2 * g2 / 4)) / 2)', 6)} AS jb_p_value
+FROM g
+""")
+def _x06(spark, d):
+    return _rounded(ST.moments(read_table(spark, d, "events"), "value", by=["event_type"]))
+
+
+_CORR = [c for c in H.CORR_COLUMNS if c in {f.name for f in FACT_LISTINGS.fields}]
+_PAIRS = [(a, b) for i, a in enumerate(_CORR) for b in _CORR[:i]]
+
+
+@register("x08_correlation_pairs", q("\n" + "\nUNION ALL\n".join(
+    f"SELECT city, '{a}' AS col_a, '{b}' AS col_b, {re(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))', 6)} AS corr, "
+    f"count(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN 1 END) AS n FROM fact_listings GROUP BY city"
+    for a, b in _PAIRS)))
+def _x08(spark, d):
+    return _rounded(H.correlation_report(market_for(spark, d).fact_listings))
+
+
+@register("x11_rating_kde", q(f"""
+, base AS (SELECT city, host_is_superhost, review_scores_rating AS v FROM serving
+           WHERE host_is_superhost IS NOT NULL AND review_scores_rating IS NOT NULL),
+st AS (SELECT city, host_is_superhost, count(v) AS n, stddev_samp(v) * pow(count(v), -0.2) AS h,
+              min(v) AS lo, max(v) AS hi FROM base GROUP BY city, host_is_superhost),
+cnt AS (SELECT city, host_is_superhost, v, count(*) AS c FROM base GROUP BY city, host_is_superhost, v),
+gr AS (SELECT CAST(unnest(range(0, 200)) AS INTEGER) AS grid),
+k AS (SELECT st.city, st.host_is_superhost, grid, lo, hi, n, h,
+             ((lo + grid * (hi - lo) / 199) - v) / h AS z, c
+      FROM cnt JOIN st USING (city, host_is_superhost), gr)
+SELECT city, host_is_superhost, grid, {re('lo + grid * (hi - lo) / 199', 6)} AS x,
+       {re('sum(c * exp(-0.5 * z * z) / (h * sqrt(2 * pi()))) / n', 6)} AS density
+FROM k GROUP BY city, host_is_superhost, grid, lo, hi, n, h
+"""))
+def _x11(spark, d):
+    return _rounded(H.h2_rating_density(market_for(spark, d).serving()))
+
+
+# p-value reports: tail probabilities are not expressible in the oracle's SQL -> rows-only checks
+@register("x12_h1_room_type_price", None)
+def _x12(spark, d):
+    return _rounded(H.h1_room_type_price(market_for(spark, d).serving(), "LARGE", "ECONOMY"))
+
+
+@register("x13_h2_superhost_rating", None)
+def _x13(spark, d):
+    return _rounded(H.h2_superhost_rating(market_for(spark, d).serving()))
+
+
+@register("x14_h3_reviews_price", None)
+def _x14(spark, d):
+    return _rounded(H.h3_reviews_price(market_for(spark, d).serving(), threshold=15))
+
+
+@register("x15_h4_neighbourhood_prices", None)
+def _x15(spark, d):
+    return _rounded(H.h4_neighbourhood_prices(market_for(spark, d).serving()))
+
+
+@register("x16_h5_weekend_availability", None)
+def _x16(spark, d):
+    return _rounded(H.h5_weekend_availability(market_for(spark, d).fact_calendar))
+
+
+@register("x16_month_weekend_table", q(f"""
+SELECT city, month, {re('avg(CASE WHEN is_weekend THEN CAST(available AS DOUBLE) END) * 100', 6)} AS available_rate_when_is_weekend,
+       {re('avg(CASE WHEN NOT is_weekend THEN CAST(available AS DOUBLE) END) * 100', 6)} AS available_rate_when_not_is_weekend
+FROM calendar GROUP BY city, month
+"""))
+def _x16b(spark, d):
+    return _rounded(H.h5_month_weekend_table(market_for(spark, d).fact_calendar))
+
+
+@register("x17_regression_report", None)
+def _x17(spark, d):
+    return _rounded(H.regression_report(market_for(spark, d).enriched))

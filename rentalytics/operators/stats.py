@@ -135,7 +135,7 @@ f_sf_udf = F.pandas_udf(_vec(f_sf), T.DoubleType())
 
 # --------------------------------------------------------------------------- rank tests
 def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: Sequence[str] = ("city",),
-                 alternative: str = "greater", continuity: bool = True) -> DataFrame:
+                 alternative: str = "greater", continuity: bool = True, with_p: bool = True) -> DataFrame:
     """Mann-Whitney U of the first sample, tie-corrected normal approximation, rank-biserial r.
 
     ``first`` / ``second`` are predicates selecting the two samples.  U is
@@ -152,6 +152,8 @@ def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: S
         F.sum("c1").alias("n1"), (F.sum("cnt") - F.sum("c1")).alias("n2"),
         F.sum(F.col("c1") * F.col("midrank")).alias("r1"),
         F.sum(F.pow(F.col("cnt"), 3) - F.col("cnt")).alias("tie"))
+    if not with_p:
+        return mwu_stats(agg, by, alternative, continuity)
     return mwu_from_sums(agg, by, alternative, continuity)
 
 
@@ -268,21 +270,27 @@ def _solve(row, k: int) -> dict:
             s[i, j] = s[j, i] = row[f"s_{i}_{j}"]
     n = row["n"]
     xtx, xty, yty = s[: k + 1, : k + 1], s[: k + 1, k + 1], s[k + 1, k + 1]
-    beta = np.linalg.solve(xtx, xty)
+    pinv = np.linalg.pinv(xtx)  # minimum-norm solution when features are collinear (as statsmodels)
+    beta = pinv @ xty
     sse = yty - beta @ xty
     ybar = s[0, k + 1] / n
     sst = yty - n * ybar * ybar
     dof = n - k - 1
     sigma2 = sse / dof
-    cov = sigma2 * np.linalg.inv(xtx)
-    se = np.sqrt(np.diag(cov))
+    cov = sigma2 * pinv
+    se = np.sqrt(np.clip(np.diag(cov), 0, None))
     r2 = 1 - sse / sst
     # VIF = diagonal of the inverse correlation matrix of the features
     mean = s[0, 1: k + 1] / n
     cxx = xtx[1:, 1:] / n - np.outer(mean, mean)
-    sd = np.sqrt(np.diag(cxx))
-    corr = cxx / np.outer(sd, sd)
-    vif = np.diag(np.linalg.inv(corr)) if k > 1 else np.ones(1)
+    sd = np.sqrt(np.clip(np.diag(cxx), 0, None))
+    ok = sd > 0
+    vif = np.full(k, np.inf)
+    if ok.sum() > 1:
+        corr = cxx[np.ix_(ok, ok)] / np.outer(sd[ok], sd[ok])
+        vif[ok] = np.diag(np.linalg.pinv(corr))
+    elif ok.sum() == 1:
+        vif[ok] = 1.0
     return {"beta": beta, "se": se, "r2": r2, "adj_r2": 1 - (1 - r2) * (n - 1) / dof,
             "f": (r2 / k) / ((1 - r2) / dof), "n": n, "dof": dof, "vif": vif}
 
@@ -302,9 +310,10 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ("city",))
         res = _solve(row, k)
         f_p = f_sf(res["f"], k, res["dof"])
         for i, term in enumerate(["const", *xs]):
-            t = res["beta"][i] / res["se"][i]
+            t = res["beta"][i] / res["se"][i] if res["se"][i] > 0 else float("nan")
             out.append((*[row[b] for b in by], term, float(res["beta"][i]), float(res["se"][i]), float(t),
-                        float(t_sf_two_sided(t, res["dof"])), float(res["vif"][i - 1]) if i > 0 else None,
+                        float(t_sf_two_sided(t, res["dof"])) if not math.isnan(t) else None,
+                        float(res["vif"][i - 1]) if i > 0 and np.isfinite(res["vif"][i - 1]) else None,
                         float(res["r2"]), float(res["adj_r2"]), float(res["f"]), float(f_p), int(res["n"])))
     schema = T.StructType([*[df.schema[b] for b in by],
                            *[T.StructField(n, t) for n, t in [
