@@ -134,6 +134,16 @@ f_sf_udf = F.pandas_udf(_vec(f_sf), T.DoubleType())
 
 
 # --------------------------------------------------------------------------- rank tests
+def _materialise(df: DataFrame) -> DataFrame:
+    """Cut lineage of a per-distinct-value table that several branches read (range sampling,
+    running sums, rank sums): a reliable checkpoint in the shared ``spark.checkpoint.dir``,
+    so the upstream pipeline runs once and a lost executor does not re-trigger it."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+
 def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: Sequence[str] = ("city",),
                  alternative: str = "greater", continuity: bool = True, with_p: bool = True) -> DataFrame:
     """Mann-Whitney U of the first sample, tie-corrected normal approximation, rank-biserial r.
@@ -146,7 +156,7 @@ def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: S
     by = list(by)
     v = F.col(value)
     s = df.where(v.isNotNull() & (first | second)).select(*by, v.alias("v"), F.when(first, 1).otherwise(0).alias("g1"))
-    counts = s.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("cnt"), F.sum("g1").alias("c1"))
+    counts = _materialise(s.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("cnt"), F.sum("g1").alias("c1")))
     r = midranks(counts, "v", by)
     agg = r.groupBy(*by).agg(
         F.sum("c1").alias("n1"), (F.sum("cnt") - F.sum("c1")).alias("n2"),
@@ -194,7 +204,7 @@ def kruskal_stats(df: DataFrame, value: str, group: str, by: Sequence[str] = ("c
     by = list(by)
     v = F.col(value)
     base = df.where(v.isNotNull() & F.col(group).isNotNull()).select(*by, F.col(group).alias("grp"), v.alias("v"))
-    gcounts = base.groupBy(*by, "grp", "v").agg(F.count(F.lit(1)).alias("c"))
+    gcounts = _materialise(base.groupBy(*by, "grp", "v").agg(F.count(F.lit(1)).alias("c")))
     vcounts = gcounts.groupBy(*by, "v").agg(F.sum("c").alias("cnt"))
     r = midranks(vcounts, "v", by).select(*by, "v", "cnt", "midrank")
     tie = r.groupBy(*by).agg(F.sum(F.pow(F.col("cnt"), 3) - F.col("cnt")).alias("tie"))

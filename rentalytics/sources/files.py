@@ -93,3 +93,24 @@ def land_raw(df: DataFrame, path: str, partition_by: str | None = "city") -> Non
     if partition_by and partition_by in df.columns:
         w = w.partitionBy(partition_by)
     w.parquet(path)
+
+
+def read_city_csv(spark: SparkSession, base: str, cities: Iterable[str], name: str,
+                  optional: bool = False) -> DataFrame | None:
+    """Raw CSV of several cities (``base/<city>/<name>.csv``), city stamped, aligned by column name.
+
+    Cities may ship different column sets; missing columns become null.  A
+    missing optional file is skipped (S05).
+    """
+    frames = []
+    for city in cities:
+        path = f"{base.rstrip('/')}/{city}/{name}.csv"
+        df = read_optional(lambda p=path: read_csv_raw(spark, p)) if optional else read_csv_raw(spark, path)
+        if df is not None:
+            frames.append(df.withColumn("city", F.lit(city)))
+    if not frames:
+        return None
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
