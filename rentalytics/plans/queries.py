@@ -273,11 +273,15 @@ DISTANCE_LABELS = ["0-2", "2-4", "4-6", "6-8", "8-10", "10-15", "15-20", "20+"]
 def price_gradient(listings: DataFrame) -> DataFrame:
     """Median price, count and occupancy by distance band from the city centre (F23 + F24 + A03)."""
     cols = ["id", "latitude", "longitude", "price", "occupancy_rate", "room_type"]
-    df = listings.select("city", *cols).na.drop("any", subset=cols)
-    clat = clon = None
-    for name, s in CITY_SETTINGS.items():
-        clat = F.when(F.col("city") == name, F.lit(s["centre"][0])) if clat is None else clat.when(F.col("city") == name, F.lit(s["centre"][0]))
-        clon = F.when(F.col("city") == name, F.lit(s["centre"][1])) if clon is None else clon.when(F.col("city") == name, F.lit(s["centre"][1]))
+    if "centre_lat" in listings.columns:  # centre from the tenant configuration (S17)
+        clat, clon = F.col("centre_lat"), F.col("centre_lon")
+    else:
+        clat = clon = None
+        for name, s in CITY_SETTINGS.items():
+            clat = F.when(F.col("city") == name, F.lit(s["centre"][0])) if clat is None else clat.when(F.col("city") == name, F.lit(s["centre"][0]))
+            clon = F.when(F.col("city") == name, F.lit(s["centre"][1])) if clon is None else clon.when(F.col("city") == name, F.lit(s["centre"][1]))
+    df = listings.select("city", *cols, clat.alias("__clat"), clon.alias("__clon")).na.drop("any", subset=cols)
+    clat, clon = F.col("__clat"), F.col("__clon")
     df = df.withColumn("distance_km", haversine_km("latitude", "longitude", clat, clon))
     df = df.withColumn("distance_bin", bucket_right("distance_km", DISTANCE_EDGES, DISTANCE_LABELS)) \
            .withColumn("bin_order", bucket_right("distance_km", DISTANCE_EDGES))
