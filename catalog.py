@@ -887,3 +887,40 @@ def _x16b(spark, d):
 @register("x17_regression_report", None)
 def _x17(spark, d):
     return _rounded(H.regression_report(market_for(spark, d).enriched))
+
+
+# ------------------------------------------------------------------ M11
+def _describe_sql(col: str) -> str:
+    x = f"CAST({col} AS DOUBLE)"
+    return (f"SELECT city, '{col}' AS \"column\", count({x}) AS count, {re(f'avg({x})', 2)} AS mean, "
+            f"{re(f'stddev_samp({x})', 2)} AS std, {re(f'min({x})', 2)} AS min, {re(f'quantile_cont({x}, 0.25)', 2)} AS q25, "
+            f"{re(f'quantile_cont({x}, 0.5)', 2)} AS q50, {re(f'quantile_cont({x}, 0.75)', 2)} AS q75, "
+            f"{re(f'max({x})', 2)} AS max FROM serving GROUP BY city")
+
+
+@register("m11_city_describe", q("\n" + "\nUNION ALL\n".join(_describe_sql(c) for c in M.DESCRIBE_COLUMNS)))
+def _m11a(spark, d):
+    return M.city_describe(market_for(spark, d).serving())
+
+
+_CMP = {
+    "total_listings": "CAST(count(*) AS DOUBLE)",
+    "median_price": "quantile_cont(price, 0.5)",
+    "mean_occupancy_rate": "avg(occupancy_rate)",
+    "median_annual_revenue": "quantile_cont(estimated_annual_revenue, 0.5)",
+    "avg_review_score": "avg(review_scores_rating)",
+    "median_min_nights": "quantile_cont(minimum_nights, 0.5)",
+    "avg_reviews_per_listing": "avg(number_of_reviews)",
+    "median_host_tenure_years": "quantile_cont(host_tenure_years, 0.5)",
+}
+
+
+@register("m11_city_comparison", q("\n" + "\nUNION ALL\n".join(
+    f"SELECT city, '{k}' AS metric, {re(v, 6)} AS value FROM serving GROUP BY city" for k, v in _CMP.items())))
+def _m11b(spark, d):
+    return M.city_comparison(market_for(spark, d).serving())
+
+
+@register("a09_column_profile_events", None)
+def _a09(spark, d):
+    return PR.column_profile(read_table(spark, d, "events"), "event_id")

@@ -432,3 +432,29 @@ def neighbourhood_top5_summary(enriched: DataFrame, k: int = 5) -> DataFrame:
 def listing_count_per_city(fact: DataFrame) -> DataFrame:
     """M39."""
     return A.count_by(fact, ["city"], "listing_count")
+
+
+# The columns summarised per city.
+DESCRIBE_COLUMNS = ["price", "minimum_nights", "number_of_reviews", "review_scores_rating", "occupancy_rate",
+                    "estimated_annual_revenue", "host_tenure_years", "review_score_composite", "availability_365"]
+
+
+def city_describe(listing_frame: DataFrame, cols: Sequence[str] = DESCRIBE_COLUMNS) -> DataFrame:
+    """describe() of the key columns per city (A07; exact quantiles, 2 dp)."""
+    from ..operators.profile import describe
+    return describe(listing_frame, [c for c in cols if c in listing_frame.columns], by=["city"])
+
+
+def city_comparison(listing_frame: DataFrame) -> DataFrame:
+    """Side-by-side key metrics per city in long form (A15: one aggregate + unpivot)."""
+    metrics = {
+        "total_listings": F.count(F.lit(1)),
+        "median_price": F.percentile("price", 0.5),
+        "mean_occupancy_rate": F.avg("occupancy_rate"),
+        "median_annual_revenue": F.percentile("estimated_annual_revenue", 0.5),
+        "avg_review_score": F.avg("review_scores_rating"),
+        "median_min_nights": F.percentile("minimum_nights", 0.5),
+        "avg_reviews_per_listing": F.avg("number_of_reviews"),
+        "median_host_tenure_years": F.percentile("host_tenure_years", 0.5),
+    }
+    return A.city_comparison(listing_frame, metrics).withColumn("value", _r("value"))
