@@ -44,14 +44,20 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str]
     return wide.select(*by, rows).select(*by, "d.*")
 
 
-def null_profile(df: DataFrame, only_positive: bool = True) -> DataFrame:
-    """Null count and % per column (one pass); by default only columns with nulls."""
+def _null_counts(df: DataFrame) -> DataFrame:
+    """(column, null_count, null_pct, total_rows) for every column, from one aggregate."""
     total = F.count(F.lit(1))
     wide = df.agg(total.alias("__n"), *[F.count_if(F.col(c).isNull()).alias(f"__{i}") for i, c in enumerate(df.columns)])
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__{i}").alias("null_count"))
                                for i, c in enumerate(df.columns)])).alias("p")
-    out = wide.select("__n", rows).select(
-        "p.column", "p.null_count", round_even(F.col("p.null_count") / F.col("__n") * 100, 2).alias("null_pct"))
+    return wide.select("__n", rows).select(
+        "p.column", "p.null_count", round_even(F.col("p.null_count") / F.col("__n") * 100, 2).alias("null_pct"),
+        F.col("__n").alias("total_rows"))
+
+
+def null_profile(df: DataFrame, only_positive: bool = True) -> DataFrame:
+    """Null count and % per column (one pass); by default only columns with nulls."""
+    out = _null_counts(df).drop("total_rows")
     return out.where(F.col("null_count") > 0) if only_positive else out
 
 
@@ -73,16 +79,14 @@ def first_values(df: DataFrame, cols: Sequence[str], order_col: str, k: int = 3)
 
 
 def column_profile(df: DataFrame, order_col: str, k: int = 3) -> DataFrame:
-    """Per column dtype, nulls, null %, k sample values and total rows."""
+    """Per column dtype, nulls, null %, total rows and the first k sample values."""
     cols = [c for c in df.columns if c != order_col]
-    nulls = null_profile(df.select(*cols), only_positive=False)
-    total = df.agg(F.count(F.lit(1)).alias("total_rows"))
+    nulls = _null_counts(df.select(*cols))
     samples = first_values(df, cols, order_col, k).groupBy("column").agg(
         F.sort_array(F.collect_list(F.struct("position", "value"))).alias("s"))  # k values per column
     types = df.sparkSession.createDataFrame([(c, t) for c, t in df.dtypes if c != order_col], "column string, dtype string")
-    out = types.join(nulls, "column", "left").join(samples, "column", "left") \
-               .withColumn("samples", F.transform("s", lambda x: x["value"])).drop("s")
-    return out.join(F.broadcast(total.withColumn("__k", F.lit(1))), F.lit(1) == F.col("__k")).drop("__k")
+    out = types.join(nulls, "column", "left").join(samples, "column", "left")
+    return out.withColumn("samples", F.transform("s", lambda x: x["value"])).drop("s")
 
 
 def duplicate_counts(df: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
@@ -90,12 +94,16 @@ def duplicate_counts(df: DataFrame, key: Sequence[str] | None = None) -> DataFra
 
     Grouping (not ``count(distinct)``) keeps null-bearing rows and lets
     Spark pre-aggregate before the shuffle, so a hot value costs one
-    partial row per task.
+    partial row per task.  The two one-row results are combined by a union
+    and a final aggregate (no join).
     """
     rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.sum("n").alias("total_rows"), F.sum(F.col("n") - 1).alias("duplicate_rows"))
-    out = rows.withColumn("__k", F.lit(1))
-    if key:
-        keys = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") - 1).alias("duplicate_keys"))
-        out = out.join(keys.withColumn("__k", F.lit(1)), "__k")
-    return out.drop("__k")
+        F.sum("n").alias("total_rows"), F.sum(F.col("n") - 1).alias("duplicate_rows"),
+        F.lit(None).cast("long").alias("duplicate_keys"))
+    if not key:
+        return rows.drop("duplicate_keys")
+    keys = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.lit(None).cast("long").alias("total_rows"), F.lit(None).cast("long").alias("duplicate_rows"),
+        F.sum(F.col("n") - 1).alias("duplicate_keys"))
+    both = rows.unionByName(keys)
+    return both.agg(*[F.max(c).alias(c) for c in ["total_rows", "duplicate_rows", "duplicate_keys"]])
