@@ -6,9 +6,11 @@ partial row per task instead of moving its rows.  Joins of aggregates
 back onto detail rows broadcast only frames that are one row per city /
 per category (bounded by construction).
 
-Exact percentiles use Spark's ``percentile`` (value -> count buffers merged
-map-side); ``method="approx"`` switches to ``percentile_approx`` for
-continuous, very high-cardinality columns.
+Quantile operators take ``method``: ``"distributed"`` (default; exact, from
+distributed ranks, no group is ever held in one task — see ``quantiles``),
+``"exact"`` (Spark ``percentile``: one task merges a group's value -> count
+map; fine when a group's distinct values are few) or ``"approx"``
+(``percentile_approx``).
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions._util import col as _c
 from ..functions.buckets import bucket_right
 from ..functions.numeric import round_even
+from .quantiles import exact_quantiles, merge_group_rows
 
 
 # --------------------------------------------------------------------------- basics
@@ -44,13 +47,44 @@ def quantile_expr(c, q: float | Sequence[float], method: str = "exact", accuracy
     raise ValueError(method)
 
 
+def group_quantiles(df: DataFrame, specs, by: Sequence[str] = (), method: str = "distributed") -> DataFrame:
+    """Quantile columns per group: ``specs`` maps out name -> (column or Column, p)."""
+    if method == "distributed":
+        return exact_quantiles(df, specs, by)
+    return df.groupBy(*by).agg(*[quantile_expr(c, p, method).alias(o) for o, (c, p) in specs.items()])
+
+
+def agg_with_quantiles(df: DataFrame, by: Sequence[str], aggs: Sequence[Column], specs,
+                       method: str = "distributed", order: Sequence[str] | None = None) -> DataFrame:
+    """``groupBy(by).agg(*aggs)`` plus quantile columns (``specs``) side by side, one row per group.
+
+    With the distributed method the quantiles come from their own
+    rank-based plan and are merged per group (no join); ``order`` fixes the
+    output column order.
+    """
+    by = list(by)
+    if method == "distributed":
+        base = df.groupBy(*by).agg(*aggs) if aggs else df.select(*by).distinct() if by else None
+        q = exact_quantiles(df, specs, by)
+        out = merge_group_rows(base, q, by) if base is not None else q
+    else:
+        out = df.groupBy(*by).agg(*aggs, *[quantile_expr(c, p, method).alias(o) for o, (c, p) in specs.items()])
+    return out.select(*by, *order) if order else out
+
+
+def _drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    cond = None
+    for k in keys:
+        cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
+    return df.where(cond) if cond is not None else df
+
+
 def median_by(df: DataFrame, keys: Sequence[str], col: str, out: str = "median",
-              drop_null_keys: bool = True, method: str = "exact") -> DataFrame:
+              drop_null_keys: bool = True, method: str = "distributed") -> DataFrame:
     """A03 (pandas groupby drops null keys) / A04 (SQL keeps them: ``drop_null_keys=False``)."""
     if drop_null_keys:
-        df = df.where(F.greatest(*[F.col(k).isNull() for k in keys]) == F.lit(False)) if len(keys) > 1 \
-            else df.where(F.col(keys[0]).isNotNull())
-    return df.groupBy(*keys).agg(quantile_expr(col, 0.5, method).alias(out))
+        df = _drop_null_keys(df, keys)
+    return group_quantiles(df, {out: (col, 0.5)}, keys, method)
 
 
 def flag_counts(df: DataFrame, keys: Sequence[str], flag: str, *, total: str = "total_days",
@@ -91,20 +125,40 @@ def value_counts(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "co
 
 # --------------------------------------------------------------------------- KPI / comparison
 def kpi_block(df: DataFrame, by: str = "city", price: str = "price", occupancy: str = "occupancy_rate",
-              rating: str = "review_scores_rating") -> DataFrame:
-    """Per-city and grand-total KPIs in one scan (ROLLUP = grouping sets (city), ())."""
-    return df.rollup(by).agg(
+              rating: str = "review_scores_rating", method: str = "distributed") -> DataFrame:
+    """Per-city and grand-total KPIs in one scan (ROLLUP = grouping sets (city), ()).
+
+    The grand-total median is the largest group of all; with the distributed
+    method it is computed from ranks over rows expanded to (city) and (total).
+    """
+    base = df.rollup(by).agg(
         F.count(F.lit(1)).alias("listing_count"),
-        F.percentile(price, 0.5).alias("median_price"),
         F.avg(occupancy).alias("mean_occupancy"),
         F.avg(rating).alias("mean_rating"),
         F.grouping(by).cast("int").alias("is_total"),
+        *([F.percentile(price, 0.5).alias("median_price")] if method != "distributed" else []),
     )
-
-
-def city_comparison(df: DataFrame, metrics: Mapping[str, Column], by: str = "city") -> DataFrame:
-    """Metrics x cities in long form (metric, city, value): one aggregate + unpivot."""
-    wide = df.groupBy(by).agg(*[e.cast("double").alias(name) for name, e in metrics.items()])
+    if method != "distributed":
+        return base
+    levels = F.explode(F.array(F.struct(F.col(by).alias("g"), F.lit(0).alias("t")),
+                               F.struct(F.lit(None).cast(df.schema[by].dataType).alias("g"), F.lit(1).alias("t"))))
+    expanded = df.select(levels.alias("__l"), F.col(price).alias("__p")).select(
+        F.col("__l.g").alias(by), F.col("__l.t").alias("is_total"), "__p")
+    med = exact_quantiles(expanded, {"median_price": ("__p", 0.5)}, [by, "is_total"])
+    return merge_group_rows(base, med, [by, "is_total"]).select(
+        by, "listing_count", "median_price", "mean_occupancy", "mean_rating", "is_total")
+
+
+def city_comparison(df: DataFrame, metrics: Mapping[str, object], by: str = "city",
+                    method: str = "distributed") -> DataFrame:
+    """Metrics x cities in long form (metric, city, value): one aggregate + unpivot.
+
+    A metric is an aggregate Column or a ``(column, p)`` quantile spec.
+    """
+    aggs = [e.cast("double").alias(name) for name, e in metrics.items() if isinstance(e, Column)]
+    specs = {name: e for name, e in metrics.items() if not isinstance(e, Column)}
+    wide = agg_with_quantiles(df, [by], aggs, specs, method, order=list(metrics))
+    wide = wide.select(by, *[F.col(m).cast("double").alias(m) for m in metrics])
     return wide.unpivot(by, list(metrics), "metric", "value")
 
 
@@ -226,16 +280,14 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ("city",))
     return out.drop("__all")
 
 
-def box_stats(df: DataFrame, col: str, by: Sequence[str], min_n: int = 0) -> DataFrame:
+def box_stats(df: DataFrame, col: str, by: Sequence[str], min_n: int = 0, method: str = "distributed") -> DataFrame:
     """q1, median, q3, mean and 1.5·IQR whiskers per class (groups with n <= min_n dropped)."""
     by = list(by)
     v = F.col(col)
     base = df.where(v.isNotNull())
-    q = base.groupBy(*by).agg(
-        F.count(v).alias("n"), F.avg(v).alias("mean"),
-        F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"))
-    q = q.select(*by, "n", "mean", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                 F.col("__q")[2].alias("q3"))
+    q = agg_with_quantiles(base, by, [F.count(v).alias("n"), F.avg(v).alias("mean")],
+                           {"q1": (col, 0.25), "median": (col, 0.5), "q3": (col, 0.75)}, method,
+                           order=["n", "mean", "q1", "median", "q3"])
     if min_n:
         q = q.where(F.col("n") > min_n)
     iqr = F.col("q3") - F.col("q1")
@@ -247,16 +299,17 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str], min_n: int = 0) -> Dat
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-              method: str = "exact", prefix: str = "p") -> DataFrame:
+              method: str = "distributed", prefix: str = "p") -> DataFrame:
     """Scalar quantiles per group as columns ``p05``, ``p25``, ..."""
-    agg = df.groupBy(*by).agg(quantile_expr(col, list(probs), method).alias("__q"))
-    return agg.select(*by, *[F.col("__q")[i].alias(f"{prefix}{round(p * 100):02d}") for i, p in enumerate(probs)])
+    names = [f"{prefix}{round(p * 100):02d}" for p in probs]
+    return group_quantiles(df, {n: (col, p) for n, p in zip(names, probs)}, by, method).select(*by, *names)
 
 
-def range_summary(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+def range_summary(df: DataFrame, col: str, by: Sequence[str] = (), method: str = "distributed") -> DataFrame:
     """Min / max / median."""
     v = F.col(col)
-    return df.groupBy(*by).agg(F.min(v).alias("min"), F.max(v).alias("max"), F.percentile(v, 0.5).alias("median"))
+    return agg_with_quantiles(df, by, [F.min(v).alias("min"), F.max(v).alias("max")], {"median": (col, 0.5)},
+                              method, order=["min", "max", "median"])
 
 
 def class_means(df: DataFrame, cols: Sequence[str], class_col: str, by: Sequence[str] = ("city",),
@@ -286,7 +339,8 @@ def filtered_mean(value, cond: Column) -> Column:
 
 
 def with_group_total(stats: DataFrame, detail: DataFrame, col: str, by: Sequence[str] = ("city",),
-                     out: str = "group_median") -> DataFrame:
+                     out: str = "group_median", method: str = "distributed") -> DataFrame:
     """A per-group scalar (median of the whole group) next to finer statistics."""
-    tot = detail.groupBy(*by).agg(F.percentile(col, 0.5).alias(out))
+    tot = group_quantiles(detail, {out: (col, 0.5)}, by, method)
+    # one row per (coarse) group, e.g. per city
     return stats.join(F.broadcast(tot), list(by), "left")

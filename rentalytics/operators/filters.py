@@ -109,9 +109,10 @@ def cap_by_group(df: DataFrame, value_col: str, caps: Mapping[str, float], group
 
 
 def quantile_trim(df: DataFrame, value_col: str, q: float, by: Sequence[str] = ("city",)) -> DataFrame:
-    """Keep rows with ``value <= quantile_q`` of their group (exact, interpolated)."""
+    """Keep rows with ``value <= quantile_q`` of their group (exact, interpolated, from distributed ranks)."""
+    from .quantiles import exact_quantiles
     by = list(by)
-    qs = df.groupBy(*by).agg(F.percentile(F.col(value_col), F.lit(q)).alias("__q"))
+    qs = exact_quantiles(df, {"__q": (value_col, q)}, by)
     # one row per group: bounded by the number of groups (cities)
     return df.join(F.broadcast(qs), by, "inner").where(F.col(value_col) <= F.col("__q")).drop("__q")
 

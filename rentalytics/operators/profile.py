@@ -22,24 +22,28 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str] = (), digits: int = 2) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str] = (), digits: int = 2,
+             method: str = "distributed") -> DataFrame:
     """Count, mean, std (ddof 1), min, q25, q50, q75, max per column — exact quantiles, rounded half-even.
 
-    Output: group keys, ``column``, the eight statistics.
+    Output: group keys, ``column``, the eight statistics.  The quantiles of
+    all columns come from one rank-based plan (``method="distributed"``) or
+    from Spark ``percentile`` (``"exact"``).
     """
+    from .aggregates import agg_with_quantiles
     cols = list(cols) if cols is not None else numeric_columns(df)
-    aggs = []
+    aggs, specs = [], {}
     for i, c in enumerate(cols):
         v = F.col(c).cast("double")
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
-                 F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
-                 F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}")]
-    wide = df.groupBy(*by).agg(*aggs)
+                 F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+        specs.update({f"q{i}_0": (v, 0.25), f"q{i}_1": (v, 0.5), f"q{i}_2": (v, 0.75)})
+    wide = agg_with_quantiles(df, by, aggs, specs, method)
     r = lambda x: round_even(x, digits)
     rows = F.explode(F.array(*[F.struct(
         F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), r(F.col(f"m{i}")).alias("mean"),
-        r(F.col(f"s{i}")).alias("std"), r(F.col(f"lo{i}")).alias("min"), r(F.col(f"q{i}")[0]).alias("q25"),
-        r(F.col(f"q{i}")[1]).alias("q50"), r(F.col(f"q{i}")[2]).alias("q75"), r(F.col(f"hi{i}")).alias("max"))
+        r(F.col(f"s{i}")).alias("std"), r(F.col(f"lo{i}")).alias("min"), r(F.col(f"q{i}_0")).alias("q25"),
+        r(F.col(f"q{i}_1")).alias("q50"), r(F.col(f"q{i}_2")).alias("q75"), r(F.col(f"hi{i}")).alias("max"))
         for i, c in enumerate(cols)])).alias("d")
     return wide.select(*by, rows).select(*by, "d.*")
 

@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 
 def midranks(counts: DataFrame, value: str, by: Sequence[str] = (), count_col: str = "cnt",
-             num_slices: int | None = None) -> DataFrame:
+             num_slices: int | None = None, with_total: bool = False) -> DataFrame:
     """Add ``before`` (rows with a smaller value in the stratum) and ``midrank`` to a value-count frame.
 
     ``counts`` has one row per (by..., value) with ``count_col``; any other
-    columns (per-class counts, say) are carried along.
+    columns (per-class counts, say) are carried along.  ``with_total`` also
+    adds ``group_n``, the stratum's total count.  Null stratum keys form a
+    stratum of their own (SQL GROUP BY semantics).
     """
     by = list(by)
     spark = counts.sparkSession
@@ -40,9 +42,18 @@ def midranks(counts: DataFrame, value: str, by: Sequence[str] = (), count_col: s
     totals = sliced.groupBy("__slice", *by).agg(F.sum(count_col).alias("__tot"))
     w_off = Window.partitionBy(*by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1) \
         if by else Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(w_off), F.lit(0))).drop("__tot")
-    # offsets has (slices x strata) rows: bounded, broadcast
-    out = local.join(F.broadcast(offsets), ["__slice", *by])
+    offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(w_off), F.lit(0)))
+    if with_total:
+        w_all = Window.partitionBy(*by) if by else Window.partitionBy()
+        offsets = offsets.withColumn("group_n", F.sum("__tot").over(w_all))
+    offsets = offsets.drop("__tot").select(F.col("__slice").alias("__o_slice"), *[F.col(c).alias(f"__o_{c}") for c in by],
+                                           "__off", *(["group_n"] if with_total else []))
+    # (slices x strata) rows.  Without strata that is at most ``n`` rows: broadcast;
+    # with strata the size grows with the number of strata, so AQE decides from
+    # the measured size (its broadcast conversion is itself size-checked).
+    right = F.broadcast(offsets) if not by else offsets
+    cond = [F.col("__slice") == F.col("__o_slice")] + [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in by]
+    out = local.join(right, cond).drop("__o_slice", *[f"__o_{c}" for c in by])
     out = out.withColumn("before", F.col("__off") + F.col("__local"))
     out = out.withColumn("midrank", F.col("before") + (F.col(count_col) + F.lit(1)) / F.lit(2.0))
     return out.drop("__slice", "__local", "__off")

@@ -135,13 +135,9 @@ f_sf_udf = F.pandas_udf(_vec(f_sf), T.DoubleType())
 
 # --------------------------------------------------------------------------- rank tests
 def _materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage of a per-distinct-value table that several branches read (range sampling,
-    running sums, rank sums): a reliable checkpoint in the shared ``spark.checkpoint.dir``,
-    so the upstream pipeline runs once and a lost executor does not re-trigger it."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+    """Per-distinct-value tables that several branches read are checkpointed (``session.materialise``)."""
+    from ..session import materialise
+    return materialise(df)
 
 
 def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: Sequence[str] = ("city",),

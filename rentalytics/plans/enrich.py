@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import age_years, pct_deviation, price_tier, round_even, row_mean, safe_ratio
+from ..operators.aggregates import agg_with_quantiles
 from ..operators.joins import attach
+from ..operators.quantiles import exact_quantiles
 
 REVIEW_SCORE_COLUMNS = [
     "review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness",
@@ -28,13 +30,12 @@ def join_occupancy(listings: DataFrame, occupancy: DataFrame) -> DataFrame:
 def neighbourhood_benchmarks(listings: DataFrame, key: str = "neighbourhood_cleansed") -> DataFrame:
     """Per (city, area) statistics over priced listings, rounded half-even to 2 dp (null areas dropped)."""
     priced = listings.where(F.col("price").isNotNull() & F.col(key).isNotNull())
-    stats = priced.groupBy("city", key).agg(
-        F.percentile("price", 0.5).alias("neighbourhood_median_price"),
+    stats = agg_with_quantiles(priced, ["city", key], [
         F.avg("price").alias("neighbourhood_mean_price"),
         F.count("id").alias("neighbourhood_listing_count"),
         F.avg("review_scores_rating").alias("neighbourhood_avg_rating"),
         F.avg("occupancy_rate").alias("neighbourhood_avg_occupancy"),
-    )
+    ], {"neighbourhood_median_price": ("price", 0.5)})
     return stats.withColumns({c: round_even(c, 2) for c in
                               ["neighbourhood_median_price", "neighbourhood_mean_price",
                                "neighbourhood_avg_rating", "neighbourhood_avg_occupancy"]})
@@ -42,9 +43,8 @@ def neighbourhood_benchmarks(listings: DataFrame, key: str = "neighbourhood_clea
 
 def city_price_quantiles(listings: DataFrame) -> DataFrame:
     """p25 / p75 of non-null price per city (one row per city)."""
-    q = listings.where(F.col("price").isNotNull()).groupBy("city").agg(
-        F.percentile("price", F.array(F.lit(0.25), F.lit(0.75))).alias("__q"))
-    return q.select("city", F.col("__q")[0].alias("price_p25"), F.col("__q")[1].alias("price_p75"))
+    return exact_quantiles(listings.where(F.col("price").isNotNull()),
+                           {"price_p25": ("price", 0.25), "price_p75": ("price", 0.75)}, ["city"])
 
 
 def enrich_listings(listings: DataFrame, occupancy: DataFrame,

@@ -27,9 +27,9 @@ def h1_room_type_price(listings: DataFrame, first: str = "Entire home/apt", seco
     """First room type priced higher than the second (one-sided MWU, rank-biserial, medians)."""
     rt = F.col("room_type")
     t = S.mann_whitney(listings, "price", rt == first, rt == second, alternative="greater")
-    med = listings.where(F.col("price").isNotNull()).groupBy("city").agg(
-        F.percentile(F.when(rt == first, F.col("price")), 0.5).alias("median_first"),
-        F.percentile(F.when(rt == second, F.col("price")), 0.5).alias("median_second"))
+    med = A.group_quantiles(listings.where(F.col("price").isNotNull()),
+                            {"median_first": (F.when(rt == first, F.col("price")), 0.5),
+                             "median_second": (F.when(rt == second, F.col("price")), 0.5)}, ["city"])
     return _labels(t).join(med, "city")
 
 

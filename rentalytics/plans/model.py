@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar_parts, greater_than_flag, month_name, round_even, title_case
+from ..operators.aggregates import agg_with_quantiles
 from ..operators.windows import surrogate_key
 from ..schema import (DIM_DATE, DIM_HOST, DIM_NEIGHBOURHOOD, DIM_PROPERTY_TYPE, DIM_ROOM_TYPE,
                       FACT_CALENDAR, FACT_LISTINGS, FACT_REVIEWS, conform)
@@ -43,12 +44,13 @@ def dim_neighbourhood(listings: DataFrame, neighbourhoods: DataFrame, normalise_
     ``normalise_listing_names=False`` (reproduces case-mismatch misses).
     """
     name = title_case("neighbourhood_cleansed") if normalise_listing_names else F.col("neighbourhood_cleansed")
-    stats = (listings.where(F.col("neighbourhood_cleansed").isNotNull())
-             .groupBy("city", name.alias("neighbourhood")).agg(
-                 F.count("id").alias("listing_count"),
-                 F.percentile("price", 0.5).alias("median_price"),
-                 F.avg("review_scores_rating").alias("avg_rating"),
-                 F.avg("occupancy_rate").alias("avg_occupancy")))
+    named = listings.where(F.col("neighbourhood_cleansed").isNotNull()).select(
+        "city", name.alias("neighbourhood"), "id", "price", "review_scores_rating", "occupancy_rate")
+    stats = agg_with_quantiles(named, ["city", "neighbourhood"],
+                               [F.count("id").alias("listing_count"), F.avg("review_scores_rating").alias("avg_rating"),
+                                F.avg("occupancy_rate").alias("avg_occupancy")],
+                               {"median_price": ("price", 0.5)},
+                               order=["listing_count", "median_price", "avg_rating", "avg_occupancy"])
     stats = stats.withColumns({c: round_even(c, 2) for c in ["median_price", "avg_rating", "avg_occupancy"]})
     out = neighbourhoods.join(stats, ["city", "neighbourhood"], "left")
     return conform(out, DIM_NEIGHBOURHOOD)

@@ -99,13 +99,15 @@ def availability_by_month_weekend(calendar: DataFrame) -> DataFrame:
 
 def neighbourhood_stats(fact: DataFrame) -> DataFrame:
     """Per-area count, mean, median, rating, occupancy, revenue (SQL rounding)."""
-    return (fact.where(F.col("price").isNotNull()).groupBy("city", "neighbourhood_cleansed").agg(
+    s = A.agg_with_quantiles(fact.where(F.col("price").isNotNull()), ["city", "neighbourhood_cleansed"], [
         F.count(F.lit(1)).alias("listing_count"),
         round_half_up(F.avg("price"), 0).alias("avg_price"),
-        round_half_up(F.percentile("price", 0.5), 0).alias("median_price"),
         round_half_up(F.avg("review_scores_rating"), 3).alias("avg_rating"),
         round_half_up(F.avg("occupancy_rate"), 1).alias("avg_occupancy"),
-        round_half_up(F.avg("estimated_annual_revenue"), 0).alias("avg_revenue")))
+        round_half_up(F.avg("estimated_annual_revenue"), 0).alias("avg_revenue")],
+        {"median_price": ("price", 0.5)},
+        order=["listing_count", "avg_price", "median_price", "avg_rating", "avg_occupancy", "avg_revenue"])
+    return s.withColumn("median_price", round_half_up("median_price", 0))
 
 
 def kpi_cards(listing_frame: DataFrame) -> DataFrame:
@@ -134,9 +136,10 @@ def price_summary(listing_frame: DataFrame, caps=PRICE_CAPS["distribution"]) ->
     cap = None
     for k, v in caps.items():
         cap = F.when(F.col("city") == k, F.lit(v)) if cap is None else cap.when(F.col("city") == k, F.lit(v))
-    return (listing_frame.where(F.col("price").isNotNull()).groupBy("city")
-            .agg(_r(F.percentile("price", 0.5)).alias("median_price"), _r(F.avg("price")).alias("mean_price"))
-            .withColumn("price_cap", cap))
+    s = A.agg_with_quantiles(listing_frame.where(F.col("price").isNotNull()), ["city"],
+                             [_r(F.avg("price")).alias("mean_price")], {"median_price": ("price", 0.5)},
+                             order=["median_price", "mean_price"])
+    return s.withColumn("median_price", _r("median_price")).withColumn("price_cap", cap)
 
 
 def price_by_room_type_box(listing_frame: DataFrame, caps=PRICE_CAPS["distribution"], min_n: int = 10) -> DataFrame:
@@ -216,7 +219,8 @@ def availability_dashboard_views(calendar: DataFrame) -> tuple[DataFrame, DataFr
 def occupancy_distribution(listing_frame: DataFrame, bins: int = 50) -> DataFrame:
     """Occupancy histogram per city with the city median on every row (A24 + A03)."""
     h = A.histogram(listing_frame, "occupancy_rate", bins)
-    med = listing_frame.groupBy("city").agg(_r(F.percentile("occupancy_rate", 0.5)).alias("median_occupancy"))
+    med = A.group_quantiles(listing_frame, {"median_occupancy": ("occupancy_rate", 0.5)}, ["city"]) \
+           .withColumn("median_occupancy", _r("median_occupancy"))
     return h.select("city", "bin", _r("bin_lo").alias("bin_lo"), _r("bin_hi").alias("bin_hi"), "count") \
             .join(F.broadcast(med), "city")
 
@@ -230,11 +234,13 @@ def top_neighbourhoods_by_median_price(listing_frame: DataFrame, k: int = 10) ->
 
 def neighbourhood_metrics(listing_frame: DataFrame) -> DataFrame:
     """Per-area metrics used by the ranking and the map (pandas rounding)."""
-    return (listing_frame.where(F.col("neighbourhood_cleansed").isNotNull()).groupBy("city", "neighbourhood_cleansed")
-            .agg(_r(F.percentile("price", 0.5)).alias("median_price"),
-                 F.count(F.lit(1)).alias("listing_count"),
-                 _r(F.avg("occupancy_rate")).alias("avg_occupancy"),
-                 _r(F.avg("review_scores_rating")).alias("avg_rating")))
+    s = A.agg_with_quantiles(listing_frame.where(F.col("neighbourhood_cleansed").isNotNull()),
+                             ["city", "neighbourhood_cleansed"],
+                             [F.count(F.lit(1)).alias("listing_count"), _r(F.avg("occupancy_rate")).alias("avg_occupancy"),
+                              _r(F.avg("review_scores_rating")).alias("avg_rating")],
+                             {"median_price": ("price", 0.5)},
+                             order=["median_price", "listing_count", "avg_occupancy", "avg_rating"])
+    return s.withColumn("median_price", _r("median_price"))
 
 
 def neighbourhood_ranking(listing_frame: DataFrame, metric: str = "avg_occupancy", k: int = 10) -> DataFrame:
@@ -285,9 +291,10 @@ def price_gradient(listings: DataFrame) -> DataFrame:
     df = df.withColumn("distance_km", haversine_km("latitude", "longitude", clat, clon))
     df = df.withColumn("distance_bin", bucket_right("distance_km", DISTANCE_EDGES, DISTANCE_LABELS)) \
            .withColumn("bin_order", bucket_right("distance_km", DISTANCE_EDGES))
-    return (df.where(F.col("distance_bin").isNotNull()).groupBy("city", "distance_bin", "bin_order")
-            .agg(_r(F.percentile("price", 0.5)).alias("median_price"), F.count("id").alias("listing_count"),
-                 _r(F.avg("occupancy_rate")).alias("avg_occupancy")))
+    s = A.agg_with_quantiles(df.where(F.col("distance_bin").isNotNull()), ["city", "distance_bin", "bin_order"],
+                             [F.count("id").alias("listing_count"), _r(F.avg("occupancy_rate")).alias("avg_occupancy")],
+                             {"median_price": ("price", 0.5)}, order=["median_price", "listing_count", "avg_occupancy"])
+    return s.withColumn("median_price", _r("median_price"))
 
 
 def room_mix_top_neighbourhoods(listing_frame: DataFrame, k: int = 15) -> DataFrame:
@@ -344,14 +351,15 @@ def superhost_profile(listing_frame: DataFrame) -> DataFrame:
     """Superhost share, medians, means and rating advantage per city."""
     sh = F.col("host_is_superhost")
     yes, no = sh == F.lit(True), sh == F.lit(False)
-    g = listing_frame.groupBy("city").agg(
+    g = A.agg_with_quantiles(listing_frame, ["city"], [
         (F.count_if(yes) / F.count(sh) * 100).alias("superhost_pct"),
-        F.percentile(F.when(yes, F.col("price")), 0.5).alias("sh_median_price"),
-        F.percentile(F.when(no, F.col("price")), 0.5).alias("nsh_median_price"),
         F.avg(F.when(yes, F.col("occupancy_rate"))).alias("sh_avg_occupancy"),
         F.avg(F.when(no, F.col("occupancy_rate"))).alias("nsh_avg_occupancy"),
         F.avg(F.when(yes, F.col("review_scores_rating"))).alias("sh_avg_rating"),
-        F.avg(F.when(no, F.col("review_scores_rating"))).alias("nsh_avg_rating"))
+        F.avg(F.when(no, F.col("review_scores_rating"))).alias("nsh_avg_rating")],
+        {"sh_median_price": (F.when(yes, F.col("price")), 0.5), "nsh_median_price": (F.when(no, F.col("price")), 0.5)},
+        order=["superhost_pct", "sh_median_price", "nsh_median_price", "sh_avg_occupancy", "nsh_avg_occupancy",
+               "sh_avg_rating", "nsh_avg_rating"])
     g = g.withColumn("rating_advantage", F.col("sh_avg_rating") - F.col("nsh_avg_rating"))
     return g.select("city", *[_r(c).alias(c) for c in g.columns if c != "city"])
 
@@ -360,10 +368,10 @@ def commercial_profile(listing_frame: DataFrame) -> DataFrame:
     """Commercial (count > 1) vs casual hosts: count, share, median price, means."""
     df = listing_frame.where(F.col("is_commercial_host").isNotNull())
     s = A.share_of_total(df, ["is_commercial_host"])
-    m = df.groupBy("city", "is_commercial_host").agg(
-        _r(F.percentile("price", 0.5)).alias("median_price"),
-        _r(F.avg("occupancy_rate")).alias("avg_occupancy"),
-        _r(F.avg("review_scores_rating")).alias("avg_rating"))
+    m = A.agg_with_quantiles(df, ["city", "is_commercial_host"],
+                             [_r(F.avg("occupancy_rate")).alias("avg_occupancy"), _r(F.avg("review_scores_rating")).alias("avg_rating")],
+                             {"median_price": ("price", 0.5)}, order=["median_price", "avg_occupancy", "avg_rating"]) \
+          .withColumn("median_price", _r("median_price"))
     return s.withColumn("share_pct", _r("share_pct")).join(m, ["city", "is_commercial_host"])
 
 
@@ -386,16 +394,19 @@ def scatter_sample(listing_frame: DataFrame, n: int = 500, seed: int = 42, caps=
 def review_velocity_summary(listing_frame: DataFrame, fast: float = 20) -> DataFrame:
     """Median / mean velocity, share above 20/yr, and the p95 trim point used for the histogram."""
     v = F.col("review_velocity")
-    return listing_frame.where(v.isNotNull()).groupBy("city").agg(
-        _r(F.percentile(v, 0.5)).alias("median_velocity"), _r(F.avg(v)).alias("mean_velocity"),
-        _r(F.count_if(v > fast) / F.count(v) * 100).alias("pct_fast"),
-        _r(F.percentile(v, 0.95)).alias("p95_velocity"))
+    s = A.agg_with_quantiles(listing_frame.where(v.isNotNull()), ["city"],
+                             [_r(F.avg(v)).alias("mean_velocity"), _r(F.count_if(v > fast) / F.count(v) * 100).alias("pct_fast")],
+                             {"median_velocity": (v, 0.5), "p95_velocity": (v, 0.95)},
+                             order=["median_velocity", "mean_velocity", "pct_fast", "p95_velocity"])
+    return s.withColumns({"median_velocity": _r("median_velocity"), "p95_velocity": _r("p95_velocity")})
 
 
 def high_review_low_score(listing_frame: DataFrame, min_reviews: int = 50, max_score: float = 4.5) -> DataFrame:
     """Flagged listings (many reviews, low score) per city, with their median price."""
     f = listing_frame.where((F.col("number_of_reviews") > min_reviews) & (F.col("review_scores_rating") < max_score))
-    return f.groupBy("city").agg(F.count(F.lit(1)).alias("flagged"), _r(F.percentile("price", 0.5)).alias("median_price"))
+    s = A.agg_with_quantiles(f, ["city"], [F.count(F.lit(1)).alias("flagged")], {"median_price": ("price", 0.5)},
+                             order=["flagged", "median_price"])
+    return s.withColumn("median_price", _r("median_price"))
 
 
 TIER_ORDER = ["Budget", "Mid-range", "Premium"]
@@ -406,8 +417,9 @@ def price_tier_performance(listing_frame: DataFrame) -> DataFrame:
     from ..functions import ordinal
     df = listing_frame.where(F.col("price_tier").isNotNull())
     s = A.share_of_total(df, ["price_tier"])
-    m = df.groupBy("city", "price_tier").agg(_r(F.avg("occupancy_rate")).alias("avg_occupancy"),
-                                             _r(F.percentile("estimated_annual_revenue", 0.5)).alias("median_revenue"))
+    m = A.agg_with_quantiles(df, ["city", "price_tier"], [_r(F.avg("occupancy_rate")).alias("avg_occupancy")],
+                             {"median_revenue": ("estimated_annual_revenue", 0.5)},
+                             order=["avg_occupancy", "median_revenue"]).withColumn("median_revenue", _r("median_revenue"))
     return s.withColumn("share_pct", _r("share_pct")).join(m, ["city", "price_tier"]) \
             .withColumn("tier_order", ordinal("price_tier", TIER_ORDER))
 
@@ -449,12 +461,12 @@ def city_comparison(listing_frame: DataFrame) -> DataFrame:
     """Side-by-side key metrics per city in long form (A15: one aggregate + unpivot)."""
     metrics = {
         "total_listings": F.count(F.lit(1)),
-        "median_price": F.percentile("price", 0.5),
+        "median_price": ("price", 0.5),
         "mean_occupancy_rate": F.avg("occupancy_rate"),
-        "median_annual_revenue": F.percentile("estimated_annual_revenue", 0.5),
+        "median_annual_revenue": ("estimated_annual_revenue", 0.5),
         "avg_review_score": F.avg("review_scores_rating"),
-        "median_min_nights": F.percentile("minimum_nights", 0.5),
+        "median_min_nights": ("minimum_nights", 0.5),
         "avg_reviews_per_listing": F.avg("number_of_reviews"),
-        "median_host_tenure_years": F.percentile("host_tenure_years", 0.5),
+        "median_host_tenure_years": ("host_tenure_years", 0.5),
     }
     return A.city_comparison(listing_frame, metrics).withColumn("value", _r("value"))

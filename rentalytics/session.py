@@ -54,3 +54,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for materialised intermediates."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def materialise(df):
+    """Cut the lineage of a small intermediate that several jobs read (a range
+    partitioner's sample, running sums, the final aggregate): a reliable
+    checkpoint in the shared ``spark.checkpoint.dir``, so its upstream runs
+    once and a lost executor does not re-run it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
