@@ -93,20 +93,44 @@ def column_profile(df: DataFrame, order_col: str, k: int = 3) -> DataFrame:
     return out.withColumn("samples", F.transform("s", lambda x: x["value"])).drop("s")
 
 
-def duplicate_counts(df: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
+def row_fingerprint(df: DataFrame, cols: Sequence[str]):
+    """256-bit fingerprint of the listed columns: SHA-256 of the row's JSON encoding.
+
+    ``to_json`` of a struct is injective for a fixed schema (a null field is
+    omitted, so null equals null); signed zeros are normalised first so the
+    fingerprint groups values exactly as ``GROUP BY`` does.
+    """
+    parts = []
+    for c in cols:
+        t = df.schema[c].dataType
+        v = F.col(c)
+        if isinstance(t, (T.FloatType, T.DoubleType)):
+            v = v + F.lit(0.0).cast(t)  # -0.0 + 0.0 = 0.0
+        parts.append(v.alias(c))
+    return F.unhex(F.sha2(F.to_json(F.struct(*parts)), 256))
+
+
+def duplicate_counts(df: DataFrame, key: Sequence[str] | None = None, fingerprint: bool = True) -> DataFrame:
     """A10: exact-duplicate rows and duplicate keys (null equals null), as one row.
 
     Grouping (not ``count(distinct)``) keeps null-bearing rows and lets
     Spark pre-aggregate before the shuffle, so a hot value costs one
-    partial row per task.  The two one-row results are combined by a union
-    and a final aggregate (no join).
+    partial row per task.  With ``fingerprint`` the grouping key is a
+    32-byte SHA-256 of the row instead of the row itself, so long texts never
+    travel through the shuffle.  The two one-row results are combined by a
+    union and a final aggregate (no join).
     """
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")).agg(
+    def group(cols):
+        if fingerprint:
+            return df.groupBy(row_fingerprint(df, cols).alias("__fp"))
+        return df.groupBy(*cols)
+
+    rows = group(df.columns).agg(F.count(F.lit(1)).alias("n")).agg(
         F.sum("n").alias("total_rows"), F.sum(F.col("n") - 1).alias("duplicate_rows"),
         F.lit(None).cast("long").alias("duplicate_keys"))
     if not key:
         return rows.drop("duplicate_keys")
-    keys = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).agg(
+    keys = group(list(key)).agg(F.count(F.lit(1)).alias("n")).agg(
         F.lit(None).cast("long").alias("total_rows"), F.lit(None).cast("long").alias("duplicate_rows"),
         F.sum(F.col("n") - 1).alias("duplicate_keys"))
     both = rows.unionByName(keys)

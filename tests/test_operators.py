@@ -36,6 +36,15 @@ def test_duplicate_counts_null_equals_null(spark):
     assert (r.total_rows, r.duplicate_rows, r.duplicate_keys) == (4, 1, 2)
 
 
+def test_duplicate_fingerprint_equals_grouping(spark):
+    rows = [(0.0, None, "a"), (-0.0, None, "a"), (None, None, None), (None, None, None), (1.5, "x", "a"),
+            (1.5, "x", "b"), (float("nan"), "x", "b"), (float("nan"), "x", "b")]
+    df = spark.createDataFrame(rows, "d double, s string, t string")
+    a = PR.duplicate_counts(df, key=["s"], fingerprint=True).first()
+    b = PR.duplicate_counts(df, key=["s"], fingerprint=False).first()
+    assert tuple(a) == tuple(b) == (8, 3, 6)
+
+
 def test_keep_first_is_lowest_order(spark):
     df = spark.createDataFrame([(3, 10, "c"), (1, 10, "a"), (2, 11, "b")], "id int, host int, name string")
     got = {r.host: r.name for r in keep_first(df, ["host"], "id", ["name"]).collect()}
