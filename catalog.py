@@ -495,7 +495,20 @@ def _m32b(spark, d):
     return M.commercial_price_histograms(market_for(spark, d).serving())
 
 
-@register("m33_scatter_sample", None)
+def mix32_sql(x: str, seed: int) -> str:
+    """The oracle's statement of ``functions.mix32`` (same integer steps)."""
+    from rentalytics.functions.numeric import MIX_MULTIPLIER
+    v = f"((({x}) + {seed}) % 4294967296 + 4294967296) % 4294967296"
+    for _ in range(2):
+        v = f"((xor(({v}) >> 16, {v}) * {MIX_MULTIPLIER}) % 4294967296)"
+    return f"xor(({v}) >> 16, {v})"
+
+
+@register("m33_scatter_sample", q(f"""
+SELECT listing_id, city, number_of_reviews, price, review_scores_rating
+FROM serving WHERE price IS NOT NULL AND price <= {cap_sql(PRICE_CAPS["scatter"])}
+ORDER BY {mix32_sql('listing_id', 42)}, listing_id LIMIT 500
+"""))
 def _m33(spark, d):
     return M.scatter_sample(market_for(spark, d).serving())
 

@@ -67,3 +67,21 @@ def human_money(c, symbol: str = "$") -> Column:
     return (F.when(v >= 1_000_000, F.format_string(symbol + "%.1fM", v / 1_000_000))
             .when(v >= 1_000, F.format_string(symbol + "%.1fK", v / 1_000))
             .otherwise(F.concat(F.lit(symbol), F.format_number(v, 0))))
+
+
+# Fixed values of the integer mix below (a 32-bit xorshift-multiply hash).
+MIX_MULTIPLIER = 0x45D9F3B
+_U32 = 1 << 32
+
+
+def mix32(c, seed: int = 0) -> Column:
+    """Seeded 32-bit integer hash, a bijection on [0, 2^32).
+
+    Only +, *, xor, shift and modulo on BIGINT with every intermediate below
+    2^63, so it never overflows under ANSI mode and any SQL engine computes
+    the same value (the oracle re-states it in SQL).
+    """
+    x = F.pmod(_c(c).cast("long") + F.lit(seed), F.lit(_U32))
+    for _ in range(2):
+        x = F.pmod(F.shiftright(x, 16).bitwiseXOR(x) * F.lit(MIX_MULTIPLIER), F.lit(_U32))
+    return F.shiftright(x, 16).bitwiseXOR(x)

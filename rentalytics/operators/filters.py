@@ -127,8 +127,16 @@ def is_false(df: DataFrame, col) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Reproducible sample of at most ``n`` rows (top-n by a seeded hash; n is the feature)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    """Reproducible sample of at most ``n`` rows (top-n by a seeded hash; n is the feature).
+
+    Integer keys use ``mix32`` (portable: the same sample in any engine);
+    other keys ``xxhash64``.  Top-n keeps n rows per task before one merge.
+    """
+    from pyspark.sql import types as T
+    from ..functions.numeric import mix32
+    integral = isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    h = mix32(key, seed) if integral else F.xxhash64(F.col(key), F.lit(seed))
+    return df.orderBy(h, F.col(key)).limit(n)
 
 
 def is_empty(df: DataFrame) -> bool:

@@ -124,3 +124,18 @@ def test_threshold_label(spark):
     got = [r[0] for r in one_col(spark, [0.1, -0.4, 0.9], "double")
            .select(RF.threshold_label("v", [0.3, 0.5], ["Small", "Medium", "Large"])).collect()]
     assert got == ["Small", "Medium", "Large"]
+
+
+def test_mix32_matches_integer_steps_and_is_bijective(spark):
+    from rentalytics.functions import mix32
+
+    def ref(x, seed):
+        x = (x + seed) % 2**32
+        for _ in range(2):
+            x = (((x >> 16) ^ x) * 0x45D9F3B) % 2**32
+        return (x >> 16) ^ x
+
+    df = spark.range(0, 20000).select("id", mix32("id", 42).alias("h"))
+    got = {r.id: r.h for r in df.collect()}
+    assert all(got[i] == ref(i, 42) for i in range(0, 20000, 97))
+    assert len(set(got.values())) == 20000 and all(0 <= h < 2**32 for h in got.values())
