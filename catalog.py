@@ -934,6 +934,27 @@ def _m11b(spark, d):
     return M.city_comparison(market_for(spark, d).serving())
 
 
-@register("a09_column_profile_events", None)
+# DuckDB type name -> Spark's ``df.dtypes`` name for the driver's parquet types
+_SPARK_TYPE = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+               "TIMESTAMP": "timestamp_ntz", "DATE": "date", "BOOLEAN": "boolean"}
+_EVENT_COLUMNS = ["ts", "user_id", "event_type", "value", "props"]
+
+
+def _profile_sql(table: str, cols, order_col: str, k: int = 3) -> str:
+    def dtype(c):
+        return "CASE typeof(any_value(" + c + ")) " + " ".join(
+            f"WHEN '{a}' THEN '{b}'" for a, b in _SPARK_TYPE.items()) + " END"
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT '{c}' AS "column", {dtype(c)} AS dtype, CAST(count(*) - count({c}) AS BIGINT) AS null_count,
+       {re(f'CAST(count(*) - count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100', 2)} AS null_pct,
+       CAST(count(*) AS BIGINT) AS total_rows,
+       (SELECT '[' || string_agg(v, ', ' ORDER BY p) || ']' FROM (SELECT CAST({c} AS VARCHAR) AS v, {order_col} AS p
+          FROM {table} WHERE {c} IS NOT NULL ORDER BY {order_col} LIMIT {k})) AS sample_values
+FROM {table}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("a09_column_profile_events", _profile_sql("events", _EVENT_COLUMNS, "event_id"))
 def _a09(spark, d):
-    return PR.column_profile(read_table(spark, d, "events"), "event_id")
+    return PR.column_profile(read_table(spark, d, "events"), "event_id", samples_as_text=True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,29 +68,36 @@ def null_profile(df: DataFrame, only_positive: bool = True) -> DataFrame:
 def first_values(df: DataFrame, cols: Sequence[str], order_col: str, k: int = 3) -> DataFrame:
     """The first k non-null values of each column in ``order_col`` order (as text).
 
-    Each column is a top-k (``TakeOrderedAndProject``: k rows per task), so
-    nothing unbounded is gathered.
+    One scan: every non-null cell becomes a (column, position, value) row and
+    a row_number window per column keeps the first k.  Spark evaluates that
+    limit partially before the shuffle (``WindowGroupLimit``), so at most k
+    rows per column and task move; nothing unbounded is gathered.
     """
-    parts = []
-    for c in cols:
-        parts.append(df.where(F.col(c).isNotNull()).orderBy(order_col).limit(k)
-                     .select(F.lit(c).alias("column"), F.col(order_col).alias("position"),
-                             F.col(c).cast("string").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                                for c in cols])).alias("__c")
+    long = (df.select(F.col(order_col).alias("position"), cells)
+              .select("__c.column", "position", "__c.value").where(F.col("value").isNotNull()))
+    w = Window.partitionBy("column").orderBy(F.col("position").asc_nulls_last())
+    return long.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k).drop("__r")
 
 
-def column_profile(df: DataFrame, order_col: str, k: int = 3) -> DataFrame:
-    """Per column dtype, nulls, null %, total rows and the first k sample values."""
+def column_profile(df: DataFrame, order_col: str, k: int = 3, samples_as_text: bool = False) -> DataFrame:
+    """Per column dtype, nulls, null %, total rows and the first k sample values.
+
+    ``samples_as_text`` renders the samples as one ``[a, b, c]`` string
+    (``sample_values``), the form the profile report (S11) stores.
+    """
     cols = [c for c in df.columns if c != order_col]
     nulls = _null_counts(df.select(*cols))
     samples = first_values(df, cols, order_col, k).groupBy("column").agg(
         F.sort_array(F.collect_list(F.struct("position", "value"))).alias("s"))  # k values per column
     types = df.sparkSession.createDataFrame([(c, t) for c, t in df.dtypes if c != order_col], "column string, dtype string")
     out = types.join(nulls, "column", "left").join(samples, "column", "left")
-    return out.withColumn("samples", F.transform("s", lambda x: x["value"])).drop("s")
+    out = out.withColumn("samples", F.transform("s", lambda x: x["value"])).drop("s")
+    if samples_as_text:
+        out = out.withColumn("samples", F.concat(F.lit("["), F.array_join("samples", ", "), F.lit("]"))) \
+                 .withColumnRenamed("samples", "sample_values")
+    return out
 
 
 def row_fingerprint(df: DataFrame, cols: Sequence[str]):

@@ -8,7 +8,8 @@ from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = ["m01_top_neighbourhoods_avg_price", "m09_neighbourhood_stats", "m16_market_concentration",
-          "b11_fact_listings", "b06_dim_host", "x01_mann_whitney_u", "x04_kruskal_wallis", "a10_duplicate_documents"]
+          "b11_fact_listings", "b06_dim_host", "x01_mann_whitney_u", "x04_kruskal_wallis", "a10_duplicate_documents",
+          "m33_scatter_sample", "a09_column_profile_events", "m11_city_describe", "m10_kpi_cards"]
 
 
 def test_entry_runs(spark):
