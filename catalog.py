@@ -15,12 +15,17 @@ from oracle_queries import CITY_OF_BRAND, hu, q, re
 from rentalytics.plans import queries as M
 from rentalytics.plans.market import Market
 
-_MARKETS: dict[tuple[int, str], Market] = {}
+_MARKETS: dict[tuple[str, int, str], Market] = {}
 
 
 def market_for(spark: SparkSession, sf_dir: str) -> Market:
-    """One lazy Market per (session, folder): plans are shared, nothing is cached in memory."""
-    key = (id(spark), sf_dir)
+    """One lazy Market per (application, session, folder): plans are shared, nothing is cached in memory.
+
+    The application id keeps a Market (and its checkpointed intermediates)
+    from outliving its SparkContext when a session is stopped and a new one
+    is created.
+    """
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _MARKETS:
         _MARKETS[key] = Market.from_driver_tables(spark, sf_dir)
     return _MARKETS[key]
