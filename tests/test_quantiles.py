@@ -1,6 +1,8 @@
 import numpy as np
 import pandas as pd
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rentalytics.operators import aggregates as A
@@ -73,3 +75,20 @@ def test_no_single_task_window_in_plan(frame):
     _, df = frame
     plan = exact_quantiles(df, {"m": ("y", 0.5)}, ["g"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "percentile" not in plan.lower()
+
+_values = st.one_of(st.none(), st.integers(-3, 3).map(float),
+                    st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), _values), min_size=1, max_size=80),
+       p=st.floats(0.0, 1.0))
+def test_property_matches_numpy(spark, rows, p):
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.q for r in exact_quantiles(df, {"q": ("v", p)}, ["g"], num_slices=3).collect()}
+    for g in {r[0] for r in rows}:
+        vals = [v for k, v in rows if k == g and v is not None]
+        if not vals:
+            assert got.get(g) is None
+        else:
+            assert np.isclose(got[g], np.quantile(np.array(vals), p), rtol=1e-9, atol=1e-9)
