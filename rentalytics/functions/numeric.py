@@ -11,8 +11,13 @@ from ._util import col as _c
 
 
 def denoise(c) -> Column:
-    """Snap a double to 10 decimals so summation-order noise (1e-15) cannot flip a later rounding tie."""
-    return _c(c).cast("decimal(38,10)").cast("double")
+    """Snap a double to 10 decimals so summation-order noise (1e-15) cannot flip a later rounding tie.
+
+    Only finite values inside DECIMAL(38,10)'s range are snapped; infinities,
+    NaN and huge values pass through unchanged.
+    """
+    x = _c(c)
+    return F.when(F.abs(x) < F.lit(1e27), x.cast("decimal(38,10)").cast("double")).otherwise(x)
 
 
 def round_even(c, digits: int = 0) -> Column:

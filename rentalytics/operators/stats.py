@@ -286,17 +286,27 @@ def _solve(row, k: int) -> dict:
     cov = sigma2 * pinv
     se = np.sqrt(np.clip(np.diag(cov), 0, None))
     r2 = 1 - sse / sst
-    # VIF = diagonal of the inverse correlation matrix of the features
+    # VIF_j = 1 / (1 - R2_j), R2_j of feature j regressed on the other features and
+    # the constant (statsmodels' auxiliary regression).  From the correlation matrix:
+    # R2_j = r_j' pinv(R_others) r_j, which stays right when the others are collinear;
+    # an exactly collinear feature (R2 = 1) gets +inf, a constant feature (no
+    # variance, R2 undefined) stays null.
     mean = s[0, 1: k + 1] / n
     cxx = xtx[1:, 1:] / n - np.outer(mean, mean)
     sd = np.sqrt(np.clip(np.diag(cxx), 0, None))
-    ok = sd > 0
-    vif = np.full(k, np.inf)
-    if ok.sum() > 1:
-        corr = cxx[np.ix_(ok, ok)] / np.outer(sd[ok], sd[ok])
-        vif[ok] = np.diag(np.linalg.pinv(corr))
-    elif ok.sum() == 1:
-        vif[ok] = 1.0
+    ok = sd > 1e-12 * np.maximum(1.0, np.abs(mean))
+    vif = np.full(k, np.nan)
+    idx = np.flatnonzero(ok)
+    if len(idx):
+        corr = cxx[np.ix_(idx, idx)] / np.outer(sd[idx], sd[idx])
+        for a, j in enumerate(idx):
+            others = [b for b in range(len(idx)) if b != a]
+            if not others:
+                vif[j] = 1.0
+                continue
+            r = corr[others, a]
+            aux_r2 = float(r @ np.linalg.pinv(corr[np.ix_(others, others)]) @ r)
+            vif[j] = np.inf if 1.0 - aux_r2 <= 1e-12 else 1.0 / (1.0 - aux_r2)
     return {"beta": beta, "se": se, "r2": r2, "adj_r2": 1 - (1 - r2) * (n - 1) / dof,
             "f": (r2 / k) / ((1 - r2) / dof), "n": n, "dof": dof, "vif": vif}
 
@@ -319,7 +329,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ("city",))
             t = res["beta"][i] / res["se"][i] if res["se"][i] > 0 else float("nan")
             out.append((*[row[b] for b in by], term, float(res["beta"][i]), float(res["se"][i]), float(t),
                         float(t_sf_two_sided(t, res["dof"])) if not math.isnan(t) else None,
-                        float(res["vif"][i - 1]) if i > 0 and np.isfinite(res["vif"][i - 1]) else None,
+                        float(res["vif"][i - 1]) if i > 0 and not np.isnan(res["vif"][i - 1]) else None,
                         float(res["r2"]), float(res["adj_r2"]), float(res["f"]), float(f_p), int(res["n"])))
     schema = T.StructType([*[df.schema[b] for b in by],
                            *[T.StructField(n, t) for n, t in [

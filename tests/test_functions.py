@@ -139,3 +139,9 @@ def test_mix32_matches_integer_steps_and_is_bijective(spark):
     got = {r.id: r.h for r in df.collect()}
     assert all(got[i] == ref(i, 42) for i in range(0, 20000, 97))
     assert len(set(got.values())) == 20000 and all(0 <= h < 2**32 for h in got.values())
+
+
+def test_round_even_passes_non_finite(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (1e300,), (2.5,)], "v double")
+    got = [r.r for r in df.select(RF.round_even("v", 0).alias("r")).collect()]
+    assert got[:3] == [float("inf"), float("-inf"), 1e300] and got[3] == 2.0

@@ -104,6 +104,18 @@ def test_ols_matches_numpy(spark):
     assert out["x1"].vif == pytest.approx(1 / (1 - corr ** 2))
 
 
+def test_vif_collinear_and_constant(spark):
+    rng = np.random.default_rng(9)
+    n = 300
+    a, b = rng.normal(size=n), rng.normal(size=n)
+    pdf = pd.DataFrame({"city": "c", "a": a, "b": b, "a3": 3 * a + 1, "one": 1.0,
+                        "y": a + b + rng.normal(scale=0.1, size=n)})
+    out = {r.term: r.vif for r in S.ols(spark.createDataFrame(pdf), "y", ["a", "b", "a3", "one"]).collect()}
+    assert out["a"] == float("inf") and out["a3"] == float("inf") and out["one"] is None
+    # b is unrelated to a / a3: auxiliary R2 from the collinear pair is the same as from a alone
+    assert out["b"] == pytest.approx(1 / (1 - np.corrcoef(a, b)[0, 1] ** 2))
+
+
 def test_kde_matches_formula(spark):
     vals = np.array([1.0, 2.0, 2.0, 3.5, 4.0, 7.0])
     out = S.gaussian_kde(spark.createDataFrame([(float(v),) for v in vals], "v double"), "v", 11).orderBy("grid").toPandas()
