@@ -326,7 +326,9 @@ def _m19a(spark, d):
 
 
 @register("m19_weekend_mean_of_rates", q(_RATES + f"""
-SELECT city, is_weekend, {re('avg(availability_rate)', 6)} AS availability_rate FROM rates GROUP BY city, is_weekend
+SELECT city, is_weekend, {re('avg(availability_rate)', 6)} AS availability_rate,
+       CASE WHEN is_weekend THEN 'Weekend' WHEN NOT is_weekend THEN 'Weekday' END AS day_type
+FROM rates GROUP BY city, is_weekend
 """))
 def _m19b(spark, d):
     return M.availability_dashboard_views(market_for(spark, d).fact_calendar)[1]
@@ -572,6 +574,63 @@ def _m39(spark, d):
     return M.listing_count_per_city(market_for(spark, d).fact_listings)
 
 
+@register("a29_calendar_cleaning_summary", q(f"""
+SELECT city,
+       {re('avg(CASE WHEN is_weekend THEN CAST(available AS DOUBLE) END) * 100', 6)} AS weekend_availability_pct,
+       {re('avg(CASE WHEN NOT is_weekend THEN CAST(available AS DOUBLE) END) * 100', 6)} AS weekday_availability_pct,
+       min(date) AS first_date, max(date) AS last_date
+FROM calendar GROUP BY city
+"""))
+def _a29(spark, d):
+    return M.calendar_cleaning_summary(market_for(spark, d).fact_calendar)
+
+
+@register("a27_review_cleaning_summary", q("""
+SELECT city, min(date) AS first_date, max(date) AS last_date, min(review_year) AS first_year,
+       max(review_year) AS last_year, min(comment_length) AS min_comment_length,
+       max(comment_length) AS max_comment_length,
+       quantile_cont(comment_length, 0.5) AS median_comment_length
+FROM reviews GROUP BY city
+"""))
+def _a27(spark, d):
+    return M.review_cleaning_summary(market_for(spark, d).fact_reviews)
+
+
+@register("b04_neighbourhoods_clean", q(f"""
+, feats AS (SELECT DISTINCT {CITY_OF_BRAND} AS city, p_brand AS neighbourhood FROM part)
+SELECT city, CAST(row_number() OVER (PARTITION BY city ORDER BY neighbourhood) AS INTEGER) AS neighbourhood_id,
+       neighbourhood, CAST(NULL AS VARCHAR) AS neighbourhood_group, 'Polygon' AS geometry_type
+FROM feats
+"""))
+def _b04(spark, d):
+    return market_for(spark, d).neighbourhoods
+
+
+@register("s10_cleaned_feature_properties", q(f"""
+, feats AS (SELECT DISTINCT {CITY_OF_BRAND} AS city, p_brand AS neighbourhood FROM part)
+SELECT city, neighbourhood, json_object('neighbourhood', neighbourhood, 'city', city)::VARCHAR AS properties_json
+FROM feats
+"""))
+def _s10(spark, d):
+    from pyspark.sql import functions as F
+    from rentalytics.plans.clean import cleaned_features
+    f = cleaned_features(market_for(spark, d).raw_features)
+    return f.select("city", F.col("feature.properties.neighbourhood").alias("neighbourhood"),
+                    F.to_json("feature.properties").alias("properties_json"))
+
+
+@register("q06_unknown_tenants", """
+SELECT DISTINCT lower(n.n_name) AS city FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE lower(n.n_name) NOT IN ('bangkok', 'lisbon')
+""")
+def _q06(spark, d):
+    from pyspark.sql import functions as F
+    from rentalytics.sources.config import config_frame
+    c, n = read_table(spark, d, "customer"), read_table(spark, d, "nation")
+    requested = c.join(n, c.c_nationkey == n.n_nationkey).select(F.lower("n_name").alias("city"))
+    return QU.unknown_tenants(requested, config_frame(spark))
+
+
 # ------------------------------------------------------------------ builders
 from rentalytics.schema import FACT_LISTINGS  # noqa: E402
 

@@ -34,7 +34,7 @@ def drop_all_null_columns(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
 
 
 def select_present(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """Select the wanted columns that exist, in the wanted order."""
+    """Select the wanted columns that exist, in the wanted order (Parquet prunes the scan to them)."""
     return df.select(*[c for c in wanted if c in df.columns])
 
 
@@ -81,16 +81,16 @@ def listing_filter(df: DataFrame, *, cities: Iterable[str] | None = None,
                    city_col: str = "city", room_col: str = "room_type",
                    price_col: str = "price", nights_col: str = "minimum_nights") -> DataFrame:
     """P10: the dashboard's composed filter; parameters become predicates, never SQL text."""
-    conds = [F.col(price_col).isNotNull()]
+    df = not_null(df, price_col)
     if cities is not None:
-        conds.append(F.col(city_col).isin(list(cities)))
+        df = in_list(df, city_col, cities)
     if room_types is not None:
-        conds.append(F.col(room_col).isin(list(room_types)))
+        df = in_list(df, room_col, room_types)
     if price_range is not None:
-        conds.append(F.col(price_col).between(*price_range))
+        df = between(df, price_col, *price_range)
     if max_min_nights is not None:
-        conds.append(F.col(nights_col) <= max_min_nights)
-    return where_all(df, *conds)
+        df = where_all(df, F.col(nights_col) <= max_min_nights)
+    return df  # Catalyst merges the chained filters into one pushed-down predicate
 
 
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 def midranks(counts: DataFrame, value: str, by: Sequence[str] = (), count_col: str = "cnt",
              num_slices: int | None = None, with_total: bool = False) -> DataFrame:
-    """Add ``before`` (rows with a smaller value in the stratum) and ``midrank`` to a value-count frame.
+    """Add ``before`` (rows with a smaller value in the stratum) and ``midrank`` to a value-count frame.
 
     ``counts`` has one row per (by..., value) with ``count_col``; any other
     columns (per-class counts, say) are carried along.  ``with_total`` also
@@ -60,7 +60,7 @@ def midranks(counts: DataFrame, value: str, by: Sequence[str] = (), count_col: s
 
 
 def rank_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Average rank of every row's value within its stratum (rows keep their identity)."""
+    """Average rank of every row's value within its stratum (rows keep their identity)."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))
     r = midranks(counts, value, by).select(*by, value, "midrank")
     return df.join(r, [*by, value], "left")

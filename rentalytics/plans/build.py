@@ -85,6 +85,6 @@ def publish(market: Market, out_base: str, cities: Sequence[str], run_log: str |
 
 def run(spark: SparkSession, raw_base: str, cities: Sequence[str], out_base: str,
         config: DataFrame | None = None, strict: bool = True) -> dict[str, int]:
-    """Full batch: read -> clean -> enrich -> model -> publish (fails fast on unknown cities when strict)."""
+    """Full batch read -> clean -> enrich -> model -> publish (fails fast on unknown cities when strict)."""
     m = market_from_files(spark, raw_base, cities, config, strict)
     return publish(m, out_base, cities, run_log=f"{out_base.rstrip('/')}/pipeline_metadata")

@@ -194,7 +194,7 @@ def clean_neighbourhoods(features: DataFrame, position_col: str | None = None) -
 
 
 def cleaned_features(features: DataFrame) -> DataFrame:
-    """S10 input: features with the standardised name and the city injected into properties."""
+    """S10 input (F33): features with the standardised name overwritten and the city inserted into properties."""
     props = F.col("feature.properties")
     new_props = props.withField("neighbourhood", title_case(F.coalesce(props["neighbourhood"], F.lit("")))) \
                      .withField("city", F.col("city"))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import bucket_right, haversine_km, round_even, round_half_up
+from ..functions import bool_label, bucket_right, haversine_km, round_even, round_half_up
 from ..operators import aggregates as A
 from ..operators.filters import cap_by_group, listing_filter
 from ..operators.joins import complete_axis, inner_join, semi_join
@@ -190,13 +190,13 @@ def market_concentration(fact: DataFrame) -> DataFrame:
 
 
 def availability_distribution(listing_frame: DataFrame, bins: int = 50) -> DataFrame:
-    """Histogram of ``availability_365`` per city."""
+    """M17 (a): histogram of ``availability_365`` per city."""
     h = A.histogram(listing_frame, "availability_365", bins)
     return h.select("city", "bin", _r("bin_lo").alias("bin_lo"), _r("bin_hi").alias("bin_hi"), "count")
 
 
 def zero_availability_share(listing_frame: DataFrame) -> DataFrame:
-    """Share of listings with zero days available (over all rows)."""
+    """M17 (b): share of listings with zero days available (over all rows, A22)."""
     return listing_frame.groupBy("city").agg(
         _r(F.count_if(F.col("availability_365") == 0) / F.count(F.lit(1)) * 100).alias("pct_zero_availability"))
 
@@ -213,7 +213,8 @@ def availability_dashboard_views(calendar: DataFrame) -> tuple[DataFrame, DataFr
     monthly = A.mean_of_rates(rates, ["city", "month"], "availability_rate")
     weekend = A.mean_of_rates(rates, ["city", "is_weekend"], "availability_rate")
     return monthly.withColumn("availability_rate", _r("availability_rate")), \
-        weekend.withColumn("availability_rate", _r("availability_rate"))
+        weekend.withColumns({"availability_rate": _r("availability_rate"),
+                             "day_type": bool_label("is_weekend", "Weekend", "Weekday")})
 
 
 def occupancy_distribution(listing_frame: DataFrame, bins: int = 50) -> DataFrame:
@@ -426,11 +427,10 @@ def price_tier_performance(listing_frame: DataFrame) -> DataFrame:
 
 def category_counts(listing_frame: DataFrame) -> DataFrame:
     """Room-type and property-group counts per city, in one long frame."""
-    rt = A.value_counts(listing_frame, "room_type", by=["city"]).select(
-        "city", F.lit("room_type").alias("dimension"), F.col("room_type").alias("value"), "count")
-    pg = A.value_counts(listing_frame, "property_type_grouped", by=["city"]).select(
-        "city", F.lit("property_type_grouped").alias("dimension"), F.col("property_type_grouped").alias("value"), "count")
-    return rt.unionByName(pg)
+    from ..operators.sets import concat_labelled
+    parts = {d: A.value_counts(listing_frame, d, by=["city"]).select("city", F.col(d).alias("value"), "count")
+             for d in ["room_type", "property_type_grouped"]}
+    return concat_labelled(parts, "dimension").select("city", "dimension", "value", "count")
 
 
 def neighbourhood_top5_summary(enriched: DataFrame, k: int = 5) -> DataFrame:
@@ -441,6 +441,24 @@ def neighbourhood_top5_summary(enriched: DataFrame, k: int = 5) -> DataFrame:
     return t.select("city", "neighbourhood_cleansed", "neighbourhood_median_price", "neighbourhood_listing_count", "rank")
 
 
+def calendar_cleaning_summary(calendar: DataFrame) -> DataFrame:
+    """A29 + A27: weekend / weekday availability % (mean over non-null flags) and the date range, per city."""
+    avail, wk = F.col("available").cast("double"), F.col("is_weekend")
+    return calendar.groupBy("city").agg(
+        _r(A.filtered_mean(avail, wk) * 100).alias("weekend_availability_pct"),
+        _r(A.filtered_mean(avail, ~wk) * 100).alias("weekday_availability_pct"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+def review_cleaning_summary(reviews: DataFrame) -> DataFrame:
+    """Review date and year range and comment-length min / max / median, per city."""
+    r = A.range_summary(reviews, "comment_length", by=["city"])
+    d = reviews.groupBy("city").agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+                                    F.min("review_year").alias("first_year"), F.max("review_year").alias("last_year"))
+    return d.join(r.select("city", F.col("min").alias("min_comment_length"), F.col("max").alias("max_comment_length"),
+                           F.col("median").alias("median_comment_length")), "city", "left")
+
+
 def listing_count_per_city(fact: DataFrame) -> DataFrame:
     """M39."""
     return A.count_by(fact, ["city"], "listing_count")
