@@ -99,6 +99,16 @@ class Market:
     def dim_date(self) -> DataFrame:
         return model.dim_date(self.reviews, self.calendar)
 
+    def use(self, **stages: DataFrame) -> "Market":
+        """Replace stages (``calendar``, ``enriched``, ...) by written or checkpointed copies.
+
+        Later stages are then built from those copies instead of re-running
+        the plan behind them; call it before the later stages are first used.
+        """
+        for name, df in stages.items():
+            self.__dict__[name] = df
+        return self
+
     def serving(self) -> DataFrame:
         """Facts left-joined with host attributes (the dashboard/notebook frame)."""
         h = self.dim_host.select("host_id", "city", "host_is_superhost", "is_commercial_host",

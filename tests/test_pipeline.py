@@ -114,6 +114,18 @@ def test_publish_replaces_only_given_city(spark, tmp_path, fixtures):
     assert log.count() == 3 and log.where("city = 'brisk'").agg(F.min("total_rows")).first()[0] > 0
 
 
+def test_publish_scans_raw_calendar_once(spark, tmp_path, fixtures):
+    out = str(tmp_path / "star")
+    m = build.market_from_files(spark, fixtures, CITIES, config_frame(spark, SETTINGS))
+    build.publish(m, out, CITIES)
+    occ_plan = m.occupancy._jdf.queryExecution().executedPlan().toString()
+    # the published Parquet, pruned to these cities' partitions and to two columns
+    assert "FileScan parquet" in occ_plan and "FileScan csv" not in occ_plan
+    assert "PartitionFilters: [city" in occ_plan and "ReadSchema: struct<listing_id:bigint,available:boolean>" in occ_plan
+    # the dimensions read the checkpointed enriched listings, not the raw files
+    assert "FileScan" not in m.dim_room_type._jdf.queryExecution().executedPlan().toString()
+
+
 def test_listing_rules(market):
     from rentalytics.operators.quality import listing_rule_counts
     got = {(r.city, r.rule): r.violations for r in listing_rule_counts(market.listings).collect()}
