@@ -19,6 +19,12 @@ Here the order statistics are found the way the rank tests find ranks:
 
 Several columns and probabilities share one pass: every (column, p) pair is
 answered by the same distinct-value table.
+
+Size check: once the distinct-value table is checkpointed its row count is
+known (a cheap job over the checkpoint).  When it is at most
+``bounded_rows``, every group's value map is provably that small, and
+Spark's frequency-weighted ``percentile(value, p, count)`` over the table
+finishes in one aggregate; above it the distributed rank path runs.
 """
 
 from __future__ import annotations
@@ -34,8 +40,12 @@ from .ranks import midranks
 QuantileSpec = Mapping[str, tuple]  # out name -> (column name or Column, probability)
 
 
+BOUNDED_ROWS = 1_000_000  # distinct (group, column, value) rows a single task may merge
+
+
 def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
-                    num_slices: int | None = None, materialise: bool = True) -> DataFrame:
+                    num_slices: int | None = None, materialise: bool = True,
+                    bounded_rows: int = BOUNDED_ROWS) -> DataFrame:
     """One row per group (groups with at least one non-null value) with a column per spec.
 
     ``specs`` maps an output name to ``(value, p)``; ``value`` is a column
@@ -43,7 +53,8 @@ def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
     conditional quantile).  Null values are skipped; null group keys form a
     group (SQL semantics) — filter them first for pandas semantics.
     ``materialise`` checkpoints the distinct-value table (eager: one job runs
-    when the plan is built).
+    when the plan is built); ``bounded_rows`` is the size check above
+    (0 forces the distributed path; it needs ``materialise``).
     """
     by = list(by)
     exprs: list[Column] = []
@@ -71,6 +82,8 @@ def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
         # the whole upstream plan for the sample
         from ..session import materialise as _checkpoint
         counts = _checkpoint(counts)
+        if bounded_rows > 0 and counts.count() <= bounded_rows:
+            return _weighted_percentiles(counts, plan, by)
     ranked = midranks(counts, "__v", [*by, "__j"], count_col="__cnt", num_slices=num_slices, with_total=True)
 
     before, cnt, n, v = F.col("before"), F.col("__cnt"), F.col("group_n"), F.col("__v")
@@ -93,6 +106,13 @@ def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
     return g.select(*by, *outs)
 
 
+def _weighted_percentiles(counts: DataFrame, plan, by: Sequence[str]) -> DataFrame:
+    """Size-checked path: frequency-weighted ``percentile`` over a distinct-value table of bounded size."""
+    j, v, cnt = F.col("__j"), F.col("__v"), F.col("__cnt")
+    return counts.groupBy(*by).agg(*[F.percentile(F.when(j == F.lit(i), v), F.lit(p), cnt).alias(out)
+                                     for out, i, p in plan])
+
+
 def merge_group_rows(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """Put two one-row-per-group frames side by side without a join.
 
