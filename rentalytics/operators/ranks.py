@@ -23,15 +23,22 @@ from pyspark.sql import functions as F
 
 
 def midranks(counts: DataFrame, value: str, by: Sequence[str] = (), count_col: str = "cnt",
-             num_slices: int | None = None, with_total: bool = False) -> DataFrame:
+             num_slices: int | None = None, with_total: bool = False, bounded_rows: int = 0) -> DataFrame:
     """Add ``before`` (rows with a smaller value in the stratum) and ``midrank`` to a value-count frame.
 
     ``counts`` has one row per (by..., value) with ``count_col``; any other
     columns (per-class counts, say) are carried along.  ``with_total`` also
     adds ``group_n``, the stratum's total count.  Null stratum keys form a
     stratum of their own (SQL GROUP BY semantics).
+
+    ``bounded_rows > 0`` adds a size check: when ``counts`` has at most that
+    many rows (read with a count; pass a checkpointed frame), a stratum's
+    values are provably few and a plain running-sum window per stratum
+    numbers them; larger tables take the range-sliced path.
     """
     by = list(by)
+    if bounded_rows > 0 and counts.count() <= bounded_rows:
+        return _midranks_bounded(counts, value, by, count_col, with_total)
     spark = counts.sparkSession
     n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sliced = counts.repartitionByRange(n, *[F.col(c) for c in by], F.col(value)) \
@@ -59,6 +66,16 @@ def midranks(counts: DataFrame, value: str, by: Sequence[str] = (), count_col: s
     return out.drop("__slice", "__local", "__off")
 
 
+def _midranks_bounded(counts: DataFrame, value: str, by: list[str], count_col: str, with_total: bool) -> DataFrame:
+    """Size-checked path of ``midranks`` (the caller proved the table small)."""
+    w = Window.partitionBy(*by) if by else Window.partitionBy()
+    run = w.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    out = counts.withColumn("before", F.coalesce(F.sum(count_col).over(run), F.lit(0)))
+    if with_total:
+        out = out.withColumn("group_n", F.sum(count_col).over(w))
+    return out.withColumn("midrank", F.col("before") + (F.col(count_col) + F.lit(1)) / F.lit(2.0))
+
+
 def rank_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Average rank of every row's value within its stratum (rows keep their identity)."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))

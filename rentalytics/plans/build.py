@@ -67,7 +67,6 @@ def publish(market: Market, out_base: str, cities: Sequence[str], run_log: str |
     from pyspark.sql import Observation
 
     from ..session import materialise
-    from . import model
 
     base = out_base.rstrip("/")
     counts: dict[str, int] = {}
@@ -90,7 +89,7 @@ def publish(market: Market, out_base: str, cities: Sequence[str], run_log: str |
     market.use(enriched=enriched)
 
     write("fact_listings", market.fact_listings)
-    write("dim_host", model.dim_host(enriched))   # enriched rows carry every cleaned listing column
+    write("dim_host", market.dim_host)
     write("dim_room_type", market.dim_room_type)
     write("dim_property_type", market.dim_property_type)
     if market.raw_reviews is not None:

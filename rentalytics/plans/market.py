@@ -73,7 +73,9 @@ class Market:
 
     @cached_property
     def dim_host(self) -> DataFrame:
-        return model.dim_host(self.listings)
+        # the enriched rows are the cleaned listings (one per listing, every listing column)
+        # read from their checkpoint, so the raw listings are not cleaned a second time
+        return model.dim_host(self.enriched)
 
     @cached_property
     def fact_reviews(self) -> DataFrame:

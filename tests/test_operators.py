@@ -145,6 +145,16 @@ def test_midranks_many_slices(spark):
     assert r[0.0] == 1.5 and r[99.0] == 199.5
 
 
+def test_midranks_bounded_path_equals_sliced(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"city": rng.choice(["a", "b", None], 500), "v": rng.integers(0, 40, 500).astype(float)})
+    counts = spark.createDataFrame(pdf).groupBy("city", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    def get(bounded):
+        r = midranks(counts, "v", ["city"], num_slices=5, with_total=True, bounded_rows=bounded)
+        return sorted((x.city or "", x.v, x.before, x.midrank, x.group_n) for x in r.collect())
+    assert get(0) == get(10**6)
+
+
 def test_null_profile(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, "x"), (4, "y")], "a int, b string")
     got = {r.column: (r.null_count, r.null_pct) for r in PR.null_profile(df).collect()}
