@@ -926,28 +926,130 @@ def _x11(spark, d):
     return _rounded(H.h2_rating_density(market_for(spark, d).serving()))
 
 
-# p-value reports: tail probabilities are not expressible in the oracle's SQL -> rows-only checks
-@register("x12_h1_room_type_price", None)
+# ------------------------------------------------------------------ X12-X16 reports with p-values
+# The oracle restates the tails with DuckDB built-ins: erf(|x|) as the same positive-term series
+# (terms from lgamma instead of a recurrence), chi-square tails of integer dof as closed sums.
+from rentalytics.operators.stats import ERF_CUTOFF, ERF_TERMS  # noqa: E402
+
+
+def erfc_sql(x: str) -> str:
+    a = f"abs({x})"
+    series = (f"list_sum(list_transform(range(0, {ERF_TERMS + 1}), lambda n: exp((2 * n + 1) * ln(greatest({a}, 1e-300))"
+              f" + n * ln(4.0) + lgamma(n + 1) - lgamma(2 * n + 2))))")
+    erf_abs = (f"(CASE WHEN {a} > {ERF_CUTOFF} THEN 1.0 WHEN {a} = 0 THEN 0.0 "
+               f"ELSE 2.0 / sqrt(pi()) * exp(-{a} * {a}) * {series} END)")
+    return f"(CASE WHEN {x} >= 0 THEN 1.0 - {erf_abs} ELSE 1.0 + {erf_abs} END)"
+
+
+def normal_sf_sql(z: str) -> str:
+    return f"(0.5 * {erfc_sql(f'(({z}) / sqrt(2.0))')})"
+
+
+def chi2_sf_sql(x: str, k: str) -> str:
+    h, half = f"(({x}) / 2.0)", f"CAST(floor(({k}) / 2) AS INTEGER)"
+    even = f"exp(-{h}) * coalesce(list_sum(list_transform(range(0, {half}), lambda i: exp(i * ln({h}) - lgamma(i + 1)))), 0)"
+    odd = (f"{erfc_sql(f'sqrt({h})')} + exp(-{h}) * coalesce(list_sum(list_transform(range(1, {half} + 1), "
+           f"lambda i: exp((i - 0.5) * ln({h}) - lgamma(i + 0.5)))), 0)")
+    return (f"(CASE WHEN ({x}) <= 0 THEN 1.0 ELSE least(1.0, greatest(0.0, "
+            f"CASE WHEN ({k}) % 2 = 0 THEN {even} ELSE {odd} END)) END)")
+
+
+def mwu_sql(two_sided: bool) -> str:
+    """CTEs over ``s(city, v, g1)`` ending in ``mw(city, n1, n2, u1, z, r, p)``."""
+    u_test = "greatest(u1, n1 * n2 - u1)" if two_sided else "u1"
+    p = f"least(1.0, 2 * {normal_sf_sql('z')})" if two_sided else normal_sf_sql("z")
+    return f""",
+r AS (SELECT city, g1, CAST(rank() OVER (PARTITION BY city ORDER BY v) AS DOUBLE)
+                      + (CAST(count(*) OVER (PARTITION BY city, v) AS DOUBLE) - 1) / 2.0 AS mr FROM s),
+t AS (SELECT city, sum(CAST(c AS DOUBLE) * c * c - c) AS tie FROM (SELECT city, v, count(*) AS c FROM s GROUP BY city, v) GROUP BY city),
+a AS (SELECT city, CAST(count_if(g1) AS DOUBLE) AS n1, CAST(count_if(NOT g1) AS DOUBLE) AS n2,
+             sum(CASE WHEN g1 THEN mr ELSE 0 END) AS r1 FROM r GROUP BY city),
+u AS (SELECT a.city, n1, n2, r1 - n1 * (n1 + 1) / 2 AS u1, tie FROM a JOIN t USING (city)),
+uz AS (SELECT *, ({u_test} - n1 * n2 / 2 - 0.5) / sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1)))) AS z FROM u),
+mw AS (SELECT city, n1, n2, u1, z, 1.0 - 2 * u1 / (n1 * n2) AS r, {p} AS p FROM uz)"""
+
+
+def label_sql(v: str, cuts, labels) -> str:
+    return "CASE " + " ".join(f"WHEN abs({v}) < {c} THEN '{lab}'" for c, lab in zip(cuts, labels)) + f" ELSE '{labels[-1]}' END"
+
+
+def mw_columns(effect_cuts=(0.3, 0.5), effect_labels=("Small", "Medium", "Large")) -> str:
+    return (f"mw.city, CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, {re('u1', 6)} AS u, {re('z', 6)} AS z, "
+            f"{re('r', 6)} AS rank_biserial, {re('p', 6)} AS p_value, {label_sql('r', effect_cuts, effect_labels)} AS effect, "
+            f"p < 0.05 AS reject_h0")
+
+
+@register("x12_h1_room_type_price", q(f"""
+, s AS (SELECT city, price AS v, room_type = 'LARGE' AS g1 FROM serving
+        WHERE price IS NOT NULL AND room_type IN ('LARGE', 'ECONOMY')){mwu_sql(False)},
+med AS (SELECT city, quantile_cont(price, 0.5) FILTER (WHERE room_type = 'LARGE') AS m1,
+               quantile_cont(price, 0.5) FILTER (WHERE room_type = 'ECONOMY') AS m2
+        FROM serving WHERE price IS NOT NULL GROUP BY city)
+SELECT {mw_columns()}, {re('m1', 6)} AS median_first, {re('m2', 6)} AS median_second
+FROM mw JOIN med USING (city)
+"""))
 def _x12(spark, d):
     return _rounded(H.h1_room_type_price(market_for(spark, d).serving(), "LARGE", "ECONOMY"))
 
 
-@register("x13_h2_superhost_rating", None)
+@register("x13_h2_superhost_rating", q(f"""
+, s AS (SELECT city, review_scores_rating AS v, host_is_superhost AS g1 FROM serving
+        WHERE review_scores_rating IS NOT NULL AND host_is_superhost IS NOT NULL){mwu_sql(False)},
+d AS (SELECT city, avg(review_scores_rating) FILTER (WHERE host_is_superhost) AS mean1,
+             avg(review_scores_rating) FILTER (WHERE NOT host_is_superhost) AS mean2,
+             stddev_samp(review_scores_rating) FILTER (WHERE host_is_superhost) AS sd1,
+             stddev_samp(review_scores_rating) FILTER (WHERE NOT host_is_superhost) AS sd2
+      FROM serving WHERE review_scores_rating IS NOT NULL GROUP BY city),
+dd AS (SELECT *, (mean1 - mean2) / sqrt((sd1 * sd1 + sd2 * sd2) / 2) AS cd FROM d)
+SELECT {mw_columns()}, {re('mean1', 6)} AS mean1, {re('mean2', 6)} AS mean2, {re('sd1', 6)} AS sd1,
+       {re('sd2', 6)} AS sd2, {re('cd', 6)} AS cohens_d, {label_sql('cd', (0.5, 0.8), ('Small', 'Medium', 'Large'))} AS practical
+FROM mw JOIN dd USING (city)
+"""))
 def _x13(spark, d):
     return _rounded(H.h2_superhost_rating(market_for(spark, d).serving()))
 
 
-@register("x14_h3_reviews_price", None)
+@register("x14_h3_reviews_price", q(f"""
+, s AS (SELECT city, price AS v, number_of_reviews > 15 AS g1 FROM serving
+        WHERE price IS NOT NULL AND number_of_reviews IS NOT NULL){mwu_sql(True)}
+SELECT {mw_columns()} FROM mw
+"""))
 def _x14(spark, d):
     return _rounded(H.h3_reviews_price(market_for(spark, d).serving(), threshold=15))
 
 
-@register("x15_h4_neighbourhood_prices", None)
+@register("x15_h4_neighbourhood_prices", q(f"""
+, cnt AS (SELECT city, neighbourhood_cleansed, count(*) AS n FROM serving WHERE neighbourhood_cleansed IS NOT NULL
+          GROUP BY city, neighbourhood_cleansed),
+top AS (SELECT city, neighbourhood_cleansed FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY n DESC,
+        neighbourhood_cleansed) AS r FROM cnt) WHERE r <= 15),
+s AS (SELECT s.city, s.neighbourhood_cleansed AS grp, s.price AS v FROM serving s
+      SEMI JOIN top t ON s.city = t.city AND s.neighbourhood_cleansed = t.neighbourhood_cleansed WHERE s.price IS NOT NULL),
+r AS (SELECT city, grp, CAST(rank() OVER (PARTITION BY city ORDER BY v) AS DOUBLE)
+                        + (CAST(count(*) OVER (PARTITION BY city, v) AS DOUBLE) - 1) / 2.0 AS mr FROM s),
+t AS (SELECT city, sum(CAST(c AS DOUBLE) * c * c - c) AS tie FROM (SELECT city, v, count(*) AS c FROM s GROUP BY city, v) GROUP BY city),
+g AS (SELECT city, grp, count(*) AS ng, sum(mr) AS rg FROM r GROUP BY city, grp),
+a AS (SELECT city, count(*) AS k, CAST(sum(ng) AS DOUBLE) AS n, sum(rg * rg / ng) AS ss FROM g GROUP BY city),
+hh AS (SELECT a.city, k, n, (12.0 / (n * (n + 1)) * ss - 3 * (n + 1)) / (1.0 - tie / (n * n * n - n)) AS h
+       FROM a JOIN t USING (city)),
+he AS (SELECT *, (h - k + 1) / (n - k) AS eta, {chi2_sf_sql('h', 'k - 1')} AS p FROM hh),
+med AS (SELECT city, quantile_cont(price, 0.5) AS m FROM serving WHERE price IS NOT NULL GROUP BY city)
+SELECT city, k, CAST(n AS BIGINT) AS n, {re('h', 6)} AS h, {re('eta', 6)} AS eta_squared, {re('p', 6)} AS p_value,
+       CASE WHEN eta > 0.14 THEN 'Large' WHEN eta > 0.06 THEN 'Medium' ELSE 'Small' END AS effect,
+       {re('m', 6)} AS city_median_price
+FROM he LEFT JOIN med USING (city)
+"""))
 def _x15(spark, d):
     return _rounded(H.h4_neighbourhood_prices(market_for(spark, d).serving()))
 
 
-@register("x16_h5_weekend_availability", None)
+@register("x16_h5_weekend_availability", q(f"""
+, s AS (SELECT city, CAST(available AS INTEGER) AS v, is_weekend AS g1 FROM calendar
+        WHERE available IS NOT NULL AND is_weekend IS NOT NULL){mwu_sql(True)},
+rates AS (SELECT city, avg(v) FILTER (WHERE g1) * 100 AS wr, avg(v) FILTER (WHERE NOT g1) * 100 AS dr FROM s GROUP BY city)
+SELECT {mw_columns((0.1, 0.3), ('Negligible', 'Small', 'Medium'))}, {re('wr', 6)} AS weekend_rate, {re('dr', 6)} AS weekday_rate
+FROM mw JOIN rates USING (city)
+"""))
 def _x16(spark, d):
     return _rounded(H.h5_weekend_availability(market_for(spark, d).fact_calendar))
 

@@ -123,3 +123,12 @@ def test_kde_matches_formula(spark):
     xs = np.linspace(vals.min(), vals.max(), 11)
     exp = [np.mean(np.exp(-0.5 * ((x - vals) / h) ** 2) / (h * math.sqrt(2 * math.pi))) for x in xs]
     assert np.allclose(out["density"].values, exp) and np.allclose(out["x"].values, xs)
+
+
+def test_tail_expressions_match_reference(spark):
+    zs = [-10.0, -3.2, -1.0, 0.0, 0.3, 1.96, 4.0, 6.0, 7.9, 8.1, 40.0]
+    got = spark.createDataFrame([(z,) for z in zs], "z double").select(S.normal_sf_expr(F.col("z")).alias("p")).collect()
+    assert max(abs(r.p - S.normal_sf(z)) for r, z in zip(got, zs)) < 1e-14
+    rows = [(x, k) for x in [0.0, 0.5, 3.0, 14.0, 60.0, 300.0] for k in range(1, 20)]
+    got = spark.createDataFrame(rows, "x double, k int").select(S.chi2_sf_expr(F.col("x"), F.col("k")).alias("p")).collect()
+    assert max(abs(r.p - S.chi2_sf(x, k)) for r, (x, k) in zip(got, rows)) < 1e-13
