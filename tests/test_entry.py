@@ -44,7 +44,8 @@ def test_oracle_agrees(spark, duck, name):
 
 
 def test_no_python_udf_in_market_plans(spark):
-    for name in ["m09_neighbourhood_stats", "b11_fact_listings", "m26_room_mix_top_neighbourhoods"]:
+    for name in ["m09_neighbourhood_stats", "b11_fact_listings", "m26_room_mix_top_neighbourhoods",
+                 "x12_h1_room_type_price", "x15_h4_neighbourhood_prices", "x16_h5_weekend_availability"]:
         plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
