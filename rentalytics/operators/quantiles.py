@@ -41,11 +41,18 @@ QuantileSpec = Mapping[str, tuple]  # out name -> (column name or Column, probab
 
 
 BOUNDED_ROWS = 1_000_000  # distinct (group, column, value) rows a single task may merge
+BOUNDED_ROWS_CONF = "spark.rentalytics.boundedRows"
+
+
+def bounded_rows_of(spark) -> int:
+    """The size-check limit: session setting ``spark.rentalytics.boundedRows`` or ``BOUNDED_ROWS``
+    (0 sends every quantile and rank table down the distributed path)."""
+    return int(spark.conf.get(BOUNDED_ROWS_CONF, str(BOUNDED_ROWS)))
 
 
 def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
                     num_slices: int | None = None, materialise: bool = True,
-                    bounded_rows: int = BOUNDED_ROWS) -> DataFrame:
+                    bounded_rows: int | None = None) -> DataFrame:
     """One row per group (groups with at least one non-null value) with a column per spec.
 
     ``specs`` maps an output name to ``(value, p)``; ``value`` is a column
@@ -54,7 +61,8 @@ def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
     group (SQL semantics) — filter them first for pandas semantics.
     ``materialise`` checkpoints the distinct-value table (eager: one job runs
     when the plan is built); ``bounded_rows`` is the size check above
-    (0 forces the distributed path; it needs ``materialise``).
+    (default: ``bounded_rows_of(session)``; 0 forces the distributed path; it needs
+    ``materialise``).
     """
     by = list(by)
     exprs: list[Column] = []
@@ -82,7 +90,8 @@ def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
         # the whole upstream plan for the sample
         from ..session import materialise as _checkpoint
         counts = _checkpoint(counts)
-        if bounded_rows > 0 and counts.count() <= bounded_rows:
+        limit = bounded_rows_of(df.sparkSession) if bounded_rows is None else bounded_rows
+        if limit > 0 and counts.count() <= limit:
             return _weighted_percentiles(counts, plan, by)
     ranked = midranks(counts, "__v", [*by, "__j"], count_col="__cnt", num_slices=num_slices, with_total=True)
 
