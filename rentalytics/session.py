@@ -21,6 +21,34 @@ BASE_CONF = {
 }
 
 
+def scaled_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of Parquet on ``total_cores`` cores.
+
+    Scan splits and post-shuffle partitions aim at ``target_partition_bytes``
+    (256 MB: a task's working set stays well inside an executor core's memory
+    share and spills gracefully); the initial shuffle partition count covers
+    the input at that size, rounded up to whole waves of the cluster's cores,
+    and AQE coalesces or splits from there (skewed partitions above 4x the
+    median and 1 GB are split).
+    """
+    waves = -(-max(1, input_bytes // target_partition_bytes) // max(1, total_cores))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(max(total_cores, waves * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL settings, except those the platform set at launch (those win)."""
+    launched = dict(spark.sparkContext.getConf().getAll())
+    for k, v in conf.items():
+        if k not in launched:
+            spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "rentalytics") -> SparkSession:
     """Local session for tests and benches (the cluster provides its own)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

@@ -145,3 +145,11 @@ def test_round_even_passes_non_finite(spark):
     df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (1e300,), (2.5,)], "v double")
     got = [r.r for r in df.select(RF.round_even("v", 0).alias("r")).collect()]
     assert got[:3] == [float("inf"), float("-inf"), 1e300] and got[3] == 2.0
+
+
+def test_scaled_conf_sizes_partitions():
+    from rentalytics.session import scaled_conf
+    c = scaled_conf(100 * 2**40, 8000)                  # 100 TB on 1000 executors x 8 cores
+    n = int(c["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and 100 * 2**40 / n <= 256 * 2**20
+    assert scaled_conf(10**6, 8)["spark.sql.shuffle.partitions"] == "8"
