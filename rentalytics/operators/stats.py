@@ -381,13 +381,14 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ("city",))
 
 
 # --------------------------------------------------------------------------- density
+KDE_REACH = 8.0  # fixed value: kernel terms beyond 8 bandwidths are dropped (< exp(-32) of the peak)
 def gaussian_kde(df: DataFrame, value: str, grid_points: int = 200, by: Sequence[str] = (),
                  lo: float | None = None, hi: float | None = None) -> DataFrame:
     """X11: Gaussian KDE (Scott bandwidth n^(-1/5) * sd) evaluated on an even grid.
 
     The sample is collapsed to distinct values with counts; each distinct
-    value is exploded over the grid (a generator, not a join) and the
-    contributions are summed per grid point.  The grid spans [lo, hi] or
+    value is exploded over the grid points within 8 bandwidths of it (a
+    generator, not a join) and the contributions are summed per grid point.  The grid spans [lo, hi] or
     the data range per stratum.
     """
     by = list(by)
@@ -400,13 +401,35 @@ def gaussian_kde(df: DataFrame, value: str, grid_points: int = 200, by: Sequence
     st = st.withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
     st = st.withColumn("__lo", F.lit(lo) if lo is not None else F.col("__min")) \
            .withColumn("__hi", F.lit(hi) if hi is not None else F.col("__max"))
+    st = st.where(F.col("__h") > 0)  # a stratum without spread has no Gaussian bandwidth
     counts = base.groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     j = counts.join(F.broadcast(st), by)  # one row per stratum
-    j = j.withColumn("grid", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
+    # each distinct value meets only the grid points within KDE_REACH bandwidths (beyond, a
+    # kernel term is below exp(-32) of its peak): the index range comes from arithmetic, so a
+    # narrow bandwidth on a wide range touches a few points instead of all of them
+    g = grid_points - 1
+    step = (F.col("__hi") - F.col("__lo")) / F.lit(float(g))
+    reach = F.lit(KDE_REACH) * F.col("__h")
+
+    def idx(offset, rnd):
+        pos = (F.col("__v") + offset - F.col("__lo")) / step
+        return rnd(F.least(F.lit(float(g + 1)), F.greatest(F.lit(-1.0), pos))).cast("int")
+
+    first, last = F.greatest(F.lit(0), idx(-reach, F.ceil)), F.least(F.lit(g), idx(reach, F.floor))
+    near = (F.when(step <= 0, F.sequence(F.lit(0), F.lit(g)))
+             .when(first <= last, F.sequence(first, last))
+             .otherwise(F.array().cast("array<int>")))
+    j = j.withColumn("grid", F.explode(near))
     x = F.col("__lo") + F.col("grid") * (F.col("__hi") - F.col("__lo")) / F.lit(grid_points - 1)
     z = (x - F.col("__v")) / F.col("__h")
     contrib = F.col("__c") * F.exp(-0.5 * z * z) / (F.col("__h") * F.lit(math.sqrt(2 * math.pi)))
-    out = j.groupBy(*by, "grid", "__lo", "__hi", "__n").agg(F.sum(contrib).alias("__s"))
+    keys = [*by, "grid", "__lo", "__hi", "__n"]
+    # every grid point of every stratum is reported, also where no value reaches it (density 0):
+    # a zero row per (stratum, grid point), strata x grid rows
+    zeros = st.select(*by, F.explode(F.sequence(F.lit(0), F.lit(g))).alias("grid"), "__lo", "__hi", "__n",
+                      F.lit(0.0).alias("__contrib"))
+    terms = j.select(*keys, contrib.alias("__contrib")).unionByName(zeros)
+    out = terms.groupBy(*keys).agg(F.sum("__contrib").alias("__s"))
     res = out.select(*by, "grid", (F.col("__lo") + F.col("grid") * (F.col("__hi") - F.col("__lo")) / F.lit(grid_points - 1)).alias("x"),
                      (F.col("__s") / F.col("__n")).alias("density"))
     return res.drop("__all")

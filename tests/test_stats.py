@@ -132,3 +132,14 @@ def test_tail_expressions_match_reference(spark):
     rows = [(x, k) for x in [0.0, 0.5, 3.0, 14.0, 60.0, 300.0] for k in range(1, 20)]
     got = spark.createDataFrame(rows, "x double, k int").select(S.chi2_sf_expr(F.col("x"), F.col("k")).alias("p")).collect()
     assert max(abs(r.p - S.chi2_sf(x, k)) for r, (x, k) in zip(got, rows)) < 1e-13
+
+
+def test_kde_narrow_bandwidth_keeps_every_grid_point(spark):
+    # a tight cluster plus two far outliers: h ~ 2.2 against a grid step of ~10, so each value
+    # reaches a few grid points and most points are reached by none
+    vals = np.concatenate([np.random.default_rng(2).normal(size=10000), [-1000.0, 1000.0]])
+    out = S.gaussian_kde(spark.createDataFrame([(float(v),) for v in vals], "v double"), "v", 200).orderBy("grid").toPandas()
+    h = vals.std(ddof=1) * len(vals) ** (-0.2)
+    xs = np.linspace(vals.min(), vals.max(), 200)
+    exp = [np.mean(np.exp(-0.5 * ((x - vals) / h) ** 2) / (h * math.sqrt(2 * math.pi))) for x in xs]
+    assert len(out) == 200 and np.allclose(out["density"].values, exp, rtol=1e-9, atol=1e-15)
