@@ -148,6 +148,20 @@ def test_queries_on_published_tables_equal_lazy_plans(spark, tmp_path, fixtures)
     assert "PartitionFilters: [isnotnull(city" in plan and "aldmere" in plan   # only aldmere's folder is read
 
 
+def test_published_read_tolerates_added_column(spark, tmp_path):
+    """A city partition written before a column existed reads back with that column null."""
+    from rentalytics.plans.market import Published
+    from rentalytics.schema import DIM_ROOM_TYPE
+    out = str(tmp_path / "star")
+    new = spark.createDataFrame([(1, "a", "Entire home", 3, 10.0, 50.0)], DIM_ROOM_TYPE)
+    new.write.partitionBy("city").parquet(out + "/dim_room_type")
+    old = new.drop("avg_occupancy").withColumn("city", F.lit("b"))   # the older layout
+    old.write.mode("append").partitionBy("city").parquet(out + "/dim_room_type")
+    got = {r.city: r for r in Published(spark, out).dim_room_type.collect()}
+    assert got["a"].avg_occupancy == 50.0 and got["b"].avg_occupancy is None and got["b"].avg_price == 10.0
+    assert Published(spark, out).dim_room_type.columns == DIM_ROOM_TYPE.names
+
+
 def test_listing_rules(market):
     from rentalytics.operators.quality import listing_rule_counts
     got = {(r.city, r.rule): r.violations for r in listing_rule_counts(market.listings).collect()}
