@@ -66,7 +66,7 @@ def publish(market: Market, out_base: str, cities: Sequence[str], run_log: str |
     """
     from pyspark.sql import Observation
 
-    from ..session import materialise
+    from ..session import materialise_table
 
     base = out_base.rstrip("/")
     counts: dict[str, int] = {}
@@ -85,7 +85,7 @@ def publish(market: Market, out_base: str, cities: Sequence[str], run_log: str |
     write("fact_calendar", market.fact_calendar)
     published = market.spark.read.parquet(f"{base}/fact_calendar").where(F.col("city").isin(list(cities)))
     market.use(calendar=published)
-    enriched = materialise(market.enriched)
+    enriched = materialise_table(market.enriched, "enriched")
     market.use(enriched=enriched)
 
     write("fact_listings", market.fact_listings)

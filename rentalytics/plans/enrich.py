@@ -53,14 +53,15 @@ def enrich_listings(listings: DataFrame, occupancy: DataFrame,
 
     ``listings`` is the output of ``clean_listings`` (has ``scrape_date``).
     With ``checkpoint`` the listings joined with their occupancy are written
-    once to the shared checkpoint folder: the area medians, the city tier
-    quantiles and the final projection all read them, so the calendar
-    aggregate behind the occupancy runs once instead of once per branch.
+    once as Parquet to the shared checkpoint folder: the area medians, the
+    city tier quantiles and the final projection all read them (pruned to
+    their columns), so the calendar aggregate behind the occupancy runs once
+    instead of once per branch.
     """
     df = join_occupancy(listings, occupancy)
     if checkpoint:
-        from ..session import materialise
-        df = materialise(df)
+        from ..session import materialise_table
+        df = materialise_table(df, "listings_occupancy")
     df = attach(df, neighbourhood_benchmarks(df), ["city", "neighbourhood_cleansed"])
     df = df.withColumn("price_vs_neighbourhood",
                        round_even(pct_deviation("price", "neighbourhood_median_price"), 2))

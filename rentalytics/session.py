@@ -94,3 +94,14 @@ def materialise(df):
     once and a lost executor does not re-run it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialise_table(df, name: str = "table"):
+    """Cut the lineage of a *wide* intermediate that many plans read by writing it as Parquet in the
+    shared checkpoint folder and reading it back.  Unlike ``checkpoint()`` (read back as whole rows),
+    later reads prune to the columns they use and push their filters into the scan."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

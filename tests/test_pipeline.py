@@ -122,8 +122,10 @@ def test_publish_scans_raw_calendar_once(spark, tmp_path, fixtures):
     # the published Parquet, pruned to these cities' partitions and to two columns
     assert "FileScan parquet" in occ_plan and "FileScan csv" not in occ_plan
     assert "PartitionFilters: [city" in occ_plan and "ReadSchema: struct<listing_id:bigint,available:boolean>" in occ_plan
-    # the dimensions read the checkpointed enriched listings, not the raw files
-    assert "FileScan" not in m.dim_room_type._jdf.queryExecution().executedPlan().toString()
+    # the dimensions read the materialised enriched listings (pruned Parquet), not the raw files
+    dim_plan = m.dim_room_type._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in dim_plan and "/tables/enri" in dim_plan
+    assert "ReadSchema: struct<city:string,id:bigint,room_type:string,price:double,occupancy_rate:double>" in dim_plan
 
 
 def test_queries_on_published_tables_equal_lazy_plans(spark, tmp_path, fixtures):
