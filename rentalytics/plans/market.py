@@ -113,8 +113,8 @@ class Market:
 
     def serving(self) -> DataFrame:
         """Facts left-joined with host attributes (the dashboard/notebook frame)."""
-        h = self.dim_host.select("host_id", "city", "host_is_superhost", "is_commercial_host",
-                                 "host_response_rate", "host_acceptance_rate")
+        h = model.dim_host(self.enriched, ["host_is_superhost", "is_commercial_host",
+                                           "host_response_rate", "host_acceptance_rate"])
         return self.fact_listings.join(h, ["host_id", "city"], "left")
 
     def tables(self) -> dict[str, DataFrame]:

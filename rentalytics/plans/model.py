@@ -27,14 +27,19 @@ def keep_first(df: DataFrame, keys: list[str], order_col: str, cols: list[str])
     return out.select(*keys, *[F.col(f"__f.{c}").alias(c) for c in cols])
 
 
-def dim_host(listings: DataFrame) -> DataFrame:
-    """One row per (host_id, city); attributes of the host's lowest listing id."""
+def dim_host(listings: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One row per (host_id, city); attributes of the host's lowest listing id.
+
+    ``columns`` restricts the attributes (and the keep-first struct) to those
+    a caller joins: Catalyst cannot prune fields inside ``min(struct(...))``,
+    so a narrow request reads only its columns.
+    """
     df = listings
     if "is_commercial_host" not in df.columns and "calculated_host_listings_count" in df.columns:
         df = df.withColumn("is_commercial_host", greater_than_flag("calculated_host_listings_count", 1))
-    cols = [c for c in HOST_COLUMNS if c in df.columns]
+    cols = [c for c in (columns or HOST_COLUMNS) if c in df.columns]
     out = keep_first(df.where(F.col("host_id").isNotNull()), ["host_id", "city"], "id", cols)
-    return conform(out, DIM_HOST)
+    return out if columns else conform(out, DIM_HOST)
 
 
 def dim_neighbourhood(listings: DataFrame, neighbourhoods: DataFrame, normalise_listing_names: bool = True) -> DataFrame:
