@@ -153,3 +153,17 @@ def test_scaled_conf_sizes_partitions():
     n = int(c["spark.sql.shuffle.partitions"])
     assert n % 8000 == 0 and 100 * 2**40 / n <= 256 * 2**20
     assert scaled_conf(10**6, 8)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_apply_conf_keeps_launch_settings(spark):
+    from rentalytics.session import apply_conf
+    launched = dict(spark.sparkContext.getConf().getAll())
+    key = "spark.sql.adaptive.skewJoin.skewedPartitionFactor"
+    before = spark.conf.get(key)
+    try:
+        apply_conf(spark, {key: "7", "spark.sql.shuffle.partitions": "123"})
+        assert spark.conf.get(key) == ("7" if key not in launched else before)
+        # shuffle partitions were set when the test session was launched: left alone
+        assert spark.conf.get("spark.sql.shuffle.partitions") == launched["spark.sql.shuffle.partitions"]
+    finally:
+        spark.conf.set(key, before)
