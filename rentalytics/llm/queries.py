@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from rentalytics.llm import packing, tokens
+from rentalytics.llm import decontam, packing, rules, tokens
 from rentalytics.llm.common import table
 
 QUERIES = {}
@@ -40,3 +40,42 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc(packing.pack(table(spark, sf_dir, "documents")))
+
+
+@register
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("h")
+
+
+ORACLE_SQL["op7_decontamination"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i : i + 12], ' ') AS win, least(len(w), 13) AS size
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT rid, doc_id, i AS start, size, array_to_string(w[i : i + size - 1], ' ') AS win
+  FROM (SELECT rid, doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM words, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)),
+hits AS (SELECT rid, start, p.size, item_id FROM places p JOIN windows USING (win)),
+covered AS (SELECT rid, count(DISTINCT pos) AS n_hit
+            FROM (SELECT rid, unnest(range(start, start + size)) AS pos FROM hits) GROUP BY rid),
+named AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id COLLATE C)) AS items_sha256
+          FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
+"""
+
+
+@register
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("failed_rules")
