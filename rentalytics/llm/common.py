@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentalytics.session import materialise_table, scratch_path
+from rentalytics.session import apply_conf, materialise_table, scratch_path
 
 #: Text bytes that a Python task turns into words at a time: bounds its memory whatever the batch size.
 SLICE_BYTES = 4 << 20
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Hand texts to Python in Arrow batches of few bytes, unless the session was launched with sizes of its own."""
+    apply_conf(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES)})
+    return spark
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate to the shared checkpoint folder and read it back: the lineage ends there,
     so a lost executor repeats no more than the job that reads it."""

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from rentalytics.llm import decontam, packing, rules, tokens
+from rentalytics.llm import decontam, ordermin, packing, rules, tokens
 from rentalytics.llm.common import table
 
 QUERIES = {}
@@ -79,3 +79,8 @@ FROM words LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
 @register
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("failed_rules")
+
+
+@register
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermin.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
