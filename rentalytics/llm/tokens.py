@@ -17,53 +17,99 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from unicodedata import normalize
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentalytics.llm.common import partitions, ranges, shared_folder, slices, split_words, text_array
+from rentalytics.llm.common import (partitions, ranges, shared_folder, slices, small_batches, split_words,
+                                     text_array)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 NULL_ID = np.iinfo(np.int64).min
-#: Words whose ids a task remembers; longer words are encoded each time.
-CACHE_WORDS, CACHE_CHARS = 300_000, 64
+#: Words whose ids a task remembers, and their length; longer words are encoded each time.
+CACHE_WORDS, CACHE_CHARS = 350_000, 64
+#: New words encoded at a time.
+LOT = 2000
+#: A letter before ASCII punctuation that no special token and no contraction has: pieces of this vocabulary end there.
+BREAK = r"(\pL)([!-&(-/:;=?-@\[-`{}~])"
 
 
 class Encoder:
-    """Encodes batches of texts with a tokenizer whose pieces never span white space: each distinct word once."""
+    """Encodes batches of texts with a tokenizer whose pieces span neither white space nor the end of a run of
+    letters, and which lowers case: each distinct word once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.start, self.size = np.empty(1 << 16, np.uint32), np.empty(1 << 15, np.int64), np.empty(1 << 15, np.int64)
+        self.words = self.ids = 0
 
     @property
     def id_type(self) -> np.dtype:
         return np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
+    def add(self, ids: np.ndarray, size: np.ndarray) -> None:
+        """Append the ids of new words to the tables, which double as they fill."""
+        def grown(a: np.ndarray, n: int) -> np.ndarray:
+            return a if n <= len(a) else np.concatenate([a, np.empty(max(n - len(a), len(a)), a.dtype)])
+        w, n = self.words, self.ids
+        self.flat, self.start, self.size = grown(self.flat, n + len(ids)), grown(self.start, w + len(size)), grown(self.size, w + len(size))
+        self.flat[n:n + len(ids)] = ids
+        self.size[w:w + len(size)] = size
+        self.start[w:w + len(size)] = n + np.cumsum(size) - size
+        self.words, self.ids = w + len(size), n + len(ids)
+
+    def learn(self, words: list[str]) -> None:
+        """Encode new words.  A word of a-z is one piece, spelled alike in bytes, so the model takes it as it is; of
+        other words of letters many go into one text, as each is one piece there; the rest are texts of their own."""
+        plain, letters, others = [], [], []
+        for w in words:
+            if w.isascii():
+                (plain if w.isalpha() and w.islower() else others).append(w)
+            else:
+                (letters if w.isalpha() and normalize("NFC", w).lower().isalpha() else others).append(w)
+        spell = self.tokenizer.model.tokenize
+        self.note(plain, [[t.id for t in spell(w)] for w in plain])
+        for lo in range(0, len(letters), LOT):
+            lot = letters[lo:lo + LOT]
+            got = self.tokenizer.encode(" ".join(lot), add_special_tokens=False)
+            self.known.update(zip(lot, range(self.words, self.words + len(lot))))
+            self.add(np.array(got.ids, np.uint32), np.bincount(np.array(got.word_ids, np.int64), minlength=len(lot)))
+        self.note(others, [e.ids for e in self.tokenizer.encode_batch(others, add_special_tokens=False)] if others else [])
+
+    def note(self, words: list[str], ids: list[list[int]]) -> None:
+        self.known.update(zip(words, range(self.words, self.words + len(words))))
+        self.add(np.array([i for each in ids for i in each], np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
+
     def encode(self, texts: pa.Array, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
+        texts = pc.replace_substring_regex(texts, BREAK, r"\1 \2")
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens are told by case
+            texts = pc.ascii_lower(texts)
         words, codes, offsets = split_words(texts)
-        new = [w for w in words if w not in self.known]
-        got = self.tokenizer.encode_batch(new, add_special_tokens=False) if new else []
-        fresh = {w: np.array(e.ids, dtype=np.uint32) for w, e in zip(new, got)}
-        each = [fresh[w] if w in fresh else self.known[w] for w in words]
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHE_CHARS)
-        size = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
-        flat = np.concatenate([*each, np.empty(0, np.uint32)])
-        word_size = size[codes]
-        ids = flat[ranges((np.cumsum(size) - size)[codes], word_size)]
-        before = np.r_[0, np.cumsum(word_size)][offsets]
-        counts = np.diff(before)
+            self.forget()
+        self.learn([w for w in words if w not in self.known])
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        for w in words:
+            if len(w) > CACHE_CHARS:
+                del self.known[w]
+        size = self.size[at][codes]
+        ids = self.flat[ranges(self.start[at][codes], size)]
+        counts = np.diff(np.r_[0, np.cumsum(size)][offsets])
         if end_id is None:
             return ids, counts
         out = np.full(len(ids) + len(counts), end_id, dtype=np.uint32)
@@ -108,7 +154,7 @@ def part_file(folder: str, part: int, kind: str) -> str:
 def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str = TOKENIZER,
                       end_id: int = END_ID) -> DataFrame:
     """Write the files; return the manifest, one row a file: part, n_docs, n_tokens, base (ids of all parts before)."""
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     folder = folder or shared_folder(spark, "tokens")
     ranged = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
               .repartitionByRange(partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
