@@ -267,9 +267,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("k")).select("class_node", "k.doc_id", "k.node")
     twice = found.groupBy("node", "doc_id").agg(F.count("*").alias("n"))
     stay = best.alias("b").join(twice.alias("t"), F.expr("b.node = t.node and b.doc_id <=> t.doc_id")).select(
-        F.col("b.node").alias("keep_node"), F.col("b.doc_id").alias("keep_id"), "n")
+        F.col("b.node").alias("__keep_node"), F.col("b.doc_id").alias("__keep_id"), F.col("n").alias("__n"))
     joined = docs.withColumn("__node", node_of(F.col("text"))).join(
-        stay, F.expr("__node = keep_node and cast(doc_id as bigint) <=> keep_id"))
-    alone = joined.where("n = 1").select(docs.columns)
-    equal = joined.where("n > 1").dropDuplicates(["doc_id", "__node"]).select(docs.columns)
+        stay, (F.col("__node") == F.col("__keep_node")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__keep_id")))
+    alone = joined.where("__n = 1").select(docs.columns)
+    equal = joined.where("__n > 1").dropDuplicates(["doc_id", "__node"]).select(docs.columns)
     return alone.unionByName(equal)

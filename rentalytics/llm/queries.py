@@ -8,8 +8,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rentalytics.llm import decontam, ordermin, packing, rules, tokens
+from rentalytics.llm import decontam, ordermin, packing, pii, quality, rules, tokens
 from rentalytics.llm.common import table
 
 QUERIES = {}
@@ -84,3 +85,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordermin.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+@register
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, ["doc_id"])
+
+
+@register
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
