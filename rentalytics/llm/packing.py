@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentalytics.llm.common import keep, slices, text_array
+from rentalytics.llm.common import keep, slices, small_batches, text_array
 from rentalytics.llm.tokens import END_ID, TOKENIZER, encoder
 
 CAPACITY = 2048
@@ -178,6 +178,7 @@ def tokenized(docs: DataFrame, capacity: int, tokenizer: str, end_id: int) -> Da
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
     """A row for each piece: doc_id, start (its document's ids before it), length, doc_tokens, sequence_id, offset
     (ids before it in the sequence) and ids (little-endian unsigned 32-bit)."""
+    small_batches(docs.sparkSession)
     encoded = keep(tokenized(docs, capacity, tokenizer, end_id), "packing-ids")
     lots = keep(encoded.groupBy("part", "rest").agg(F.count("*").alias("n"), F.sum("whole").alias("whole")), "packing-lots")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
