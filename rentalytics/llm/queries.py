@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentalytics.llm import decontam, ordermin, packing, pii, quality, rules, tokens
+from rentalytics.llm import (decontam, langid, ordermin, packing, pii, quality, render, rules, tokens,
+                             urls)
 from rentalytics.llm.common import table
 
 QUERIES = {}
@@ -99,3 +100,19 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.fit(docs))
     return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
+@register
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render.extract(table(spark, sf_dir, "pages"))
+
+
+@register
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@register
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.label(docs, langid.fit(docs))
