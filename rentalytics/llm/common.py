@@ -70,8 +70,13 @@ def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     text's words begin (one entry more than texts)."""
     lists = pc.ascii_split_whitespace(texts)
     offsets = np.asarray(lists.offsets, dtype=np.int64)
-    words = lists.flatten().dictionary_encode()
-    return words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0]
+    coded = lists.flatten().dictionary_encode()
+    words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    offsets = offsets - offsets[0]
+    if "" in words:  # of white space at either end of a text
+        real = codes != words.index("")
+        codes, offsets = codes[real], np.r_[0, np.cumsum(real)][offsets]
+    return words, codes, offsets
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -49,13 +49,7 @@ _SCRIPT = np.array([SCRIPT_NAMES.index(n) for _, n in SCRIPTS])
 
 
 def letter_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    return split_words(pc.utf8_lower(pc.replace_substring_regex(texts, r"\PL+", " ")), )
-
-
-def filled(words: list[str], codes: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Without the empty words that leading and trailing space leave."""
-    real = np.array([bool(w) for w in words], dtype=bool)[codes] if len(words) else np.zeros(0, bool)
-    return words, codes[real], np.r_[0, np.cumsum(real)][offsets]
+    return split_words(pc.utf8_lower(pc.replace_substring_regex(texts, r"\PL+", " ")))
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +88,7 @@ class Languages:
         if not words:
             return np.zeros((0, len(self.names)), np.float32)
         word, key = grams(words)
-        out = np.stack([np.bincount(word, self.table[key, k], len(words)) for k in range(len(self.names))], axis=1)
+        out = np.stack([np.bincount(word, self.table[key, k], len(words)) for k in range(len(self.names))], axis=1).astype(np.float64)
         out /= GRAMS / 2  # grams of a word overlap
         allowed = self.uses[scripts(words)]
         out[~allowed & allowed.any(axis=1)[:, None]] = -1e9
@@ -106,7 +100,7 @@ def learn(texts: pa.Array, langs: list[str]) -> Languages | None:
     names = sorted(set(langs))
     if not names:
         return None
-    words, codes, offsets = filled(*letter_words(texts))
+    words, codes, offsets = letter_words(texts)
     lang = np.repeat([names.index(x) for x in langs], np.diff(offsets))
     counts = np.zeros((len(words), len(names)))
     np.add.at(counts, (codes, lang), 1)
@@ -162,7 +156,7 @@ def label(docs: DataFrame, model: Languages | None) -> DataFrame:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             n = batch.num_rows
-            words, codes, offsets = filled(*letter_words(text_array(batch.column("text"))))
+            words, codes, offsets = letter_words(text_array(batch.column("text")))
             if model is None:
                 pred, share, spans = [UNKNOWN] * n, np.zeros(n), [""] * n
             else:

@@ -57,7 +57,7 @@ def labelled_shingles(texts: pa.Array) -> list[np.ndarray]:
     n = np.diff(offsets)
     size = np.where(n >= SHINGLE, n - SHINGLE + 1, np.minimum(n, 1))
     rolled = np.zeros(len(hashes), dtype=np.uint64)
-    for j, m in enumerate(WORD_PLACES):
+    for j, m in enumerate(WORD_PLACES[:len(hashes)]):
         rolled[:len(hashes) - j] += hashes[j:] * m
     for i in np.flatnonzero((n > 0) & (n < SHINGLE)):
         rolled[offsets[i]] = (hashes[offsets[i]:offsets[i + 1]] * WORD_PLACES[:n[i]]).sum(dtype=np.uint64)
