@@ -28,7 +28,7 @@ SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 8
-RISK, DELTA = 0.01, 0.05
+RISK, DELTA = 0.02, 0.05
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 
 #: Score of each rule and its cutoffs, from lax to strict.
