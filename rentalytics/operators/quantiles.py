@@ -3,66 +3,47 @@
 Spark's ``percentile`` is exact, but its final merge keeps a group's whole
 value -> count map in a single task: a city holding a third of all rows with
 a continuous column (revenue, velocity, occupancy) lands in one reducer.
-Here the order statistics are found the way the rank tests find ranks:
-
-1. unpivot the requested columns to (group, column, value) rows and count per
-   distinct value (partial aggregation: a hot value is one row per task);
-2. range-partition the distinct values and number them with the distributed
-   running sums of ``ranks.midranks`` (``before`` = rows with a smaller value
-   in the group, ``group_n`` = the group's size);
-3. a quantile needs the values at positions floor(p(n-1)) and ceil(p(n-1));
-   a distinct value covers positions [before, before + count), so one
-   conditional ``max`` per position picks it out in a plain grouped aggregate
-   (partial aggregation again: one row per task and group reaches the shuffle);
+Here the order statistics are bracketed first and only the bracket is sorted:
+
+1. cut points of each column (``percentile_approx``, one row to the driver)
+   become literals, so a value's slice is a pure function of the value;
+2. rows are counted per (group, column, slice) with partial aggregation; a
+   running sum over those counts tells which slice holds the positions
+   floor(p(n-1)) and ceil(p(n-1)) of each requested quantile;
+3. only rows of those slices are collapsed to distinct values with counts and
+   numbered by a running sum per slice, which picks the two values;
 4. interpolate linearly, exactly as Spark ``percentile`` / pandas
    ``quantile`` / SQL ``PERCENTILE_CONT`` do.
 
-Several columns and probabilities share one pass: every (column, p) pair is
-answered by the same distinct-value table.
-
-Size check: once the distinct-value table is checkpointed its row count is
-known (a cheap job over the checkpoint).  When it is at most
-``bounded_rows``, every group's value map is provably that small, and
-Spark's frequency-weighted ``percentile(value, p, count)`` over the table
-finishes in one aggregate; above it the distributed rank path runs.
+Several columns and probabilities share the passes.  One path serves every
+size; the input is read three times, never shuffled as a whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import col as _c
-from .ranks import midranks
+from .ranks import cut_points, null_safe, slice_count, slice_of
 
 QuantileSpec = Mapping[str, tuple]  # out name -> (column name or Column, probability)
 
-
-BOUNDED_ROWS = 1_000_000  # distinct (group, column, value) rows a single task may merge
-BOUNDED_ROWS_CONF = "spark.rentalytics.boundedRows"
-
-
-def bounded_rows_of(spark) -> int:
-    """The size-check limit: session setting ``spark.rentalytics.boundedRows`` or ``BOUNDED_ROWS``
-    (0 sends every quantile and rank table down the distributed path)."""
-    return int(spark.conf.get(BOUNDED_ROWS_CONF, str(BOUNDED_ROWS)))
+#: Slices to search (groups x quantiles x 2) that may be broadcast: counted first, and joined by shuffle beyond.
+BROADCAST_TARGETS = 100_000
 
 
 def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
-                    num_slices: int | None = None, materialise: bool = True,
-                    bounded_rows: int | None = None) -> DataFrame:
+                    num_slices: int | None = None) -> DataFrame:
     """One row per group (groups with at least one non-null value) with a column per spec.
 
     ``specs`` maps an output name to ``(value, p)``; ``value`` is a column
     name or any Column expression (``F.when(cond, price)`` gives a
     conditional quantile).  Null values are skipped; null group keys form a
     group (SQL semantics) — filter them first for pandas semantics.
-    ``materialise`` checkpoints the distinct-value table (eager: one job runs
-    when the plan is built); ``bounded_rows`` is the size check above
-    (default: ``bounded_rows_of(session)``; 0 forces the distributed path; it needs
-    ``materialise``).
+    Building the plan runs two jobs (cut points, slice counts).
     """
     by = list(by)
     exprs: list[Column] = []
@@ -82,44 +63,53 @@ def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
         pairs = F.array(*[F.struct(F.lit(j).alias("__j"), e.cast("double").alias("__v"))
                           for j, e in enumerate(exprs)])
         long = df.select(*by, F.explode(pairs).alias("__s")).select(*by, "__s.__j", "__s.__v")
-    counts = (long.where(F.col("__v").isNotNull())
-              .groupBy(*by, "__j", "__v").agg(F.count(F.lit(1)).alias("__cnt")))
-    if materialise:
-        # the range partitioner samples its input in a job of its own: read the
-        # distinct-value table from the shared checkpoint instead of re-running
-        # the whole upstream plan for the sample
-        from ..session import materialise as _checkpoint
-        counts = _checkpoint(counts)
-        limit = bounded_rows_of(df.sparkSession) if bounded_rows is None else bounded_rows
-        if limit > 0 and counts.count() <= limit:
-            return _weighted_percentiles(counts, plan, by)
-    ranked = midranks(counts, "__v", [*by, "__j"], count_col="__cnt", num_slices=num_slices, with_total=True)
-
-    before, cnt, n, v = F.col("before"), F.col("__cnt"), F.col("group_n"), F.col("__v")
-    aggs = []
-    for i, (_, j, p) in enumerate(plan):
-        pos = (n - F.lit(1)).cast("double") * F.lit(p)
-        this = F.col("__j") == F.lit(j)
-        aggs += [
-            F.max(F.when(this & (before <= F.floor(pos)) & (F.floor(pos) < before + cnt), v)).alias(f"__lo{i}"),
-            F.max(F.when(this & (before <= F.ceil(pos)) & (F.ceil(pos) < before + cnt), v)).alias(f"__hi{i}"),
-            F.max(F.when(this, n)).alias(f"__n{i}"),
-        ]
-    g = ranked.groupBy(*by).agg(*aggs)
+    long = long.where(F.col("__v").isNotNull())
+    cuts = {r[0]: r[1] for r in long.groupBy("__j").agg(
+        cut_points(F.col("__v"), slice_count(df.sparkSession, num_slices))).collect()}  # a row per column
+    where = F.lit(0)
+    for j, points in cuts.items():
+        where = F.when(F.col("__j") == j, slice_of(F.col("__v"), points)).otherwise(where)
+    sliced = long.withColumn("__slice", where)
+
+    keys = [*by, "__j", "__slice"]
+    group = Window.partitionBy(*by, "__j")
+    earlier = group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("__t"))
+              .withColumn("__before", F.coalesce(F.sum("__t").over(earlier), F.lit(0)))
+              .withColumn("__n", F.sum("__t").over(group)))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(p).alias("p"))
+                                 for i, (_, j, p) in enumerate(plan)]))
+    pos = (F.col("__n") - F.lit(1)).cast("double") * F.col("__w.p")
+    ends = F.explode(F.array(F.struct(F.lit(False).alias("hi"), F.floor(pos).alias("at")),
+                             F.struct(F.lit(True).alias("hi"), F.ceil(pos).alias("at"))))
+    targets = (totals.withColumn("__w", wanted).where(F.col("__w.j") == F.col("__j"))
+               .withColumn("__pos", pos).withColumn("__e", ends)
+               .where((F.col("__before") <= F.col("__e.at")) & (F.col("__e.at") < F.col("__before") + F.col("__t")))
+               .select(*keys, F.col("__w.i").alias("__i"), F.col("__e.hi").alias("__hi"), "__pos",
+                       (F.col("__e.at") - F.col("__before")).alias("__k")))
+    from ..session import materialise
+    targets = materialise(targets)
+    few = targets.count() <= BROADCAST_TARGETS
+
+    def sized(t: DataFrame) -> DataFrame:
+        return F.broadcast(t) if few else t
+
+    hot = targets.select(*keys).distinct()
+    inside = (sliced.join(sized(hot), null_safe(sliced, hot, keys), "leftsemi")
+              .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__cnt")))
+    run = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = inside.withColumn("__prior", F.coalesce(F.sum("__cnt").over(run), F.lit(0)))
+    found = ranked.join(sized(targets), [*null_safe(ranked, targets, keys), F.col("__prior") <= F.col("__k"),
+                                         F.col("__k") < F.col("__prior") + F.col("__cnt")])
+    picked = found.groupBy(*[ranked[c] for c in by]).agg(*[
+        F.max(F.when((F.col("__i") == i) & (F.col("__hi") == F.lit(hi)), F.struct("__pos", "__v"))).alias(f"__{name}{i}")
+        for i in range(len(plan)) for name, hi in (("lo", False), ("hi", True))])
     outs = []
-    for i, (out, _, p) in enumerate(plan):
-        pos = (F.col(f"__n{i}") - F.lit(1)).cast("double") * F.lit(p)
+    for i, (out, _, _) in enumerate(plan):
+        pos, xl, xh = F.col(f"__lo{i}.__pos"), F.col(f"__lo{i}.__v"), F.col(f"__hi{i}.__v")
         lo, hi = F.floor(pos), F.ceil(pos)
-        xl, xh = F.col(f"__lo{i}"), F.col(f"__hi{i}")
         outs.append(F.when((hi == lo) | (xh == xl), xl).otherwise((hi - pos) * xl + (pos - lo) * xh).alias(out))
-    return g.select(*by, *outs)
-
-
-def _weighted_percentiles(counts: DataFrame, plan, by: Sequence[str]) -> DataFrame:
-    """Size-checked path: frequency-weighted ``percentile`` over a distinct-value table of bounded size."""
-    j, v, cnt = F.col("__j"), F.col("__v"), F.col("__cnt")
-    return counts.groupBy(*by).agg(*[F.percentile(F.when(j == F.lit(i), v), F.lit(p), cnt).alias(out)
-                                     for out, i, p in plan])
+    return picked.select(*by, *outs)
 
 
 def merge_group_rows(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -140,8 +130,3 @@ def merge_group_rows(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Da
                                          *rcols, F.lit(None).cast("boolean").alias("__left"))))
     folded = stacked.groupBy(*by).agg(*[F.first(c, ignorenulls=True).alias(c) for c in [*lcols, *rcols, "__left"]])
     return folded.where(F.col("__left")).select(*by, *lcols, *rcols)
-
-
-def with_exact_quantiles(agg: DataFrame, detail: DataFrame, specs: QuantileSpec, by: Sequence[str] = ()) -> DataFrame:
-    """``agg`` (one row per group) plus the quantile columns of ``specs`` computed over ``detail``."""
-    return merge_group_rows(agg, exact_quantiles(detail, specs, by), by)

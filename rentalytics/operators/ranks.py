@@ -5,81 +5,94 @@ Here ranks are computed without ever ordering all rows in one place:
 
 1. collapse the sample to distinct values with counts (partial aggregation;
    a hot value costs one row per task);
-2. range-partition the distinct values by (stratum, value) so each task
-   holds a contiguous slice;
-3. inside each slice a running sum of counts per stratum (window
-   partitioned by slice id and stratum — bounded by the slice size);
+2. read cut points of the values (``percentile_approx``) and use them as
+   literals: the slice of a value is a pure function of the value, so every
+   branch of the plan, and every re-run of a lost task, agrees on it;
+3. a running sum of counts per slice and stratum (a window whose partitions
+   are bounded by the slice size);
 4. per-slice totals (slices x strata rows) give each slice's offset with a
-   running sum over that tiny table, joined back by slice id;
+   running sum over that small table, joined back by slice and stratum;
 5. mid-rank = rows before + (count + 1) / 2, equal to pandas ``rank()``.
 
-Size check (opt-in, ``bounded_rows``): when the distinct-value table is
-proven small by a count, steps 2-4 collapse into one running-sum window per
-stratum; both paths give identical ranks (tested).
+One path serves every size.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Slices of a column: the shuffle partitions, within these bounds (the cut points are literals of the plan).
+MIN_SLICES, MAX_SLICES = 16, 16384
+# A search among more cut points goes through two levels.
+ONE_LEVEL = 64
+
+
+def slice_count(spark, num_slices: int | None = None) -> int:
+    return num_slices or min(MAX_SLICES, max(MIN_SLICES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def cut_points(values: Column, n: int) -> Column:
+    """Aggregate: n - 1 values that split a column into n slices of about equal row counts."""
+    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    return F.percentile_approx(values.cast("double"), probs, F.lit(max(10000, 10 * n)))
+
+
+def slice_of(value: Column, cuts: Sequence[float] | None) -> Column:
+    """How many cut points lie below a value: its slice."""
+    cuts = sorted(set(cuts or []))
+    v = value.cast("double")
+
+    def below(points: Column) -> Column:
+        return F.size(F.filter(points, lambda c: c < v))
+
+    if not cuts:
+        return F.lit(0)
+    if len(cuts) <= ONE_LEVEL:
+        return below(F.lit(cuts))
+    step = math.isqrt(len(cuts)) + 1
+    chunk = below(F.lit(cuts[step - 1::step]))  # chunks that lie below the value as a whole
+    parts = F.array(*[F.lit(cuts[i:i + step]) for i in range(0, len(cuts), step)], F.array().cast("array<double>"))
+    return chunk * F.lit(step) + F.coalesce(below(F.get(parts, chunk)), F.lit(0))
+
+
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
+    return [left[k].eqNullSafe(right[k]) for k in keys]
+
 
 def midranks(counts: DataFrame, value: str, by: Sequence[str] = (), count_col: str = "cnt",
-             num_slices: int | None = None, with_total: bool = False, bounded_rows: int = 0) -> DataFrame:
+             num_slices: int | None = None, with_total: bool = False) -> DataFrame:
     """Add ``before`` (rows with a smaller value in the stratum) and ``midrank`` to a value-count frame.
 
     ``counts`` has one row per (by..., value) with ``count_col``; any other
-    columns (per-class counts, say) are carried along.  ``with_total`` also
-    adds ``group_n``, the stratum's total count.  Null stratum keys form a
-    stratum of their own (SQL GROUP BY semantics).
-
-    ``bounded_rows > 0`` adds a size check: when ``counts`` has at most that
-    many rows (read with a count; pass a checkpointed frame), a stratum's
-    values are provably few and a plain running-sum window per stratum
-    numbers them; larger tables take the range-sliced path.
+    columns (per-class counts, say) are carried along.  It is read three
+    times, so pass a materialised frame.  ``with_total`` also adds
+    ``group_n``, the stratum's total count.  Null stratum keys form a stratum
+    of their own (SQL GROUP BY semantics).
     """
     by = list(by)
-    if bounded_rows > 0 and counts.count() <= bounded_rows:
-        return _midranks_bounded(counts, value, by, count_col, with_total)
-    spark = counts.sparkSession
-    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sliced = counts.repartitionByRange(n, *[F.col(c) for c in by], F.col(value)) \
-                   .withColumn("__slice", F.spark_partition_id())
-    w_local = (Window.partitionBy("__slice", *by).orderBy(value)
-               .rowsBetween(Window.unboundedPreceding, -1))
+    cuts = counts.select(cut_points(F.col(value), slice_count(counts.sparkSession, num_slices))).first()[0]
+    sliced = counts.withColumn("__slice", slice_of(F.col(value), cuts))
+    keys = [*by, "__slice"]
+    w_local = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = sliced.withColumn("__local", F.coalesce(F.sum(count_col).over(w_local), F.lit(0)))
-    totals = sliced.groupBy("__slice", *by).agg(F.sum(count_col).alias("__tot"))
-    w_off = Window.partitionBy(*by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1) \
-        if by else Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sliced.groupBy(*keys).agg(F.sum(count_col).alias("__tot"))
+    w_all = Window.partitionBy(*by)
+    w_off = w_all.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(w_off), F.lit(0)))
     if with_total:
-        w_all = Window.partitionBy(*by) if by else Window.partitionBy()
         offsets = offsets.withColumn("group_n", F.sum("__tot").over(w_all))
-    offsets = offsets.drop("__tot").select(F.col("__slice").alias("__o_slice"), *[F.col(c).alias(f"__o_{c}") for c in by],
-                                           "__off", *(["group_n"] if with_total else []))
-    # (slices x strata) rows.  Without strata that is at most ``n`` rows: broadcast;
-    # with strata the size grows with the number of strata, so AQE decides from
-    # the measured size (its broadcast conversion is itself size-checked).
-    right = F.broadcast(offsets) if not by else offsets
-    cond = [F.col("__slice") == F.col("__o_slice")] + [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in by]
-    out = local.join(right, cond).drop("__o_slice", *[f"__o_{c}" for c in by])
+    offsets = offsets.drop("__tot")
+    out = local.join(offsets, null_safe(local, offsets, keys)).select(
+        *[local[c] for c in local.columns], "__off", *(["group_n"] if with_total else []))
     out = out.withColumn("before", F.col("__off") + F.col("__local"))
     out = out.withColumn("midrank", F.col("before") + (F.col(count_col) + F.lit(1)) / F.lit(2.0))
     return out.drop("__slice", "__local", "__off")
 
 
-def _midranks_bounded(counts: DataFrame, value: str, by: list[str], count_col: str, with_total: bool) -> DataFrame:
-    """Size-checked path of ``midranks`` (the caller proved the table small)."""
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
-    run = w.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    out = counts.withColumn("before", F.coalesce(F.sum(count_col).over(run), F.lit(0)))
-    if with_total:
-        out = out.withColumn("group_n", F.sum(count_col).over(w))
-    return out.withColumn("midrank", F.col("before") + (F.col(count_col) + F.lit(1)) / F.lit(2.0))
-
-
 def rank_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Average rank of every row's value within its stratum (rows keep their identity)."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .quantiles import bounded_rows_of
 from .ranks import midranks
 
 # --------------------------------------------------------------------------- special functions
@@ -193,7 +192,7 @@ def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: S
     v = F.col(value)
     s = df.where(v.isNotNull() & (first | second)).select(*by, v.alias("v"), F.when(first, 1).otherwise(0).alias("g1"))
     counts = _materialise(s.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("cnt"), F.sum("g1").alias("c1")))
-    r = midranks(counts, "v", by, bounded_rows=bounded_rows_of(df.sparkSession))
+    r = midranks(counts, "v", by)
     agg = r.groupBy(*by).agg(
         F.sum("c1").alias("n1"), (F.sum("cnt") - F.sum("c1")).alias("n2"),
         F.sum(F.col("c1") * F.col("midrank")).alias("r1"),
@@ -241,8 +240,8 @@ def kruskal_stats(df: DataFrame, value: str, group: str, by: Sequence[str] = ("c
     v = F.col(value)
     base = df.where(v.isNotNull() & F.col(group).isNotNull()).select(*by, F.col(group).alias("grp"), v.alias("v"))
     gcounts = _materialise(base.groupBy(*by, "grp", "v").agg(F.count(F.lit(1)).alias("c")))
-    vcounts = gcounts.groupBy(*by, "v").agg(F.sum("c").alias("cnt"))
-    r = midranks(vcounts, "v", by, bounded_rows=bounded_rows_of(df.sparkSession)).select(*by, "v", "cnt", "midrank")
+    vcounts = _materialise(gcounts.groupBy(*by, "v").agg(F.sum("c").alias("cnt")))
+    r = midranks(vcounts, "v", by).select(*by, "v", "cnt", "midrank")
     tie = r.groupBy(*by).agg(F.sum(F.pow(F.col("cnt"), 3) - F.col("cnt")).alias("tie"))
     per_group = gcounts.join(r.select(*by, "v", "midrank"), [*by, "v"]).groupBy(*by, "grp").agg(
         F.sum("c").alias("ng"), F.sum(F.col("c") * F.col("midrank")).alias("rg"))

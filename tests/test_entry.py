@@ -52,26 +52,3 @@ def test_no_python_udf_in_market_plans(spark):
 def test_rank_plan_has_no_single_partition_window(spark):
     plan = E.queries()["x01_mann_whitney_u"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
-
-
-DISTRIBUTED = ["m09_neighbourhood_stats", "m10_kpi_cards", "m11_city_describe", "m11_city_comparison",
-               "b07_dim_neighbourhood", "m34_review_velocity_summary", "m36_price_tier_performance",
-               "x01_mann_whitney_u", "x04_kruskal_wallis", "x15_h4_neighbourhood_prices"]
-
-
-def test_distributed_paths_agree_with_oracle(spark, duck):
-    """With the size check off, quantiles and ranks take the range-sliced path; results must not change."""
-    import catalog
-    from rentalytics.operators.quantiles import BOUNDED_ROWS_CONF
-    spark.conf.set(BOUNDED_ROWS_CONF, "0")
-    try:
-        for name in DISTRIBUTED:
-            catalog._MARKETS.clear()  # rebuild the enrichment quantiles on the distributed path too
-            df = E.queries()[name](spark, SF)
-            rows = [tuple(r) for r in df.collect()]
-            cur = duck.execute(E.oracle_sql()[name])
-            dcols, drows = [d[0] for d in cur.description], cur.fetchall()
-            assert digest(df.columns, rows, 6)[0] == digest(dcols, drows, 6)[0], name
-    finally:
-        spark.conf.unset(BOUNDED_ROWS_CONF)
-        catalog._MARKETS.clear()

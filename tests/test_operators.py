@@ -13,7 +13,7 @@ from rentalytics.operators import joins as J
 from rentalytics.operators import profile as PR
 from rentalytics.operators import quality as Q
 from rentalytics.operators import windows as W
-from rentalytics.operators.ranks import midranks, rank_values
+from rentalytics.operators.ranks import midranks, rank_values, slice_of
 from rentalytics.plans.model import keep_first
 
 
@@ -145,14 +145,42 @@ def test_midranks_many_slices(spark):
     assert r[0.0] == 1.5 and r[99.0] == 199.5
 
 
-def test_midranks_bounded_path_equals_sliced(spark):
+def test_midranks_totals_and_null_strata(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"city": rng.choice(["a", "b", None], 500), "v": rng.integers(0, 40, 500).astype(float)})
     counts = spark.createDataFrame(pdf).groupBy("city", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    def get(bounded):
-        r = midranks(counts, "v", ["city"], num_slices=5, with_total=True, bounded_rows=bounded)
-        return sorted((x.city or "", x.v, x.before, x.midrank, x.group_n) for x in r.collect())
-    assert get(0) == get(10**6)
+    got = {(x.city, x.v): (x.midrank, x.group_n) for x in midranks(counts, "v", ["city"], num_slices=5, with_total=True).collect()}
+    for c, rows in pdf.groupby("city", dropna=False):
+        c = None if pd.isna(c) else c
+        for v, r in zip(rows["v"], rows["v"].rank()):
+            assert got[c, v] == (r, len(rows))
+
+
+def test_slice_of_counts_the_cut_points_below(spark):
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 5, 64, 65, 200, 1000):
+        cuts = sorted({float(v) for v in rng.integers(0, 500, n)})
+        values = [float(v) for v in rng.integers(-5, 505, 200)] + cuts
+        df = spark.createDataFrame([(v,) for v in values], "v double").select("v", slice_of(F.col("v"), cuts).alias("s"))
+        assert all(r.s == sum(c < r.v for c in cuts) for r in df.collect())
+
+
+def test_mann_whitney_on_many_distinct_values(spark):
+    """300,000 distinct values with the carried class counts, exchange reuse off, twice: the plain rank's U."""
+    from rentalytics.operators.stats import mann_whitney
+    df = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("city"),
+                                     ((F.col("id") * 7919) % 300_007).cast("double").alias("v"),
+                                     (F.hash("id") % 2 == 0).alias("first"))
+    pdf = df.toPandas()
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        runs = [{r.city: r.u for r in mann_whitney(df, "v", F.col("first"), ~F.col("first")).collect()} for _ in range(2)]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    for city, rows in pdf.groupby("city"):
+        n1 = int(rows["first"].sum())
+        u = rows["v"].rank()[rows["first"]].sum() - n1 * (n1 + 1) / 2
+        assert runs[0][city] == runs[1][city] == u
 
 
 def test_null_profile(spark):

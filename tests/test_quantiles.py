@@ -21,21 +21,19 @@ def frame(spark):
     return pdf, df
 
 
-@pytest.mark.parametrize("bounded", [0, 10**6])
 @pytest.mark.parametrize("p", [0.0, 0.1, 0.25, 0.5, 0.95, 1.0])
-def test_matches_pandas(frame, p, bounded):
+def test_matches_pandas(frame, p):
     pdf, df = frame
-    got = exact_quantiles(df, {"qx": ("x", p), "qy": ("y", p)}, ["g"], bounded_rows=bounded) \
+    got = exact_quantiles(df, {"qx": ("x", p), "qy": ("y", p)}, ["g"]) \
         .toPandas().set_index("g").sort_index()
     exp = pdf.groupby("g")[["x", "y"]].quantile(p).sort_index()
     assert np.allclose(got["qx"], exp["x"]) and np.allclose(got["qy"], exp["y"])
 
 
-@pytest.mark.parametrize("bounded", [0, 10**6])
-def test_equals_spark_percentile_bitwise(frame, bounded):
+def test_equals_spark_percentile_bitwise(frame):
     _, df = frame
     specs = {"a": ("y", 0.37), "b": ("x", 0.5), "c": (F.when(F.col("y") > 0, F.col("x")), 0.75)}
-    got = {r.g: r for r in exact_quantiles(df, specs, ["g"], bounded_rows=bounded).collect()}
+    got = {r.g: r for r in exact_quantiles(df, specs, ["g"]).collect()}
     ref = {r.g: r for r in df.groupBy("g").agg(*[F.percentile(e if not isinstance(e, str) else F.col(e), F.lit(p)).alias(o)
                                                    for o, (e, p) in specs.items()]).collect()}
     for g in ref:
@@ -47,18 +45,17 @@ def test_hot_group_spread_over_slices(spark):
     # one group holds almost every row; with 7 slices its values are numbered by several tasks
     df = spark.range(10000).select(F.when(F.col("id") < 9900, "hot").otherwise("cold").alias("g"),
                                    (F.col("id") * 7 % 10007).cast("double").alias("v"))
-    got = {r.g: r.med for r in exact_quantiles(df, {"med": ("v", 0.5)}, ["g"], num_slices=7, bounded_rows=0).collect()}
+    got = {r.g: r.med for r in exact_quantiles(df, {"med": ("v", 0.5)}, ["g"], num_slices=7).collect()}
     pdf = df.toPandas()
     exp = pdf.groupby("g")["v"].median()
     assert got["hot"] == exp["hot"] and got["cold"] == exp["cold"]
 
 
-@pytest.mark.parametrize("bounded", [0, 10**6])
-def test_null_group_key_and_global(spark, bounded):
+def test_null_group_key_and_global(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0), ("a", None)], "g string, v double")
-    got = {r.g: r.m for r in exact_quantiles(df, {"m": ("v", 0.5)}, ["g"], bounded_rows=bounded).collect()}
+    got = {r.g: r.m for r in exact_quantiles(df, {"m": ("v", 0.5)}, ["g"]).collect()}
     assert got == {None: 2.0, "a": 2.0}
-    assert exact_quantiles(df, {"m": ("v", 0.5)}, bounded_rows=bounded).first().m == 2.0
+    assert exact_quantiles(df, {"m": ("v", 0.5)}).first().m == 2.0
 
 
 def test_merge_group_rows_keeps_left_groups(spark):
@@ -75,17 +72,34 @@ def test_kpi_total_median(spark):
     assert got == {"a": 4.5, "b": 100.0, None: 5.0}
 
 
-def test_no_single_task_window_in_plan(frame):
+def test_plan_holds_no_group_in_one_task(frame):
     _, df = frame
-    plan = exact_quantiles(df, {"m": ("y", 0.5)}, ["g"], bounded_rows=0)._jdf.queryExecution().executedPlan().toString()
+    plan = exact_quantiles(df, {"m": ("y", 0.5)}, ["g"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "percentile" not in plan.lower()
 
 
-def test_size_check_picks_the_path(frame):
-    _, df = frame  # ~3000 distinct y values
-    small = exact_quantiles(df, {"m": ("y", 0.5)}, ["g"], bounded_rows=10**6)._jdf.queryExecution().executedPlan().toString()
-    large = exact_quantiles(df, {"m": ("y", 0.5)}, ["g"], bounded_rows=100)._jdf.queryExecution().executedPlan().toString()
-    assert "percentile" in small.lower() and "percentile" not in large.lower()
+def test_targets_beyond_the_broadcast_size(frame, monkeypatch):
+    from rentalytics.operators import quantiles
+    pdf, df = frame
+    monkeypatch.setattr(quantiles, "BROADCAST_TARGETS", 0)
+    got = {r.g: r.q for r in exact_quantiles(df, {"q": ("y", 0.3)}, ["g"]).collect()}
+    exp = pdf.groupby("g")["y"].quantile(0.3)
+    assert all(np.isclose(got[g], exp[g]) for g in exp.index)
+
+
+def test_many_distinct_values_without_exchange_reuse(spark):
+    """300,000 distinct values per group, more than one level of cut points, exchange reuse off: the exact values."""
+    df = spark.range(600_000).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("g"),
+                                     ((F.col("id") * 7919) % 600_011).cast("double").alias("v"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r.g: (r.q, r.m) for r in exact_quantiles(df, {"q": ("v", 0.123), "m": ("v", 0.5)}, ["g"], num_slices=300).collect()}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    pdf = df.toPandas()
+    for g, v in pdf.groupby("g")["v"]:
+        assert got[g] == (pytest.approx(v.quantile(0.123)), v.quantile(0.5))
+
 
 _values = st.one_of(st.none(), st.integers(-3, 3).map(float),
                     st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False))
@@ -96,7 +110,7 @@ _values = st.one_of(st.none(), st.integers(-3, 3).map(float),
        p=st.floats(0.0, 1.0))
 def test_property_matches_numpy(spark, rows, p):
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.q for r in exact_quantiles(df, {"q": ("v", p)}, ["g"], num_slices=3, bounded_rows=0).collect()}
+    got = {r.g: r.q for r in exact_quantiles(df, {"q": ("v", p)}, ["g"], num_slices=3).collect()}
     for g in {r[0] for r in rows}:
         vals = [v for k, v in rows if k == g and v is not None]
         if not vals:
