@@ -927,37 +927,38 @@ def _x11(spark, d):
 
 
 # ------------------------------------------------------------------ X12-X16 reports with p-values
-# The oracle restates the tails with DuckDB built-ins: erf(|x|) as the same positive-term series
-# (terms from lgamma instead of a recurrence), chi-square tails of integer dof as closed sums.
-from rentalytics.operators.stats import ERF_CUTOFF, ERF_TERMS  # noqa: E402
+# The oracle takes the tails by another way than the code: Simpson's rule over the density, relative to its value at
+# the statistic, so that small tails keep their digits.
+def simpson_sql(f: str, upper: str, n: int = 4000) -> str:
+    """Integral over t from 0 to ``upper``; ``f`` is SQL in ``t``."""
+    step = f"(({upper}) / {n}.0)"
+    weight = f"(CASE WHEN i = 0 OR i = {n} THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END)"
+    return f"({step} / 3.0 * list_sum(list_transform(range(0, {n + 1}), lambda i: {weight} * {f.replace('{t}', f'(i * {step})')})))"
 
 
-def erfc_sql(x: str) -> str:
-    a = f"abs({x})"
-    series = (f"list_sum(list_transform(range(0, {ERF_TERMS + 1}), lambda n: exp((2 * n + 1) * ln(greatest({a}, 1e-300))"
-              f" + n * ln(4.0) + lgamma(n + 1) - lgamma(2 * n + 2))))")
-    erf_abs = (f"(CASE WHEN {a} > {ERF_CUTOFF} THEN 1.0 WHEN {a} = 0 THEN 0.0 "
-               f"ELSE 2.0 / sqrt(pi()) * exp(-{a} * {a}) * {series} END)")
-    return f"(CASE WHEN {x} >= 0 THEN 1.0 - {erf_abs} ELSE 1.0 + {erf_abs} END)"
+def log_normal_sf_sql(z: str) -> str:
+    a = f"abs({z})"
+    tail = f"(-{a} * {a} / 2 - 0.5 * ln(2 * pi()) + ln({simpson_sql(f'exp(-{a} * {{t}} - {{t}} * {{t}} / 2)', f'least(12.0, 50.0 / greatest({a}, 1.0))')}))"
+    return f"(CASE WHEN {z} >= 0 THEN {tail} ELSE ln(1 - exp({tail})) END)"
 
 
-def normal_sf_sql(z: str) -> str:
-    return f"(0.5 * {erfc_sql(f'(({z}) / sqrt(2.0))')})"
+def log_chi2_sf_sql(x: str, k: str) -> str:
+    h = f"(({k}) / 2.0)"
+    density = f"(({h} - 1) * ln({x}) - ({x}) / 2 - {h} * ln(2.0) - lgamma({h}))"
+    area = simpson_sql(f"exp(({h} - 1) * ln(1 + {{t}} / ({x})) - {{t}} / 2)", f"(100.0 + 8 * ({k}))")
+    return f"(CASE WHEN ({x}) <= 0 THEN 0.0 ELSE least(0.0, {density} + ln({area})) END)"
 
 
-def chi2_sf_sql(x: str, k: str) -> str:
-    h, half = f"(({x}) / 2.0)", f"CAST(floor(({k}) / 2) AS INTEGER)"
-    even = f"exp(-{h}) * coalesce(list_sum(list_transform(range(0, {half}), lambda i: exp(i * ln({h}) - lgamma(i + 1)))), 0)"
-    odd = (f"{erfc_sql(f'sqrt({h})')} + exp(-{h}) * coalesce(list_sum(list_transform(range(1, {half} + 1), "
-           f"lambda i: exp((i - 0.5) * ln({h}) - lgamma(i + 0.5)))), 0)")
-    return (f"(CASE WHEN ({x}) <= 0 THEN 1.0 ELSE least(1.0, greatest(0.0, "
-            f"CASE WHEN ({k}) % 2 = 0 THEN {even} ELSE {odd} END)) END)")
+def t_two_sided_sql(t: str, dof: str) -> str:
+    density = (f"exp(lgamma((({dof}) + 1) / 2.0) - lgamma(({dof}) / 2.0) - 0.5 * ln(({dof}) * pi())"
+               f" - (({dof}) + 1) / 2.0 * ln(1 + {{t}} * {{t}} / ({dof})))")
+    return f"greatest(0.0, 1 - 2 * {simpson_sql(density, f'least(abs({t}), 60.0)')})"
 
 
 def mwu_sql(two_sided: bool) -> str:
-    """CTEs over ``s(city, v, g1)`` ending in ``mw(city, n1, n2, u1, z, r, p)``."""
+    """CTEs over ``s(city, v, g1)`` ending in ``mw(city, n1, n2, u1, z, r, lp, p)``."""
     u_test = "greatest(u1, n1 * n2 - u1)" if two_sided else "u1"
-    p = f"least(1.0, 2 * {normal_sf_sql('z')})" if two_sided else normal_sf_sql("z")
+    p = f"least(0.0, ln(2.0) + {log_normal_sf_sql('z')})" if two_sided else log_normal_sf_sql("z")
     return f""",
 r AS (SELECT city, g1, CAST(rank() OVER (PARTITION BY city ORDER BY v) AS DOUBLE)
                       + (CAST(count(*) OVER (PARTITION BY city, v) AS DOUBLE) - 1) / 2.0 AS mr FROM s),
@@ -966,7 +967,8 @@ a AS (SELECT city, CAST(count_if(g1) AS DOUBLE) AS n1, CAST(count_if(NOT g1) AS
              sum(CASE WHEN g1 THEN mr ELSE 0 END) AS r1 FROM r GROUP BY city),
 u AS (SELECT a.city, n1, n2, r1 - n1 * (n1 + 1) / 2 AS u1, tie FROM a JOIN t USING (city)),
 uz AS (SELECT *, ({u_test} - n1 * n2 / 2 - 0.5) / sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1)))) AS z FROM u),
-mw AS (SELECT city, n1, n2, u1, z, 1.0 - 2 * u1 / (n1 * n2) AS r, {p} AS p FROM uz)"""
+mwl AS (SELECT city, n1, n2, u1, z, 1.0 - 2 * u1 / (n1 * n2) AS r, {p} AS lp FROM uz),
+mw AS (SELECT *, exp(lp) AS p FROM mwl)"""
 
 
 def label_sql(v: str, cuts, labels) -> str:
@@ -975,7 +977,7 @@ def label_sql(v: str, cuts, labels) -> str:
 
 def mw_columns(effect_cuts=(0.3, 0.5), effect_labels=("Small", "Medium", "Large")) -> str:
     return (f"mw.city, CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, {re('u1', 6)} AS u, {re('z', 6)} AS z, "
-            f"{re('r', 6)} AS rank_biserial, {re('p', 6)} AS p_value, {label_sql('r', effect_cuts, effect_labels)} AS effect, "
+            f"{re('r', 6)} AS rank_biserial, {re('p', 6)} AS p_value, {re('lp / ln(10.0)', 6)} AS log10_p, {label_sql('r', effect_cuts, effect_labels)} AS effect, "
             f"p < 0.05 AS reject_h0")
 
 
@@ -1032,9 +1034,10 @@ g AS (SELECT city, grp, count(*) AS ng, sum(mr) AS rg FROM r GROUP BY city, grp)
 a AS (SELECT city, count(*) AS k, CAST(sum(ng) AS DOUBLE) AS n, sum(rg * rg / ng) AS ss FROM g GROUP BY city),
 hh AS (SELECT a.city, k, n, (12.0 / (n * (n + 1)) * ss - 3 * (n + 1)) / (1.0 - tie / (n * n * n - n)) AS h
        FROM a JOIN t USING (city)),
-he AS (SELECT *, (h - k + 1) / (n - k) AS eta, {chi2_sf_sql('h', 'k - 1')} AS p FROM hh),
+he AS (SELECT *, (h - k + 1) / (n - k) AS eta, {log_chi2_sf_sql('h', 'k - 1')} AS lp FROM hh),
 med AS (SELECT city, quantile_cont(price, 0.5) AS m FROM serving WHERE price IS NOT NULL GROUP BY city)
-SELECT city, k, CAST(n AS BIGINT) AS n, {re('h', 6)} AS h, {re('eta', 6)} AS eta_squared, {re('p', 6)} AS p_value,
+SELECT city, k, CAST(n AS BIGINT) AS n, {re('h', 6)} AS h, {re('eta', 6)} AS eta_squared, {re('exp(lp)', 6)} AS p_value,
+       {re('lp / ln(10.0)', 6)} AS log10_p,
        CASE WHEN eta > 0.14 THEN 'Large' WHEN eta > 0.06 THEN 'Medium' ELSE 'Small' END AS effect,
        {re('m', 6)} AS city_median_price
 FROM he LEFT JOIN med USING (city)
@@ -1063,9 +1066,39 @@ def _x16b(spark, d):
     return _rounded(H.h5_month_weekend_table(market_for(spark, d).fact_calendar))
 
 
-@register("x17_regression_report", None)
+# Two regressors of the adapter that are not multiples of one another; the oracle solves the 2 x 2 system.
+REGRESSORS = ["bedrooms", "number_of_reviews"]
+_FIT = ", ".join(f"{re(c, 6)} AS {c}" for c in ("r2", "adj_r2", "f_stat", "f_p_value"))
+
+
+def _term_sql(term: str, coef: str, se: str, vif: str) -> str:
+    t = f"({coef} / {se})"
+    return (f"SELECT city, '{term}' AS term, {re(coef, 6)} AS coef, {re(se, 6)} AS std_err, {re(t, 6)} AS t, "
+            f"{re(t_two_sided_sql(t, 'dof'), 6)} AS p_value, {vif} AS vif, {_FIT}, n FROM f")
+
+
+@register("x17_regression_report", q(f"""
+, raw AS (SELECT city, price, CAST(bedrooms AS DOUBLE) AS x1, CAST(number_of_reviews AS DOUBLE) AS x2 FROM enriched
+          WHERE price IS NOT NULL AND bedrooms IS NOT NULL AND number_of_reviews IS NOT NULL),
+cut AS (SELECT city, quantile_cont(price, 0.99) AS top FROM raw GROUP BY city),
+obs AS (SELECT city, ln(1 + price) AS y, x1, x2 FROM raw JOIN cut USING (city) WHERE price <= top),
+mom AS (SELECT city, count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS v11, var_pop(x2) AS v22,
+               covar_pop(x1, x2) AS v12, covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2, var_pop(y) AS vy FROM obs GROUP BY city),
+slopes AS (SELECT *, n - 3 AS dof, v11 * v22 - v12 * v12 AS det, (c1 * v22 - c2 * v12) / (v11 * v22 - v12 * v12) AS b1,
+                  (c2 * v11 - c1 * v12) / (v11 * v22 - v12 * v12) AS b2 FROM mom),
+errors AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0, n * (vy - b1 * c1 - b2 * c2) / dof AS s2, 1 - (vy - b1 * c1 - b2 * c2) / vy AS r2 FROM slopes),
+f AS (SELECT *, 1 - (1 - r2) * (n - 1) / dof AS adj_r2, (r2 / 2) / ((1 - r2) / dof) AS f_stat,
+             pow(1 + r2 / (1 - r2), -dof / 2.0) AS f_p_value, sqrt(s2 * v22 / (n * det)) AS se1, sqrt(s2 * v11 / (n * det)) AS se2,
+             sqrt(s2 / n + s2 / (n * det) * (m1 * m1 * v22 - 2 * m1 * m2 * v12 + m2 * m2 * v11)) AS se0,
+             1 / (1 - v12 * v12 / (v11 * v22)) AS infl FROM errors)
+{_term_sql('const', 'b0', 'se0', 'CAST(NULL AS DOUBLE)')}
+UNION ALL
+{_term_sql('bedrooms', 'b1', 'se1', re('infl', 6))}
+UNION ALL
+{_term_sql('number_of_reviews', 'b2', 'se2', re('infl', 6))}
+"""))
 def _x17(spark, d):
-    return _rounded(H.regression_report(market_for(spark, d).enriched))
+    return _rounded(H.regression_report(market_for(spark, d).enriched, REGRESSORS))
 
 
 # ------------------------------------------------------------------ M11

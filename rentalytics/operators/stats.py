@@ -1,13 +1,12 @@
 """Statistical operators.
 
 Statistics are computed by Spark aggregations into one row per stratum
-(city); only those rows — or a k x k matrix — ever reach the driver.  The
-normal and chi-square tails of the rank tests are built-in expressions
-(positive-term series and closed finite sums inside ``aggregate``), so the
-test plans contain no Python.  The Student t and F tails of the regression
-are evaluated on the driver next to its (k+2)^2 solve, with the textbook
-continued fraction of the incomplete beta function; the pure-Python normal
-and chi-square tails stay as references for the tests.
+(city).  The normal and chi-square tails of the rank tests are built-in
+expressions in log space (positive-term series, a continued fraction and
+closed finite sums inside ``aggregate``), so the test plans contain no Python
+and the tails keep their digits however small they are.  The regression's
+small system is solved in a task, one row of centred sums per stratum; the
+pure-Python normal and chi-square tails stay as references for the tests.
 """
 
 from __future__ import annotations
@@ -118,58 +117,73 @@ def f_sf(f: float, d1: float, d2: float) -> float:
 
 
 # --------------------------------------------------------------------------- tails as Spark expressions
-# Terms of the series below and the cut-off beyond which the tail is 0 in double precision.
-ERF_TERMS = 200
-ERF_CUTOFF = 8.0
+# Terms of the series and of the continued fraction, and where the one takes over from the other.
+SERIES_TERMS, FRACTION_TERMS, SERIES_END = 120, 200, 2.0
 
 
-def erfc_expr(x: Column) -> Column:
-    """erfc(x) as a built-in expression (no Python): for |x| <= 8,
-    erf(|x|) = 2/sqrt(pi) * exp(-x^2) * sum_n (2x^2)^n / (2n+1)!! * |x|, a series of positive
-    terms (no cancellation), summed with ``aggregate`` over ``sequence``; erfc = 1 - erf.
-    Beyond 8 erfc is below 1e-28 and returns 0 (1 - erf there is 0 in double precision anyway).
+def log_add(a: Column, b: Column) -> Column:
+    """ln(exp(a) + exp(b)); either may be -infinity."""
+    hi, lo = F.greatest(a, b), F.least(a, b)
+    return F.when(lo == F.lit(float("-inf")), hi).otherwise(hi + F.log1p(F.exp(lo - hi)))
+
+
+def log_erfc_expr(x: Column) -> Column:
+    """ln erfc(x) as a built-in expression, right to about 1e-12 at any x.
+
+    Below ``SERIES_END``: erf(|x|) = 2/sqrt(pi) * exp(-x^2) * sum_n (2x^2)^n / (2n+1)!! * |x|, a series of positive
+    terms.  From there on the continued fraction erfc(x) = exp(-x^2)/sqrt(pi) / (x + (1/2)/(x + (2/2)/(x + ...))),
+    evaluated from its far end, with the exponent kept as a logarithm.
     """
     a = F.abs(x)
-    two_x2 = F.lit(2.0) * a * a
-    acc0 = F.struct(a.alias("t"), a.alias("s"))
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(ERF_TERMS)), acc0,
+    small = F.least(a, F.lit(6.0))  # erf is 1 in double precision beyond
+    two_x2 = F.lit(2.0) * small * small
+    acc0 = F.struct(small.alias("t"), small.alias("s"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(SERIES_TERMS)), acc0,
                          lambda acc, n: F.struct((acc["t"] * two_x2 / (F.lit(2.0) * n + F.lit(1.0))).alias("t"),
                                                  (acc["s"] + acc["t"] * two_x2 / (F.lit(2.0) * n + F.lit(1.0))).alias("s")))
-    erf_abs = F.lit(2.0 / math.sqrt(math.pi)) * F.exp(-a * a) * series["s"]
-    erf_abs = F.when(a > F.lit(ERF_CUTOFF), F.lit(1.0)).otherwise(erf_abs)
-    return F.when(x >= 0, F.lit(1.0) - erf_abs).otherwise(F.lit(1.0) + erf_abs)
+    erf = F.lit(2.0 / math.sqrt(math.pi)) * F.exp(-small * small) * series["s"]
+    far = F.greatest(x, F.lit(SERIES_END))
+    fraction = F.aggregate(F.sequence(F.lit(FRACTION_TERMS), F.lit(1)), far,
+                           lambda t, k: far + k * F.lit(0.5) / t)
+    return (F.when(x >= F.lit(SERIES_END), -far * far - F.ln(fraction) - F.lit(0.5 * math.log(math.pi)))
+            .when(x >= 0, F.log1p(-erf)).otherwise(F.log1p(erf)))
 
 
-def normal_sf_expr(z: Column) -> Column:
-    """P(Z > z) for a standard normal, JVM-side."""
-    return F.lit(0.5) * erfc_expr(z / F.lit(math.sqrt(2.0)))
+def log_normal_sf_expr(z: Column) -> Column:
+    """ln P(Z > z) for a standard normal, JVM-side."""
+    return F.lit(math.log(0.5)) + log_erfc_expr(z / F.lit(math.sqrt(2.0)))
 
 
-def chi2_sf_expr(x: Column, dof: Column) -> Column:
-    """P(X > x) for chi-square with a positive integer ``dof`` (a column), JVM-side, closed forms:
-    even dof = 2a: exp(-x/2) * sum_{i<a} (x/2)^i / i!;
-    odd dof = 2a+1: erfc(sqrt(x/2)) + exp(-x/2) * sum_{i=1..a} (x/2)^(i-1/2) / Gamma(i+1/2).
-    The terms are built by recurrence inside ``aggregate`` (no factorials overflow)."""
+def log_chi2_sf_expr(x: Column, dof: Column) -> Column:
+    """ln P(X > x) for chi-square with a positive integer ``dof`` (a column), JVM-side, closed forms with h = x/2:
+    even dof = 2a: exp(-h) * sum_{i<a} h^i / i!;
+    odd dof = 2a+1: erfc(sqrt(h)) + exp(-h) * sum_{i=1..a} h^(i-1/2) / Gamma(i+1/2).
+    Terms are summed as logarithms, relative to the largest so far, so none overflows."""
     h = x / F.lit(2.0)
     k = dof.cast("int")
     half = F.floor(k / F.lit(2)).cast("int")
-    # sequences stay ascending and non-empty (Spark counts down when start > stop); the
-    # cases without terms are masked instead
-    even_terms = F.aggregate(F.sequence(F.lit(1), F.greatest(half - 1, F.lit(1))),
-                             F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")),
-                             lambda acc, i: F.struct((acc["t"] * h / i).alias("t"),
-                                                     (acc["s"] + acc["t"] * h / i).alias("s")))
-    even = F.exp(-h) * F.when(half >= 2, even_terms["s"]).when(half == 1, F.lit(1.0)).otherwise(F.lit(0.0))
-    # odd: t_1 = sqrt(h) / Gamma(3/2), t_i = t_{i-1} * h / (i - 1/2)
-    t1 = F.sqrt(h) / F.lit(math.sqrt(math.pi) / 2.0)
-    odd_terms = F.aggregate(F.sequence(F.lit(2), F.greatest(half, F.lit(2))),
-                            F.struct(t1.alias("t"), t1.alias("s")),
-                            lambda acc, i: F.struct((acc["t"] * h / (i - F.lit(0.5))).alias("t"),
-                                                    (acc["s"] + acc["t"] * h / (i - F.lit(0.5))).alias("s")))
-    odd_sum = F.when(half >= 2, odd_terms["s"]).when(half == 1, t1).otherwise(F.lit(0.0))
-    odd = erfc_expr(F.sqrt(h)) + F.exp(-h) * odd_sum
-    out = F.when(k % 2 == 0, even).otherwise(odd)
-    return F.when(x <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), out)))
+    even = k % 2 == 0
+    shift = F.when(even, F.lit(0.0)).otherwise(F.lit(0.5))
+    # the first term: h^0 / 0!, or h^(1/2) / Gamma(3/2)
+    first = F.when(even, F.lit(0.0)).otherwise(F.ln(h) * F.lit(0.5) - F.lit(math.log(math.sqrt(math.pi) / 2.0)))
+    start = F.struct(first.alias("t"), first.alias("top"), F.lit(1.0).alias("s"))
+
+    def add(acc: Column, i: Column) -> Column:
+        t = acc["t"] + F.ln(h) - F.ln(i.cast("double") + shift)
+        top = F.greatest(acc["top"], t)
+        return F.struct(t.alias("t"), top.alias("top"), (acc["s"] * F.exp(acc["top"] - top) + F.exp(t - top)).alias("s"))
+
+    # sequences stay ascending and non-empty (Spark counts down when start > stop); the cases of one term
+    # or none are masked instead
+    many = F.aggregate(F.sequence(F.lit(1), F.greatest(half - 1, F.lit(1))), start, add)
+    total = -h + F.when(half >= 2, many["top"] + F.ln(many["s"])).when(half == 1, first).otherwise(F.lit(float("-inf")))
+    out = F.when(even, total).otherwise(log_add(log_erfc_expr(F.sqrt(h)), total))
+    return F.when(x <= 0, F.lit(0.0)).otherwise(F.least(F.lit(0.0), out))
+
+
+def with_tail(df: DataFrame, log_p: Column) -> DataFrame:
+    """Add p_value and its base-10 logarithm, which stays exact where p_value is too small for a double."""
+    return df.withColumn("log10_p", log_p / F.lit(math.log(10.0))).withColumn("p_value", F.exp(log_p))
 
 
 # --------------------------------------------------------------------------- rank tests
@@ -186,7 +200,7 @@ def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: S
     ``first`` / ``second`` are predicates selecting the two samples.  U is
     the first sample's; ``alternative`` is ``greater``, ``less`` or
     ``two-sided`` (U = max(U1, U2)).  Output per stratum: n1, n2, u, z,
-    p_value, rank_biserial (= 1 - 2U/(n1 n2), sign as the source).
+    p_value, log10_p, rank_biserial (= 1 - 2U/(n1 n2), sign as the source).
     """
     by = list(by)
     v = F.col(value)
@@ -218,10 +232,10 @@ def mwu_stats(agg: DataFrame, by: Sequence[str], alternative: str = "greater", c
 
 def mwu_from_sums(agg: DataFrame, by: Sequence[str], alternative: str, continuity: bool) -> DataFrame:
     st = mwu_stats(agg, by, alternative, continuity)
-    p = normal_sf_expr(F.col("z"))
+    p = log_normal_sf_expr(F.col("z"))
     if alternative == "two-sided":
-        p = F.least(F.lit(1.0), 2 * p)
-    return st.withColumn("p_value", p)
+        p = F.least(F.lit(0.0), p + F.lit(math.log(2.0)))
+    return with_tail(st, p)
 
 
 def kruskal_wallis(df: DataFrame, value: str, group: str, by: Sequence[str] = ("city",)) -> DataFrame:
@@ -232,7 +246,7 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, by: Sequence[str] = ("
     """
     by = list(by)
     st = kruskal_stats(df, value, group, by)
-    return st.withColumn("p_value", chi2_sf_expr(F.col("h"), F.col("k") - 1))
+    return with_tail(st, log_chi2_sf_expr(F.col("h"), F.col("k") - 1))
 
 
 def kruskal_stats(df: DataFrame, value: str, group: str, by: Sequence[str] = ("city",)) -> DataFrame:
@@ -295,100 +309,95 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
 
 
 # --------------------------------------------------------------------------- regression
-def cross_products(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Sufficient statistics of OLS with intercept: n, sums, and all cross products (one aggregate)."""
-    cols = ["__one", *xs, y]
-    d = df.withColumn("__one", F.lit(1.0))
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols[: i + 1]):
-            aggs.append(F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"s_{i}_{j}"))
-    return d.groupBy(*by).agg(*aggs)
-
-
-def _solve(row, k: int) -> dict:
-    """OLS from cross products on the driver (k+1 square system)."""
-    m = k + 2  # intercept, k features, y
-    s = np.zeros((m, m))
-    for i in range(m):
-        for j in range(i + 1):
-            s[i, j] = s[j, i] = row[f"s_{i}_{j}"]
-    n = row["n"]
-    xtx, xty, yty = s[: k + 1, : k + 1], s[: k + 1, k + 1], s[k + 1, k + 1]
-    pinv = np.linalg.pinv(xtx)  # minimum-norm solution when features are collinear (as statsmodels)
-    beta = pinv @ xty
-    sse = yty - beta @ xty
-    ybar = s[0, k + 1] / n
-    sst = yty - n * ybar * ybar
-    dof = n - k - 1
+def centred_sums(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Sufficient statistics of OLS with intercept, one row per stratum: n, means, and the covariances of every two
+    columns.  ``covar_pop`` merges centred sums, so large offsets cancel nothing."""
+    cols = [F.col(c).cast("double") for c in [*xs, y]]
+    aggs = [F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)]
+    aggs += [F.covar_pop(a, b).alias(f"c_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols[: i + 1])]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *aggs)
+
+
+def _solve(row, k: int) -> dict | None:
+    """OLS from centred sums: the k x k system of correlations, scaled back.  None without degrees of freedom.
+
+    Collinear features get the coefficients of least norm among standardised ones; a constant feature gets 0.
+    """
+    n, dof = int(row["n"]), int(row["n"]) - k - 1
+    if dof <= 0:
+        return None
+    mean = np.array([row[f"m_{i}"] for i in range(k + 1)])
+    c = np.array([[row[f"c_{max(i, j)}_{min(i, j)}"] for j in range(k + 1)] for i in range(k + 1)])
+    sd = np.sqrt(np.clip(np.diag(c), 0, None))
+    ok = sd[:k] > 1e-12 * np.maximum(1.0, np.abs(mean[:k]))
+    scale = np.where(ok, sd[:k], 1.0)
+    r = np.where(np.outer(ok, ok), c[:k, :k] / np.outer(scale, scale), 0.0)
+    inverse = np.linalg.pinv(r, hermitian=True)
+    ry = np.where(ok, c[:k, k] / scale, 0.0)
+    std_beta = inverse @ ry
+    slope = std_beta / scale
+    sse, sst = max(n * (c[k, k] - std_beta @ ry), 0.0), n * c[k, k]
     sigma2 = sse / dof
-    cov = sigma2 * pinv
-    se = np.sqrt(np.clip(np.diag(cov), 0, None))
-    r2 = 1 - sse / sst
-    # VIF_j = 1 / (1 - R2_j), R2_j of feature j regressed on the other features and
-    # the constant (statsmodels' auxiliary regression).  From the correlation matrix:
-    # R2_j = r_j' pinv(R_others) r_j, which stays right when the others are collinear;
-    # an exactly collinear feature (R2 = 1) gets +inf, a constant feature (no
-    # variance, R2 undefined) stays null.
-    mean = s[0, 1: k + 1] / n
-    cxx = xtx[1:, 1:] / n - np.outer(mean, mean)
-    sd = np.sqrt(np.clip(np.diag(cxx), 0, None))
-    ok = sd > 1e-12 * np.maximum(1.0, np.abs(mean))
+    var = sigma2 * inverse / n / np.outer(scale, scale)
+    beta = np.r_[mean[k] - slope @ mean[:k], slope]
+    se = np.sqrt(np.clip(np.r_[sigma2 / n + mean[:k] @ var @ mean[:k], np.diag(var)], 0, None))
+    r2 = 1 - sse / sst if sst > 0 else float("nan")
+    # VIF_j = 1 / (1 - R2_j), R2_j of feature j regressed on the other features and the constant: right also when
+    # the others are collinear; an exactly collinear feature gets +inf, a constant feature stays null.
     vif = np.full(k, np.nan)
     idx = np.flatnonzero(ok)
-    if len(idx):
-        corr = cxx[np.ix_(idx, idx)] / np.outer(sd[idx], sd[idx])
-        for a, j in enumerate(idx):
-            others = [b for b in range(len(idx)) if b != a]
-            if not others:
-                vif[j] = 1.0
-                continue
-            r = corr[others, a]
-            aux_r2 = float(r @ np.linalg.pinv(corr[np.ix_(others, others)]) @ r)
-            vif[j] = np.inf if 1.0 - aux_r2 <= 1e-12 else 1.0 / (1.0 - aux_r2)
+    for j in idx:
+        others = [i for i in idx if i != j]
+        aux = float(r[others, j] @ np.linalg.pinv(r[np.ix_(others, others)], hermitian=True) @ r[others, j]) if others else 0.0
+        vif[j] = np.inf if 1.0 - aux <= 1e-12 else 1.0 / (1.0 - aux)
     return {"beta": beta, "se": se, "r2": r2, "adj_r2": 1 - (1 - r2) * (n - 1) / dof,
-            "f": (r2 / k) / ((1 - r2) / dof), "n": n, "dof": dof, "vif": vif}
+            "f": (r2 / k) / ((1 - r2) / dof) if r2 < 1 else float("inf"), "dof": dof, "vif": vif}
 
 
 def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ("city",)) -> DataFrame:
-    """OLS with intercept per stratum from one distributed pass of cross products.
+    """OLS with intercept per stratum from one distributed pass of centred sums.
 
-    The per-stratum sums (one row per city, (k+2)^2 numbers) are solved on
-    the driver.  Output long form: stratum, term, coef, std_err, t, p_value,
-    vif (features only), r2, adj_r2, f_stat, f_p_value, n.
+    Each stratum's row is solved in a task ((k+1)^2 numbers).  Output long form: stratum, term, coef, std_err, t,
+    p_value, vif (features only), r2, adj_r2, f_stat, f_p_value, n.  A stratum without degrees of freedom keeps its
+    terms and n, with nulls.
     """
     by, xs = list(by), list(xs)
     k = len(xs)
-    rows = cross_products(df, y, xs, by).collect()  # one row per stratum
-    out = []
-    for row in rows:
-        res = _solve(row, k)
-        f_p = f_sf(res["f"], k, res["dof"])
-        for i, term in enumerate(["const", *xs]):
-            t = res["beta"][i] / res["se"][i] if res["se"][i] > 0 else float("nan")
-            out.append((*[row[b] for b in by], term, float(res["beta"][i]), float(res["se"][i]), float(t),
-                        float(t_sf_two_sided(t, res["dof"])) if not math.isnan(t) else None,
-                        float(res["vif"][i - 1]) if i > 0 and not np.isnan(res["vif"][i - 1]) else None,
-                        float(res["r2"]), float(res["adj_r2"]), float(res["f"]), float(f_p), int(res["n"])))
-    schema = T.StructType([*[df.schema[b] for b in by],
-                           *[T.StructField(n, t) for n, t in [
-                               ("term", T.StringType()), ("coef", T.DoubleType()), ("std_err", T.DoubleType()),
-                               ("t", T.DoubleType()), ("p_value", T.DoubleType()), ("vif", T.DoubleType()),
-                               ("r2", T.DoubleType()), ("adj_r2", T.DoubleType()), ("f_stat", T.DoubleType()),
-                               ("f_p_value", T.DoubleType()), ("n", T.LongType())]]])
-    return df.sparkSession.createDataFrame(out, schema)
+    names = ["coef", "std_err", "t", "p_value", "vif", "r2", "adj_r2", "f_stat", "f_p_value"]
+    schema = T.StructType([*[df.schema[b] for b in by], T.StructField("term", T.StringType()),
+                           *[T.StructField(c, T.DoubleType()) for c in names], T.StructField("n", T.LongType())])
+
+    def solve(batches):
+        import pandas as pd
+        for batch in batches:
+            out = []
+            for row in batch.to_dict("records"):
+                res = _solve(row, k)
+                for i, term in enumerate(["const", *xs]):
+                    values = [None] * len(names)
+                    if res:
+                        t = res["beta"][i] / res["se"][i] if res["se"][i] > 0 else float("nan")
+                        values = [res["beta"][i], res["se"][i], t, t_sf_two_sided(t, res["dof"]) if t == t else None,
+                                  res["vif"][i - 1] if i else None, res["r2"], res["adj_r2"], res["f"],
+                                  f_sf(res["f"], k, res["dof"]) if res["f"] == res["f"] else None]
+                        values = [None if v is None or v != v else float(v) for v in values]
+                    out.append((*[row[b] for b in by], term, *values, int(row["n"])))
+            frame = pd.DataFrame(out, columns=[*by, "term", *names, "n"])
+            frame[names] = frame[names].astype("Float64")
+            yield frame
+
+    return centred_sums(df, y, xs, by).mapInPandas(solve, schema)
 
 
 # --------------------------------------------------------------------------- density
-KDE_REACH = 8.0  # fixed value: kernel terms beyond 8 bandwidths are dropped (< exp(-32) of the peak)
 def gaussian_kde(df: DataFrame, value: str, grid_points: int = 200, by: Sequence[str] = (),
                  lo: float | None = None, hi: float | None = None) -> DataFrame:
     """X11: Gaussian KDE (Scott bandwidth n^(-1/5) * sd) evaluated on an even grid.
 
     The sample is collapsed to distinct values with counts; each distinct
-    value is exploded over the grid points within 8 bandwidths of it (a
-    generator, not a join) and the contributions are summed per grid point.  The grid spans [lo, hi] or
-    the data range per stratum.
+    value is exploded over the grid points (a generator, not a join) and the
+    contributions are summed per grid point, first in each task.  The grid
+    spans [lo, hi] or the data range per stratum.
     """
     by = list(by)
     if not by:
@@ -402,33 +411,14 @@ def gaussian_kde(df: DataFrame, value: str, grid_points: int = 200, by: Sequence
            .withColumn("__hi", F.lit(hi) if hi is not None else F.col("__max"))
     st = st.where(F.col("__h") > 0)  # a stratum without spread has no Gaussian bandwidth
     counts = base.groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    j = counts.join(F.broadcast(st), by)  # one row per stratum
-    # each distinct value meets only the grid points within KDE_REACH bandwidths (beyond, a
-    # kernel term is below exp(-32) of its peak): the index range comes from arithmetic, so a
-    # narrow bandwidth on a wide range touches a few points instead of all of them
+    j = counts.join(st, [counts[c].eqNullSafe(st[c]) for c in by]).select(*[counts[c] for c in by], "__v", "__c", "__n", "__h", "__lo", "__hi")
     g = grid_points - 1
-    step = (F.col("__hi") - F.col("__lo")) / F.lit(float(g))
-    reach = F.lit(KDE_REACH) * F.col("__h")
-
-    def idx(offset, rnd):
-        pos = (F.col("__v") + offset - F.col("__lo")) / step
-        return rnd(F.least(F.lit(float(g + 1)), F.greatest(F.lit(-1.0), pos))).cast("int")
-
-    first, last = F.greatest(F.lit(0), idx(-reach, F.ceil)), F.least(F.lit(g), idx(reach, F.floor))
-    near = (F.when(step <= 0, F.sequence(F.lit(0), F.lit(g)))
-             .when(first <= last, F.sequence(first, last))
-             .otherwise(F.array().cast("array<int>")))
-    j = j.withColumn("grid", F.explode(near))
+    j = j.withColumn("grid", F.explode(F.sequence(F.lit(0), F.lit(g))))
     x = F.col("__lo") + F.col("grid") * (F.col("__hi") - F.col("__lo")) / F.lit(grid_points - 1)
     z = (x - F.col("__v")) / F.col("__h")
     contrib = F.col("__c") * F.exp(-0.5 * z * z) / (F.col("__h") * F.lit(math.sqrt(2 * math.pi)))
     keys = [*by, "grid", "__lo", "__hi", "__n"]
-    # every grid point of every stratum is reported, also where no value reaches it (density 0):
-    # a zero row per (stratum, grid point), strata x grid rows
-    zeros = st.select(*by, F.explode(F.sequence(F.lit(0), F.lit(g))).alias("grid"), "__lo", "__hi", "__n",
-                      F.lit(0.0).alias("__contrib"))
-    terms = j.select(*keys, contrib.alias("__contrib")).unionByName(zeros)
-    out = terms.groupBy(*keys).agg(F.sum("__contrib").alias("__s"))
+    out = j.groupBy(*keys).agg(F.sum(contrib).alias("__s"))
     res = out.select(*by, "grid", (F.col("__lo") + F.col("grid") * (F.col("__hi") - F.col("__lo")) / F.lit(grid_points - 1)).alias("x"),
                      (F.col("__s") / F.col("__n")).alias("density"))
     return res.drop("__all")

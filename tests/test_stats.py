@@ -125,13 +125,51 @@ def test_kde_matches_formula(spark):
     assert np.allclose(out["density"].values, exp) and np.allclose(out["x"].values, xs)
 
 
-def test_tail_expressions_match_reference(spark):
-    zs = [-10.0, -3.2, -1.0, 0.0, 0.3, 1.96, 4.0, 6.0, 7.9, 8.1, 40.0]
-    got = spark.createDataFrame([(z,) for z in zs], "z double").select(S.normal_sf_expr(F.col("z")).alias("p")).collect()
-    assert max(abs(r.p - S.normal_sf(z)) for r, z in zip(got, zs)) < 1e-14
+def _log_normal_sf(z):
+    """ln of the normal tail by an asymptotic bracket's mean at large z, by erfc below."""
+    if z < 25:
+        return math.log(0.5 * math.erfc(z / math.sqrt(2)))
+    series = 1 - 1 / z**2 + 3 / z**4 - 15 / z**6 + 105 / z**8 - 945 / z**10
+    return -z * z / 2 - math.log(z * math.sqrt(2 * math.pi)) + math.log(series)
+
+
+def test_normal_tail_keeps_its_digits(spark):
+    zs = [-10.0, -3.2, -1.0, 0.0, 0.3, 1.96, 2.82, 2.83, 4.0, 6.0, 7.9, 9.0, 12.0, 24.0, 40.0, 100.0]
+    got = spark.createDataFrame([(z,) for z in zs], "z double").select(S.log_normal_sf_expr(F.col("z")).alias("p")).collect()
+    for r, z in zip(got, zs):
+        assert math.expm1(r.p - _log_normal_sf(z)) == pytest.approx(0, abs=1e-9), z
+
+
+def test_chi2_tail_keeps_its_digits(spark):
     rows = [(x, k) for x in [0.0, 0.5, 3.0, 14.0, 60.0, 300.0] for k in range(1, 20)]
-    got = spark.createDataFrame(rows, "x double, k int").select(S.chi2_sf_expr(F.col("x"), F.col("k")).alias("p")).collect()
-    assert max(abs(r.p - S.chi2_sf(x, k)) for r, (x, k) in zip(got, rows)) < 1e-13
+    rows += [(1000.0, 1000), (900.0, 999), (1600.0, 1000), (1700.0, 1001)]
+    got = spark.createDataFrame(rows, "x double, k int").select(S.log_chi2_sf_expr(F.col("x"), F.col("k")).alias("p")).collect()
+    for r, (x, k) in zip(got, rows):
+        assert math.exp(r.p) == pytest.approx(S.chi2_sf(x, k), rel=1e-9, abs=1e-300), (x, k)
+    # far beyond a double: ln Q(500, 5000) = -x/2 + 499 ln(x/2) - lgamma(500) + ln(1 + 499/5000 + ...)
+    far = spark.createDataFrame([(10000.0, 1000)], "x double, k int").select(S.log_chi2_sf_expr(F.col("x"), F.col("k"))).first()[0]
+    term = total = 1.0
+    for i in range(499, 0, -1):
+        term *= i / 5000
+        total += term
+    assert far == pytest.approx(-5000 + 499 * math.log(5000) - math.lgamma(500) + math.log(total), abs=1e-8)
+
+
+def test_ols_with_a_large_offset_matches_regr_slope(spark):
+    rng = np.random.default_rng(3)
+    x = 1e8 + np.arange(2000.0)
+    df = spark.createDataFrame(pd.DataFrame({"city": "c", "x": x, "y": 0.5 * x + rng.normal(size=2000)}))
+    out = {r.term: r for r in S.ols(df, "y", ["x"]).collect()}
+    slope, r2 = df.select(F.regr_slope("y", "x"), F.regr_r2("y", "x")).first()
+    assert out["x"].coef == pytest.approx(slope, rel=1e-9) and out["x"].r2 == pytest.approx(r2, rel=1e-9)
+
+
+def test_ols_of_a_small_stratum_is_null(spark):
+    rows = [("big", float(i), float(i * i % 7), float(i % 3) + i) for i in range(50)] + [("tiny", 1.0, 2.0, 3.0)] * 2 + [("flat", 1.0, 2.0, 3.0)] * 9
+    out = {(r.city, r.term): r for r in S.ols(spark.createDataFrame(rows, "city string, a double, b double, y double"), "y", ["a", "b"]).collect()}
+    assert len(out) == 9 and out["big", "a"].coef is not None
+    assert out["tiny", "a"].n == 2 and out["tiny", "a"].coef is None and out["tiny", "const"].p_value is None
+    assert out["flat", "const"].coef == 3.0 and out["flat", "a"].vif is None
 
 
 def test_kde_narrow_bandwidth_keeps_every_grid_point(spark):
