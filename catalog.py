@@ -194,7 +194,8 @@ def bucket_sql(v: str, edges, labels=None) -> str:
     parts = []
     for i in range(len(edges) - 1):
         out = f"'{labels[i]}'" if labels else str(i)
-        parts.append(f"WHEN {v} > {edges[i]} AND {v} <= {edges[i + 1]} THEN {out}")
+        upper = "" if edges[i + 1] == float("inf") else f" AND {v} <= {edges[i + 1]}"
+        parts.append(f"WHEN {v} > {edges[i]}{upper} THEN {out}")
     return "CASE " + " ".join(parts) + " END"
 
 
@@ -512,14 +513,38 @@ def mix32_sql(x: str, seed: int) -> str:
 
 
 @register("m33_scatter_sample", q(f"""
-SELECT listing_id, city, number_of_reviews, price, review_scores_rating
-FROM serving WHERE price IS NOT NULL AND price <= {cap_sql(PRICE_CAPS["scatter"])}
-ORDER BY {mix32_sql('listing_id', 42)}, listing_id LIMIT 500
+SELECT listing_id, city, number_of_reviews, price, review_scores_rating FROM (
+  SELECT *, row_number() OVER (PARTITION BY city ORDER BY {mix32_sql('listing_id', 42)}, listing_id) AS r
+  FROM serving WHERE price IS NOT NULL AND number_of_reviews > 0)
+WHERE r <= 2000 AND price <= {cap_sql(PRICE_CAPS["reviews"])}
 """))
 def _m33(spark, d):
     return M.scatter_sample(market_for(spark, d).serving())
 
 
+@register("m33_rating_price_sample", q(f"""
+SELECT listing_id, city, review_scores_rating, price, occupancy_rate FROM serving
+WHERE price IS NOT NULL AND review_scores_rating IS NOT NULL AND occupancy_rate IS NOT NULL
+  AND price <= {cap_sql(PRICE_CAPS["scatter"])}
+ORDER BY {mix32_sql('listing_id', 42)}, listing_id LIMIT 3000
+"""))
+def _m33b(spark, d):
+    return M.rating_price_sample(market_for(spark, d).serving())
+
+
+@register("m34_review_velocity_histogram", q(f"""
+, cut AS (SELECT city, quantile_cont(review_velocity, 0.95) AS top FROM serving WHERE review_velocity IS NOT NULL GROUP BY city),
+trimmed AS (SELECT s.* FROM serving s JOIN cut USING (city) WHERE review_velocity <= top),
+med AS (SELECT city, quantile_cont(review_velocity, 0.5) AS m FROM trimmed GROUP BY city)
+{hist_ctes('trimmed', 'review_velocity', 60)}
+SELECT city, bin, {re('lo + (bin - 1) * ((hi - lo) / 60)', 6)} AS bin_lo, {re('lo + bin * ((hi - lo) / 60)', 6)} AS bin_hi,
+       count(*) AS count, {re('m', 6)} AS trimmed_median
+FROM hb JOIN med USING (city) GROUP BY city, bin, lo, hi, m
+"""))
+def _m34b(spark, d):
+    return M.review_velocity_histogram(market_for(spark, d).serving())
+
+
 @register("m34_review_velocity_summary", q(f"""
 SELECT city, {re('quantile_cont(review_velocity, 0.5)', 6)} AS median_velocity, {re('avg(review_velocity)', 6)} AS mean_velocity,
        {re('CAST(count_if(review_velocity > 20) AS DOUBLE) / CAST(count(review_velocity) AS DOUBLE) * 100', 6)} AS pct_fast,
@@ -531,13 +556,22 @@ def _m34(spark, d):
 
 
 @register("m35_high_review_low_score", q(f"""
-SELECT city, count(*) AS flagged, {re('quantile_cont(price, 0.5)', 6)} AS median_price FROM serving
+SELECT city, count(*) AS flagged, {re('quantile_cont(price, 0.5)', 6)} AS median_price,
+       {re('quantile_cont(occupancy_rate, 0.5)', 6)} AS median_occupancy FROM serving
 WHERE number_of_reviews > 18 AND review_scores_rating < 4.5 GROUP BY city
 """))
 def _m35(spark, d):
     return M.high_review_low_score(market_for(spark, d).serving(), min_reviews=18)
 
 
+@register("m35_review_rating_points", q(f"""
+SELECT listing_id, city, number_of_reviews, review_scores_rating, price FROM serving
+WHERE number_of_reviews >= 10 AND review_scores_rating IS NOT NULL AND price IS NOT NULL AND price <= {cap_sql(PRICE_CAPS["reviews"])}
+"""))
+def _m35b(spark, d):
+    return M.review_rating_points(market_for(spark, d).serving())
+
+
 @register("m36_price_tier_performance", q(f"""
 SELECT city, price_tier, count(*) AS count,
        {re('CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY city) * 100', 6)} AS share_pct,
@@ -567,6 +601,17 @@ def _m38(spark, d):
     return M.neighbourhood_top5_summary(market_for(spark, d).enriched)
 
 
+@register("m38_neighbourhood_top5_by_count", q(f"""
+, st AS (SELECT city, neighbourhood_cleansed, count(*) AS listing_count, {re('quantile_cont(price, 0.5)', 6)} AS median_price,
+                {re('avg(occupancy_rate)', 6)} AS avg_occupancy
+         FROM serving WHERE neighbourhood_cleansed IS NOT NULL GROUP BY city, neighbourhood_cleansed)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY city ORDER BY listing_count DESC, neighbourhood_cleansed) AS INTEGER) AS rank
+               FROM st) WHERE rank <= 5
+"""))
+def _m38b(spark, d):
+    return M.neighbourhood_top5_by_count(market_for(spark, d).serving())
+
+
 @register("m39_listing_count_per_city", q("""
 SELECT city, count(*) AS listing_count FROM fact_listings GROUP BY city
 """))
@@ -1013,13 +1058,34 @@ def _x13(spark, d):
 
 @register("x14_h3_reviews_price", q(f"""
 , s AS (SELECT city, price AS v, number_of_reviews > 15 AS g1 FROM serving
-        WHERE price IS NOT NULL AND number_of_reviews IS NOT NULL){mwu_sql(True)}
-SELECT {mw_columns()} FROM mw
+        WHERE price IS NOT NULL AND number_of_reviews IS NOT NULL){mwu_sql(True)},
+mm AS (SELECT city, quantile_cont(v, 0.5) FILTER (WHERE g1) AS m1, quantile_cont(v, 0.5) FILTER (WHERE NOT g1) AS m2,
+              avg(v) FILTER (WHERE g1) AS a1, avg(v) FILTER (WHERE NOT g1) AS a2 FROM s GROUP BY city)
+SELECT {mw_columns()}, {re('m1', 6)} AS median_many, {re('a1', 6)} AS mean_many, {re('m2', 6)} AS median_few, {re('a2', 6)} AS mean_few,
+       {re('m1 - m2', 6)} AS median_diff
+FROM mw JOIN mm USING (city)
 """))
 def _x14(spark, d):
     return _rounded(H.h3_reviews_price(market_for(spark, d).serving(), threshold=15))
 
 
+@register("x14_h3_price_boxes", q(f"""
+, g AS (SELECT city, CASE WHEN number_of_reviews > 15 THEN 'many' ELSE 'few' END AS review_group, price FROM serving
+        WHERE price IS NOT NULL AND number_of_reviews IS NOT NULL),
+cut AS (SELECT city, review_group, quantile_cont(price, 0.95) AS top FROM g GROUP BY ALL),
+t AS (SELECT g.* FROM g JOIN cut USING (city, review_group) WHERE price <= top),
+b AS (SELECT city, review_group, count(*) AS n, avg(price) AS mean, quantile_cont(price, 0.25) AS q1,
+             quantile_cont(price, 0.5) AS median, quantile_cont(price, 0.75) AS q3 FROM t GROUP BY ALL),
+w AS (SELECT city, review_group, min(price) FILTER (WHERE price >= q1 - 1.5 * (q3 - q1)) AS lo,
+             max(price) FILTER (WHERE price <= q3 + 1.5 * (q3 - q1)) AS hi FROM t JOIN b USING (city, review_group) GROUP BY ALL)
+SELECT city, review_group, n, {re('mean', 6)} AS mean, {re('q1', 6)} AS q1, {re('median', 6)} AS median, {re('q3', 6)} AS q3,
+       {re('lo', 6)} AS whisker_low, {re('hi', 6)} AS whisker_high
+FROM b JOIN w USING (city, review_group)
+"""))
+def _x14b(spark, d):
+    return _rounded(H.h3_price_boxes(market_for(spark, d).serving(), threshold=15))
+
+
 @register("x15_h4_neighbourhood_prices", q(f"""
 , cnt AS (SELECT city, neighbourhood_cleansed, count(*) AS n FROM serving WHERE neighbourhood_cleansed IS NOT NULL
           GROUP BY city, neighbourhood_cleansed),

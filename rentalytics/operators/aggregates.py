@@ -216,19 +216,19 @@ def mean_of_rates(df: DataFrame, keys: Sequence[str], rate_col: str, out: str |
     return df.groupBy(*keys).agg(F.avg(rate_col).alias(out or rate_col))
 
 
-def crosstab_pct(df: DataFrame, row: str, col: str, values: Sequence[str] | None = None,
-                 by: Sequence[str] = ()) -> DataFrame:
+def crosstab_pct(df: DataFrame, row: str, col: str, by: Sequence[str] = ()) -> DataFrame:
     """Counts with zero fill and row percentage, in long form (row, col, count, row_pct).
 
-    ``pivot`` fills absent combinations with 0 (no cross product of keys is
-    built); ``values`` fixes the column categories, otherwise they are read
-    from the data (bounded by the category count).
+    A row lists every category that its group ``by`` has; counts are aggregated first, so the windows and lists
+    below hold one entry per row and category, and no categories are read when the plan is built.
     """
-    wide = df.groupBy(*by, row).pivot(col, list(values) if values is not None else None).count().na.fill(0)
-    cats = [c for c in wide.columns if c not in set(by) | {row}]
-    long = wide.unpivot([*by, row], cats, col, "count")
-    w = Window.partitionBy(*by, row)
-    return long.withColumn("row_pct", F.col("count") / F.sum("count").over(w) * 100)
+    counts = df.groupBy(*by, row, col).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumn("__all", F.collect_set(col).over(Window.partitionBy(*by)))
+    per_row = counts.groupBy(*by, row).agg(F.first("__all").alias("__all"), F.sum("__n").alias("__total"),
+                                           F.map_from_entries(F.collect_list(F.struct(col, "__n"))).alias("__by"))
+    long = per_row.withColumn(col, F.explode("__all"))
+    n = F.coalesce(F.try_element_at("__by", F.col(col)), F.lit(0))
+    return long.select(*by, row, col, n.alias("count"), (n / F.col("__total") * 100).alias("row_pct"))
 
 
 def pivot_rate(df: DataFrame, keys: Sequence[str], flag: str, split: str) -> DataFrame:
@@ -270,8 +270,7 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ("city",))
     rng = rng.select(*by,
                      F.when(F.col("__mx") > F.col("__mn"), F.col("__mn")).otherwise(F.col("__mn") - 0.5).alias("__lo"),
                      F.when(F.col("__mx") > F.col("__mn"), F.col("__mx")).otherwise(F.col("__mx") + 0.5).alias("__hi"))
-    # one row per group: bounded
-    j = df.where(v.isNotNull()).join(F.broadcast(rng), by)
+    j = df.where(v.isNotNull()).join(rng, by)
     idx = F.least(F.floor((v - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * F.lit(bins)) + 1, F.lit(bins))
     h = j.groupBy(*by, idx.cast("int").alias("bin"), "__lo", "__hi").agg(F.count(F.lit(1)).alias("count"))
     width = (F.col("__hi") - F.col("__lo")) / F.lit(bins)
@@ -342,5 +341,4 @@ def with_group_total(stats: DataFrame, detail: DataFrame, col: str, by: Sequence
                      out: str = "group_median", method: str = "distributed") -> DataFrame:
     """A per-group scalar (median of the whole group) next to finer statistics."""
     tot = group_quantiles(detail, {out: (col, 0.5)}, by, method)
-    # one row per (coarse) group, e.g. per city
-    return stats.join(F.broadcast(tot), list(by), "left")
+    return stats.join(tot, list(by), "left")

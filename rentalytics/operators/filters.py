@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import col as _c
@@ -109,12 +109,11 @@ def cap_by_group(df: DataFrame, value_col: str, caps: Mapping[str, float], group
 
 
 def quantile_trim(df: DataFrame, value_col: str, q: float, by: Sequence[str] = ("city",)) -> DataFrame:
-    """Keep rows with ``value <= quantile_q`` of their group (exact, interpolated, from distributed ranks)."""
+    """Keep rows with ``value <= quantile_q`` of their group (exact, interpolated)."""
     from .quantiles import exact_quantiles
     by = list(by)
     qs = exact_quantiles(df, {"__q": (value_col, q)}, by)
-    # one row per group: bounded by the number of groups (cities)
-    return df.join(F.broadcast(qs), by, "inner").where(F.col(value_col) <= F.col("__q")).drop("__q")
+    return df.join(qs, by, "inner").where(F.col(value_col) <= F.col("__q")).drop("__q")
 
 
 def is_true(df: DataFrame, col) -> DataFrame:
@@ -126,16 +125,20 @@ def is_false(df: DataFrame, col) -> DataFrame:
     return df.where(_c(col) == F.lit(False))
 
 
-def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Reproducible sample of at most ``n`` rows (top-n by a seeded hash; n is the feature).
+def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42, by: Sequence[str] = ()) -> DataFrame:
+    """Reproducible sample of at most ``n`` rows, of all or of each group (top-n by a seeded hash; n is the
+    feature).
 
     Integer keys use ``mix32`` (portable: the same sample in any engine);
-    other keys ``xxhash64``.  Top-n keeps n rows per task before one merge.
+    other keys ``xxhash64``.  Top-n keeps n rows per task before the merge.
     """
     from pyspark.sql import types as T
     from ..functions.numeric import mix32
     integral = isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     h = mix32(key, seed) if integral else F.xxhash64(F.col(key), F.lit(seed))
+    if by:  # a rank filter: Spark keeps n rows of a group in each task before the shuffle
+        w = Window.partitionBy(*by).orderBy(h, F.col(key))
+        return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= n).drop("__rank")
     return df.orderBy(h, F.col(key)).limit(n)
 
 

@@ -1,9 +1,8 @@
 """Joins (J01-J10).
 
 Equi-joins are left to Catalyst + AQE (sort-merge or shuffled hash, skew
-splitting, runtime conversion to broadcast when a side is measured small).
-``F.broadcast`` is used only for sides whose size is bounded by
-construction: lookup dictionaries, per-city rows, top-N key sets.
+splitting, runtime conversion to broadcast when a side is measured small):
+no side is broadcast by a hint here.
 """
 
 from __future__ import annotations
@@ -15,24 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def left_join_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                   columns: Sequence[str] | None = None) -> DataFrame:
-    """Left equi-join on differently named keys; the right key is dropped."""
-    r = right.select(right_key, *columns) if columns else right
-    r = r.withColumnRenamed(right_key, "__rk")
-    return left.join(r, F.col(left_key) == F.col("__rk"), "left").drop("__rk")
-
-
-def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left",
-           bounded: bool = False) -> DataFrame:
-    """Join a per-key aggregate (or dimension) back onto detail rows.
-
-    ``bounded=True`` marks ``stats`` as small by construction (one row per
-    city, per configured category...) and broadcasts it; otherwise AQE picks
-    the strategy from measured sizes.
-    """
-    right = F.broadcast(stats) if bounded else stats
-    return df.join(right, list(keys), how)
+def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a per-key aggregate (or dimension) back onto detail rows."""
+    return df.join(stats, list(keys), how)
 
 
 def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,15 +31,6 @@ def lookup(df: DataFrame, col: str, mapping: Mapping[str, str], out: str, defaul
     return df.withColumn(out, F.coalesce(value, F.lit(default)) if default is not None else value)
 
 
-def lookup_frame(df: DataFrame, col: str, table: DataFrame, key: str, value: str, out: str,
-                 default: str | None = "Other") -> DataFrame:
-    """J06 with the dictionary as a DataFrame (bounded lookup table, broadcast)."""
-    t = table.select(F.col(key).alias("__k"), F.col(value).alias("__v"))
-    j = df.join(F.broadcast(t), F.col(col) == F.col("__k"), "left")
-    v = F.coalesce(F.col("__v"), F.lit(default)) if default is not None else F.col("__v")
-    return j.withColumn(out, v).drop("__k", "__v")
-
-
 def merge_into_features(features: DataFrame, stats: DataFrame, keys: Sequence[str],
                         defaults: Mapping[str, object] | None = None,
                         name_field: str = "neighbourhood") -> DataFrame:
@@ -77,14 +52,9 @@ def merge_into_features(features: DataFrame, stats: DataFrame, keys: Sequence[st
     return j.withColumn("feature", F.col("feature").withField("properties", props)).drop(*stat_cols)
 
 
-def semi_join(df: DataFrame, keys: DataFrame, on: Sequence[str], bounded: bool = True) -> DataFrame:
-    """Keep rows whose key is in a key set (top-N sets are bounded -> broadcast)."""
-    k = keys.select(*on).distinct()
-    return df.join(F.broadcast(k) if bounded else k, list(on), "left_semi")
-
-
-def anti_join(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(keys.select(*on).distinct(), list(on), "left_anti")
+def semi_join(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Keep rows whose key is in a key set."""
+    return df.join(keys.select(*on).distinct(), list(on), "left_semi")
 
 
 def complete_axis(df: DataFrame, axis_col: str, values: Sequence[int], by: Sequence[str] = ()) -> DataFrame:

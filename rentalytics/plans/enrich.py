@@ -96,7 +96,7 @@ def enrich_listings(listings: DataFrame, occupancy: DataFrame,
     df = df.withColumn("price_vs_neighbourhood",
                        round_even(pct_deviation("price", "neighbourhood_median_price"), 2))
     # one row per city: bounded, broadcast
-    df = attach(df, city_quartiles, ["city"], bounded=True)
+    df = attach(df, city_quartiles, ["city"])
     df = df.withColumn("price_tier", price_tier("price", "price_p25", "price_p75")).drop("price_p25", "price_p75")
     if "first_review" in df.columns:
         df = df.withColumn("listing_age_years", age_years(F.col("scrape_date"), F.col("first_review")))

@@ -50,10 +50,24 @@ def h2_rating_density(listings: DataFrame, lo: float | None = None, hi: float |
 
 
 def h3_reviews_price(listings: DataFrame, threshold: int = 10) -> DataFrame:
-    """Price of listings with > threshold reviews vs the rest (two-sided MWU) + trimmed box stats."""
+    """Price of listings with > threshold reviews vs the rest (two-sided MWU), with both medians and means."""
     n = F.col("number_of_reviews")
     t = S.mann_whitney(listings, "price", n > threshold, n <= threshold, alternative="two-sided")
-    return _labels(t)
+    price = {"many": F.when(n > threshold, F.col("price")), "few": F.when(n <= threshold, F.col("price"))}
+    means = A.agg_with_quantiles(listings.where(F.col("price").isNotNull()), ["city"],
+                                 [F.avg(v).alias(f"mean_{k}") for k, v in price.items()],
+                                 {f"median_{k}": (v, 0.5) for k, v in price.items()},
+                                 order=["median_many", "mean_many", "median_few", "mean_few"])
+    return _labels(t).join(means.withColumn("median_diff", F.col("median_many") - F.col("median_few")), "city")
+
+
+def h3_price_boxes(listings: DataFrame, threshold: int = 10, trim_q: float = 0.95) -> DataFrame:
+    """X14 (chart data): box statistics of price per review group, each trimmed at its own quantile (P13 + A25)."""
+    from ..operators.filters import quantile_trim
+    n = F.col("number_of_reviews")
+    grouped = listings.where(F.col("price").isNotNull() & n.isNotNull()).select(
+        "city", "price", F.when(n > threshold, F.lit("many")).otherwise(F.lit("few")).alias("review_group"))
+    return A.box_stats(quantile_trim(grouped, "price", trim_q, ["city", "review_group"]), "price", ["city", "review_group"])
 
 
 def h4_neighbourhood_prices(listings: DataFrame, top: int = 15) -> DataFrame:

@@ -173,7 +173,8 @@ def review_dimension_gap(listing_frame: DataFrame, class_col: str = "host_is_sup
 
 # Host portfolio buckets (labels as displayed; edges start at 0
 # so a single-listing host is counted in "1").
-PORTFOLIO_EDGES = [0, 1, 2, 3, 5, 10, 20, 50, 100, 9999]
+PORTFOLIO_EDGES = [0, 1, 2, 3, 5, 10, 20, 50, 100, float("inf")]
+PORTFOLIO_EDGES_CLOSED = [*PORTFOLIO_EDGES[:-1], 9999]  # the source's last edge: larger hosts fall out of "100+"
 PORTFOLIO_LABELS = ["1", "2", "3", "4-5", "6-10", "11-20", "21-50", "51-100", "100+"]
 
 
@@ -223,7 +224,7 @@ def occupancy_distribution(listing_frame: DataFrame, bins: int = 50) -> DataFram
     med = A.group_quantiles(listing_frame, {"median_occupancy": ("occupancy_rate", 0.5)}, ["city"]) \
            .withColumn("median_occupancy", _r("median_occupancy"))
     return h.select("city", "bin", _r("bin_lo").alias("bin_lo"), _r("bin_hi").alias("bin_hi"), "count") \
-            .join(F.broadcast(med), "city")
+            .join(med, "city")
 
 
 def top_neighbourhoods_by_median_price(listing_frame: DataFrame, k: int = 10) -> DataFrame:
@@ -268,16 +269,17 @@ def choropleth_features(fact: DataFrame, neighbourhoods: DataFrame) -> DataFrame
     p = F.col("feature.properties")
     return merged.select("city", "neighbourhood", p["listing_count"].alias("listing_count"),
                          p["median_price"].alias("median_price"), p["avg_occupancy"].alias("avg_occupancy")) \
-                 .join(F.broadcast(rng), "city", "left") \
+                 .join(rng, "city", "left") \
                  .withColumns({"colour_p05": _r("colour_p05"), "colour_p95": _r("colour_p95")})
 
 
 # Distance bands from the city centre (km).
-DISTANCE_EDGES = [0, 2, 4, 6, 8, 10, 15, 20, 50]
+DISTANCE_EDGES = [0, 2, 4, 6, 8, 10, 15, 20, float("inf")]
+DISTANCE_EDGES_CLOSED = [*DISTANCE_EDGES[:-1], 50]  # the source's last edge: listings farther off fall out of "20+"
 DISTANCE_LABELS = ["0-2", "2-4", "4-6", "6-8", "8-10", "10-15", "15-20", "20+"]
 
 
-def price_gradient(listings: DataFrame) -> DataFrame:
+def price_gradient(listings: DataFrame, edges=DISTANCE_EDGES, labels=DISTANCE_LABELS) -> DataFrame:
     """Median price, count and occupancy by distance band from the city centre (F23 + F24 + A03)."""
     cols = ["id", "latitude", "longitude", "price", "occupancy_rate", "room_type"]
     if "centre_lat" in listings.columns:  # centre from the tenant configuration (S17)
@@ -290,8 +292,8 @@ def price_gradient(listings: DataFrame) -> DataFrame:
     df = listings.select("city", *cols, clat.alias("__clat"), clon.alias("__clon")).na.drop("any", subset=cols)
     clat, clon = F.col("__clat"), F.col("__clon")
     df = df.withColumn("distance_km", haversine_km("latitude", "longitude", clat, clon))
-    df = df.withColumn("distance_bin", bucket_right("distance_km", DISTANCE_EDGES, DISTANCE_LABELS)) \
-           .withColumn("bin_order", bucket_right("distance_km", DISTANCE_EDGES))
+    df = df.withColumn("distance_bin", bucket_right("distance_km", edges, labels)) \
+           .withColumn("bin_order", bucket_right("distance_km", edges))
     s = A.agg_with_quantiles(df.where(F.col("distance_bin").isNotNull()), ["city", "distance_bin", "bin_order"],
                              [F.count("id").alias("listing_count"), _r(F.avg("occupancy_rate")).alias("avg_occupancy")],
                              {"median_price": ("price", 0.5)}, order=["median_price", "listing_count", "avg_occupancy"])
@@ -384,16 +386,25 @@ def commercial_price_histograms(listing_frame: DataFrame, bins: int = 40, caps=P
     return h.select("city", "is_commercial_host", "bin", _r("bin_lo").alias("bin_lo"), _r("bin_hi").alias("bin_hi"), "count")
 
 
-def scatter_sample(listing_frame: DataFrame, n: int = 500, seed: int = 42, caps=PRICE_CAPS["scatter"]) -> DataFrame:
-    """Reproducible sample (at most n rows) of reviews-vs-price points under the price cap (P12 + P15)."""
+def scatter_sample(listing_frame: DataFrame, n: int = 2000, seed: int = 42, caps=PRICE_CAPS["reviews"]) -> DataFrame:
+    """M33 (a): reviews-vs-price points: at most n reviewed and priced listings of each city (P15), then the city's
+    price cap (P12)."""
     from ..operators.filters import seeded_sample
-    df = cap_by_group(listing_frame.where(F.col("price").isNotNull()), "price", caps)
-    return seeded_sample(df.select("listing_id", "city", "number_of_reviews", "price", "review_scores_rating"),
+    df = listing_frame.where(F.col("price").isNotNull() & (F.col("number_of_reviews") > 0)).select(
+        "listing_id", "city", "number_of_reviews", "price", "review_scores_rating")
+    return cap_by_group(seeded_sample(df, n, "listing_id", seed, by=["city"]), "price", caps)
+
+
+def rating_price_sample(listing_frame: DataFrame, n: int = 3000, seed: int = 42, caps=PRICE_CAPS["scatter"]) -> DataFrame:
+    """M33 (b): price-vs-rating points: at most n capped listings with price, rating and occupancy, of all cities."""
+    from ..operators.filters import drop_nulls, seeded_sample
+    df = drop_nulls(listing_frame, ["price", "review_scores_rating", "occupancy_rate"])
+    return seeded_sample(cap_by_group(df, "price", caps).select("listing_id", "city", "review_scores_rating", "price", "occupancy_rate"),
                          n, "listing_id", seed)
 
 
 def review_velocity_summary(listing_frame: DataFrame, fast: float = 20) -> DataFrame:
-    """Median / mean velocity, share above 20/yr, and the p95 trim point used for the histogram."""
+    """M34 (a): median / mean velocity, share above 20/yr, and the p95 trim point of the histogram."""
     v = F.col("review_velocity")
     s = A.agg_with_quantiles(listing_frame.where(v.isNotNull()), ["city"],
                              [_r(F.avg(v)).alias("mean_velocity"), _r(F.count_if(v > fast) / F.count(v) * 100).alias("pct_fast")],
@@ -402,12 +413,30 @@ def review_velocity_summary(listing_frame: DataFrame, fast: float = 20) -> DataF
     return s.withColumns({"median_velocity": _r("median_velocity"), "p95_velocity": _r("p95_velocity")})
 
 
+def review_velocity_histogram(listing_frame: DataFrame, bins: int = 60, trim_q: float = 0.95) -> DataFrame:
+    """M34 (b): histogram of velocities up to each city's trim quantile (P13 + A24), with the trimmed median."""
+    from ..operators.filters import quantile_trim
+    kept = quantile_trim(listing_frame.where(F.col("review_velocity").isNotNull()), "review_velocity", trim_q)
+    med = A.group_quantiles(kept, {"trimmed_median": ("review_velocity", 0.5)}, ["city"])
+    h = A.histogram(kept, "review_velocity", bins)
+    return h.join(med, "city").select("city", "bin", *[_r(c).alias(c) for c in ["bin_lo", "bin_hi"]], "count",
+                                      _r("trimmed_median").alias("trimmed_median"))
+
+
 def high_review_low_score(listing_frame: DataFrame, min_reviews: int = 50, max_score: float = 4.5) -> DataFrame:
-    """Flagged listings (many reviews, low score) per city, with their median price."""
+    """M35 (a): flagged listings (many reviews, low score) per city, with their median price and occupancy."""
     f = listing_frame.where((F.col("number_of_reviews") > min_reviews) & (F.col("review_scores_rating") < max_score))
-    s = A.agg_with_quantiles(f, ["city"], [F.count(F.lit(1)).alias("flagged")], {"median_price": ("price", 0.5)},
-                             order=["flagged", "median_price"])
-    return s.withColumn("median_price", _r("median_price"))
+    s = A.agg_with_quantiles(f, ["city"], [F.count(F.lit(1)).alias("flagged")],
+                             {"median_price": ("price", 0.5), "median_occupancy": ("occupancy_rate", 0.5)},
+                             order=["flagged", "median_price", "median_occupancy"])
+    return s.withColumns({c: _r(c) for c in ["median_price", "median_occupancy"]})
+
+
+def review_rating_points(listing_frame: DataFrame, min_reviews: int = 10, caps=PRICE_CAPS["reviews"]) -> DataFrame:
+    """M35 (b): the base of the reviews-vs-rating scatter: every rated and capped listing with enough reviews."""
+    from ..operators.filters import not_null
+    df = not_null(listing_frame, "review_scores_rating", "price").where(F.col("number_of_reviews") >= min_reviews)
+    return cap_by_group(df, "price", caps).select("listing_id", "city", "number_of_reviews", "review_scores_rating", "price")
 
 
 TIER_ORDER = ["Budget", "Mid-range", "Premium"]
@@ -434,13 +463,19 @@ def category_counts(listing_frame: DataFrame) -> DataFrame:
 
 
 def neighbourhood_top5_summary(enriched: DataFrame, k: int = 5) -> DataFrame:
-    """The k areas with the highest benchmark median price per city (T02 on the benchmark table)."""
+    """M38 (a): the k areas with the highest benchmark median price per city (T02 on the benchmark table)."""
     from ..plans.enrich import neighbourhood_benchmarks
     b = neighbourhood_benchmarks(enriched)
     t = top_k_per_group(b, k, ["neighbourhood_median_price"], tie_break=["neighbourhood_cleansed"])
     return t.select("city", "neighbourhood_cleansed", "neighbourhood_median_price", "neighbourhood_listing_count", "rank")
 
 
+def neighbourhood_top5_by_count(listing_frame: DataFrame, k: int = 5) -> DataFrame:
+    """M38 (b): the k areas with the most listings per city, with median price and mean occupancy."""
+    t = top_k_per_group(neighbourhood_metrics(listing_frame), k, ["listing_count"], tie_break=["neighbourhood_cleansed"])
+    return t.select("city", "neighbourhood_cleansed", "listing_count", "median_price", "avg_occupancy", "rank")
+
+
 def calendar_cleaning_summary(calendar: DataFrame) -> DataFrame:
     """A29 + A27: weekend / weekday availability % (mean over non-null flags) and the date range, per city."""
     avail, wk = F.col("available").cast("double"), F.col("is_weekend")

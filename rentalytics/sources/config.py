@@ -37,6 +37,7 @@ CITY_SETTINGS = {
 PRICE_CAPS = {
     "distribution": {"bangkok": 10000.0, "lisbon": 1000.0},
     "scatter": {"bangkok": 8000.0, "lisbon": 800.0},
+    "reviews": {"bangkok": 10000.0, "lisbon": 800.0},
     "commercial": {"bangkok": 8000.0, "lisbon": 600.0},
 }
 
@@ -160,7 +161,7 @@ def config_frame(spark: SparkSession, settings: dict | None = None) -> DataFrame
 def with_city_config(df: DataFrame, config: DataFrame, city_col: str = "city") -> DataFrame:
     """Attach per-city settings with defaults (date 2025-01-01, ``$``, no bounds)."""
     cfg = config.withColumnRenamed("city", "__cfg_city")
-    out = df.join(F.broadcast(cfg), F.col(city_col) == F.col("__cfg_city"), "left").drop("__cfg_city")
+    out = df.join(cfg, F.col(city_col) == F.col("__cfg_city"), "left").drop("__cfg_city")
     return (out.withColumn("scrape_date", F.coalesce(F.col("scrape_date"), F.lit(DEFAULT_SCRAPE_DATE)))
                .withColumn("currency", F.coalesce(F.col("currency"), F.lit(DEFAULT_CURRENCY))))
 
