@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,18 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key).cast("string")), F.col(key)).limit(rows)
 
 
+def fitted(sample: DataFrame, order: str, fit: Callable[[pa.Table], object]) -> object:
+    """What ``fit`` makes of a bounded sample in ``order``: it runs in one task, so that neither the rows nor the
+    work on them are the driver's; only its result, a small model, comes back."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [b for b in batches if b.num_rows]
+        model = fit(pa.Table.from_batches(rows).combine_chunks() if rows else None)
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    found = sample.repartition(1).sortWithinPartitions(order).mapInArrow(work, "model binary").collect()
+    return pickle.loads(found[0].model) if found else fit(None)
+
+
 def text_array(column: pa.Array) -> pa.Array:
     """A string column as Arrow hands it over, nulls as empty text."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

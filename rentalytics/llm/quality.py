@@ -26,9 +26,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentalytics.llm.common import bounded_sample, slices, small_batches, split_words, text_array
+from rentalytics.llm.common import bounded_sample, fitted, slices, small_batches, split_words, text_array
 
-#: Bounds of what is brought to the driver for training.
+#: Rows that one task trains on.
 LABELLED_ROWS, POOL_ROWS = 6_000, 3_000
 ROUNDS, CONFIDENT, HOLDOUT = 3, 0.97, 4
 #: A word is told by the content view if its share of documents differs between the labels by so many deviations.
@@ -190,17 +190,20 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
         bounded_sample(ids.join(worst, "doc_id", "leftanti").distinct(), "doc_id", pool_rows), allowMissingColumns=True)
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"))
             .join(F.broadcast(chosen), "doc_id")  # labelled_rows + pool_rows at most
-            .dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow().combine_chunks())
+            .dropDuplicates(["doc_id"]))
+    return fitted(rows, "doc_id", train)
+
+
+def train(rows: pa.Table | None):
+    """(bins, targets) from rows with doc_id, text, source, lang and TARGETS (null: unlabelled)."""
+    if rows is None:
+        return Meta([]), [None] * len(TARGETS)
     texts = text_array(rows.column("text"))
     found, shape = content_words(texts), text_shape(texts)
-    bins = Meta.fit(shape) if len(rows) else Meta([])
-    meta = bins.features(shape, rows.column("source").to_pylist(), rows.column("lang").to_pylist()) if len(rows) else None
+    bins = Meta.fit(shape)
+    meta = bins.features(shape, rows.column("source").to_pylist(), rows.column("lang").to_pylist())
     held = np.array([zlib.crc32(str(d).encode()) % HOLDOUT == 0 for d in rows.column("doc_id").to_pylist()], dtype=bool)
-    targets = []
-    for t in TARGETS:
-        y = rows.column(t).fill_null(-1).to_numpy().astype(np.int64) if len(rows) else np.empty(0, np.int64)
-        targets.append(co_train(found, meta, y, held) if len(rows) else None)
-    return bins, targets
+    return bins, [co_train(found, meta, rows.column(t).fill_null(-1).to_numpy().astype(np.int64), held) for t in TARGETS]
 
 
 def score(docs: DataFrame, model, columns: list[str] | None = None, prefix: str = "") -> DataFrame:
