@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
     """Write one stage's output, partitioned by tenant when it has one."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", True).option("escape", '"')
+        w = w.option("header", True).option("quoteAll", True).option("escape", '"').option("nullValue", None)
     if partition_by and partition_by in df.columns:
         w = w.partitionBy(partition_by)
     w.save(path)
@@ -25,21 +26,53 @@ def append_load(df: DataFrame, path: str, city: str | None = None) -> None:
     """Append rows, stamping the tenant when given; parallel partition writes."""
     if city is not None:
         df = df.withColumn("city", F.lit(city))
-    df.write.mode("append").partitionBy("city").parquet(path)
+    df.hint("rebalance", "city").write.mode("append").partitionBy("city").parquet(path)
 
 
-def replace_tenants(df: DataFrame, path: str) -> None:
-    """Idempotent re-run — replace only the ``city`` partitions present in ``df``.
+def replace_tenants(df: DataFrame, path: str, cities: Sequence[str] | None = None) -> None:
+    """Idempotent re-run — replace the ``city`` partitions of the requested cities.
 
-    Dynamic partition overwrite leaves every other city untouched.
+    Dynamic partition overwrite leaves every other city untouched; a requested city without rows, whose files are
+    the same as before the write, loses its old partition.  Rows are rebalanced on ``city`` first, so a city's files
+    are as many as its size asks for, not one for each task.
     """
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy("city").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    before = partition_files(df.sparkSession, path, cities or ())
+    (df.hint("rebalance", "city").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("city").parquet(path))
+    after = partition_files(df.sparkSession, path, before)
+    for city in before:
+        if after.get(city) == before[city]:
+            drop_partition(df.sparkSession, path, city)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def partition_folder(spark: SparkSession, path: str, city: str) -> str:
+    return f"{path}/city={spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(city)}"
+
+
+def partition_files(spark: SparkSession, path: str, cities: Iterable[str]) -> dict[str, set[str]]:
+    """The file names in the partitions of these cities that exist."""
+    out = {}
+    for city in cities:
+        p, fs = hadoop_path(spark, partition_folder(spark, path, city))
+        if fs.exists(p):
+            out[city] = {f.getPath().getName() for f in fs.listStatus(p)}
+    return out
+
+
+def drop_partition(spark: SparkSession, path: str, city: str) -> None:
+    p, fs = hadoop_path(spark, partition_folder(spark, path, city))
+    fs.delete(p, True)
+
+
+def clear_tenants(spark: SparkSession, path: str, cities: Sequence[str]) -> None:
+    """Delete the partitions of these cities, as for a table whose source is absent in this run."""
+    for city in cities:
+        drop_partition(spark, path, city)
 
 
 def write_geojson_lines(features: DataFrame, path: str) -> None:
@@ -57,11 +90,11 @@ RUN_LOG_SCHEMA = T.StructType([
 ])
 
 
-def append_run_log(spark: SparkSession, path: str, city: str, tables: list[str], total_rows: int,
+def append_run_log(spark: SparkSession, path: str, rows_by_city: Mapping[str, int], tables: Sequence[str],
                    status: str = "success") -> DataFrame:
-    """One run-log row per city and run."""
-    row = (str(uuid.uuid4()), city, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-           ",".join(tables), int(total_rows), status)
-    log = spark.createDataFrame([row], RUN_LOG_SCHEMA)
-    log.write.mode("append").parquet(path)
+    """One run-log row per city, all in one write."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = [(str(uuid.uuid4()), city, now, ",".join(tables), int(n), status) for city, n in rows_by_city.items()]
+    log = spark.createDataFrame(rows, RUN_LOG_SCHEMA)
+    log.coalesce(1).write.mode("append").parquet(path)
     return log

@@ -114,6 +114,36 @@ def test_publish_replaces_only_given_city(spark, tmp_path, fixtures):
     assert log.count() == 3 and log.where("city = 'brisk'").agg(F.min("total_rows")).first()[0] > 0
 
 
+def test_rerun_clears_what_a_city_no_longer_has(spark, tmp_path, fixtures):
+    """A requested city that now yields no rows, or whose optional source is gone, loses its old rows."""
+    out = str(tmp_path / "star")
+    cfg = config_frame(spark, SETTINGS)
+    build.publish(build.market_from_files(spark, fixtures, CITIES, cfg), out, CITIES)
+    assert spark.read.parquet(out + "/fact_reviews").where("city = 'aldmere'").count() > 0
+    m = build.market_from_files(spark, fixtures, CITIES, cfg)
+    m.raw_reviews = None
+    m.raw_calendar = m.raw_calendar.where("city <> 'brisk'")
+    build.publish(m, out, CITIES, run_log=out + "/pipeline_metadata")
+    assert spark.read.parquet(out + "/fact_calendar").where("city = 'brisk'").isEmpty()
+    assert not (tmp_path / "star/fact_reviews/city=aldmere").exists()
+    log = {r.city: r for r in spark.read.parquet(out + "/pipeline_metadata").collect()}
+    assert set(log) == set(CITIES) and "fact_reviews" not in log["brisk"].tables_loaded
+
+
+def test_sinks(spark, tmp_path):
+    from rentalytics.sources import files, sinks
+    df = spark.createDataFrame([("a b", 1), ("c", 2)], "city string, n int")
+    path = str(tmp_path / "t")
+    sinks.replace_tenants(df, path, ["a b", "c"])
+    sinks.replace_tenants(df.where("n = 3"), path, ["a b"])
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(2, "c")]
+    sinks.append_load(df.drop("city").where("n = 1"), path, "d")
+    assert sorted(r.city for r in spark.read.parquet(path).collect()) == ["c", "d"]
+    text = spark.createDataFrame([("x", 'line "one"\nline, two'), ("y", "plain"), ("z", None)], "k string, t string")
+    sinks.write_stage(text, str(tmp_path / "csv"), "csv")
+    assert sorted(map(tuple, files.read_csv_raw(spark, str(tmp_path / "csv")).collect())) == sorted(map(tuple, text.collect()))
+
+
 def test_publish_scans_raw_calendar_once(spark, tmp_path, fixtures):
     out = str(tmp_path / "star")
     m = build.market_from_files(spark, fixtures, CITIES, config_frame(spark, SETTINGS))
