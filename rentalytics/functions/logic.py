@@ -44,8 +44,3 @@ def threshold_label(c, cuts: Sequence[float], labels: Sequence[str]) -> Column:
     for cut, label in zip(cuts, labels):
         expr = F.when(v < cut, F.lit(label)) if expr is None else expr.when(v < cut, F.lit(label))
     return expr.otherwise(F.lit(labels[len(cuts)]))
-
-
-def significance(p, alpha: float = 0.05) -> Column:
-    """reject decision for a p-value column."""
-    return _c(p) < F.lit(alpha)

@@ -32,11 +32,6 @@ def count_by(df: DataFrame, keys: Sequence[str], out: str = "count") -> DataFram
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
 
 
-def mean_by(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str]) -> DataFrame:
-    """``cols`` maps output name -> input column."""
-    return df.groupBy(*keys).agg(*[F.avg(c).alias(o) for o, c in cols.items()])
-
-
 def quantile_expr(c, q: float | Sequence[float], method: str = "exact", accuracy: int = 10000) -> Column:
     """Exact interpolated (pandas / PERCENTILE_CONT) or approximate quantile(s)."""
     qs = F.lit(q) if not isinstance(q, (list, tuple)) else F.array(*[F.lit(float(x)) for x in q])
@@ -241,14 +236,6 @@ def pivot_rate(df: DataFrame, keys: Sequence[str], flag: str, split: str) -> Dat
     )
 
 
-def bool_share(flag, over: str = "non_null") -> Column:
-    """Share of true among non-null values, or among all rows (null as false)."""
-    f = _c(flag)
-    if over == "non_null":
-        return F.count_if(f) / F.count(f)
-    return F.count_if(f) / F.count(F.lit(1))
-
-
 def share_of_total(df: DataFrame, keys: Sequence[str], by: Sequence[str] = ("city",), out: str = "share_pct") -> DataFrame:
     """Count per class / total per group * 100 (window over the small per-class frame)."""
     c = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("count"))

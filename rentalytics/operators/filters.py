@@ -121,10 +121,6 @@ def is_true(df: DataFrame, col) -> DataFrame:
     return df.where(_c(col) == F.lit(True))
 
 
-def is_false(df: DataFrame, col) -> DataFrame:
-    return df.where(_c(col) == F.lit(False))
-
-
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42, by: Sequence[str] = ()) -> DataFrame:
     """Reproducible sample of at most ``n`` rows, of all or of each group (top-n by a seeded hash; n is the
     feature).

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.config import OTHER_GROUP
@@ -43,11 +43,11 @@ def unmapped_categories(listings: DataFrame, raw_col: str = "property_type",
             .agg(F.count(F.lit(1)).alias("count")))
 
 
-def audit(df: DataFrame, name: str, cols: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
-    """Q04: row and null counts collected while the frame is written or counted (no extra pass)."""
-    obs = Observation(name)
-    metrics = [F.count(F.lit(1)).alias("rows")] + [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in cols]
-    return df.observe(obs, *metrics), obs
+def audit(stages: Mapping[str, DataFrame], cols: Sequence[str] = ()) -> DataFrame:
+    """Q04: before / after audit: rows and null counts of each named stage, one aggregate per stage."""
+    from .sets import concat_labelled
+    return concat_labelled({name: df.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in cols]) for name, df in stages.items()}, "stage")
 
 
 def key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -70,12 +70,6 @@ def neighbourhood_benchmarks(listings: DataFrame, key: str = "neighbourhood_clea
                                "neighbourhood_avg_rating", "neighbourhood_avg_occupancy"]})
 
 
-def city_price_quantiles(listings: DataFrame) -> DataFrame:
-    """p25 / p75 of non-null price per city (one row per city)."""
-    return exact_quantiles(listings.where(F.col("price").isNotNull()),
-                           {"price_p25": ("price", 0.25), "price_p75": ("price", 0.75)}, ["city"])
-
-
 def enrich_listings(listings: DataFrame, occupancy: DataFrame,
                     review_cols: Sequence[str] = REVIEW_SCORE_COLUMNS, checkpoint: bool = True) -> DataFrame:
     """J01 -> A03+J02 -> F19 -> F25 -> F14/F18 -> F21 -> F20.

@@ -83,8 +83,3 @@ def conform(df: DataFrame, schema: T.StructType, *, keep_extra: bool = False) ->
     if keep_extra:
         cols += [F.col(c) for c in df.columns if c not in {f.name for f in schema.fields}]
     return df.select(*cols)
-
-
-def missing_columns(df: DataFrame, schema: T.StructType) -> list[str]:
-    """Columns a schema declares that a frame lacks (additive migration report)."""
-    return [f.name for f in schema.fields if f.name not in df.columns]

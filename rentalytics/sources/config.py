@@ -164,10 +164,3 @@ def with_city_config(df: DataFrame, config: DataFrame, city_col: str = "city") -
     out = df.join(cfg, F.col(city_col) == F.col("__cfg_city"), "left").drop("__cfg_city")
     return (out.withColumn("scrape_date", F.coalesce(F.col("scrape_date"), F.lit(DEFAULT_SCRAPE_DATE)))
                .withColumn("currency", F.coalesce(F.col("currency"), F.lit(DEFAULT_CURRENCY))))
-
-
-def mapping_frame(spark: SparkSession, mapping: dict, key: str, value: str) -> DataFrame:
-    """A key -> value lookup table as a DataFrame."""
-    schema = T.StructType([T.StructField(key, T.StringType(), False),
-                           T.StructField(value, T.StringType(), True)])
-    return spark.createDataFrame(list(mapping.items()), schema)

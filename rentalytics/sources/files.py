@@ -3,7 +3,7 @@
 Raw CSV is read with an explicit all-string schema (types come from the
 cleaning operators, never from inference) and pandas-style missing-value
 tokens are normalised to null.  Multi-line CSV is not splittable, so raw
-text should be landed once as Parquet (``land_raw``) and read from there.
+text is landed once as Parquet (``build.market_from_files``) and read from there.
 """
 
 from __future__ import annotations
@@ -17,11 +17,6 @@ from pyspark.sql import types as T
 
 from ..functions.text import normalise_null_tokens
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                 "events", "documents", "embeddings", "pages", "benchmark", "labels",
-                 "conversations")
-
-
 def string_schema(columns: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
@@ -55,11 +50,7 @@ def read_optional(loader: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-GEOJSON_SCHEMA = (
-    "features array<struct<type: string, "
-    "properties: struct<neighbourhood: string, neighbourhood_group: string>, "
-    "geometry: variant>>"
-)
+GEOJSON_SCHEMA = "features array<struct<type: string, properties: variant, geometry: variant>>"
 
 
 def read_geojson_features(spark: SparkSession, path: str, schema: str = GEOJSON_SCHEMA) -> DataFrame:
@@ -67,10 +58,16 @@ def read_geojson_features(spark: SparkSession, path: str, schema: str = GEOJSON_
 
     The schema is given, never inferred: inference over mixed Polygon and
     MultiPolygon coordinates corrupts the geometry, VARIANT keeps it whole.
+    ``feature.properties`` has the two named fields and all properties as
+    they were read (``source``, VARIANT).  A document is one JSON value, so
+    it is read by one task; a city's areas are a few hundred.
     """
     doc = spark.read.schema(schema).option("multiLine", True).json(path)
-    return doc.select(F.posexplode("features").alias("pos", "feature")).select(
-        (F.col("pos") + 1).alias("feature_pos"), "feature")
+    rows = doc.select(F.posexplode("features").alias("pos", "f"))
+    props = F.struct(*[F.try_variant_get("f.properties", f"$.{n}", "string").alias(n) for n in ("neighbourhood", "neighbourhood_group")],
+                     F.col("f.properties").alias("source"))
+    return rows.select((F.col("pos") + 1).alias("feature_pos"),
+                       F.struct("f.type", props.alias("properties"), "f.geometry").alias("feature"))
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -78,23 +75,6 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
-def read_tables(spark: SparkSession, base: str, names: Iterable[str] = DRIVER_TABLES) -> dict[str, DataFrame]:
-    return {n: read_table(spark, base, n) for n in names}
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:
-    """Relational source for users who keep tables in a database."""
-    return spark.read.jdbc(url, table, properties=properties or {})
-
-
-def land_raw(df: DataFrame, path: str, partition_by: str | None = "city") -> None:
-    """Write raw text once as Parquet so later reads are splittable and typed-stable."""
-    w = df.write.mode("overwrite")
-    if partition_by and partition_by in df.columns:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-
-
 def read_city_csv(spark: SparkSession, base: str, cities: Iterable[str], name: str,
                   optional: bool = False) -> DataFrame | None:
     """Raw CSV of several cities (``base/<city>/<name>.csv``), city stamped, aligned by column name.

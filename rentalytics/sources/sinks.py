@@ -16,7 +16,8 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
     """Write one stage's output, partitioned by tenant when it has one."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", True).option("quoteAll", True).option("escape", '"').option("nullValue", None)
+        w = w.option("header", True).option("quoteAll", True).option("escape", '"') \
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if partition_by and partition_by in df.columns:
         w = w.partitionBy(partition_by)
     w.save(path)
@@ -75,9 +76,25 @@ def clear_tenants(spark: SparkSession, path: str, cities: Sequence[str]) -> None
         drop_partition(spark, path, city)
 
 
+def feature_json(features: DataFrame) -> DataFrame:
+    """One GeoJSON feature per row as text.  All properties that were read are kept; the struct's own fields
+    overwrite or join them."""
+    props = features.schema["feature"].dataType["properties"].dataType
+    own = [f.name for f in props.fields if f.name != "source"]
+    p = F.col("feature.properties")
+    new = F.map_from_arrays(F.array(*map(F.lit, own)), F.array(*[p[n].cast("string").cast("variant") for n in own]))
+    if "source" in props.names:
+        read = F.from_json(F.to_json(p["source"]), "map<string,variant>")
+        kept = F.map_filter(F.coalesce(read, F.create_map().cast("map<string,variant>")), lambda k, _: ~k.isin(own))
+        new = F.map_concat(kept, new)
+    return features.select(F.to_json(F.struct(
+        F.coalesce(F.col("feature.type"), F.lit("Feature")).alias("type"), new.alias("properties"),
+        F.col("feature.geometry").alias("geometry"))).alias("value"))
+
+
 def write_geojson_lines(features: DataFrame, path: str) -> None:
     """One GeoJSON feature per line (``feature`` is a struct column)."""
-    features.select(F.to_json("feature").alias("value")).write.mode("overwrite").text(path)
+    feature_json(features).write.mode("overwrite").text(path)
 
 
 RUN_LOG_SCHEMA = T.StructType([
