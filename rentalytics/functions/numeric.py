@@ -10,26 +10,14 @@ from pyspark.sql import functions as F
 from ._util import col as _c
 
 
-def denoise(c) -> Column:
-    """Snap a double to 10 decimals so summation-order noise (1e-15) cannot flip a later rounding tie.
-
-    Only finite values inside DECIMAL(38,10)'s range are snapped; infinities,
-    NaN and huge values pass through unchanged.
-    """
-    x = _c(c)
-    return F.when(F.abs(x) < F.lit(1e27), x.cast("decimal(38,10)").cast("double")).otherwise(x)
-
-
 def round_even(c, digits: int = 0) -> Column:
     """F16: round half-to-even on the double, as ``numpy.round`` does.
 
     numpy scales by 10**digits, rounds to the nearest integer (ties to even)
-    and scales back; ``rint`` is the same operation on the JVM side.  The
-    input is first snapped to 10 decimals (``denoise``) so results do not
-    depend on the order in which partial sums were combined.
+    and scales back; ``rint`` is the same operation on the JVM side.
     """
     scale = F.lit(float(10 ** digits))
-    return F.rint(denoise(c) * scale) / scale
+    return F.rint(_c(c).cast("double") * scale) / scale
 
 
 def round_half_up(c, digits: int = 0) -> Column:
