@@ -7,6 +7,7 @@ action; ``publish`` writes the star schema partitioned by city.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +18,12 @@ from . import clean, enrich, model
 
 
 class Market:
-    def __init__(self, spark: SparkSession, *, listings: DataFrame, calendar: DataFrame,
+    def __init__(self, spark: SparkSession, *, listings: DataFrame | Callable[[], DataFrame], calendar: DataFrame,
                  reviews: DataFrame | None = None, features: DataFrame | None = None,
                  config: DataFrame | None = None, property_groups=PROPERTY_TYPE_GROUPS,
                  feature_position: str | None = None):
         self.spark = spark
-        self.raw_listings = listings
+        self._listings = listings  # a frame, or a function that builds it when first used
         self.raw_calendar = calendar
         self.raw_reviews = reviews
         self.raw_features = features
@@ -34,10 +35,14 @@ class Market:
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str) -> "Market":
         from ..sources.synthetic import SYNTHETIC_PROPERTY_GROUPS, SyntheticSource
         src = SyntheticSource(spark, sf_dir)
-        return cls(spark, listings=src.listings(), calendar=src.calendar(), reviews=src.reviews(),
+        return cls(spark, listings=src.listings, calendar=src.calendar(), reviews=src.reviews(),
                    features=src.neighbourhood_features(), property_groups=SYNTHETIC_PROPERTY_GROUPS)
 
     # ------------------------------------------------------------------ cleaned
+    @cached_property
+    def raw_listings(self) -> DataFrame:
+        return self._listings() if callable(self._listings) else self._listings
+
     @cached_property
     def calendar(self) -> DataFrame:
         return clean.clean_calendar(self.raw_calendar)

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialise_table
 from .config import CITY_SETTINGS
 from .files import read_table
 
@@ -69,6 +70,8 @@ def raw_listings(part: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> D
     city = city_of_brand("p_brand")
     base = (part.join(stats, part.p_partkey == stats.pk, "left")
                 .join(sup, F.col("host_id") == F.col("sk"), "left"))
+    # the host counts and the cleaning's per-city flags read the written rows, so lineitem is aggregated once
+    base = materialise_table(base, "raw_listings")
     host_n = base.groupBy(F.col("host_id").alias("hk")).agg(F.count(F.lit(1)).cast("int").alias("host_n"))
     base = base.join(host_n, F.col("host_id") == F.col("hk"), "left")
     acc = F.ceil(F.col("p_size") / F.lit(7.0)).cast("int")
