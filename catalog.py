@@ -951,12 +951,11 @@ def _a08(spark, d):
 @register("a10_duplicate_documents", """
 SELECT r.total_rows, r.duplicate_rows, k.duplicate_keys FROM
  (SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
-  FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang, source)) r,
+  FROM (SELECT count(*) AS n FROM documents GROUP BY doc_id, text, lang, source, n_chars)) r,
  (SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_keys FROM (SELECT count(*) AS n FROM documents GROUP BY text)) k
 """)
 def _a10(spark, d):
-    docs = read_table(spark, d, "documents").select("text", "lang", "source")
-    return PR.duplicate_counts(docs, key=["text"])
+    return PR.duplicate_counts(read_table(spark, d, "documents"), key=["text"])
 
 
 @register("q01_listing_rule_counts", q("""

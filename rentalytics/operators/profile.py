@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,23 +122,21 @@ def duplicate_counts(df: DataFrame, key: Sequence[str] | None = None, fingerprin
 
     Grouping (not ``count(distinct)``) keeps null-bearing rows and lets
     Spark pre-aggregate before the shuffle, so a hot value costs one
-    partial row per task.  With ``fingerprint`` the grouping key is a
-    32-byte SHA-256 of the row instead of the row itself, so long texts never
-    travel through the shuffle.  The two one-row results are combined by a
-    union and a final aggregate (no join).
+    partial row per task.  Rows are grouped by key and rest, then by key, so
+    each value is read and hashed once.  With ``fingerprint`` the grouping
+    keys are 32-byte SHA-256 values instead of the columns themselves, so
+    long texts never travel through the shuffle.
     """
-    def group(cols):
-        if fingerprint:
-            return df.groupBy(row_fingerprint(df, cols).alias("__fp"))
-        return df.groupBy(*cols)
-
-    rows = group(df.columns).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.sum("n").alias("total_rows"), F.sum(F.col("n") - 1).alias("duplicate_rows"),
-        F.lit(None).cast("long").alias("duplicate_keys"))
-    if not key:
-        return rows.drop("duplicate_keys")
-    keys = group(list(key)).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.lit(None).cast("long").alias("total_rows"), F.lit(None).cast("long").alias("duplicate_rows"),
-        F.sum(F.col("n") - 1).alias("duplicate_keys"))
-    both = rows.unionByName(keys)
-    return both.agg(*[F.max(c).alias(c) for c in ["total_rows", "duplicate_rows", "duplicate_keys"]])
+    key = list(key or [])
+    rest = [c for c in df.columns if c not in key]
+
+    def grouping(cols: list[str], name: str) -> list[Column]:
+        return [row_fingerprint(df, cols).alias(name)] if fingerprint and cols else [F.col(c) for c in cols]
+
+    keys = grouping(key, "__key")
+    rows = df.groupBy(*keys, *grouping(rest, "__rest")).agg(F.count(F.lit(1)).alias("__n"))
+    per_key = rows.groupBy(*([F.col("__key")] if fingerprint and key else [F.col(c) for c in key])).agg(
+        F.sum("__n").alias("__rows"), F.sum(F.col("__n") - 1).alias("__again"))
+    out = per_key.agg(F.sum("__rows").alias("total_rows"), F.sum("__again").alias("duplicate_rows"),
+                      F.sum(F.col("__rows") - 1).alias("duplicate_keys"))
+    return out if key else out.drop("duplicate_keys")
