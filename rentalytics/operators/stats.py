@@ -386,6 +386,8 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ("city",))
             frame[names] = frame[names].astype("Float64")
             yield frame
 
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     return centred_sums(df, y, xs, by).mapInPandas(solve, schema)
 
 

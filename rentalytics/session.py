@@ -62,6 +62,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver found it: by path where executors see the
+    driver's files (local modes), else as an archive that Spark sends them, once per application."""
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if sc.master.startswith("local"):
+        paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p and p != root]
+        sc.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    elif sc.applicationId not in _SHIPPED:
+        import shutil
+        with_name = os.path.join(tempfile.mkdtemp(prefix="rentalytics-"), "rentalytics")
+        sc.addPyFile(shutil.make_archive(with_name, "zip", root, "rentalytics"))
+        _SHIPPED.add(sc.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
