@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rentalytics.session import apply_conf, materialise_table, scratch_path
 
 #: Text bytes that a Python task turns into words at a time: bounds its memory whatever the batch size.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYT
         starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
         for lo, hi in zip(starts, np.r_[starts[1:], batch.num_rows]):
             yield batch.slice(int(lo), int(hi - lo))
+    pa.default_memory_pool().release_unused()  # the worker lives on, idle, beside the executor
 
 
 def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -133,14 +133,36 @@ def presence(words: list[str], codes: np.ndarray, offsets: np.ndarray, known: di
     return out
 
 
+def cut(texts: pa.Array) -> Iterator[pa.Array]:
+    return (b.column(0) for b in slices([pa.RecordBatch.from_arrays([texts], names=["text"])], "text", 1 << 20))
+
+
+def common_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """As ``content_words``, but each text's words once, and only words of ``MIN_DOCS`` texts: made slice by slice,
+    so that the sample's words never stand in memory as they are."""
+    known: dict[str, int] = {}
+    parts, sizes = [], []
+    for some in cut(texts):
+        words, codes, offsets = content_words(some)
+        at = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
+        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        pairs = np.unique(doc * max(len(words), 1) + codes)
+        parts.append(at[pairs % max(len(words), 1)].astype(np.int32))
+        sizes.append(np.bincount(pairs // max(len(words), 1), minlength=len(offsets) - 1))
+    codes, size = np.concatenate([*parts, np.empty(0, np.int32)]), np.concatenate([*sizes, np.empty(0, np.int64)]).astype(np.int64)
+    often = np.bincount(codes, minlength=len(known)) >= MIN_DOCS
+    new = np.cumsum(often) - 1
+    stay = often[codes]
+    offsets = np.r_[0, np.cumsum(stay)][np.r_[0, np.cumsum(size)]]
+    return [w for w, o in zip(known, often) if o], new[codes[stay]], offsets
+
+
 def telling_words(words: list[str], codes: np.ndarray, offsets: np.ndarray, rows: np.ndarray, y: np.ndarray) -> dict[str, int]:
-    """The words whose document shares differ most between the labels."""
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    pairs = np.unique(doc * len(words) + codes)
-    doc, word = pairs // max(len(words), 1), pairs % max(len(words), 1)
+    """The words whose document shares differ most between the labels; each text has a word at most once."""
     label = np.full(len(offsets) - 1, -1)
     label[rows] = y
-    with_1, with_0 = (np.bincount(word[label[doc] == v], minlength=len(words)) for v in (1, 0))
+    of = np.repeat(label, np.diff(offsets))
+    with_1, with_0 = (np.bincount(codes[of == v], minlength=len(words)) for v in (1, 0))
     n1, n0 = max((y == 1).sum(), 1), max((y == 0).sum(), 1)
     share = (with_1 + with_0 + 1) / (n1 + n0 + 2)
     deviations = np.abs(with_1 / n1 - with_0 / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
@@ -199,7 +221,7 @@ def train(rows: pa.Table | None):
     if rows is None:
         return Meta([]), [None] * len(TARGETS)
     texts = text_array(rows.column("text"))
-    found, shape = content_words(texts), text_shape(texts)
+    found, shape = common_words(texts), np.concatenate([text_shape(t) for t in cut(texts)])
     bins = Meta.fit(shape)
     meta = bins.features(shape, rows.column("source").to_pylist(), rows.column("lang").to_pylist())
     held = np.array([zlib.crc32(str(d).encode()) % HOLDOUT == 0 for d in rows.column("doc_id").to_pylist()], dtype=bool)

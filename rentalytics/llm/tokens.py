@@ -35,7 +35,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 NULL_ID = np.iinfo(np.int64).min
 #: Words whose ids a task remembers, and their length; longer words are encoded each time.
-CACHE_WORDS, CACHE_CHARS = 350_000, 64
+CACHE_WORDS, CACHE_CHARS = 250_000, 64
 #: New words encoded at a time.
 LOT = 2000
 #: A letter before ASCII punctuation that no special token and no contraction has: pieces of this vocabulary end there.

@@ -262,7 +262,7 @@ def test_co_training_uses_the_pool():
     rng = np.random.default_rng(3)
     y = rng.integers(0, 2, 600)
     texts = pa.array([" ".join(rng.choice(["bad", "junk", "spam"] if v else ["fine", "nice", "good"], 12)) + " filler" for v in y])
-    found = quality.content_words(texts)
+    found = quality.common_words(texts)
     meta = np.column_stack([y, 1 - y, rng.integers(0, 2, 600)]).astype(np.float32)
     shown = np.where(np.arange(600) < 60, y, -1)
     target = quality.co_train(found, meta, shown, np.arange(600) % 4 == 0)
