@@ -139,8 +139,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
     by_doc = named.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list("item_id")).alias("ids"))  # no more than the text holds
     found = hits.alias("x").join(by_doc.alias("y"), F.expr("x.doc_id <=> y.doc_id and x.h = y.h")).select(
         F.col("x.doc_id").alias("hit_id"), F.col("x.h").alias("hit_h"), "n_hit", "ids")
-    n_words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
-    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), n_words.alias("n_words"))
+    each = document_words(docs).select("doc_id", "h", F.size("words").cast("long").alias("n_words"))
     joined = each.join(found, F.expr("doc_id <=> hit_id and h = hit_h"), "left")
     n_hit, none = F.coalesce("n_hit", F.lit(0)), F.array().cast("array<string>")
     ids = F.coalesce("ids", none)
