@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentalytics.session import apply_conf, materialise_table, scratch_path
+from rentalytics.session import apply_conf, materialise_table, scratch_path, ship_package
 
 #: Text bytes that a Python task turns into words at a time: bounds its memory whatever the batch size.
 SLICE_BYTES = 2 << 20
@@ -23,7 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
-    """Hand texts to Python in Arrow batches of few bytes, unless the session was launched with sizes of its own."""
+    """Hand texts to Python in Arrow batches of few bytes, unless the session was launched with sizes of its own; and
+    let the workers import this package."""
+    ship_package(spark)
     apply_conf(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES)})
     return spark
 
@@ -64,6 +66,7 @@ def fitted(sample: DataFrame, order: str, fit: Callable[[pa.Table], object]) ->
         model = fit(pa.Table.from_batches(rows).combine_chunks() if rows else None)
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
+    small_batches(sample.sparkSession)
     found = sample.repartition(1).sortWithinPartitions(order).mapInArrow(work, "model binary").collect()
     return pickle.loads(found[0].model) if found else fit(None)
 
