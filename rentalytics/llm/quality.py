@@ -1,11 +1,12 @@
 """Operator 9: a quality classifier by co-training.
 
 Two views judge a document apart: its content (which of the telling words and symbol runs it has) and its page
-metadata (source, language, length, and the make-up of its characters and lines, in bins).  Each view has a logistic
+metadata (source, language, length, and the make-up of its characters, lines and word repeats, in bins).  Each view has a logistic
 model, trained on a bounded sample of labelled rows.  Over ``ROUNDS`` rounds each view labels the unlabelled rows of
 a bounded pool that it is confident of, and the other view learns from them too.  Each view's scores are calibrated
 on labelled rows held out; the views' log odds are then added, less the prior that both hold, and calibrated again.
-This is done for two targets, low quality and toxic; a document is kept if neither is more likely than not.
+This is done for two targets, low quality and toxic; a document is rejected if the probability of either is at least
+``REJECT``, which lies above one half so that clean documents stay.
 
 The models are small arrays that go to every task; all documents are scored, in Arrow batches, without a shuffle.
 
@@ -31,6 +32,7 @@ from rentalytics.llm.common import bounded_sample, fitted, slices, small_batches
 #: Rows that one task trains on.
 LABELLED_ROWS, POOL_ROWS = 6_000, 3_000
 ROUNDS, CONFIDENT, HOLDOUT = 3, 0.97, 4
+REJECT = 0.7
 #: A word is told by the content view if its share of documents differs between the labels by so many deviations.
 MIN_DOCS, MIN_DEVIATIONS, MAX_WORDS = 4, 4.0, 512
 BINS = 12
@@ -51,15 +53,22 @@ def content_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return split_words(pc.utf8_lower(texts))
 
 
-def text_shape(texts: pa.Array) -> np.ndarray:
-    """Numbers about a text's make-up: log length, share of each character class, line and word lengths."""
+def text_shape(texts: pa.Array, codes: np.ndarray, offsets_: np.ndarray) -> np.ndarray:
+    """Numbers about a text's make-up: log length, share of each character class, line and word lengths; of its words
+    (by ``content_words``), how many repeat the one before and how many are distinct."""
+    n = np.diff(offsets_)
+    doc = np.repeat(np.arange(len(n)), n)
+    again = np.r_[False, (codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])] if len(codes) else np.zeros(0, bool)
+    again = np.bincount(doc, again, len(n)) / np.maximum(n, 1)
+    width = int(codes.max(initial=0)) + 1
+    distinct = np.bincount(np.unique(doc * width + codes) // width, minlength=len(n)) / np.maximum(n, 1)
     offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
     offsets = offsets - offsets[0]
     kinds, size = _CLASS[data], np.maximum(np.diff(offsets), 1)
     counts = np.stack([np.diff(np.r_[0, np.cumsum(kinds == k, dtype=np.int64)][offsets]) for k in range(7)], axis=1)
     lines, words = counts[:, 4] + 1, counts[:, 3] + counts[:, 4] + 1
-    return np.column_stack([np.log1p(size), counts / size[:, None], np.log(size / lines), np.log(size / words)])
+    return np.column_stack([np.log1p(size), counts / size[:, None], np.log(size / lines), np.log(size / words), again, distinct])
 
 
 @dataclass
@@ -69,7 +78,9 @@ class Meta:
 
     @classmethod
     def fit(cls, shape: np.ndarray) -> Meta:
-        return cls([np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in shape.T])
+        tails = np.array([0.01, 0.03, 0.05])
+        at = np.r_[tails, np.linspace(0, 1, BINS + 1)[1:-1], 1 - tails]
+        return cls([np.unique(np.quantile(c, at)) for c in shape.T])
 
     @property
     def width(self) -> int:
@@ -137,13 +148,14 @@ def cut(texts: pa.Array) -> Iterator[pa.Array]:
     return (b.column(0) for b in slices([pa.RecordBatch.from_arrays([texts], names=["text"])], "text", 1 << 20))
 
 
-def common_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """As ``content_words``, but each text's words once, and only words of ``MIN_DOCS`` texts: made slice by slice,
-    so that the sample's words never stand in memory as they are."""
+def common_words(texts: pa.Array) -> tuple[tuple[list[str], np.ndarray, np.ndarray], np.ndarray]:
+    """As ``content_words``, but each text's words once, and only words of ``MIN_DOCS`` texts; and the texts' shape.
+    Made slice by slice, so that the sample's words never stand in memory as they are."""
     known: dict[str, int] = {}
-    parts, sizes = [], []
+    parts, sizes, shapes = [], [], []
     for some in cut(texts):
         words, codes, offsets = content_words(some)
+        shapes.append(text_shape(some, codes, offsets))
         at = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
         doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         pairs = np.unique(doc * max(len(words), 1) + codes)
@@ -154,7 +166,7 @@ def common_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     new = np.cumsum(often) - 1
     stay = often[codes]
     offsets = np.r_[0, np.cumsum(stay)][np.r_[0, np.cumsum(size)]]
-    return [w for w, o in zip(known, often) if o], new[codes[stay]], offsets
+    return ([w for w, o in zip(known, often) if o], new[codes[stay]], offsets), np.concatenate(shapes)
 
 
 def telling_words(words: list[str], codes: np.ndarray, offsets: np.ndarray, rows: np.ndarray, y: np.ndarray) -> dict[str, int]:
@@ -221,7 +233,7 @@ def train(rows: pa.Table | None):
     if rows is None:
         return Meta([]), [None] * len(TARGETS)
     texts = text_array(rows.column("text"))
-    found, shape = common_words(texts), np.concatenate([text_shape(t) for t in cut(texts)])
+    found, shape = common_words(texts)
     bins = Meta.fit(shape)
     meta = bins.features(shape, rows.column("source").to_pylist(), rows.column("lang").to_pylist())
     held = np.array([zlib.crc32(str(d).encode()) % HOLDOUT == 0 for d in rows.column("doc_id").to_pylist()], dtype=bool)
@@ -239,11 +251,12 @@ def score(docs: DataFrame, model, columns: list[str] | None = None, prefix: str
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "__text"):
             texts = text_array(batch.column("__text"))
-            found, shape = content_words(texts), text_shape(texts)
+            found = content_words(texts)
+            shape = text_shape(texts, *found[1:])
             meta = bins.features(shape, batch.column("__source").to_pylist(), batch.column("__lang").to_pylist())
             p = [t.score(presence(*found, t.words), meta) if t else np.zeros(len(texts)) for t in targets]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(names))), *map(pa.array, p), pa.array((1 - p[0]) * (1 - p[1])), pa.array((p[0] < 0.5) & (p[1] < 0.5))],
+                [*(batch.column(i) for i in range(len(names))), *map(pa.array, p), pa.array((1 - p[0]) * (1 - p[1])), pa.array((p[0] < REJECT) & (p[1] < REJECT))],
                 names=[*names, *new])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema.fields]

@@ -249,12 +249,12 @@ def test_mixed_text_scripts_and_odd_rows(spark, odd_docs, no_docs):
 
 # ------------------------------------------------------------------ 9
 def test_quality_held_out_accuracy(spark):
-    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     known = F.pmod(F.col("doc_id"), F.lit(3)) > 0
     got = quality.score(docs, quality.fit(docs, labels.where(known)), ["doc_id"]).join(labels.where(~known), "doc_id").collect()
     good = [r for r in got if r.quality == 1 and r.toxic == 0]
     bad = [r for r in got if r.quality == 0 or r.toxic == 1]
-    assert sum(r.keep for r in good) >= 0.93 * len(good) and sum(not r.keep for r in bad) >= 0.75 * len(bad)
+    assert sum(r.keep for r in good) >= 0.985 * len(good) and sum(not r.keep for r in bad) >= 0.9 * len(bad)
 
 
 def test_co_training_uses_the_pool():
@@ -262,7 +262,7 @@ def test_co_training_uses_the_pool():
     rng = np.random.default_rng(3)
     y = rng.integers(0, 2, 600)
     texts = pa.array([" ".join(rng.choice(["bad", "junk", "spam"] if v else ["fine", "nice", "good"], 12)) + " filler" for v in y])
-    found = quality.common_words(texts)
+    found, _ = quality.common_words(texts)
     meta = np.column_stack([y, 1 - y, rng.integers(0, 2, 600)]).astype(np.float32)
     shown = np.where(np.arange(600) < 60, y, -1)
     target = quality.co_train(found, meta, shown, np.arange(600) % 4 == 0)
