@@ -57,7 +57,8 @@ def term_counts(words: DataFrame, terms: DataFrame) -> DataFrame:
 
 def anchored(windows: DataFrame, counts: DataFrame) -> DataFrame:
     """Windows all of whose terms occur, with their rarest and second rarest term and the offsets of those."""
-    each = windows.select("window", F.posexplode("window").alias("at", "term")).join(counts, "term", "left")
+    # counts of a block's terms: at most 13 * BLOCK rows
+    each = windows.select("window", F.posexplode("window").alias("at", "term")).join(F.broadcast(counts), "term", "left")
     ranked = each.groupBy("window").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "at"))).alias("rare"))  # a window's words
     return ranked.where(F.col("rare")[0]["n"] > 0).select(
