@@ -133,9 +133,9 @@ SELECT city, month, is_weekend, {re('avg(CASE WHEN available THEN 1.0::DOUBLE EL
 FROM calendar GROUP BY city, month, is_weekend
 """))
 def _m08(spark, d):
-    from rentalytics.functions import round_even
+    from rentalytics.functions import round_aggregate
     df = M.availability_by_month_weekend(market_for(spark, d).fact_calendar)
-    return df.withColumn("availability_rate", round_even("availability_rate", 6))
+    return df.withColumn("availability_rate", round_aggregate("availability_rate", 6))
 
 
 @register("m09_neighbourhood_stats", q(f"""

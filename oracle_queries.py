@@ -11,7 +11,19 @@ from __future__ import annotations
 
 
 def re(x: str, d: int) -> str:
-    """Half-even rounding on the double, as numpy does."""
+    """Half-even rounding on the double, as numpy does, after cutting noise below 1e-10 (a sum's order is free).
+
+    The cut changes no double that is nearest to a number of ten decimals.  It is applied below 1e5 only: above, a
+    double's spacing is already near 1e-10, and DuckDB's DECIMAL(38,10) -> DOUBLE cast stops being correctly rounded
+    once the scaled integer passes 2^53.
+    """
+    s = f"{float(10 ** d)!r}::DOUBLE"
+    settled = f"(CASE WHEN abs({x}) < 1e5 THEN CAST(CAST(({x}) AS DECIMAL(38,10)) AS DOUBLE) ELSE CAST(({x}) AS DOUBLE) END)"
+    return f"(round_even({settled} * {s}, 0) / {s})"
+
+
+def rx(x: str, d: int) -> str:
+    """Half-even rounding of one row's value, which is settled by nothing."""
     s = f"{float(10 ** d)!r}::DOUBLE"
     return f"(round_even(CAST(({x}) AS DOUBLE) * {s}, 0) / {s})"
 
@@ -71,7 +83,7 @@ listings AS (
          calculated_host_listings_count, coalesce(calculated_host_listings_count > 1, FALSE) AS is_commercial_host,
          p_type = 'PROMO' AS instant_bookable, TRUE AS has_availability,
          scrape_date,
-         CASE WHEN has_years THEN {re('CAST(s_nationkey AS DOUBLE)', 2)} END AS host_tenure_years,
+         CASE WHEN has_years THEN {rx('CAST(s_nationkey AS DOUBLE)', 2)} END AS host_tenure_years,
          CASE city WHEN 'bangkok' THEN 13.7563 WHEN 'lisbon' THEN 38.7169 END + (p_size - 25) * 0.004::DOUBLE AS latitude,
          CASE city WHEN 'bangkok' THEN 100.5018 WHEN 'lisbon' THEN -9.1399 END + (p_retailprice - 950.0) * 0.002::DOUBLE AS longitude
   FROM lst1
@@ -90,7 +102,7 @@ occ AS (
   SELECT city, listing_id, count(available) AS total_days,
          CAST(count_if(available) AS BIGINT) AS available_days,
          CAST(count_if(NOT available) AS BIGINT) AS booked_days,
-         {re('(CAST(count_if(NOT available) AS DOUBLE) / CAST(count(available) AS DOUBLE)) * 100.0::DOUBLE', 2)} AS occupancy_rate
+         {rx('(CAST(count_if(NOT available) AS DOUBLE) / CAST(count(available) AS DOUBLE)) * 100.0::DOUBLE', 2)} AS occupancy_rate
   FROM calendar GROUP BY city, listing_id
 ),
 lo AS (
@@ -115,18 +127,18 @@ enriched AS (
   SELECT lo.*, nb.neighbourhood_median_price, nb.neighbourhood_mean_price, nb.neighbourhood_listing_count,
          nb.neighbourhood_avg_rating, nb.neighbourhood_avg_occupancy,
          CASE WHEN nb.neighbourhood_median_price <> 0 THEN
-              {re('((lo.price - nb.neighbourhood_median_price) / nb.neighbourhood_median_price) * 100.0::DOUBLE', 2)} END
+              {rx('((lo.price - nb.neighbourhood_median_price) / nb.neighbourhood_median_price) * 100.0::DOUBLE', 2)} END
            AS price_vs_neighbourhood,
          CASE WHEN lo.price IS NULL THEN NULL WHEN lo.price <= t.p25 THEN 'Budget'
               WHEN lo.price <= t.p75 THEN 'Mid-range' ELSE 'Premium' END AS price_tier,
-         {re('CAST(date_diff(' + "'day'" + ', lo.first_review, lo.scrape_date) AS DOUBLE) / 365.25::DOUBLE', 2)} AS listing_age_years,
-         CASE WHEN lo.bedrooms > 0 THEN {re('lo.price / lo.bedrooms', 2)} END AS price_per_bedroom,
-         {re('lo.price * lo.booked_days', 2)} AS estimated_annual_revenue,
+         {rx('CAST(date_diff(' + "'day'" + ', lo.first_review, lo.scrape_date) AS DOUBLE) / 365.25::DOUBLE', 2)} AS listing_age_years,
+         CASE WHEN lo.bedrooms > 0 THEN {rx('lo.price / lo.bedrooms', 2)} END AS price_per_bedroom,
+         {rx('lo.price * lo.booked_days', 2)} AS estimated_annual_revenue,
          CASE WHEN (CASE WHEN lo.review_scores_rating IS NULL THEN 0 ELSE 1 END
                   + CASE WHEN lo.review_scores_accuracy IS NULL THEN 0 ELSE 1 END
                   + CASE WHEN lo.review_scores_cleanliness IS NULL THEN 0 ELSE 1 END
                   + CASE WHEN lo.review_scores_value IS NULL THEN 0 ELSE 1 END) > 0 THEN
-           {re('''(coalesce(lo.review_scores_rating, 0.0::DOUBLE) + coalesce(lo.review_scores_accuracy, 0.0::DOUBLE)
+           {rx('''(coalesce(lo.review_scores_rating, 0.0::DOUBLE) + coalesce(lo.review_scores_accuracy, 0.0::DOUBLE)
                + coalesce(lo.review_scores_cleanliness, 0.0::DOUBLE) + coalesce(lo.review_scores_value, 0.0::DOUBLE))
              / CAST((CASE WHEN lo.review_scores_rating IS NULL THEN 0 ELSE 1 END
                   + CASE WHEN lo.review_scores_accuracy IS NULL THEN 0 ELSE 1 END
@@ -141,7 +153,7 @@ fact_listings AS (
          price, price_per_bedroom, price_vs_neighbourhood, price_tier, minimum_nights, maximum_nights,
          availability_365, number_of_reviews, review_scores_rating, review_scores_accuracy,
          review_scores_cleanliness, review_scores_value, review_score_composite,
-         CASE WHEN listing_age_years > 0 THEN {re('number_of_reviews / listing_age_years', 2)} END AS review_velocity,
+         CASE WHEN listing_age_years > 0 THEN {rx('number_of_reviews / listing_age_years', 2)} END AS review_velocity,
          occupancy_rate, booked_days, available_days, total_days, estimated_annual_revenue, host_tenure_years,
          instant_bookable, has_availability, calculated_host_listings_count, last_scraped, latitude, longitude
   FROM enriched

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numeric import round_even
+from ..functions.numeric import round_aggregate
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -39,7 +39,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str]
                  F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
         specs.update({f"q{i}_0": (v, 0.25), f"q{i}_1": (v, 0.5), f"q{i}_2": (v, 0.75)})
     wide = agg_with_quantiles(df, by, aggs, specs, method)
-    r = lambda x: round_even(x, digits)
+    r = lambda x: round_aggregate(x, digits)
     rows = F.explode(F.array(*[F.struct(
         F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), r(F.col(f"m{i}")).alias("mean"),
         r(F.col(f"s{i}")).alias("std"), r(F.col(f"lo{i}")).alias("min"), r(F.col(f"q{i}_0")).alias("q25"),
@@ -55,7 +55,7 @@ def _null_counts(df: DataFrame) -> DataFrame:
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__{i}").alias("null_count"))
                                for i, c in enumerate(df.columns)])).alias("p")
     return wide.select("__n", rows).select(
-        "p.column", "p.null_count", round_even(F.col("p.null_count") / F.col("__n") * 100, 2).alias("null_pct"),
+        "p.column", "p.null_count", round_aggregate(F.col("p.null_count") / F.col("__n") * 100, 2).alias("null_pct"),
         F.col("__n").alias("total_rows"))
 
 

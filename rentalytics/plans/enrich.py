@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import age_years, pct_deviation, price_tier, round_even, row_mean, safe_ratio
+from ..functions import age_years, pct_deviation, price_tier, round_aggregate, round_even, row_mean, safe_ratio
 from ..operators.aggregates import agg_with_quantiles
 from ..operators.joins import attach
 from ..operators.quantiles import exact_quantiles, merge_group_rows
@@ -65,7 +65,7 @@ def neighbourhood_benchmarks(listings: DataFrame, key: str = "neighbourhood_clea
         stats = agg_with_quantiles(priced, ["city", key], aggs, {"neighbourhood_median_price": ("price", 0.5)})
     else:
         stats = merge_group_rows(priced.groupBy("city", key).agg(*aggs), medians, ["city", key])
-    return stats.withColumns({c: round_even(c, 2) for c in
+    return stats.withColumns({c: round_aggregate(c, 2) for c in
                               ["neighbourhood_median_price", "neighbourhood_mean_price",
                                "neighbourhood_avg_rating", "neighbourhood_avg_occupancy"]})
 

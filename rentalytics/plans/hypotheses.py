@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import log1p, round_even, threshold_label
+from ..functions import log1p, round_aggregate, threshold_label
 from ..operators import aggregates as A
 from ..operators import stats as S
 from ..operators.joins import semi_join
@@ -125,4 +125,4 @@ def regression_report(listings: DataFrame, features: Sequence[str] = REG_FEATURE
 
 def round_report(df: DataFrame, digits: int = 6) -> DataFrame:
     dbl = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return df.withColumns({c: round_even(c, digits) for c in dbl})
+    return df.withColumns({c: round_aggregate(c, digits) for c in dbl})

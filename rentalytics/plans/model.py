@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import calendar_parts, greater_than_flag, month_name, round_even, title_case
+from ..functions import calendar_parts, greater_than_flag, month_name, round_aggregate, title_case
 from ..operators.aggregates import agg_with_quantiles
 from ..operators.windows import surrogate_key
 from ..schema import (DIM_DATE, DIM_HOST, DIM_NEIGHBOURHOOD, DIM_PROPERTY_TYPE, DIM_ROOM_TYPE,
@@ -56,7 +56,7 @@ def dim_neighbourhood(listings: DataFrame, neighbourhoods: DataFrame, normalise_
                                 F.avg("occupancy_rate").alias("avg_occupancy")],
                                {"median_price": ("price", 0.5)},
                                order=["listing_count", "median_price", "avg_rating", "avg_occupancy"])
-    stats = stats.withColumns({c: round_even(c, 2) for c in ["median_price", "avg_rating", "avg_occupancy"]})
+    stats = stats.withColumns({c: round_aggregate(c, 2) for c in ["median_price", "avg_rating", "avg_occupancy"]})
     out = neighbourhoods.join(stats, ["city", "neighbourhood"], "left")
     return conform(out, DIM_NEIGHBOURHOOD)
 
@@ -66,7 +66,7 @@ def dim_room_type(listings: DataFrame) -> DataFrame:
     s = (listings.where(F.col("room_type").isNotNull()).groupBy("city", "room_type")
          .agg(F.count("id").alias("listing_count"), F.avg("price").alias("avg_price"),
               F.avg("occupancy_rate").alias("avg_occupancy")))
-    s = s.withColumns({"avg_price": round_even("avg_price", 2), "avg_occupancy": round_even("avg_occupancy", 2)})
+    s = s.withColumns({"avg_price": round_aggregate("avg_price", 2), "avg_occupancy": round_aggregate("avg_occupancy", 2)})
     return conform(surrogate_key(s, ["room_type"], "room_type_id"), DIM_ROOM_TYPE)
 
 
@@ -74,7 +74,7 @@ def dim_property_type(listings: DataFrame) -> DataFrame:
     """B09."""
     s = (listings.where(F.col("property_type").isNotNull()).groupBy("city", "property_type")
          .agg(F.count("id").alias("listing_count"), F.avg("price").alias("avg_price")))
-    s = s.withColumn("avg_price", round_even("avg_price", 2))
+    s = s.withColumn("avg_price", round_aggregate("avg_price", 2))
     return conform(surrogate_key(s, ["property_type"], "property_type_id"), DIM_PROPERTY_TYPE)
 
 

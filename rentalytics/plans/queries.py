@@ -4,7 +4,7 @@ Each query takes published frames (``fact_listings``, ``dim_host``,
 ``fact_calendar``, ``fact_reviews`` ...) and returns a DataFrame; all
 cities are answered at once (grouped by ``city``).  Rounding follows the
 origin of each query: SQL-origin queries round half-up on the decimal
-value (``round_half_up``), notebook/dashboard ones half-even (``round_even``).
+value (``round_half_up``), notebook/dashboard ones half-even (``round_aggregate``).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bool_label, bucket_right, haversine_km, round_even, round_half_up
+from ..functions import bool_label, bucket_right, haversine_km, round_aggregate, round_half_up
 from ..operators import aggregates as A
 from ..operators.filters import cap_by_group, listing_filter
 from ..operators.joins import complete_axis, inner_join, semi_join
@@ -114,14 +114,14 @@ def kpi_cards(listing_frame: DataFrame) -> DataFrame:
     """Per-city and total KPIs."""
     k = A.kpi_block(listing_frame)
     return k.select(F.coalesce("city", F.lit("ALL")).alias("city"), "listing_count",
-                    round_even("median_price", 2).alias("median_price"),
-                    round_even("mean_occupancy", 4).alias("mean_occupancy"),
-                    round_even("mean_rating", 4).alias("mean_rating"))
+                    round_aggregate("median_price", 2).alias("median_price"),
+                    round_aggregate("mean_occupancy", 4).alias("mean_occupancy"),
+                    round_aggregate("mean_rating", 4).alias("mean_rating"))
 
 
 # ----------------------------------------------------------------- notebook / dashboard views
 def _r(c, d=6):
-    return round_even(c, d)
+    return round_aggregate(c, d)
 
 
 def price_distribution(listing_frame: DataFrame, bins: int = 50, caps=PRICE_CAPS["distribution"]) -> DataFrame:

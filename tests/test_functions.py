@@ -167,3 +167,10 @@ def test_apply_conf_keeps_launch_settings(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == launched["spark.sql.shuffle.partitions"]
     finally:
         spark.conf.set(key, before)
+
+
+def test_rounding_of_values_and_aggregates(spark):
+    from rentalytics.functions import round_aggregate, round_even
+    r = spark.createDataFrame([(0.01499999999999, 2.675, 0.1 + 0.2)], "a double, b double, c double").select(
+        round_even("a", 2).alias("a"), round_even("b", 2).alias("b"), round_aggregate("c", 1).alias("c")).first()
+    assert (r.a, r.b, r.c) == (0.01, float(np.round(2.675, 2)), 0.3)
