@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +20,7 @@ def register(fn):
 
 def with_crc(df: DataFrame) -> DataFrame:
     """Replace ids by their unsigned crc32."""
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            crc = np.array([zlib.crc32(x.as_buffer()) for x in b.column("ids")], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(crc)], names=[*names, "ids_crc32"])
-
-    names = [c for c in df.columns if c != "ids"]
-    return df.mapInArrow(digest, ", ".join(f"{c} long" for c in [*names, "ids_crc32"]))
+    return df.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 @register
