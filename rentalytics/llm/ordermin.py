@@ -2,8 +2,8 @@
 
 A text is the sequence of its five-word shingles, each labelled with which occurrence of that shingle it is.  Under
 each of ``BANDS`` random orders the ``PICKED`` least shingles are taken and kept in text order; their hash is a bucket
-key, so texts meet that share words in the same order.  Candidates are verified by an alignment of the two shingle
-sequences inside the band of diagonals that a similarity of ``SIMILARITY`` allows: matched / (n + m - matched).
+key, so texts meet that share words in the same order.  Candidates are verified without the labels, by an alignment of
+the two shingle sequences inside the band of diagonals that a similarity of ``SIMILARITY`` allows: matched / (n + m - matched).
 
 Equal texts are one node.  In each bucket all members are aligned with one pivot, the member that meets most others;
 buckets whose members are then still in different components are compared in blocks of ``BLOCK`` texts, and of those
@@ -34,6 +34,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: Least shingles in a key and how many keys: a pair of similarity 0.8 shares a key with probability 0.9999.
 PICKED, BANDS = 6, 32
 BLOCK = 64
+#: Places of a shingle, on average, from which on two texts are aligned by bits.
+MANY_PLACES = 16
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -50,8 +52,8 @@ WORD_PLACES = _RANDOM.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64
 PICK_PLACES = _RANDOM.integers(0, 1 << 63, PICKED, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def labelled_shingles(texts: pa.Array) -> list[np.ndarray]:
-    """Each text's shingles in order, as hashes that also tell the first, second, ... occurrence apart."""
+def shingle_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shingles of all texts in order, as hashes, which text each is of, and where each text's begin."""
     words, codes, offsets = split_words(pc.utf8_lower(texts))
     hashes = pd.util.hash_array(np.array([*words, ""], dtype=object))[codes]
     n = np.diff(offsets)
@@ -63,15 +65,31 @@ def labelled_shingles(texts: pa.Array) -> list[np.ndarray]:
         rolled[offsets[i]] = (hashes[offsets[i]:offsets[i + 1]] * WORD_PLACES[:n[i]]).sum(dtype=np.uint64)
     doc = np.repeat(np.arange(len(n)), size)
     start = np.cumsum(size) - size
-    rolled = mix(rolled[np.arange(len(doc)) - start[doc] + offsets[:-1][doc]])
+    return mix(rolled[np.arange(len(doc)) - start[doc] + offsets[:-1][doc]]), doc, start
+
+
+def with_labels(rolled: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Hashes that also tell the first, second, ... occurrence of a shingle in its text apart."""
     order = np.lexsort((rolled, doc))  # stable: equal shingles of a text stay in text order
     same = np.r_[False, (rolled[order][1:] == rolled[order][:-1]) & (doc[order][1:] == doc[order][:-1])]
-    if same.any():
-        place = np.arange(len(order))
-        occurrence = np.empty_like(place)
-        occurrence[order] = place - np.maximum.accumulate(np.where(same, 0, place))
-        rolled = np.where(occurrence > 0, mix(rolled + occurrence.astype(np.uint64)), rolled)
-    return np.split(rolled, start[1:]) if len(n) else []
+    if not same.any():
+        return rolled
+    place = np.arange(len(order))
+    occurrence = np.empty_like(place)
+    occurrence[order] = place - np.maximum.accumulate(np.where(same, 0, place))
+    return np.where(occurrence > 0, mix(rolled + occurrence.astype(np.uint64)), rolled)
+
+
+def plain_and_labelled(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Each text's shingles in order, without and with the label of the occurrence."""
+    rolled, doc, start = shingle_hashes(texts)
+    if not len(start):
+        return [], []
+    return np.split(rolled, start[1:]), np.split(with_labels(rolled, doc), start[1:])
+
+
+def labelled_shingles(texts: pa.Array) -> list[np.ndarray]:
+    return plain_and_labelled(texts)[1]
 
 
 def picked_of(n: int) -> int:
@@ -94,32 +112,62 @@ def bucket_keys(shingles: np.ndarray) -> np.ndarray:
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    """Whether the longest common subsequence inside the band reaches the similarity.
+    """Whether the longest common subsequence reaches the similarity.
 
-    Labelled shingles come once in a text, so a common subsequence is a run of matches whose places rise in both.
-    At this similarity at most ``band`` shingles are unmatched, and no match lies farther off the diagonal.
+    At this similarity at most ``band`` shingles are unmatched, and no match lies farther off the diagonal.  Each
+    shingle is matched with all its places inside the band: by Hunt and Szymanski's rising runs, its places in
+    falling order so that a run takes one of them, or by bits where the places are many.
     """
     n, m = len(a), len(b)
-    need = similarity / (1 + similarity) * (n + m)
+    need = similarity / (1 + similarity) * (n + m) - 1e-9
     band = int(n + m - 2 * need) + 1
-    order = np.argsort(b)
-    found = np.minimum(np.searchsorted(b, a, sorter=order), m - 1)
-    place = order[found]
-    hit = (b[place] == a) & (np.abs(place - np.arange(n)) <= band)
-    if hit.sum() < need - 1e-9:
+    _, code = np.unique(np.concatenate([a, b]), return_inverse=True)
+    width = n + m + 1
+    places = np.sort(code[n:] * width + np.arange(m))  # by shingle, then place
+    i, base = np.arange(n), code[:n] * width
+    lo = np.searchsorted(places, base + np.clip(i - band, 0, m))
+    count = np.searchsorted(places, base + np.clip(i + band + 1, 0, m)) - lo
+    if (count > 0).sum() < need:
         return False
+    if count.sum() > MANY_PLACES * (n + m):
+        return common_by_bits(code[:n], code[n:]) >= need
+    last = np.cumsum(count)
+    falling = np.repeat(lo, count) + np.repeat(last, count) - 1 - np.arange(last[-1] if n else 0)
     tails: list[int] = []
-    for j in place[hit].tolist():
+    for j in (places[falling] % width).tolist():
         at = bisect_left(tails, j)
         if at == len(tails):
             tails.append(j)
         else:
             tails[at] = j
-    return len(tails) >= need - 1e-9
+    return len(tails) >= need
+
+
+def common_by_bits(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the longest common subsequence: a row of its table is a number of len(b) bits, 0 where it rises."""
+    order = np.argsort(b, kind="stable")
+    ends = np.searchsorted(b[order], np.stack([a, a + 1]))
+    full = (1 << len(b)) - 1
+    row, often = full, {}
+    for x, lo, hi in zip(a.tolist(), *ends.tolist()):
+        if lo == hi:
+            continue
+        if (mask := often.get(x)) is None:
+            mask = 0
+            if hi - lo > MANY_PLACES:  # few shingles come so often: their masks are kept
+                bits = np.zeros(len(b), dtype=bool)
+                bits[order[lo:hi]] = True
+                mask = often[x] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+            else:
+                for j in order[lo:hi].tolist():
+                    mask |= 1 << j
+        hit = row & mask
+        row = ((row + hit) | (row - hit)) & full
+    return len(b) - row.bit_count()
 
 
 def overlaps(shingles: list[np.ndarray]) -> np.ndarray:
-    """How many labelled shingles each two texts share, by products of 0/1 matrices."""
+    """How many labelled shingles each two texts share, by products of 0/1 matrices: no common subsequence is longer."""
     size = np.array([len(s) for s in shingles])
     doc = np.repeat(np.arange(len(size)), size)
     _, code, count = np.unique(np.concatenate(shingles), return_inverse=True, return_counts=True)
@@ -141,7 +189,7 @@ def link(group: pd.DataFrame, similarity: float = SIMILARITY) -> list[tuple[byte
     """Verified links that connect the texts of a group (side, node, comp, text): between its two sides, or among
     all if there is one side; never inside a component, and no more than connect it."""
     group = group.drop_duplicates(["side", "node"])
-    shingles = labelled_shingles(pa.array(group["text"].fillna("")))
+    plain, shingles = plain_and_labelled(pa.array(group["text"].fillna("")))
     size, side, nodes = np.array([len(s) for s in shingles]), group["side"].to_numpy(), group["node"].tolist()
     if len(group) < 2 or not size.sum():
         return []
@@ -161,7 +209,7 @@ def link(group: pd.DataFrame, similarity: float = SIMILARITY) -> list[tuple[byte
     pairs, out = np.argwhere(can), []
     for i, j in pairs[np.argsort(-shared[pairs[:, 0], pairs[:, 1]], kind="stable")]:
         x, y = top(comp[i]), top(comp[j])
-        if x != y and aligned(shingles[i], shingles[j], similarity):
+        if x != y and aligned(plain[i], plain[j], similarity):
             root[x] = y
             out.append((nodes[i], nodes[j]))
     return out

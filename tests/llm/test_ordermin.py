@@ -105,6 +105,36 @@ def test_aligned_is_the_longest_common_subsequence():
             assert ordermin.aligned(x, y) == (5 * k >= 4 * (len(x) + len(y) - k))
 
 
+def repeated_lines(rng):
+    """A text of repeated lines, and the same with a few words changed."""
+    lines = [" ".join(f"w{rng.randrange(200)}" for _ in range(rng.randrange(1, 22))) for _ in range(rng.randrange(1, 4))]
+    a = " ".join(rng.choice(lines) for _ in range(rng.randrange(2, 16)))
+    return a, family(rng, a, 1, 3)[0]
+
+
+@pytest.mark.parametrize("many", [0, 2, 16])
+def test_aligned_with_repeated_shingles(monkeypatch, many):
+    monkeypatch.setattr(ordermin, "MANY_PLACES", many)  # 0: all by bits
+    rng = random.Random(16)
+    near = 0
+    for _ in range(250):
+        a, b = repeated_lines(rng)
+        (x, y), _ = ordermin.plain_and_labelled(pa.array([a, b]))
+        k = common(x.tolist(), y.tolist())
+        assert ordermin.aligned(x, y) == (5 * k >= 4 * (len(x) + len(y) - k))
+        assert not len(x) or not len(y) or ordermin.common_by_bits(*np.split(np.unique(np.r_[x, y], return_inverse=True)[1], [len(x)])) == k
+        near += 5 * k >= 4 * (len(x) + len(y) - k)
+    assert 50 < near < 250
+
+
+def test_repeated_line_with_one_word_changed(spark):
+    """Labels shift behind the changed copy, the texts stay near."""
+    line = " ".join(f"w{i}" for i in range(20))
+    texts = [" ".join([line] * 10), " ".join([line.replace("w9 ", "x "), *[line] * 9])]
+    texts += [" ".join(f"v{i}" for i in range(200))]
+    assert classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")) == [(0, 0), (1, 0), (2, 2)]
+
+
 def test_overlaps():
     rng = random.Random(8)
     texts = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(1, 40))) for _ in range(30)]
