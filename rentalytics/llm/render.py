@@ -5,7 +5,8 @@ terms and options close their like; end tags without a start are dropped, and wh
 parent).  ``render`` walks it: invisible elements (head, scripts, templates, ``hidden``, ``display: none``,
 ``visibility: hidden``) give nothing, ``visibility: visible`` shows again inside the latter; inline text collapses
 white space; blocks begin lines and paragraphs, headings and lists are set off by an empty line; list items are
-marked and indented; preformatted text keeps its spaces; the cells of a table's columns are aligned.  Deep nesting is
+marked and indented; preformatted text keeps its spaces; the cells of a table's columns are aligned, and
+what stands in a table outside its cells comes before them.  Deep nesting is
 no recursion: the walk keeps its own stack.
 
 Defined cases: null html gives null text; empty html empty text; text outside any tag is visible; a tag, comment or
@@ -42,6 +43,7 @@ IMPLIED = {
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "option": ({"option"}, {"select", "datalist"}),
     "optgroup": ({"option", "optgroup"}, {"select"}), "body": ({"head"}, set()), "rt": ({"rt", "rp"}, {"ruby"}), "rp": ({"rt", "rp"}, {"ruby"}),
 }
+TABLE_PARTS = frozenset("caption thead tbody tfoot tr td th".split())
 #: Elements whose end tag must not reach past these.
 SCOPE = frozenset("table td th caption button template html".split())
 HEAD_ONLY = frozenset("html head title meta link base script style noscript template".split())
@@ -188,11 +190,29 @@ def shown(node: Node, visible: bool) -> bool | None:
     return visible
 
 
+def parts_of(node: Node) -> list[Node]:
+    """A table's, row group's or row's rows, cells and captions, and what browsers show before the table: a run of
+    other children with any text, as one node."""
+    parts: list[Node] = []
+    run: list = []
+    for c in [*node.children, None]:
+        if c is not None and (isinstance(c, str) or c.tag not in TABLE_PARTS):
+            run.append(c)
+            continue
+        if any(isinstance(x, Node) or x.strip(" \t\n\r\f") for x in run):
+            parts.append(Node("#stray", {}))
+            parts[-1].children = run
+        run = []
+        if c is not None:
+            parts.append(c)
+    return parts
+
+
 def cells_of(table: Node, visible: bool) -> tuple[list[list[tuple[Node, bool]]], list[tuple[Node, bool]]]:
     """The rows of cells of a table, without those of tables inside it, and its captions and stray content."""
     rows: list[list[tuple[Node, bool]]] = []
     other: list[tuple[Node, bool]] = []
-    stack: list[tuple[Node, bool, int]] = [(c, visible, 0) for c in reversed(table.children) if isinstance(c, Node)]
+    stack: list[tuple[Node, bool, int]] = [(c, visible, 0) for c in reversed(parts_of(table))]
     open_row = False
     while stack:
         node, see, depth = stack.pop()
@@ -209,7 +229,7 @@ def cells_of(table: Node, visible: bool) -> tuple[list[list[tuple[Node, bool]]],
                 open_row = True
             else:
                 open_row = False
-            stack += [(c, own, depth + 1) for c in reversed(node.children) if isinstance(c, Node)]
+            stack += [(c, own, depth + 1) for c in reversed(parts_of(node))]
         else:
             other.append((node, own))
     return [r for r in rows if r], other

@@ -40,6 +40,14 @@ def test_visible_text(html, text):
     assert render.visible_text(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<table>Total 5<tr>note<td>a</table>", "Total 5\nnote\na"), ("<table> <tbody>\n in <b>all</b> 7 <tr><td>a<td>b</table>c", "in all 7\na  b\n\nc"),
+    ("<table><tr><td>a</td>x<td>b</td></tr>y</table>", "x\ny\na  b"), ("<table style='visibility:hidden'>no<tr><td>a</table>z", "z"),
+])
+def test_text_between_cells(html, text):
+    assert render.visible_text(html) == text
+
+
 def test_deep_and_long_pages():
     assert render.visible_text("<div>" * 20_000 + "x") == "x"
     assert render.visible_text("<table><tr><td>" * 200 + "x") == "x"
