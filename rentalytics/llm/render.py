@@ -3,7 +3,7 @@
 ``parse`` builds a tree: tags that HTML leaves out are implied (a block closes an open paragraph; items, rows, cells,
 terms and options close their like; end tags without a start are dropped, and what is still open ends with its
 parent).  ``render`` walks it: invisible elements (head, scripts, templates, ``hidden``, ``display: none``,
-``visibility: hidden``) give nothing, ``visibility: visible`` shows again inside the latter; inline text collapses
+``visibility: hidden``, what svg and math do not draw) give nothing, ``visibility: visible`` shows again inside the latter; inline text collapses
 white space; blocks begin lines and paragraphs, headings and lists are set off by an empty line; list items are
 marked and indented; preformatted text keeps its spaces; the cells of a table's columns are aligned, and
 what stands in a table outside its cells comes before them.  Deep nesting is
@@ -30,7 +30,7 @@ from rentalytics.llm.common import slices, small_batches
 #: How HTML treats its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head title script style template noscript iframe object video audio canvas svg math datalist noembed noframes param".split())
+HIDDEN = frozenset("head title script style template noscript iframe object video audio canvas datalist noembed noframes param".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul tr caption""".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure menu dir".split())
@@ -44,20 +44,29 @@ IMPLIED = {
     "optgroup": ({"option", "optgroup"}, {"select"}), "body": ({"head"}, set()), "rt": ({"rt", "rp"}, {"ruby"}), "rp": ({"rt", "rp"}, {"ruby"}),
 }
 TABLE_PARTS = frozenset("caption thead tbody tfoot tr td th".split())
+#: In svg and math: what is not drawn, what holds HTML again, and the HTML elements that end them.
+UNDRAWN = frozenset("desc defs metadata symbol clippath mask pattern marker annotation annotation-xml".split())
+HTML_AGAIN = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+ENDS_FOREIGN = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre
+ruby s small span strong strike sub sup table tt u ul var""".split())
 #: Elements whose end tag must not reach past these.
 SCOPE = frozenset("table td th caption button template html".split())
 HEAD_ONLY = frozenset("html head title meta link base script style noscript template".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
-STYLE = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)")
+#: A quote opens a value only right after "="; an unquoted value ends at white space or ">".
+_ATTRIBUTE = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)?+"""
+TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]|{_ATTRIBUTE})*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>"'][^\s>]*)?)?""")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "foreign")
 
-    def __init__(self, tag: str, attributes: dict[str, str]):
-        self.tag, self.attributes, self.children = tag, attributes, []
+    def __init__(self, tag: str, attributes: dict[str, str], foreign: bool = False):
+        self.tag, self.attributes, self.children, self.foreign = tag, attributes, [], foreign  # foreign: inside svg or math
+
+    def holds_foreign(self) -> bool:
+        return self.tag in ("svg", "math") or self.foreign and self.tag not in HTML_AGAIN
 
 
 def parse(html: str) -> Node:
@@ -98,6 +107,10 @@ def parse(html: str) -> Node:
             continue
         if stack[-1].tag == "head" and tag not in HEAD_ONLY:
             close_to(len(stack) - 1)
+        if tag in ENDS_FOREIGN:
+            while stack[-1].holds_foreign():
+                close_to(len(stack) - 1)
+        foreign = stack[-1].holds_foreign()
         if tag in IMPLIED:
             likes, stop = IMPLIED[tag]
             while (k := find(likes, stop)) is not None:
@@ -107,10 +120,13 @@ def parse(html: str) -> Node:
         attributes = {}
         if m[3].strip(" /\n\t\r"):
             for a in ATTRIBUTE.finditer(m[3]):
-                attributes.setdefault(a[1].lower(), unescape((a[2] or "").strip("\"'")))
-        node = Node(tag, attributes)
+                value = a[2] or ""
+                if value.startswith(("'", '"')):
+                    value = value[1:].removesuffix(value[0])
+                attributes.setdefault(a[1].lower(), unescape(value))
+        node = Node(tag, attributes, foreign)
         stack[-1].children.append(node)
-        if tag in VOID:
+        if tag in VOID or foreign and m[3].endswith("/"):
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
@@ -118,7 +134,7 @@ def parse(html: str) -> Node:
             node.children.append(unescape(raw) if tag in ("textarea", "title") else raw)
             at = end.end() if end else len(html)
             continue
-        if not m[3].endswith("/") or tag not in ("svg", "math", "path"):
+        if not m[3].endswith("/") or tag not in ("svg", "math"):
             stack.append(node)
     text(html[at:])
     return root
@@ -177,16 +193,28 @@ class Lines:
         return self.lines
 
 
+def style_of(node: Node) -> dict[str, str]:
+    """The first word of each property of the style attribute; the last one counts, and an important one before it."""
+    found: dict[str, tuple[bool, str]] = {}
+    for declaration in node.attributes.get("style", "").lower().split(";"):
+        name, _, value = declaration.partition(":")
+        name, important = name.strip(), "!" in value
+        if (word := re.match(r"\s*([a-z-]+)", value)) and (important or not found.get(name, (False, ""))[0]):
+            found[name] = important, word[1]
+    return {name: word for name, (_, word) in found.items()}
+
+
 def shown(node: Node, visible: bool) -> bool | None:
     """Whether a node's own text is visible; None if all below it is not displayed at all."""
-    if node.tag in HIDDEN or "hidden" in node.attributes and node.attributes["hidden"].lower() != "until-found" or \
+    if node.tag in HIDDEN or node.foreign and node.tag in UNDRAWN or "hidden" in node.attributes and node.attributes["hidden"].lower() != "until-found" or \
             node.tag == "input" or node.tag == "dialog" and "open" not in node.attributes:
         return None
-    for name, value in STYLE.findall(node.attributes.get("style", "").lower()):
-        if name == "display" and value == "none":
+    if "style" in node.attributes:
+        style = style_of(node)
+        if style.get("display") == "none":
             return None
-        if name == "visibility":
-            visible = value == "visible" if value in ("visible", "hidden", "collapse") else visible
+        value = style.get("visibility")
+        visible = value == "visible" if value in ("visible", "hidden", "collapse") else visible
     return visible
 
 
@@ -274,7 +302,7 @@ def _layout(children: list, visible: bool, depth: int) -> list[str]:
             out.end(1)
             out.block(_table(item, own, depth))
             out.end(1)
-        elif tag in BLOCK or tag in ("td", "th", "thead", "tbody", "tfoot"):
+        elif tag in BLOCK or tag in ("td", "th", "thead", "tbody", "tfoot") or item.foreign and tag == "text":
             gap = 1 if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and lists) else 0
             out.end(gap)
             before = out.indent

@@ -48,6 +48,21 @@ def test_text_between_cells(html, text):
     assert render.visible_text(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<p><a href=/x title=Bob's>one</a> two</p><p>three it's four</p><p>five</p>", "one two\n\nthree it's four\n\nfive"),
+    ("<a title=Bob's>one</a> two", "one two"), ('<a b"c>x</a> "y"', 'x "y"'), ("<a href = 'x>y' hidden>no</a>z", "z"), ("<a b=c'd hidden>no</a>z", "z"),
+    ("<i a=b=\"c>x</i>", "x"), ('<i ="a>b">c', 'b">c'), ('<i a="b"c=\'>\'>d', "d"), ('<a href="open>no', ""), ("<a b=>x", "x"),
+    ("<i style='backface-visibility: hidden'>a</i><i style='content-visibility:hidden'>b</i>", "ab"),
+    ("<i style='color:red; VISIBILITY : hidden !important'>a</i>b", "b"), ("<i style='display:none;display:inline'>a</i>", "a"),
+    ("<i style='display:none!important;display:inline'>a</i>b", "b"),
+    ("a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b", "a x=2 b"), ("<math><semantics><mi>x</mi><annotation>no</annotation></semantics></math>", "x"),
+    ("<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><rect/><text>a</text><text>b</text></svg>c", "a\nb\nc"),
+    ("<svg><title/><style/><defs/><text>a</text></svg>", "a"), ("<svg/>a", "a"), ("<svg><defs><p>a", "a"), ("<desc>a</desc>", "a"),
+])
+def test_messy_markup(html, text):
+    assert render.visible_text(html) == text
+
+
 def test_deep_and_long_pages():
     assert render.visible_text("<div>" * 20_000 + "x") == "x"
     assert render.visible_text("<table><tr><td>" * 200 + "x") == "x"
