@@ -91,8 +91,9 @@ def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
 
 def proximity_matches(docs: DataFrame, phrases: DataFrame, span: int) -> DataFrame:
     """phrase_id, doc_id, h, start, end: places where a run of at most ``span`` words holds every distinct word of a
-    phrase (phrase_id, text), whatever their order.  The run is told by its occurrence of the phrase's rarest word
-    and, for each other word, the occurrence nearest to it."""
+    phrase (phrase_id, text), whatever their order.  Every occurrence of one of its words that begins such a run
+    gives a row, with the least end.  Runs are found round the occurrences of the phrase's rarest word, from all
+    occurrences within reach of it: less than two spans of words."""
     asked = keep(phrases.select("phrase_id", F.array_distinct(words_of(F.col("text"))).alias("words")).where(F.size("words") > 0), "proximity-phrases")
     words = document_words(docs)
     counts = term_counts(words, asked.select(F.explode("words").alias("term")).distinct())
@@ -104,14 +105,20 @@ def proximity_matches(docs: DataFrame, phrases: DataFrame, span: int) -> DataFra
     rare = index.join(ranked.where("rank = 1").drop("n", "rank"), "term").select("phrase_id", "need", "doc_id", "h", F.col("pos").alias("anchor"))
     # positions are dealt into cells of `span` words: an occurrence within reach lies in the same or a next cell
     rare = rare.withColumn("cell", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: (F.col("anchor") / span).cast("long") + i)))
-    others = (index.join(ranked.where("rank > 1").select("phrase_id", "term"), "term")
+    others = (index.join(ranked.select("phrase_id", "term"), "term")
               .select("phrase_id", "term", F.col("doc_id").alias("d"), "h", "pos", (F.col("pos") / span).cast("long").alias("cell")))
-    pairs = rare.alias("a").join(others.alias("b"), F.expr("a.phrase_id = b.phrase_id and a.h = b.h and a.cell = b.cell and a.doc_id <=> b.d"), "left")
-    near = (pairs.select("a.phrase_id", "need", "a.doc_id", "a.h", "anchor", "term", "pos").where(f"term is null or abs(pos - anchor) < {span}")
-            .groupBy("phrase_id", "need", "doc_id", "h", "anchor", "term").agg(F.min_by("pos", F.struct(F.abs(F.col("pos") - F.col("anchor")), "pos")).alias("pos")))
-    found = near.groupBy("phrase_id", "need", "doc_id", "h", "anchor").agg(
-        (F.count("term") + 1).alias("have"), F.least(F.min("pos"), F.col("anchor")).alias("start"), F.greatest(F.max("pos"), F.col("anchor")).alias("end"))
-    return found.where((F.col("have") == F.col("need")) & (F.col("end") - F.col("start") < span)).select("phrase_id", "doc_id", "h", "start", "end").distinct()
+    pairs = rare.alias("a").join(others.alias("b"), F.expr("a.phrase_id <=> b.phrase_id and a.h = b.h and a.cell = b.cell and a.doc_id <=> b.d"))
+    near = (pairs.select("a.phrase_id", "need", "a.doc_id", "a.h", "anchor", "term", "pos").where(f"abs(pos - anchor) < {span}")
+            .groupBy("phrase_id", "need", "doc_id", "h", "anchor").agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("places")))
+    starts = near.withColumn("start", F.explode(F.filter(F.transform("places", lambda x: x["pos"]), lambda x: x <= F.col("anchor"))))
+
+    def first_of_each(run: Column, x: Column) -> Column:
+        inside = (x["pos"] >= F.col("start")) & (x["pos"] < F.col("start") + span) & ~F.array_contains(run["seen"], x["term"])
+        return F.when(inside, F.struct(F.array_append(run["seen"], x["term"]).alias("seen"), x["pos"].alias("end"))).otherwise(run)
+
+    none = F.struct(F.array().cast("array<string>").alias("seen"), F.lit(None).cast("int").alias("end"))
+    found = starts.withColumn("run", F.aggregate("places", none, first_of_each))
+    return found.where(F.size("run.seen") == F.col("need")).select("phrase_id", "doc_id", "h", "start", F.col("run.end").alias("end")).distinct()
 
 
 def window_matches(docs: DataFrame, windows: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:

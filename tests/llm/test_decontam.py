@@ -83,6 +83,34 @@ def test_proximity(spark):
     assert got == {(9, 1, 0, 4), (9, 2, 0, 3), (9, None, 0, 2)}
 
 
+def plain_runs(docs, phrases, span):
+    out = set()
+    for doc_id, text in docs:
+        w = words(text)
+        for phrase_id, phrase in phrases:
+            asked = set(words(phrase))
+            for i in range(len(w)):
+                for j in range(i, min(i + span, len(w))):
+                    if w[i] in asked and asked <= set(w[i:j + 1]):
+                        out.add((phrase_id, doc_id, i, j))
+                        break
+    return out
+
+
+def test_proximity_equals_plain_search(spark):
+    rng = random.Random(7)
+    far = ["x"] * 20
+    far[10], far[5], far[16], far[17] = "rare", "b", "b", "c"  # the nearest b is in no run, the other one is
+    docs = [(i, " ".join(rng.choices(["a", "b", "c", "rare", "x", "y"], [5, 5, 3, 1, 4, 4], k=rng.randrange(0, 80)))) for i in range(30)]
+    docs += [(100, " ".join(far)), (101, "b " * 30 + "rare"), (None, "c rare b")]
+    phrases = [(1, "rare b c"), (2, "a b a"), (3, "x"), (4, "a b c rare y"), (5, "rare none"), (6, "")]
+    d, p = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(phrases, "phrase_id long, text string")
+    for span in (3, 8):
+        want = plain_runs(docs, phrases, span)
+        assert {(r.phrase_id, r.doc_id, r.start, r.end) for r in decontam.proximity_matches(d, p, span).collect()} == want
+    assert (1, 100, 10, 17) in want
+
+
 @pytest.mark.parametrize("name", ["op7_decontamination"])
 def test_oracle(spark, name):
     d = "/root/testdata/sf0.001"
