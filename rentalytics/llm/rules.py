@@ -3,9 +3,11 @@
 Every rule is a score that is worse when higher, with a fixed grid of cutoffs.  For each stratum (language), rule and
 cutoff, the labelled good documents are a holdout: n of them, of which the rule would reject k.  The cutoff is safe
 if the exact (Clopper-Pearson) upper bound of its false rejection rate is at most ``risk / number of rules``, at a
-confidence of 1 - delta / number of all cutoffs tested (Bonferroni): with probability 1 - delta, no stratum loses
-more than ``risk`` of its good documents to all rules together.  Each rule uses its least safe cutoff in a stratum,
-and none where no cutoff is safe, as in strata with few labels.
+confidence of 1 - delta / (strata * rules) (Bonferroni), and all laxer cutoffs of the rule are safe too: tested in this
+fixed order up to the first failure, the cutoffs of a rule need no correction among themselves.  With probability
+1 - delta, no stratum loses more than ``risk`` of its good documents to all rules together.  Each rule uses its strictest
+safe cutoff in a stratum, and none where no cutoff is safe: ``labels_needed`` good labels let a cutoff pass that rejects
+none of them.
 
 DataFrame functions only.  A document's windows of eight words are hashed by doubling (pairs, fours, eights); only a
 text with equal hashes has its windows compared as text.
@@ -113,6 +115,11 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * p, 1.0).otherwise(F.least(F.lit(1.0), tail))
 
 
+def labels_needed(strata: int, risk: float = RISK, delta: float = DELTA) -> int:
+    """Labelled good documents of a stratum from which on a cutoff that rejects none of them is safe."""
+    return math.ceil(math.log(delta / (strata * len(RULES))) / math.log1p(-risk / len(RULES)))
+
+
 def stratum() -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("none"))
 
@@ -140,13 +147,16 @@ def safe_cutoffs(features: DataFrame, labels: DataFrame, risk: float = RISK, del
     # k of a cutoff: documents that this cutoff or a laxer one rejects
     tests = (counts.withColumn("n", n).withColumn("cut", F.explode(F.sequence(F.col("first_cut"), grid[F.col("rule")] + 1)))
              .groupBy("stratum", "rule", "cut").agg(F.sum("docs").alias("k"), F.max("n").alias("n")))
-    total = counts.select("stratum").distinct().count() * sum(len(c) for _, c in RULES.values())
+    families = counts.select("stratum").distinct().count() * len(RULES)
     # a cutoff that rejects no good document has no row above: k is 0 there
     strata = counts.groupBy("stratum", "rule").agg(F.sum("docs").alias("n")).withColumn("cut", F.explode(F.sequence(F.lit(1), grid[F.col("rule")])))
     tests = (strata.join(tests.select("stratum", "rule", "cut", "k"), ["stratum", "rule", "cut"], "left")
              .withColumn("k", F.coalesce("k", F.lit(0))))
     tested = tests.withColumn("p_value", binomial_tail(F.col("k"), F.col("n"), risk / len(RULES)))
-    return (tested.where(F.col("p_value") <= delta / max(total, 1)).groupBy("stratum", "rule")
+    # from lax to strict: a cutoff is safe if it and all laxer ones pass
+    falling = Window.partitionBy("stratum", "rule").orderBy("cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    passed = tested.withColumn("worst", F.max("p_value").over(falling)).where(F.col("worst") <= delta / max(families, 1))
+    return (passed.groupBy("stratum", "rule")
             .agg(F.max(F.struct("cut", "n", "k", "p_value")).alias("best")).select("stratum", "rule", "best.*"))
 
 

@@ -75,5 +75,28 @@ def test_cutoffs_hold_the_risk(spark):
     assert "symbols" not in safe or all(r.k == 0 for r in safe.values())
 
 
+def labelled_texts(spark, lang, n, bad=0):
+    words = "some plain words that make a text of more than twenty words so that the base keeps it as it is here"
+    rows = [(i, ("*** " * 40 if i < bad else "") + f"g{i} {words}", lang) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_labels_needed_are_enough(spark):
+    """Cutoffs of a rule are tested in a fixed order, with no correction over them."""
+    need = rules.labels_needed(1)
+    assert need < 1500
+    for n, some in ((need, True), (need - 1, False)):
+        docs = labelled_texts(spark, "en", n)
+        cutoffs = rules.safe_cutoffs(rules.text_features(docs), docs.select("doc_id", F.lit(1).alias("quality"))).collect()
+        assert {r.rule for r in cutoffs} == (set(rules.RULES) if some else set())
+
+
+def test_cutoffs_stop_at_the_first_failure(spark):
+    docs = labelled_texts(spark, "en", 1500, bad=40)
+    cutoffs = {r.rule: r for r in rules.safe_cutoffs(rules.text_features(docs), docs.select("doc_id", F.lit(1).alias("quality"))).collect()}
+    # "***" in 40 of about 60 words: two symbols a word, which the cutoff 1.5 and stricter ones reject
+    assert cutoffs["symbols"].cut == rules.RULES["symbols"][1].index(2.0) + 1 and cutoffs["symbols"].k == 0
+
+
 def test_nothing(no_docs, spark):
     assert rules.judge(no_docs, spark.createDataFrame([], LABELS)).count() == 0
