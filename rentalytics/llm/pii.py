@@ -198,25 +198,34 @@ class Model:
                 np.add.at(self.weights, (slice(None), features), rate * step[:, None])
 
 
+def drawn_zones(texts: list[str], most: int) -> list[tuple[int, list]]:
+    """At most ``most`` zones of these texts, in order, each with its text's number: one of every text before a second
+    one of any, drawn at random within the text."""
+    random, every, rank = np.random.default_rng(11), [], []
+    for i, text in enumerate(texts):
+        found = list(zones(text))
+        every += [(i, atoms) for atoms in found]
+        rank += random.permutation(len(found)).tolist()
+    least = np.lexsort((random.random(len(rank)), rank))[:most]
+    return [every[k] for k in np.sort(least)]
+
+
 def train(texts: list[str], zones_at_most: int = TRAIN_ZONES) -> Model:
-    """Fit a model to the base rules' spans in the first zones of these texts."""
-    samples = []
-    for text in texts:
-        spans = base_spans(text)
-        for atoms in zones(text):
-            starts, ends = {s: i for i, (s, _) in enumerate(atoms)}, {e: i + 1 for i, (_, e) in enumerate(atoms)}
-            segments = candidates(text, atoms)
-            known = {(i, j) for i, j, _ in segments}
-            gold: dict[tuple[int, int], int] = {}
-            taken = -1
-            for kind, s, e in sorted(spans, key=lambda x: (x[1], -x[2])):
-                if s in starts and e in ends and s >= taken and (starts[s], ends[e]) in known:
-                    gold[starts[s], ends[e]], taken = kind, e
-            samples.append((len(atoms), segments, gold))
-            if len(samples) == zones_at_most:
-                break
-        if len(samples) == zones_at_most:
-            break
+    """Fit a model to the base rules' spans in at most ``zones_at_most`` zones, drawn over all of these texts."""
+    samples, spans, last = [], [], -1
+    for which, atoms in drawn_zones(texts, zones_at_most):
+        text = texts[which]
+        if which != last:
+            spans, last = base_spans(text), which
+        starts, ends = {s: i for i, (s, _) in enumerate(atoms)}, {e: i + 1 for i, (_, e) in enumerate(atoms)}
+        segments = candidates(text, atoms)
+        known = {(i, j) for i, j, _ in segments}
+        gold: dict[tuple[int, int], int] = {}
+        taken = -1
+        for kind, s, e in sorted(spans, key=lambda x: (x[1], -x[2])):
+            if s in starts and e in ends and s >= taken and (starts[s], ends[e]) in known:
+                gold[starts[s], ends[e]], taken = kind, e
+        samples.append((len(atoms), segments, gold))
     model, order = Model(), np.random.default_rng(7)
     for turn in range(PASSES):
         for k in order.permutation(len(samples)):

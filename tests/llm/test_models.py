@@ -185,6 +185,16 @@ def test_find_and_redact(spark, odd_docs, no_docs, texts):
     assert pii.masked("ab cd ef", [(0, 3, 5), (1, 4, 7)]) == "ab [EMAIL]f"
 
 
+def test_zones_are_drawn_over_all_texts():
+    long = " and then some words ".join(f"{i} apples" for i in range(400))
+    texts = [long] + [f"mail user{i}@example.com now" for i in range(50)]
+    assert len(list(pii.zones(long))) > 100
+    got = Counter(i for i, _ in pii.drawn_zones(texts, 100))
+    assert set(got) == set(range(51)) and sum(got.values()) == 100
+    assert [z for _, z in pii.drawn_zones(texts, 10 ** 6)] == [z for t in texts for z in pii.zones(t)]
+    assert pii.train(texts, 100).weights.tolist() != pii.train(texts[:1], 100).weights.tolist()
+
+
 # ------------------------------------------------------------------ 4
 def plain_url(url):
     if url is None or "://" not in url:
