@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentalytics.llm import (decontam, langid, ordermin, packing, pii, quality, render, rules, tokens,
-                             urls)
+from rentalytics.llm import (codes, decontam, langid, ordermin, packing, pii, quality, render, rules, simhash,
+                             tokens, urls)
 from rentalytics.llm.common import table
 
 QUERIES = {}
@@ -105,3 +105,55 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.label(docs, langid.fit(docs))
+
+
+@register
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def vector_code_sql(rounds: int = codes.ROUNDS) -> str:
+    """Whole scans in every round, where the operator compares the moved entries only."""
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS rid, vec_id, label,
+         list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT rid, p, list_slice(v, (len(v) * p) // 4 + 1, (len(v) * (p + 1)) // 4) AS x
+  FROM kept, range({codes.PARTS}) AS r(p)),
+book0 AS MATERIALIZED (SELECT p, rid AS entry, x FROM parts WHERE rid < {codes.ENTRIES})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+code{r} AS MATERIALIZED (
+  SELECT rid, p, x, far['d'] AS d, far['e'] AS entry FROM (
+    SELECT rid, a.p, any_value(a.x) AS x, min({{'d': list_inner_product(a.x, a.x) - 2 * list_inner_product(a.x, b.x)
+           + list_inner_product(b.x, b.x), 'e': b.entry}}) AS far
+    FROM parts a JOIN book{r} b ON a.p = b.p GROUP BY rid, a.p))""")
+        if r < rounds:
+            steps.append(f"""
+moved{r} AS (
+  SELECT p, entry, list(c ORDER BY i) AS x FROM (
+    SELECT p, entry, i, floor(sum(c) / count(*)) AS c FROM (
+      SELECT p, entry, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM code{r}) GROUP BY p, entry, i) GROUP BY p, entry),
+book{r + 1} AS MATERIALIZED (
+  SELECT b.p, b.entry, coalesce(m.x, b.x) AS x FROM book{r} b LEFT JOIN moved{r} m ON b.p = m.p AND b.entry = m.entry)""")
+    return f"""
+WITH {",".join(steps)},
+coded AS (
+  SELECT rid, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM code{rounds} GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY p, entry, i))
+        FROM (SELECT p, entry, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM book{rounds})) AS codebooks_sha256
+FROM kept JOIN coded USING (rid)
+"""
+
+
+ORACLE_SQL["op12_vector_codes"] = vector_code_sql()
+
+
+@register
+def op13_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
