@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentalytics.llm import (codes, decontam, langid, ordermin, packing, pii, quality, render, rules, simhash,
-                             tokens, urls)
+from rentalytics.llm import (codes, decontam, langid, ordermin, packing, pii, quality, render, rules, search,
+                             simhash, tokens, urls)
 from rentalytics.llm.common import table
 
 QUERIES = {}
@@ -107,6 +107,36 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.label(docs, langid.fit(docs))
 
 
+@register
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op11_ranked_search"] = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS MATERIALIZED (
+  SELECT row_number() OVER () AS iid, item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+total AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs WHERE len(w) > 0),
+tf AS MATERIALIZED (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(w) AS t FROM docs) GROUP BY rid, t),
+asked AS (SELECT iid, t, count(*) AS times FROM (SELECT iid, unnest(w) AS t FROM items) GROUP BY iid, t),
+weight AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY t, n_docs),
+scored AS (
+  SELECT iid, rid, sum(times * weight.w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(docs.w) * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weight USING (t) JOIN tf USING (t) JOIN docs USING (rid), total GROUP BY iid, rid),
+ranked AS (
+  SELECT iid, doc_id, score, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM scored JOIN docs USING (rid) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN items USING (iid) WHERE rank <= 10
+"""
+
+
 @register
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings")).drop("label")

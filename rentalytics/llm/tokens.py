@@ -9,15 +9,17 @@ row a file.  ``read_token_files`` maps the files into memory, a task for each.
 A task writes under its attempt's name and renames at the end, so a repeated or speculative task replaces a file by
 an equal one.  The folder is the shared one of spark.checkpoint.dir unless given.
 
-Defined cases: null text is empty text (the end id alone); an empty text has one id; a null doc_id sorts first and is
-stored as the least int64; repeated doc_ids are kept, ordered by a hash of their text; an empty table has no files; other columns are not read.
+Defined cases: null text is empty text (the end id alone); an empty text has one id; null doc_ids come first
+and each part's manifest row counts them; repeated doc_ids are kept, ordered by a hash of their text; an empty table has no files; other columns are not read.
 """
 
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Iterator
-from unicodedata import normalize
+from functools import cache
+from unicodedata import category, normalize
 
 import numpy as np
 import public_tokenizers
@@ -33,13 +35,21 @@ from rentalytics.llm.common import (partitions, ranges, shared_folder, slices, s
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
-NULL_ID = np.iinfo(np.int64).min
 #: Words whose ids a task remembers, and their length; longer words are encoded each time.
 CACHE_WORDS, CACHE_CHARS = 250_000, 64
 #: New words encoded at a time.
 LOT = 2000
-#: A letter before ASCII punctuation that no special token and no contraction has: pieces of this vocabulary end there.
-BREAK = r"(\pL)([!-&(-/:;=?-@\[-`{}~])"
+
+
+@cache
+def break_pattern() -> str:
+    """A letter before ASCII punctuation that no special token and no contraction has: pieces of this vocabulary end there.
+    Only letters that end as letters once normalised and lowered; the others, some sixty, end in a combining mark, which
+    makes one piece with punctuation after it."""
+    good = [c for c in range(sys.maxunicode + 1) if category(chr(c))[0] == "L" and category(normalize("NFC", chr(c)).lower()[-1])[0] == "L"]
+    cuts = [0, *(i for i in range(1, len(good)) if good[i] != good[i - 1] + 1), len(good)]
+    letters = "".join(f"\\x{{{good[a]:x}}}-\\x{{{good[b - 1]:x}}}" for a, b in zip(cuts, cuts[1:]))
+    return rf"([{letters}])([!-&(-/:;=?-@\[-`{{}}~])"
 
 
 class Encoder:
@@ -96,7 +106,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
-        texts = pc.replace_substring_regex(texts, BREAK, r"\1 \2")
+        texts = pc.replace_substring_regex(texts, break_pattern(), r"\1 \2")
         if not pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens are told by case
             texts = pc.ascii_lower(texts)
         words, codes, offsets = split_words(texts)
@@ -153,7 +163,7 @@ def part_file(folder: str, part: int, kind: str) -> str:
 
 def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str = TOKENIZER,
                       end_id: int = END_ID) -> DataFrame:
-    """Write the files; return the manifest, one row a file: part, n_docs, n_tokens, base (ids of all parts before)."""
+    """Write the files; return the manifest, one row a file: part, n_docs, n_null (of them without doc_id), n_tokens, base (ids of all parts before)."""
     spark = small_batches(docs.sparkSession)
     folder = folder or shared_folder(spark, "tokens")
     ranged = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
@@ -168,13 +178,13 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
         temporary = {k: f"{part_file(root, part, k)}.{task.taskAttemptId()}" for k in ("bin", "idx", "doc")}
         files = {k: fs.open_output_stream(p) for k, p in temporary.items()}
         files["idx"].write(np.zeros(1, "<i8").tobytes())
-        n_docs = n_tokens = 0
+        n_docs = n_null = n_tokens = 0
         for batch in slices(batches, "text"):
             ids, counts = enc.encode(text_array(batch.column("text")), end_id)
             files["bin"].write(ids.astype(enc.id_type).tobytes())
             files["idx"].write((n_tokens + np.cumsum(counts)).astype("<i8").tobytes())
-            files["doc"].write(batch.column("doc_id").fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-            n_docs, n_tokens = n_docs + len(counts), n_tokens + len(ids)
+            files["doc"].write(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+            n_docs, n_null, n_tokens = n_docs + len(counts), n_null + batch.column("doc_id").null_count, n_tokens + len(ids)
         for k, f in files.items():
             f.close()
             if n_docs:
@@ -182,10 +192,10 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
             else:
                 fs.delete_file(temporary[k])
         if n_docs:
-            yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [n_docs], "n_tokens": [n_tokens], "id_type": [enc.id_type.str]})
+            yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [n_docs], "n_null": [n_null], "n_tokens": [n_tokens], "id_type": [enc.id_type.str]})
 
     path = f"{folder}/manifest"
-    written = ranged.mapInArrow(write, "part long, n_docs long, n_tokens long, id_type string")
+    written = ranged.mapInArrow(write, "part long, n_docs long, n_null long, n_tokens long, id_type string")
     written.write.parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
     # one row a file: the one window over all of them stays small
@@ -209,7 +219,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     ids = read_array(at[0], np.dtype(row["id_type"]), int(offsets[lo]), int(offsets[hi] - offsets[lo])).astype("<u4")
                     inner = offsets[lo:hi + 1] - offsets[lo]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(doc_ids[lo:hi], mask=np.asarray(doc_ids[lo:hi] == NULL_ID)),
+                        pa.array(doc_ids[lo:hi], mask=np.arange(lo, hi) < row["n_null"]),
                         pa.array(row["base"] + offsets[lo:hi]), pa.array(np.diff(inner)),
                         pa.array([ids[a:b].tobytes() for a, b in zip(inner[:-1], inner[1:])], pa.binary())],
                         names=["doc_id", "start", "n_tokens", "ids"])

@@ -1,6 +1,8 @@
 """Operators 1 and 8: exact round trips against the tokenizer on whole texts."""
 
 import random
+import string
+from unicodedata import category, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,30 @@ def test_encoder_equals_whole_texts(tokenizer):
         assert ids.tolist() == [i for w in want for i in w]
 
 
+def same_ids(tokenizer, texts):
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    ids, counts = tokens.Encoder(tokens.TOKENIZER).encode(pa.array(texts), None)
+    cut = np.split(ids, np.cumsum(counts)[:-1])
+    return [t for t, w, i in zip(texts, want, cut) if w != i.tolist()]
+
+
+def test_every_letter_beside_every_punctuation_mark(tokenizer):
+    marks = [c for c in string.printable if not c.isalnum() and not c.isspace()]
+    letters = [chr(c) for c in range(0x110000) if category(chr(c))[0] == "L"]
+    assert len(letters) > 100_000 and len(marks) == 32
+    for lo in range(0, len(letters), 10_000):
+        assert not same_ids(tokenizer, [" ".join(f"{m}{x}{m}b" for m in marks) for x in letters[lo:lo + 10_000]])
+
+
+def test_letters_that_end_in_a_mark(tokenizer):
+    """Letters that change when normalised or lowered, combining marks, and what may compose with punctuation."""
+    rng = random.Random(9)
+    odd = [chr(c) for c in range(0x110000) if category(chr(c))[0] == "L" and category(normalize("NFC", chr(c)).lower()[-1])[0] != "L"]
+    assert "\u0130" in odd and "\u0958" in odd and len(odd) > 50
+    pool = odd + list("\u0301\u0307\u0338\u093c\u0327") * 6 + list("aAiIé )(.,'!<>=|-12") * 6 + ["\u1100", "\u1161", "\u11a8", "Σ", "\u0915"] * 4
+    assert not same_ids(tokenizer, ["".join(rng.choices(pool, k=rng.randrange(1, 40))) for _ in range(20_000)])
+
+
 def expected(tokenizer, docs):
     return [(r.doc_id, tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1]) for r in docs.collect()]
 
@@ -46,6 +72,12 @@ def test_files_round_trip(spark, odd_docs, tokenizer):
     assert ids[:2] == [None, None] and ids[2:] == sorted(ids[2:])
 
 
+def test_least_doc_id_is_not_null(spark):
+    docs = spark.createDataFrame([(-(1 << 63), "a"), (None, "b c"), (None, None), (5, "d")], "doc_id long, text string")
+    rows = sorted(tokens.read_token_files(tokens.write_token_files(docs)).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None, None, -(1 << 63), 5]
+
+
 def test_files_of_nothing(no_docs):
     assert tokens.read_token_files(tokens.write_token_files(no_docs)).count() == 0
 
