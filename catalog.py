@@ -708,38 +708,78 @@ def _s02(spark, d):
     return read_csv_raw(spark, path, ["doc_id", "text", "lang"]).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
-@register("s06_nations_through_geojson", """
-SELECT CAST(row_number() OVER (ORDER BY n_nationkey) AS INTEGER) AS feature_pos, n_name AS neighbourhood, r_name AS neighbourhood_group,
-       'Polygon' AS geometry_type, CAST(n_regionkey AS BIGINT) AS region_key, n_name || '!' AS name_out, 'here' AS city_out,
-       CAST(n_regionkey AS BIGINT) AS region_key_out
-FROM nation JOIN region ON n_regionkey = r_regionkey
+AREAS_A_DOCUMENT = 500
+
+
+@register("s05_broken_records", """
+WITH lines AS (SELECT doc_id, CASE doc_id % 7 WHEN 3 THEN 1 WHEN 5 THEN 3 ELSE 2 END AS fields FROM documents)
+SELECT CAST(doc_id % 2 AS INTEGER) AS side, count(*) AS rows, count(*) FILTER (fields <> 2) AS broken, count(*) FILTER (fields = 2) AS fine,
+       count(*) FILTER (fields > 1) AS with_text, 0 AS absent_sources
+FROM lines GROUP BY doc_id % 2
+UNION ALL SELECT 2, 0, 0, 0, 0, 2
+""")
+def _s05(spark, d):
+    """Documents as CSV in which some records lack their text or have a field too many: broken records are told and
+    counted with the others (Q04); of two optional sources one is missing and one cannot be read."""
+    from pyspark.sql import functions as F
+    from rentalytics.sources.files import read_csv_raw, read_optional
+    quoted = F.concat(F.lit('"'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    kind = F.col("doc_id") % 7
+    line = F.when(kind == 3, F.col("doc_id").cast("string")).when(kind == 5, F.concat_ws(",", "doc_id", quoted, F.lit("more"))).otherwise(F.concat_ws(",", "doc_id", quoted))
+    path, bad = _scratch(spark, "broken"), _scratch(spark, "unreadable")
+    # each file of the text sink starts with the header, as files of a CSV sink do
+    docs = read_table(spark, d, "documents")
+    head = F.first(F.lit("doc_id,text"))
+    docs.withColumn("part", F.spark_partition_id()).groupBy("part").agg(head.alias("value")).select("part", "value", F.lit(0).alias("o")) \
+        .unionByName(docs.select(F.spark_partition_id().alias("part"), line.alias("value"), F.lit(1).alias("o"))) \
+        .repartition("part").sortWithinPartitions("part", "o").drop("o").write.partitionBy("part").text(path)
+    read = read_csv_raw(spark, path, ["doc_id", "text"], null_tokens=False, corrupt="broken")
+    docs.limit(1).select("doc_id").write.orc(bad)
+    absent = [read_optional(lambda: read_csv_raw(spark, f"{path}-none"), "none"), read_optional(lambda: spark.read.schema("doc_id long").parquet(bad), "bad")]
+    counts = read.groupBy((F.col("doc_id").cast("bigint") % 2).cast("int").alias("side")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("broken").alias("broken"), F.count_if(F.col("broken").isNull()).alias("fine"),
+        F.count("text").alias("with_text"), F.lit(0).alias("absent_sources"))
+    zero = spark.range(1).select(F.lit(2).alias("side"), *[F.lit(0).cast("long").alias(c) for c in ("rows", "broken", "fine", "with_text")],
+                                 F.lit(sum(a is None for a in absent)).alias("absent_sources"))
+    return counts.unionByName(zero)
+
+
+@register("s06_areas_through_geojson", f"""
+SELECT p_partkey // {AREAS_A_DOCUMENT} AS doc, CAST(row_number() OVER (PARTITION BY p_partkey // {AREAS_A_DOCUMENT} ORDER BY p_partkey) AS BIGINT) AS feature_pos,
+       p_name AS neighbourhood, p_brand AS neighbourhood_group, CASE WHEN p_size % 3 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS geometry_type,
+       CAST(p_size AS BIGINT) AS size, p_name || '!' AS name_out, 'here' AS city_out, CAST(p_size AS BIGINT) AS size_out
+FROM part
 """)
 def _s06(spark, d):
-    """A GeoJSON document of all nations, read to rows (S06 / F31 / F32) and written again with a property
-    overwritten and one inserted (S10 / F33); other properties stay."""
+    """GeoJSON documents of some hundred areas each, made from ``part``, cut into features by many tasks (S06 / F31 / F32), and
+    written again with a property overwritten and one inserted (S10 / F33); other properties stay."""
     from pyspark.sql import functions as F
     from rentalytics.sources.files import read_geojson_features
     from rentalytics.sources.sinks import feature_json
-    n = read_table(spark, d, "nation").join(read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    ring = F.array(*[F.array(F.col("n_nationkey") + x, F.col("n_regionkey") + y) for x, y in ((0, 0), (1, 0), (1, 1), (0, 0))])
-    feature = F.struct(F.lit("Feature").alias("type"),
-                       F.struct(F.col("n_name").alias("neighbourhood"), F.col("r_name").alias("neighbourhood_group"), "n_regionkey").alias("properties"),
-                       F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
-    features = F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", feature.alias("f")))), lambda x: x["f"])
-    path = _scratch(spark, "nations")
-    n.agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), features.alias("features"))).alias("value")).write.text(path)
+    part = read_table(spark, d, "part")
+    ring = F.array(*[F.array(F.col("p_size") + x, F.col("p_partkey") % 90 + y) for x, y in ((0, 0), (1, 0), (1, 1), (0, 0))])
+    shape = F.when(F.col("p_size") % 3 == 0, F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(ring)).alias("coordinates")))).otherwise(
+        F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))))
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"),
+                                 F.struct(F.col("p_name").alias("neighbourhood"), F.col("p_brand").alias("neighbourhood_group"), F.col("p_size").alias("size")).alias("properties"),
+                                 F.parse_json(shape).alias("geometry")))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", feature.alias("f")))), lambda x: x["f"])
+    docs = part.groupBy(F.expr(f"p_partkey div {AREAS_A_DOCUMENT}").alias("doc")).agg(
+        F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(listed, ","), F.lit("]}")).alias("value"))
+    path = _scratch(spark, "areas")
+    docs.repartition("doc").write.partitionBy("doc").text(path)  # a file for each document
     read = read_geojson_features(spark, path)
     p = F.col("feature.properties")
     changed = read.withColumn("feature", F.col("feature").withField("properties", p.withField("neighbourhood", F.concat(p["neighbourhood"], F.lit("!")))
                                                                     .withField("city", F.lit("here"))))
-    # the features as read, beside those of the text written from the changed ones: the same document, by group
-    back = feature_json(changed).select(F.parse_json("value").alias("v")).select(
-        F.variant_get("v", "$.properties.neighbourhood", "string").alias("name_out"), F.variant_get("v", "$.properties.city", "string").alias("city_out"),
-        F.variant_get("v", "$.properties.n_regionkey", "bigint").alias("region_key_out"))
-    flat = read.select("feature_pos", p["neighbourhood"].alias("neighbourhood"), p["neighbourhood_group"].alias("neighbourhood_group"),
-                       F.variant_get("feature.geometry", "$.type", "string").alias("geometry_type"),
-                       F.variant_get(p["source"], "$.n_regionkey", "bigint").alias("region_key"))
-    return flat.join(back, F.concat("neighbourhood", F.lit("!")) == F.col("name_out"))
+    # each feature as read, beside the text that is written from its changed form
+    out = F.parse_json("value")
+    back = feature_json(changed, keep=["file", "feature_pos"]).select(
+        "file", "feature_pos", F.variant_get(out, "$.properties.neighbourhood", "string").alias("name_out"),
+        F.variant_get(out, "$.properties.city", "string").alias("city_out"), F.variant_get(out, "$.properties.size", "bigint").alias("size_out"))
+    flat = read.select("file", "feature_pos", p["neighbourhood"].alias("neighbourhood"), p["neighbourhood_group"].alias("neighbourhood_group"),
+                       F.variant_get("feature.geometry", "$.type", "string").alias("geometry_type"), F.variant_get(p["source"], "$.size", "bigint").alias("size"))
+    return flat.join(back, ["file", "feature_pos"]).withColumn("doc", F.regexp_extract("file", "doc=([0-9]+)", 1).cast("bigint")).drop("file")
 
 
 @register("s11_profile_report_stage", """

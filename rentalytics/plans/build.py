@@ -27,7 +27,7 @@ def read_city_features(spark: SparkSession, base: str, cities: Sequence[str]) ->
     from ..sources.files import read_optional
     frames = []
     for c in cities:
-        f = read_optional(lambda p=f"{base.rstrip('/')}/{c}/neighbourhoods.geojson": read_geojson_features(spark, p))
+        f = read_optional(lambda p=f"{base.rstrip('/')}/{c}/neighbourhoods.geojson": read_geojson_features(spark, p), "raw-neighbourhoods")
         if f is not None:
             frames.append(f.withColumn("city", F.lit(c)))
     if not frames:
@@ -42,7 +42,7 @@ def market_from_files(spark: SparkSession, raw_base: str, cities: Sequence[str],
                       config: DataFrame | None = None, strict: bool = False) -> Market:
     """Market over raw per-city files; reviews and neighbourhoods are optional sources.
 
-    Multi-line CSV is one task per file, so each source is landed once as Parquet in the shared checkpoint folder.
+    A file is cut into records by many tasks; each source is landed once as Parquet in the shared checkpoint folder.
     """
     from ..session import materialise_table
     config = config if config is not None else config_frame(spark)
@@ -53,7 +53,6 @@ def market_from_files(spark: SparkSession, raw_base: str, cities: Sequence[str],
     reviews = read_city_csv(spark, raw_base, cities, "reviews", optional=True)
     features = read_city_features(spark, raw_base, cities)
     listings, calendar = materialise_table(listings, "raw-listings"), materialise_table(calendar, "raw-calendar")
-    reviews = materialise_table(reviews, "raw-reviews") if reviews is not None else None
     return Market(spark, listings=listings, calendar=calendar, reviews=reviews, features=features,
                   config=config, feature_position="feature_pos" if features is not None else None)
 

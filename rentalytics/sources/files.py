@@ -1,33 +1,75 @@
 """Readers (S01-S08).
 
-Raw CSV is read with an explicit all-string schema (types come from the
-cleaning operators, never from inference) and pandas-style missing-value
-tokens are normalised to null.  Multi-line CSV is not splittable, so raw
-text is landed once as Parquet (``build.market_from_files``) and read from there.
+Raw CSV is read as text (types come from the cleaning operators, never from
+inference) and pandas-style missing-value tokens are normalised to null.
+Quoted multi-line CSV and GeoJSON are cut into records by many tasks
+(``sources.records``), so one large file is not one task.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import normalise_null_tokens
+from ..session import materialise, materialise_table
+from .records import csv_records, geojson_features
+
 
 def string_schema(columns: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
 def read_csv_raw(spark: SparkSession, path: str, columns: Iterable[str] | None = None,
-                 null_tokens: bool = True) -> DataFrame:
-    """Header CSV with quoted multi-line text, everything as string.
+                 null_tokens: bool = True, corrupt: str | None = None) -> DataFrame:
+    """Header CSV with quoted multi-line text, everything as string; a file is read by as many tasks as it has splits.
 
-    ``columns`` fixes the schema (recommended); without it the header is used
-    and every column is still read as string (no type inference).
+    The columns are those of the header, in each file by its own (absent ones are null); ``columns`` picks some of them.
+    ``corrupt`` names a column that holds the text of a record with too few or too many fields, or with quotes left
+    open at its file's end; other records have null there.  Fields that hold a quote are quoted themselves; a lone
+    quote inside a bare field is a character of it, but at a bare field's end it is taken for a closing one.
     """
+    records = csv_records(spark, path)
+    first = records.groupBy("file").agg(F.min(F.struct("block", "place")).alias("f")).select(
+        F.col("file").alias("__file"), F.col("f.block").alias("__block"), F.col("f.place").alias("__place"))
+    is_first = (F.col("file") == F.col("__file")) & (F.col("block") == F.col("__block")) & (F.col("place") == F.col("__place"))
+    heads = materialise(records.join(first, is_first).select("file", F.regexp_replace("record", "^\uFEFF", "").alias("head")))
+    texts = sorted(r.head for r in heads.select("head").distinct().collect())  # files of one source share their header
+    if not texts:
+        return spark.createDataFrame([], string_schema([*(columns or []), *([corrupt] if corrupt else [])]))
+    body = records.join(first, is_first, "leftanti")
+    frames = []
+    for text in texts:
+        names = next(csv.reader(io.StringIO(text, newline="")))
+        mine = body if len(texts) == 1 else body.join(heads.where(F.col("head") == text).select("file"), "file")
+        frames.append(parsed_csv(mine, names, list(columns) if columns is not None else names, corrupt))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return normalise_null_tokens(out) if null_tokens else out
+
+
+def parsed_csv(records: DataFrame, names: list[str], wanted: list[str], corrupt: str | None) -> DataFrame:
+    """The ``wanted`` columns of CSV records with the fields ``names``."""
+    fields = [*names, "__corrupt"]
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in fields)
+    row = F.from_csv("record", schema, {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"})
+    parsed = records.select(row.alias("r"), "closed", "record")
+    cols = [(F.col("r").getField(n) if n in names else F.lit(None).cast("string")).alias(n) for n in wanted]
+    if corrupt:
+        cols.append(F.when(~F.col("closed"), F.col("record")).otherwise(F.col("r").getField("__corrupt")).alias(corrupt))
+    return parsed.select(*cols)
+
+
+def read_csv_by_file(spark: SparkSession, path: str, columns: Iterable[str] | None = None, null_tokens: bool = True) -> DataFrame:
+    """The same by Spark's own multi-line reader, a task for each file: for many small files."""
     reader = (spark.read.option("header", True).option("multiLine", True)
               .option("escape", '"').option("mode", "PERMISSIVE"))
     if columns is not None:
@@ -38,36 +80,36 @@ def read_csv_raw(spark: SparkSession, path: str, columns: Iterable[str] | None =
     return normalise_null_tokens(df) if null_tokens else df
 
 
-def read_optional(loader: Callable[[], DataFrame]) -> DataFrame | None:
-    """A failed optional source yields ``None``; later steps skip it."""
+#: Error conditions of a source that is not there or cannot be read.
+UNREADABLE = ("PATH_NOT_FOUND", "Path does not exist", "FAILED_READ_FILE", "MALFORMED_", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_optional(loader: Callable[[], DataFrame], name: str | None = None) -> DataFrame | None:
+    """A failed optional source yields ``None``; later steps skip it.
+
+    With ``name`` the source is read here, whole, and landed as Parquet in the shared checkpoint folder, so that a file that
+    is there but breaks while it is read is absent too.  Errors of other kinds are raised.
+    """
     try:
         df = loader()
         df.schema  # resolve the plan now so a missing path surfaces here
-        return df
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+        return materialise_table(df, name) if name else df
+    except (PySparkException, Py4JJavaError) as exc:
+        if any(c in str(exc) for c in UNREADABLE):
             return None
         raise
 
 
-GEOJSON_SCHEMA = "features array<struct<type: string, properties: variant, geometry: variant>>"
-
-
-def read_geojson_features(spark: SparkSession, path: str, schema: str = GEOJSON_SCHEMA) -> DataFrame:
-    """One row per feature with its 1-based document position.
+def read_geojson_features(spark: SparkSession, path: str) -> DataFrame:
+    """One row per feature with its 1-based document position (``feature_pos``) and its document (``file``).
 
-    The schema is given, never inferred: inference over mixed Polygon and
-    MultiPolygon coordinates corrupts the geometry, VARIANT keeps it whole.
-    ``feature.properties`` has the two named fields and all properties as
-    they were read (``source``, VARIANT).  A document is one JSON value, so
-    it is read by one task; a city's areas are a few hundred.
+    ``feature.properties`` has the two named fields and all properties as they were read (``source``, VARIANT); the geometry
+    is VARIANT, since an inferred schema over mixed Polygon and MultiPolygon coordinates corrupts it.
     """
-    doc = spark.read.schema(schema).option("multiLine", True).json(path)
-    rows = doc.select(F.posexplode("features").alias("pos", "f"))
+    f = geojson_features(spark, path).select("file", "position", F.from_json("feature", "type string, properties variant, geometry variant").alias("f"))
     props = F.struct(*[F.try_variant_get("f.properties", f"$.{n}", "string").alias(n) for n in ("neighbourhood", "neighbourhood_group")],
                      F.col("f.properties").alias("source"))
-    return rows.select((F.col("pos") + 1).alias("feature_pos"),
-                       F.struct("f.type", props.alias("properties"), "f.geometry").alias("feature"))
+    return f.select("file", F.col("position").alias("feature_pos"), F.struct("f.type", props.alias("properties"), "f.geometry").alias("feature"))
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -76,16 +118,17 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def read_city_csv(spark: SparkSession, base: str, cities: Iterable[str], name: str,
-                  optional: bool = False) -> DataFrame | None:
+                  optional: bool = False, corrupt: str | None = None) -> DataFrame | None:
     """Raw CSV of several cities (``base/<city>/<name>.csv``), city stamped, aligned by column name.
 
-    Cities may ship different column sets; missing columns become null.  A
-    missing optional file is skipped (S05).
+    Cities may ship different column sets; missing columns become null.  An optional file that is missing or cannot be
+    read is skipped (S05).  ``corrupt`` names the column of broken records' texts (``read_csv_raw``).
     """
     frames = []
     for city in cities:
         path = f"{base.rstrip('/')}/{city}/{name}.csv"
-        df = read_optional(lambda p=path: read_csv_raw(spark, p)) if optional else read_csv_raw(spark, path)
+        df = (read_optional(lambda p=path: read_csv_raw(spark, p, corrupt=corrupt), f"raw-{name}") if optional
+              else read_csv_raw(spark, path, corrupt=corrupt))
         if df is not None:
             frames.append(df.withColumn("city", F.lit(city)))
     if not frames:

@@ -76,9 +76,9 @@ def clear_tenants(spark: SparkSession, path: str, cities: Sequence[str]) -> None
         drop_partition(spark, path, city)
 
 
-def feature_json(features: DataFrame) -> DataFrame:
-    """One GeoJSON feature per row as text.  All properties that were read are kept; the struct's own fields
-    overwrite or join them."""
+def feature_json(features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One GeoJSON feature per row as text (``value``), beside the columns in ``keep``.  All properties that were read are
+    kept; the struct's own fields overwrite or join them."""
     props = features.schema["feature"].dataType["properties"].dataType
     own = [f.name for f in props.fields if f.name != "source"]
     p = F.col("feature.properties")
@@ -87,7 +87,7 @@ def feature_json(features: DataFrame) -> DataFrame:
         read = F.from_json(F.to_json(p["source"]), "map<string,variant>")
         kept = F.map_filter(F.coalesce(read, F.create_map().cast("map<string,variant>")), lambda k, _: ~k.isin(own))
         new = F.map_concat(kept, new)
-    return features.select(F.to_json(F.struct(
+    return features.select(*keep, F.to_json(F.struct(
         F.coalesce(F.col("feature.type"), F.lit("Feature")).alias("type"), new.alias("properties"),
         F.col("feature.geometry").alias("geometry"))).alias("value"))
 
