@@ -302,7 +302,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         labels = components(stars.unionByName(more))
     least = groups.select("node", "least").join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("class_node"))
     classes = keep(least, "neardup-classes")
-    ids = classes.groupBy("class_node").agg(F.min("least").alias("class_id"))
+    # written before it is joined: a large class is then split over tasks, not joined in the one that summed it up
+    ids = keep(classes.groupBy("class_node").agg(F.min("least").alias("class_id")), "neardup-ids")
     named = classes.join(ids, "class_node").select("node", "class_node", "class_id")
     return sketched.select("doc_id", "node").join(named, "node").select("doc_id", "node", "class_id", "class_node")
 
