@@ -3,20 +3,23 @@
 Spark's ``percentile`` is exact, but its final merge keeps a group's whole
 value -> count map in a single task: a city holding a third of all rows with
 a continuous column (revenue, velocity, occupancy) lands in one reducer.
-Here the order statistics are bracketed first and only the bracket is sorted:
-
-1. cut points of each column (``percentile_approx``, one row to the driver)
-   become literals, so a value's slice is a pure function of the value;
-2. rows are counted per (group, column, slice) with partial aggregation; a
-   running sum over those counts tells which slice holds the positions
-   floor(p(n-1)) and ceil(p(n-1)) of each requested quantile;
-3. only rows of those slices are collapsed to distinct values with counts and
-   numbered by a running sum per slice, which picks the two values;
+Here values are selected digit by digit, as in a radix selection:
+
+1. rows are counted per (group, column, first digit) with partial
+   aggregation; the digit is a rising arithmetic function of the value
+   (``ranks.first_digit``), so no cut points have to be found first.  A running
+   sum over those counts tells which slice holds the positions floor(p(n-1))
+   and ceil(p(n-1)) of each requested quantile;
+2. a wanted slice with more than ``slice_rows`` rows is dealt out by the next
+   digit, the place between its least and greatest value, and its rows alone
+   are counted again; a slice of one value needs no more than that value;
+3. only rows of the wanted slices are collapsed to distinct values with counts
+   and numbered by a running sum per slice, which picks the two values;
 4. interpolate linearly, exactly as Spark ``percentile`` / pandas
    ``quantile`` / SQL ``PERCENTILE_CONT`` do.
 
 Several columns and probabilities share the passes.  One path serves every
-size; the input is read three times, never shuffled as a whole.
+size; the input is read twice and never shuffled as a whole.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import col as _c
-from .ranks import cut_points, null_safe, slice_count, slice_of
+from ..session import materialise
+from .ranks import SLICE_ROWS, dealt_again, first_digit
 
 QuantileSpec = Mapping[str, tuple]  # out name -> (column name or Column, probability)
 
@@ -36,14 +40,14 @@ BROADCAST_TARGETS = 100_000
 
 
 def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
-                    num_slices: int | None = None) -> DataFrame:
+                    slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row per group (groups with at least one non-null value) with a column per spec.
 
     ``specs`` maps an output name to ``(value, p)``; ``value`` is a column
     name or any Column expression (``F.when(cond, price)`` gives a
     conditional quantile).  Null values are skipped; null group keys form a
     group (SQL semantics) — filter them first for pandas semantics.
-    Building the plan runs two jobs (cut points, slice counts).
+    Building the plan runs the counting job, one more for each further digit.
     """
     by = list(by)
     exprs: list[Column] = []
@@ -64,45 +68,53 @@ def exact_quantiles(df: DataFrame, specs: QuantileSpec, by: Sequence[str] = (),
                           for j, e in enumerate(exprs)])
         long = df.select(*by, F.explode(pairs).alias("__s")).select(*by, "__s.__j", "__s.__v")
     long = long.where(F.col("__v").isNotNull())
-    cuts = {r[0]: r[1] for r in long.groupBy("__j").agg(
-        cut_points(F.col("__v"), slice_count(df.sparkSession, num_slices))).collect()}  # a row per column
-    where = F.lit(0)
-    for j, points in cuts.items():
-        where = F.when(F.col("__j") == j, slice_of(F.col("__v"), points)).otherwise(where)
-    sliced = long.withColumn("__slice", where)
-
-    keys = [*by, "__j", "__slice"]
-    group = Window.partitionBy(*by, "__j")
-    earlier = group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("__t"))
-              .withColumn("__before", F.coalesce(F.sum("__t").over(earlier), F.lit(0)))
-              .withColumn("__n", F.sum("__t").over(group)))
     wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(p).alias("p"))
                                  for i, (_, j, p) in enumerate(plan)]))
     pos = (F.col("__n") - F.lit(1)).cast("double") * F.col("__w.p")
     ends = F.explode(F.array(F.struct(F.lit(False).alias("hi"), F.floor(pos).alias("at")),
                              F.struct(F.lit(True).alias("hi"), F.ceil(pos).alias("at"))))
-    targets = (totals.withColumn("__w", wanted).where(F.col("__w.j") == F.col("__j"))
-               .withColumn("__pos", pos).withColumn("__e", ends)
-               .where((F.col("__before") <= F.col("__e.at")) & (F.col("__e.at") < F.col("__before") + F.col("__t")))
-               .select(*keys, F.col("__w.i").alias("__i"), F.col("__e.hi").alias("__hi"), "__pos",
-                       (F.col("__e.at") - F.col("__before")).alias("__k")))
-    from ..session import materialise
-    targets = materialise(targets)
-    few = targets.count() <= BROADCAST_TARGETS
+    group = Window.partitionBy(*by, "__j")
+    digits = ["__s0"]
+    sliced = long.withColumn("__s0", first_digit(F.col("__v")))
+    while True:
+        keys = [*by, "__j", *digits]
+        earlier = group.orderBy(*digits).rowsBetween(Window.unboundedPreceding, -1)
+        totals = (sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("__t"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+                  .withColumn("__before", F.coalesce(F.sum("__t").over(earlier), F.lit(0)))
+                  .withColumn("__n", F.sum("__t").over(group)))
+        targets = materialise(
+            totals.withColumn("__w", wanted).where(F.col("__w.j") == F.col("__j"))
+            .withColumn("__pos", pos).withColumn("__e", ends)
+            .where((F.col("__before") <= F.col("__e.at")) & (F.col("__e.at") < F.col("__before") + F.col("__t")))
+            .select(*keys, "__t", "__lo", "__hi", F.col("__w.i").alias("__i"), F.col("__e.hi").alias("__end"), "__pos",
+                    (F.col("__e.at") - F.col("__before")).alias("__k")))
+        unequal = F.col("__lo") < F.col("__hi")
+        size = targets.agg(F.count(F.lit(1)).alias("n"), F.count_if(unequal & (F.col("__t") > slice_rows)).alias("large")).first()
+        few = size.n <= BROADCAST_TARGETS
+        if not size.large:
+            break
+        large = targets.where(unequal & (F.col("__t") > slice_rows)).select(*keys, "__lo", "__hi").distinct()
+        digits.append(f"__s{len(digits)}")
+        sliced = dealt_again(sliced, "__v", keys, large, digits[-1], few)
+
+    of = {k: f"__of_{k}" for k in keys}
+    same = [F.col(k).eqNullSafe(F.col(of[k])) for k in keys]
 
     def sized(t: DataFrame) -> DataFrame:
+        t = t.withColumnsRenamed(of)
         return F.broadcast(t) if few else t
 
-    hot = targets.select(*keys).distinct()
-    inside = (sliced.join(sized(hot), null_safe(sliced, hot, keys), "leftsemi")
+    sought = targets.where(unequal)
+    inside = (sliced.join(sized(sought.select(*keys).distinct()), same, "leftsemi")
               .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__cnt")))
     run = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = inside.withColumn("__prior", F.coalesce(F.sum("__cnt").over(run), F.lit(0)))
-    found = ranked.join(sized(targets), [*null_safe(ranked, targets, keys), F.col("__prior") <= F.col("__k"),
-                                         F.col("__k") < F.col("__prior") + F.col("__cnt")])
-    picked = found.groupBy(*[ranked[c] for c in by]).agg(*[
-        F.max(F.when((F.col("__i") == i) & (F.col("__hi") == F.lit(hi)), F.struct("__pos", "__v"))).alias(f"__{name}{i}")
+    found = ranked.join(sized(sought.select(*keys, "__i", "__end", "__pos", "__k")), [
+        *same, F.col("__prior") <= F.col("__k"), F.col("__k") < F.col("__prior") + F.col("__cnt")])
+    picks = [*by, "__i", "__end", "__pos", "__v"]
+    found = found.select(*picks).unionByName(targets.where(~unequal).withColumn("__v", F.col("__lo")).select(*picks))
+    picked = found.groupBy(*by).agg(*[
+        F.max(F.when((F.col("__i") == i) & (F.col("__end") == F.lit(hi)), F.struct("__pos", "__v"))).alias(f"__{name}{i}")
         for i in range(len(plan)) for name, hi in (("lo", False), ("hi", True))])
     outs = []
     for i, (out, _, _) in enumerate(plan):

@@ -13,7 +13,7 @@ from rentalytics.operators import joins as J
 from rentalytics.operators import profile as PR
 from rentalytics.operators import quality as Q
 from rentalytics.operators import windows as W
-from rentalytics.operators.ranks import midranks, rank_values, slice_of
+from rentalytics.operators.ranks import DIGIT, first_digit, midranks, next_digit, rank_values
 from rentalytics.plans.model import keep_first
 
 
@@ -141,7 +141,7 @@ def test_midranks_match_pandas(spark):
 
 def test_midranks_many_slices(spark):
     counts = spark.createDataFrame([(float(v), 2) for v in range(100)], "v double, cnt int")
-    r = {x.v: x.midrank for x in midranks(counts, "v", [], num_slices=7).collect()}
+    r = {x.v: x.midrank for x in midranks(counts, "v", [], slice_rows=3).collect()}
     assert r[0.0] == 1.5 and r[99.0] == 199.5
 
 
@@ -149,20 +149,27 @@ def test_midranks_totals_and_null_strata(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"city": rng.choice(["a", "b", None], 500), "v": rng.integers(0, 40, 500).astype(float)})
     counts = spark.createDataFrame(pdf).groupBy("city", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    got = {(x.city, x.v): (x.midrank, x.group_n) for x in midranks(counts, "v", ["city"], num_slices=5, with_total=True).collect()}
+    got = {(x.city, x.v): (x.midrank, x.group_n) for x in midranks(counts, "v", ["city"], slice_rows=4, with_total=True).collect()}
     for c, rows in pdf.groupby("city", dropna=False):
         c = None if pd.isna(c) else c
         for v, r in zip(rows["v"], rows["v"].rank()):
             assert got[c, v] == (r, len(rows))
 
 
-def test_slice_of_counts_the_cut_points_below(spark):
+def test_digits_rise_with_the_value(spark):
     rng = np.random.default_rng(6)
-    for n in (0, 1, 5, 64, 65, 200, 1000):
-        cuts = sorted({float(v) for v in rng.integers(0, 500, n)})
-        values = [float(v) for v in rng.integers(-5, 505, 200)] + cuts
-        df = spark.createDataFrame([(v,) for v in values], "v double").select("v", slice_of(F.col("v"), cuts).alias("s"))
-        assert all(r.s == sum(c < r.v for c in cuts) for r in df.collect())
+    inf = float("inf")
+    values = sorted({*rng.normal(0, 50, 500), *np.exp(rng.uniform(-700, 709, 500)), *-np.exp(rng.uniform(-700, 709, 500)), 0.0, 5e-324, -5e-324,
+                     1.7976931348623157e308, -1.7976931348623157e308, inf, -inf})
+    values = [float(v) for v in values] + [float("nan")]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v double")
+    digits = [r.d for r in df.select("i", first_digit(F.col("v")).alias("d")).orderBy("i").collect()]
+    assert digits == sorted(digits) and digits[-1] == DIGIT and digits[-2] > digits[-3] and len(set(digits)) > 700
+    for lo, hi in ((1.0, 1.0000000000000002), (5e-324, 1e-323), (-3.5, 900.0)):
+        inner = sorted({lo, hi, *(min(max(float(lo + (hi - lo) * x), lo), hi) for x in rng.random(100))})
+        rows = spark.createDataFrame([(v, lo, hi) for v in inner], "v double, lo double, hi double")
+        d = [r.d for r in rows.select("v", next_digit(F.col("v"), F.col("lo"), F.col("hi")).alias("d")).orderBy("v").collect()]
+        assert d == sorted(d) and d[0] == 0 and d[-1] == DIGIT - 1
 
 
 def test_mann_whitney_on_many_distinct_values(spark):

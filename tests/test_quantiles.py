@@ -45,7 +45,7 @@ def test_hot_group_spread_over_slices(spark):
     # one group holds almost every row; with 7 slices its values are numbered by several tasks
     df = spark.range(10000).select(F.when(F.col("id") < 9900, "hot").otherwise("cold").alias("g"),
                                    (F.col("id") * 7 % 10007).cast("double").alias("v"))
-    got = {r.g: r.med for r in exact_quantiles(df, {"med": ("v", 0.5)}, ["g"], num_slices=7).collect()}
+    got = {r.g: r.med for r in exact_quantiles(df, {"med": ("v", 0.5)}, ["g"], slice_rows=1000).collect()}
     pdf = df.toPandas()
     exp = pdf.groupby("g")["v"].median()
     assert got["hot"] == exp["hot"] and got["cold"] == exp["cold"]
@@ -93,7 +93,7 @@ def test_many_distinct_values_without_exchange_reuse(spark):
                                      ((F.col("id") * 7919) % 600_011).cast("double").alias("v"))
     spark.conf.set("spark.sql.exchange.reuse", "false")
     try:
-        got = {r.g: (r.q, r.m) for r in exact_quantiles(df, {"q": ("v", 0.123), "m": ("v", 0.5)}, ["g"], num_slices=300).collect()}
+        got = {r.g: (r.q, r.m) for r in exact_quantiles(df, {"q": ("v", 0.123), "m": ("v", 0.5)}, ["g"], slice_rows=1000).collect()}
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
     pdf = df.toPandas()
@@ -110,10 +110,21 @@ _values = st.one_of(st.none(), st.integers(-3, 3).map(float),
        p=st.floats(0.0, 1.0))
 def test_property_matches_numpy(spark, rows, p):
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.q for r in exact_quantiles(df, {"q": ("v", p)}, ["g"], num_slices=3).collect()}
+    got = {r.g: r.q for r in exact_quantiles(df, {"q": ("v", p)}, ["g"], slice_rows=3).collect()}
     for g in {r[0] for r in rows}:
         vals = [v for k, v in rows if k == g and v is not None]
         if not vals:
             assert got.get(g) is None
         else:
             assert np.isclose(got[g], np.quantile(np.array(vals), p), rtol=1e-9, atol=1e-9)
+
+
+def test_extreme_and_uneven_values(spark):
+    """Values of all magnitudes, most of them in one narrow range: several digits, down to slices of two values."""
+    rng = np.random.default_rng(12)
+    values = [*(1.0 + rng.integers(0, 50, 400) * 2.0 ** -52), *np.exp(rng.uniform(-600, 600, 60)), *(-np.exp(rng.uniform(-600, 600, 60))), 0.0, -0.0, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(4)
+    probs = [0.0, 0.01, 0.25, 0.4, 0.5, 0.6, 0.77, 0.99, 1.0]
+    got = exact_quantiles(df, {f"q{i}": ("v", p) for i, p in enumerate(probs)}, slice_rows=1).first()
+    want = df.select(F.percentile("v", F.array(*map(F.lit, probs))).alias("p")).first().p
+    assert [got[f"q{i}"] for i in range(len(probs))] == want
