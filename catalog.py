@@ -871,6 +871,40 @@ def _q06(spark, d):
     return QU.unknown_tenants(requested, config_frame(spark))
 
 
+@register("b14_publish_twice", q("""
+, kept AS (SELECT * FROM fact_listings WHERE city = 'bangkok' AND listing_id % 2 = 0),
+days AS (SELECT c.* FROM calendar c WHERE c.city = 'bangkok' AND c.listing_id % 2 = 0)
+SELECT 'fact_listings' AS table_name, 'bangkok' AS city, count(*) AS rows, sum(listing_id)::BIGINT AS key_sum FROM kept
+UNION ALL SELECT 'fact_calendar', 'bangkok', count(*), sum(listing_id)::BIGINT FROM days
+UNION ALL SELECT 'dim_host', 'bangkok', count(DISTINCT host_id), sum(DISTINCT host_id)::BIGINT FROM kept WHERE host_id IS NOT NULL
+UNION ALL SELECT 'dim_room_type', 'bangkok', count(DISTINCT room_type), (count(DISTINCT room_type) * (count(DISTINCT room_type) + 1) // 2)::BIGINT FROM kept WHERE room_type IS NOT NULL
+UNION ALL SELECT 'runs', city, 2, sum(n)::BIGINT FROM (
+  SELECT 'bangkok' AS city, 1 AS n UNION ALL SELECT 'lisbon', 0) GROUP BY city
+"""))
+def _b14(spark, d):
+    """Both cities are published, then again with half of one city's listings and none of the other's, and read
+    back by the run log; ``runs`` has each city's runs in the log and whether the last one left it any rows."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    from rentalytics.plans import build
+    from rentalytics.plans.market import Market, Published
+    from rentalytics.sources.sinks import RUN_LOG
+    from rentalytics.sources.synthetic import SYNTHETIC_PROPERTY_GROUPS, SyntheticSource
+    src, base, cities = SyntheticSource(spark, d), _scratch(spark, "star"), ["bangkok", "lisbon"]
+    listings, calendar = src.listings(), src.calendar()
+    half = (F.col("city") == "bangkok") & (F.col("id").cast("bigint") % 2 == 0)
+    build.publish(Market(spark, listings=listings, calendar=calendar, property_groups=SYNTHETIC_PROPERTY_GROUPS), base, cities)
+    build.publish(Market(spark, listings=listings.where(half), property_groups=SYNTHETIC_PROPERTY_GROUPS,
+                         calendar=calendar.where((F.col("city") == "bangkok") & (F.col("listing_id").cast("bigint") % 2 == 0))), base, cities)
+    now = Published(spark, base)
+    keys = {"fact_listings": "listing_id", "fact_calendar": "listing_id", "dim_host": "host_id", "dim_room_type": "room_type_id"}
+    parts = [getattr(now, t).groupBy("city").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(k).cast("bigint")).alias("key_sum"))
+             .select(F.lit(t).alias("table_name"), "city", "rows", "key_sum") for t, k in keys.items()]
+    log = spark.read.parquet(f"{base}/{RUN_LOG}").groupBy("city").agg(
+        F.count(F.lit(1)).alias("rows"), F.max_by((F.col("total_rows") > 0).cast("bigint"), "run_timestamp").alias("key_sum"))
+    return reduce(lambda x, y: x.unionByName(y), [*parts, log.select(F.lit("runs").alias("table_name"), "city", "rows", "key_sum")])
+
+
 # ------------------------------------------------------------------ builders
 from rentalytics.schema import FACT_LISTINGS  # noqa: E402
 

@@ -2,9 +2,10 @@
 
 The reference ran seven scripts per city in a loop; here a city is a
 column: raw files of all requested cities are read into one frame per
-source, cleaned and modelled together, and each published table is
-written partitioned by ``city`` with dynamic partition overwrite, so a
-re-run replaces exactly the cities it contains.
+source, cleaned and modelled together, and the published tables are
+written partitioned by run and ``city``; one run-log write makes all of
+them visible, so a re-run replaces exactly the cities it contains, in all
+tables at once (``sources.sinks``).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.quality import reject_unknown_tenants
 from ..sources.config import config_frame
 from ..sources.files import read_city_csv, read_geojson_features
-from ..sources.sinks import append_run_log, clear_tenants, replace_tenants, write_geojson_lines
+from ..sources.sinks import commit_run, new_run, run_folder, stage_table, staged_rows, write_geojson_lines
 from .clean import cleaned_features
 from .market import Market
 
@@ -63,7 +64,7 @@ TABLES = ("fact_calendar", "fact_listings", "dim_host", "dim_room_type", "dim_pr
 
 
 def publish(market: Market, out_base: str, cities: Sequence[str], run_log: str | None = None) -> dict[str, int]:
-    """Write every star-schema table (replacing only these cities) and append one run-log row per city.
+    """Write every star-schema table (replacing only these cities) and commit them by one run-log row per city.
 
     The raw calendar — the largest input — is cleaned and scanned once: its
     fact is written first, and the per-listing occupancy is then computed
@@ -72,22 +73,24 @@ def publish(market: Market, out_base: str, cities: Sequence[str], run_log: str |
     dimensions share, are written once in the shared checkpoint folder,
     so no table re-runs the cleaning, the occupancy aggregate or the
     benchmarks.  Rows per table and city are counted by one grouped job over
-    the published partitions.  A table without a source in this run loses
-    these cities' old rows.
+    the staged files.  A table without a source in this run loses
+    these cities' old rows.  Readers (``market.Published``) see the run once its
+    run-log rows are written, all tables at once; a run that fails before leaves
+    what they see as it was.  Intermediates below the checkpoint folder and
+    replaced runs' folders are not removed here, but by the storage's retention.
     """
-    from functools import reduce
-
+    from ..schema import FACT_CALENDAR
     from ..session import materialise_table
 
-    spark, base = market.spark, out_base.rstrip("/")
+    spark, base, run_id = market.spark, out_base.rstrip("/"), new_run()
     written: list[str] = []
 
     def write(name: str, df: DataFrame) -> None:
-        replace_tenants(df, f"{base}/{name}", cities)
+        stage_table(df.where(F.col("city").isin(list(cities))), base, name, run_id)
         written.append(name)
 
     write("fact_calendar", market.fact_calendar)
-    published = spark.read.parquet(f"{base}/fact_calendar").where(F.col("city").isin(list(cities)))
+    published = spark.read.schema(FACT_CALENDAR).parquet(run_folder(base, "fact_calendar", run_id)).where(F.col("city").isin(list(cities)))
     market.use(calendar=published)
     enriched = materialise_table(market.enriched, "enriched")
     market.use(enriched=enriched)
@@ -101,23 +104,14 @@ def publish(market: Market, out_base: str, cities: Sequence[str], run_log: str |
         write("dim_date", market.dim_date)
     if market.raw_features is not None:
         write("dim_neighbourhood", market.dim_neighbourhood)
-        write_geojson_lines(cleaned_features(market.raw_features), f"{base}/neighbourhoods_geojson")
-    for name in set(TABLES) - set(written):
-        clear_tenants(spark, f"{base}/{name}", cities)
-
-    parts = [spark.read.parquet(f"{base}/{n}").where(F.col("city").isin(list(cities))).select(F.lit(n).alias("name"), "city") for n in written]
-    rows = reduce(DataFrame.unionByName, parts).groupBy("name", "city").agg(F.count(F.lit(1)).alias("n")).collect()  # tables x cities
-    counts, per_city = {n: 0 for n in written}, {c: 0 for c in cities}
-    for r in rows:
-        counts[r["name"]] += r["n"]
-        per_city[r["city"]] += r["n"]
-    if run_log:
-        append_run_log(spark, run_log, per_city, written)
-    return counts
+        write_geojson_lines(cleaned_features(market.raw_features), run_folder(base, "neighbourhoods_geojson", run_id))
+    rows = staged_rows(spark, base, written, run_id)
+    commit_run(spark, base, run_id, cities, written, rows, TABLES, run_log)
+    return {t: sum(n for (name, _), n in rows.items() if name == t) for t in written}
 
 
 def run(spark: SparkSession, raw_base: str, cities: Sequence[str], out_base: str,
         config: DataFrame | None = None, strict: bool = True) -> dict[str, int]:
     """Full batch read -> clean -> enrich -> model -> publish (fails fast on unknown cities when strict)."""
     m = market_from_files(spark, raw_base, cities, config, strict)
-    return publish(m, out_base, cities, run_log=f"{out_base.rstrip('/')}/pipeline_metadata")
+    return publish(m, out_base, cities)

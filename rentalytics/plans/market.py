@@ -11,7 +11,6 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..sources.config import PROPERTY_TYPE_GROUPS, config_frame
 from . import clean, enrich, model
@@ -141,13 +140,8 @@ class Published:
         if name.startswith("_"):
             raise AttributeError(name)
         from ..schema import TABLES
-        reader = self.spark.read
-        if name in TABLES:
-            # S15 on the read side: the declared schema is read as is, so a column added after
-            # older city partitions were written comes back null for them — no footer merging
-            # over every file (which mergeSchema would need)
-            reader = reader.schema(TABLES[name])
-        df = reader.parquet(f"{self.base}/{name}")
-        if name in TABLES:
-            df = df.select(*TABLES[name].names)  # the partition column comes back last; restore the declared order
-        return df.where(F.col("city").isin(self.cities)) if self.cities else df
+        from ..sources.sinks import read_committed
+        # S15 on the read side: the declared schema is read as is, so a column added after
+        # older city partitions were written comes back null for them — no footer merging
+        # over every file (which mergeSchema would need)
+        return read_committed(self.spark, self.base, name, TABLES.get(name), cities=self.cities)

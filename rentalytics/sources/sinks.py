@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import read_optional
+
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = "city",
                 mode: str = "overwrite") -> None:
@@ -30,50 +33,109 @@ def append_load(df: DataFrame, path: str, city: str | None = None) -> None:
     df.hint("rebalance", "city").write.mode("append").partitionBy("city").parquet(path)
 
 
-def replace_tenants(df: DataFrame, path: str, cities: Sequence[str] | None = None) -> None:
-    """Idempotent re-run — replace the ``city`` partitions of the requested cities.
+# ------------------------------------------------------------------ several tables, one commit
+# <base>/<table>/run=<run id>/city=<city>/...   rows of a city as a run wrote them; never changed afterwards
+# <base>/pipeline_metadata                      run log: a row per city and run, with the rows of each table
+#
+# A run writes all its tables first, each below its own run folder, and then the run log in one file.  That file is the
+# commit: readers take of each (table, city) the folder of the last run in the log, so a run that fails anywhere before
+# changes nothing for them, and one that commits changes all its tables at once.  A table without rows of a city has an
+# entry of 0 and no folder, so the city's old rows are gone.  Folders that no reader follows any more are left to the
+# storage's retention.
+RUN_LOG = "pipeline_metadata"
+RUN_LOG_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("city", T.StringType(), True),
+    T.StructField("run_timestamp", T.TimestampType(), True),
+    T.StructField("tables_loaded", T.StringType(), True),
+    T.StructField("total_rows", T.LongType(), True),
+    T.StructField("status", T.StringType(), True),
+    T.StructField("table_rows", T.MapType(T.StringType(), T.LongType()), True),
+])
 
-    Dynamic partition overwrite leaves every other city untouched; a requested city without rows, whose files are
-    the same as before the write, loses its old partition.  Rows are rebalanced on ``city`` first, so a city's files
-    are as many as its size asks for, not one for each task.
-    """
-    before = partition_files(df.sparkSession, path, cities or ())
-    (df.hint("rebalance", "city").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("city").parquet(path))
-    after = partition_files(df.sparkSession, path, before)
-    for city in before:
-        if after.get(city) == before[city]:
-            drop_partition(df.sparkSession, path, city)
 
+def new_run() -> str:
+    return uuid.uuid4().hex
 
-def hadoop_path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
+def run_folder(base: str, table: str, run_id: str) -> str:
+    return f"{base.rstrip('/')}/{table}/run={run_id}"
 
-def partition_folder(spark: SparkSession, path: str, city: str) -> str:
-    return f"{path}/city={spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(city)}"
 
+def stage_table(df: DataFrame, base: str, table: str, run_id: str) -> None:
+    """Write a run's rows of a table; no reader sees them yet.  Rows are rebalanced on ``city``, so a city's files are as many
+    as its size asks for, not one for each task."""
+    df.hint("rebalance", "city").write.mode("overwrite").partitionBy("city").parquet(run_folder(base, table, run_id))
 
-def partition_files(spark: SparkSession, path: str, cities: Iterable[str]) -> dict[str, set[str]]:
-    """The file names in the partitions of these cities that exist."""
-    out = {}
-    for city in cities:
-        p, fs = hadoop_path(spark, partition_folder(spark, path, city))
-        if fs.exists(p):
-            out[city] = {f.getPath().getName() for f in fs.listStatus(p)}
-    return out
+
+def staged_rows(spark: SparkSession, base: str, tables: Sequence[str], run_id: str) -> dict[tuple[str, str], int]:
+    """Rows that a run staged, by table and city: one grouped job (tables x cities rows)."""
+    parts = [spark.read.schema("city string").parquet(run_folder(base, t, run_id)).select(F.lit(t).alias("name"), "city") for t in tables]
+    if not parts:
+        return {}
+    found = reduce(DataFrame.unionByName, parts).groupBy("name", "city").agg(F.count(F.lit(1)).alias("n")).collect()
+    return {(r["name"], r.city): r.n for r in found}
+
+
+def commit_run(spark: SparkSession, base: str, run_id: str, cities: Sequence[str], tables: Sequence[str],
+               rows: Mapping[tuple[str, str], int], all_tables: Sequence[str] | None = None, run_log: str | None = None,
+               status: str = "success") -> DataFrame:
+    """Append the run's rows to the run log, one per city, in one file; from then on readers follow this run.
+
+    ``all_tables`` names the tables that the run replaces, also those that it has no rows for (``tables`` without them).
+    """
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    replaced = list(all_tables or tables)
+    log = spark.createDataFrame([
+        (run_id, c, now, ",".join(tables), sum(rows.get((t, c), 0) for t in replaced), status, {t: int(rows.get((t, c), 0)) for t in replaced})
+        for c in cities], RUN_LOG_SCHEMA)
+    log.coalesce(1).write.mode("append").parquet(run_log or f"{base.rstrip('/')}/{RUN_LOG}")
+    return log
 
 
-def drop_partition(spark: SparkSession, path: str, city: str) -> None:
-    p, fs = hadoop_path(spark, partition_folder(spark, path, city))
-    fs.delete(p, True)
+def committed_runs(spark: SparkSession, base: str, table: str, run_log: str | None = None) -> dict[str, list[str]] | None:
+    """The run that each city's rows of a table come from, as run -> cities (only cities with rows); None without a run log."""
+    log = read_optional(lambda: spark.read.schema(RUN_LOG_SCHEMA).parquet(run_log or f"{base.rstrip('/')}/{RUN_LOG}"))
+    if log is None:
+        return None
+    entries = log.where(F.col("status") == "success").select("run_id", "city", "run_timestamp", F.col("table_rows")[table].alias("n")).where("n is not null")
+    last = entries.groupBy("city").agg(F.max_by(F.struct("run_id", "n"), F.struct("run_timestamp", "run_id")).alias("r"))
+    out: dict[str, list[str]] = {}
+    for r in last.where("r.n > 0").select("city", "r.run_id").collect():  # a row per city
+        out.setdefault(r.run_id, []).append(r.city)
+    return out
 
 
-def clear_tenants(spark: SparkSession, path: str, cities: Sequence[str]) -> None:
-    """Delete the partitions of these cities, as for a table whose source is absent in this run."""
-    for city in cities:
-        drop_partition(spark, path, city)
+def read_committed(spark: SparkSession, base: str, table: str, schema: T.StructType | None = None, run_log: str | None = None,
+                   cities: Sequence[str] | None = None) -> DataFrame:
+    """A table (of these cities) as its last committed runs left it: the filter on run and city prunes all other folders.
+
+    ``schema`` (with ``city``) is read as it is, so a column that was added after older runs is null in them.  A table
+    written without a run log is read whole.
+    """
+    path, runs = f"{base.rstrip('/')}/{table}", committed_runs(spark, base, table, run_log)
+    if runs is None:
+        df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+        df = df.where(F.col("city").isin(list(cities))) if cities else df
+        return df.select(*schema.names) if schema else df
+    if cities:
+        runs = {r: kept for r, c in runs.items() if (kept := [x for x in c if x in cities])}
+    if not runs and schema:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField("run", T.StringType())])) if schema else spark.read
+    df = reader.option("basePath", path).parquet(*[f"{path}/run={r}" for r in runs])
+    follows = reduce(lambda a, b: a | b, ((F.col("run") == r) & F.col("city").isin(c) for r, c in runs.items()), F.lit(False))
+    df = df.where(follows)
+    return df.select(*schema.names) if schema else df.drop("run")
+
+
+def replace_tenants(tables: Mapping[str, DataFrame], base: str, cities: Sequence[str], run_log: str | None = None) -> str:
+    """Replace the rows of these cities in all ``tables`` at once; other cities stay.  Returns the run's id."""
+    spark, run_id = next(iter(tables.values())).sparkSession, new_run()
+    for name, df in tables.items():
+        stage_table(df.where(F.col("city").isin(list(cities))), base, name, run_id)
+    commit_run(spark, base, run_id, cities, list(tables), staged_rows(spark, base, list(tables), run_id), run_log=run_log)
+    return run_id
 
 
 def feature_json(features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -96,22 +158,3 @@ def write_geojson_lines(features: DataFrame, path: str) -> None:
     """One GeoJSON feature per line (``feature`` is a struct column)."""
     feature_json(features).write.mode("overwrite").text(path)
 
-
-RUN_LOG_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType(), False),
-    T.StructField("city", T.StringType(), True),
-    T.StructField("run_timestamp", T.TimestampType(), True),
-    T.StructField("tables_loaded", T.StringType(), True),
-    T.StructField("total_rows", T.LongType(), True),
-    T.StructField("status", T.StringType(), True),
-])
-
-
-def append_run_log(spark: SparkSession, path: str, rows_by_city: Mapping[str, int], tables: Sequence[str],
-                   status: str = "success") -> DataFrame:
-    """One run-log row per city, all in one write."""
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows = [(str(uuid.uuid4()), city, now, ",".join(tables), int(n), status) for city, n in rows_by_city.items()]
-    log = spark.createDataFrame(rows, RUN_LOG_SCHEMA)
-    log.coalesce(1).write.mode("append").parquet(path)
-    return log

@@ -5,8 +5,9 @@ batch.  Here arrivals drive it: whenever a manifest row
 ``{"city": ..., "raw_base": ...}`` lands in a folder, the next
 micro-batch rebuilds and republishes exactly the cities it names.  The
 stream's checkpoint gives exactly-once bookkeeping of manifests, and the
-publish step is idempotent (dynamic partition overwrite), so a batch that
-is retried after an executor loss rewrites the same partitions.
+publish step is idempotent (a run replaces its cities in all tables by one
+commit), so a batch that is retried after an executor loss gives the same
+tables.
 
 Run with ``trigger(availableNow=True)`` from a scheduler (one refresh of
 whatever arrived), or with a processing-time trigger to keep it running.
