@@ -5,7 +5,8 @@ stay.  The model adds spans that the rules miss.  A text is cut into atoms (runs
 characters) around digits and "@"; every run of at most ``MAX_ATOMS`` atoms that could be an entity is a candidate
 segment, described by features of the whole span: its shape, digit count, Luhn sum, octets, "@" and dots, and the
 characters on either side.  Viterbi over segments chooses boundaries and types together; all else is single atoms of
-no type.  The weights are trained by the gradient of the conditional likelihood (forward-backward over segments) on
+no type; it goes from left to right and keeps the last MAX_ATOMS states, with a back pointer for each atom, so a
+long run of digits costs time and memory in proportion.  The weights are trained by the gradient of the conditional likelihood (forward-backward over segments) on
 a bounded sample of zones, labelled by the base rules.  A model span is added if it overlaps no base span and its
 score beats that of the same atoms untyped by ``MARGIN``.
 
@@ -18,7 +19,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +42,14 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 ATOM = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER, WORD = re.compile(r"[0-9@]"), re.compile(r"\S+")
 #: Atoms of a segment at most, and white-space words kept on either side of a trigger.
 MAX_ATOMS, AROUND = 24, 2
 #: Bounds of training: documents, zones and passes over them; hashed weights of each type.
 TRAIN_DOCS, TRAIN_ZONES, PASSES, RATE, DECAY, WIDTH = 1500, 1500, 10, 0.5, 1e-4, 1 << 12
 MARGIN = 2.0
+#: Segment texts whose scores a task remembers.
+KNOWN = 50_000
 
 
 def luhn(digits: str) -> bool:
@@ -79,18 +86,45 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def zones(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Atoms (start, end) of the words that hold a trigger and ``AROUND`` words beside them, run by run."""
-    words = [m.span() for m in re.finditer(r"\S+", text)]
-    hot = [i for i, (s, e) in enumerate(words) if TRIGGER.search(text, s, e)]
-    lo = 0
-    for k, i in enumerate(hot):
-        if k + 1 < len(hot) and hot[k + 1] - i <= 2 * AROUND:
-            continue
-        first = max(hot[lo] - AROUND, 0)
-        last = min(i + AROUND, len(words) - 1)
-        yield [m.span() for m in ATOM.finditer(text, words[first][0], words[last][1])]
-        lo = k + 1
+class Atoms:
+    """Where the atoms of a zone begin and end, 16 bytes each."""
+
+    def __init__(self, text: str, start: int, end: int):
+        self.starts, self.ends = array("q"), array("q")
+        for m in ATOM.finditer(text, start, end):
+            self.starts.append(m.start())
+            self.ends.append(m.end())
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Atoms) and (self.starts, self.ends) == (other.starts, other.ends)
+
+    def __getitem__(self, i: int) -> tuple[int, int]:
+        return self.starts[i], self.ends[i]
+
+
+def zones(text: str) -> Iterator[Atoms]:
+    """Atoms of the words that hold a trigger and ``AROUND`` words beside them, run by run."""
+    before: deque[int] = deque(maxlen=AROUND)  # where the last words begin
+    start = end = None
+    since = 0  # words after the last with a trigger
+    for m in WORD.finditer(text):
+        if TRIGGER.search(text, m.start(), m.end()):
+            if start is not None and since >= 2 * AROUND:
+                yield Atoms(text, start, end)
+                start = None
+            if start is None:
+                start = before[0] if before else m.start()
+            end, since = m.end(), 0
+        elif start is not None:
+            since += 1
+            if since <= AROUND:
+                end = m.end()
+        before.append(m.start())
+    if start is not None:
+        yield Atoms(text, start, end)
 
 
 def side(c: str) -> str:
@@ -117,13 +151,19 @@ def span_features(text: str, start: int, end: int) -> np.ndarray:
     return np.array([zlib.crc32(n.encode()) % WIDTH for n in names])
 
 
-def candidates(text: str, atoms: list[tuple[int, int]]) -> list[tuple[int, int, np.ndarray]]:
-    """(first atom, past the last, features) of segments that could be an entity: with a digit or "@", from a letter,
-    digit, "+" or "(" to a letter or digit, in one line."""
-    out = []
-    for i, (start, _) in enumerate(atoms):
+def candidates(text: str, atoms: Atoms) -> list[tuple[int, int, np.ndarray]]:
+    """(first atom, past the last, features) of all segments that could be an entity."""
+    return [(i, j, span_features(text, atoms[i][0], atoms[j - 1][1])) for i, ends in enumerate(openings(text, atoms)) for j in ends]
+
+
+def openings(text: str, atoms: Atoms) -> Iterator[list[int]]:
+    """For each atom, past which atoms a segment that begins with it could end: with a digit or "@", from a letter,
+    digit, "+" or "(" to a letter or digit, in one line; at most MAX_ATOMS on."""
+    for i, start in enumerate(atoms.starts):
+        out: list[int] = []
         c = text[start]
         if not (c.isascii() and (c.isalnum() or c in "+(")):
+            yield out
             continue
         hot = spaced = 0
         for j in range(i, min(i + MAX_ATOMS, len(atoms))):
@@ -134,8 +174,8 @@ def candidates(text: str, atoms: list[tuple[int, int]]) -> list[tuple[int, int,
                     break
             hot = hot or text[s] == "@" or "0" <= text[s] <= "9"
             if hot and text[e - 1].isascii() and text[e - 1].isalnum():
-                out.append((i, j + 1, span_features(text, start, e)))
-    return out
+                out.append(j + 1)
+        yield out
 
 
 class Model:
@@ -147,28 +187,46 @@ class Model:
     def scores(self, segments: list) -> np.ndarray:
         return np.stack([self.weights[:, f].sum(axis=1) for _, _, f in segments]) if segments else np.zeros((0, len(KINDS)))
 
-    def decode(self, n: int, segments: list) -> list[tuple[int, int, int, float]]:
-        """The best segmentation of n atoms: its typed segments (kind, first, past the last, score)."""
-        scores = self.scores(segments)
-        best, back = np.zeros(n + 1), [None] * (n + 1)
-        ending: dict[int, list[int]] = {}
-        for k, (_, j, _) in enumerate(segments):
-            ending.setdefault(j, []).append(k)
-        top, kind = (scores.max(axis=1), scores.argmax(axis=1)) if len(segments) else ((), ())
-        for j in range(1, n + 1):
-            best[j] = best[j - 1]
-            for k in ending.get(j, ()):
-                value = best[segments[k][0]] + top[k]
-                if value > best[j]:
-                    best[j], back[j] = value, k
+    def decode(self, text: str, atoms: Atoms) -> list[tuple[int, int, int, float]]:
+        """The best segmentation of the atoms: its typed segments (kind, first, past the last, score).
+
+        Atoms are taken from left to right; a segment is scored when its first atom comes, and only the values of the
+        next MAX_ATOMS places are open, so that memory grows by one back pointer an atom.  Segments of the same text
+        are scored once.
+        """
+        n = len(atoms)
+        value, kind = np.zeros(MAX_ATOMS + 1), [0] * (MAX_ATOMS + 1)  # place j is at j modulo the ring's length
+        from_, score = np.full(MAX_ATOMS + 1, -1), np.zeros(MAX_ATOMS + 1)
+        back, kinds, scores = np.full(n + 1, -1, dtype=np.int64), np.zeros(n + 1, dtype=np.int8), np.zeros(n + 1)
+        ring, so_far = MAX_ATOMS + 1, 0.0
+        value[:] = -np.inf
+        known: dict[tuple, tuple[float, int]] = {}
+        for i, ends in enumerate(openings(text, atoms)):
+            at = i % ring  # all segments that end here have been scored
+            if value[at] > so_far:
+                so_far = value[at]
+                back[i], kinds[i], scores[i] = from_[at], kind[at], score[at]
+            value[at] = -np.inf
+            for j in ends:
+                start, end = atoms[i][0], atoms[j - 1][1]
+                key = (text[start:end], text[start - 1:start], text[end:end + 1])
+                if (found := known.get(key)) is None:
+                    s = self.weights[:, span_features(text, start, end)].sum(axis=1)
+                    if len(known) >= KNOWN:
+                        known.clear()
+                    found = known[key] = (float(s.max()), int(s.argmax()))
+                k = j % ring
+                if so_far + found[0] > value[k]:
+                    value[k], kind[k], from_[k], score[k] = so_far + found[0], found[1], i, found[0]
+        if n and value[n % ring] > so_far:
+            back[n], kinds[n], scores[n] = from_[n % ring], kind[n % ring], score[n % ring]
         out, j = [], n
         while j > 0:
-            if back[j] is None:
+            if back[j] < 0:
                 j -= 1
             else:
-                k = back[j]
-                out.append((int(kind[k]), segments[k][0], j, float(top[k])))
-                j = segments[k][0]
+                out.append((int(kinds[j]), int(back[j]), j, float(scores[j])))
+                j = int(back[j])
         return out[::-1]
 
     def learn(self, n: int, segments: list, gold: dict[tuple[int, int], int], rate: float) -> None:
@@ -217,7 +275,7 @@ def train(texts: list[str], zones_at_most: int = TRAIN_ZONES) -> Model:
         text = texts[which]
         if which != last:
             spans, last = base_spans(text), which
-        starts, ends = {s: i for i, (s, _) in enumerate(atoms)}, {e: i + 1 for i, (_, e) in enumerate(atoms)}
+        starts, ends = {s: i for i, s in enumerate(atoms.starts)}, {e: i + 1 for i, e in enumerate(atoms.ends)}
         segments = candidates(text, atoms)
         known = {(i, j) for i, j, _ in segments}
         gold: dict[tuple[int, int], int] = {}
@@ -237,11 +295,14 @@ def all_spans(text: str, model: Model) -> tuple[list, list]:
     """Base spans, and all spans with those the model adds; each (kind, start, end) by kind, then start."""
     base = base_spans(text)
     taken = sorted((s, e) for _, s, e in base)
+    starts = [s for s, _ in taken]
+    reach = list(accumulate((e for _, e in taken), max))  # how far the spans up to this one go
     added = []
     for atoms in zones(text):
-        for kind, i, j, score in model.decode(len(atoms), candidates(text, atoms)):
+        for kind, i, j, score in model.decode(text, atoms):
             s, e = atoms[i][0], atoms[j - 1][1]
-            if score >= MARGIN and not any(a < e and s < b for a, b in taken):
+            before = bisect_left(starts, e)  # of spans that begin before this one's end
+            if score >= MARGIN and not (before and reach[before - 1] > s):
                 added.append((kind, s, e))
     return base, sorted(base + added)
 

@@ -5,10 +5,13 @@ terms and options close their like; end tags without a start are dropped, and wh
 parent).  ``render`` walks it: invisible elements (head, scripts, templates, ``hidden``, ``display: none``,
 ``visibility: hidden``, what svg and math do not draw) give nothing, ``visibility: visible`` shows again inside the latter; inline text collapses
 white space; blocks begin lines and paragraphs, headings and lists are set off by an empty line; list items are
-marked and indented; preformatted text keeps its spaces; the cells of a table's columns are aligned, and
+marked and indented; preformatted text keeps its spaces; the cells of a table's columns are aligned (with column and row spans), and
 what stands in a table outside its cells comes before them.  Deep nesting is
 no recursion: the walk keeps its own stack.
 
+Limits: style sheets are not read (only style attributes and ``hidden`` hide), a closed ``details`` is shown whole, of inputs only
+buttons' labels are text, tables nested deeper than ``DEPTH`` and indents beyond ``MOST_INDENT`` lose their layout but no text.
+
 Defined cases: null html gives null text; empty html empty text; text outside any tag is visible; a tag, comment or
 script that never ends takes the rest of the page; repeated rows get equal texts; an empty table gives an empty
 result; only page_id and html are read.
@@ -43,6 +46,7 @@ IMPLIED = {
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "option": ({"option"}, {"select", "datalist"}),
     "optgroup": ({"option", "optgroup"}, {"select"}), "body": ({"head"}, set()), "rt": ({"rt", "rp"}, {"ruby"}), "rp": ({"rt", "rp"}, {"ruby"}),
 }
+BUTTONS = frozenset("submit button reset".split())
 TABLE_PARTS = frozenset("caption thead tbody tfoot tr td th".split())
 #: In svg and math: what is not drawn, what holds HTML again, and the HTML elements that end them.
 UNDRAWN = frozenset("desc defs metadata symbol clippath mask pattern marker annotation annotation-xml".split())
@@ -72,17 +76,19 @@ class Node:
 def parse(html: str) -> Node:
     root = Node("#root", {})
     stack, at = [root], 0
+    places: dict[str, list[int]] = {}  # of each tag's open elements in the stack
 
     def close_to(k: int) -> None:
-        del stack[k:]
+        while len(stack) > k:
+            places[stack.pop().tag].pop()
+
+    def last(tags: set | frozenset) -> int:
+        return max((p[-1] for t in tags if (p := places.get(t))), default=0)
 
     def find(tags: set | frozenset, stop: set | frozenset) -> int | None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                return k
-            if stack[k].tag in stop:
-                return None
-        return None
+        """The innermost open element of ``tags``, unless one of ``stop`` lies inside it."""
+        k = last(tags)
+        return k if k and k >= last(stop) else None
 
     def text(s: str) -> None:
         if s:
@@ -135,6 +141,7 @@ def parse(html: str) -> Node:
             at = end.end() if end else len(html)
             continue
         if not m[3].endswith("/") or tag not in ("svg", "math"):
+            places.setdefault(tag, []).append(len(stack))
             stack.append(node)
     text(html[at:])
     return root
@@ -144,6 +151,10 @@ def width(s: str) -> int:
     return len(s) if s.isascii() else sum(2 if east_asian_width(c) in "WF" else 1 for c in s)
 
 
+#: Columns by which lists and quotations are set in at most.
+MOST_INDENT = 200
+
+
 class Lines:
     """Text laid out so far: lines, the line being written, and the empty lines owed before the next."""
 
@@ -174,9 +185,10 @@ class Lines:
         if line or empty:
             if self.lines:
                 self.lines += [""] * self.gap
-            pad = " " * self.indent
+            indent = min(self.indent, MOST_INDENT)
+            pad = " " * indent
             if self.first:
-                pad = (" " * max(self.indent - len(self.first), 0) + self.first)
+                pad = (" " * max(indent - len(self.first), 0) + self.first)
                 self.first = ""
             self.lines.append((pad + line).rstrip(" "))
             self.gap = 0
@@ -207,7 +219,7 @@ def style_of(node: Node) -> dict[str, str]:
 def shown(node: Node, visible: bool) -> bool | None:
     """Whether a node's own text is visible; None if all below it is not displayed at all."""
     if node.tag in HIDDEN or node.foreign and node.tag in UNDRAWN or "hidden" in node.attributes and node.attributes["hidden"].lower() != "until-found" or \
-            node.tag == "input" or node.tag == "dialog" and "open" not in node.attributes:
+            node.tag == "input" and node.attributes.get("type", "").lower() not in BUTTONS or node.tag == "dialog" and "open" not in node.attributes:
         return None
     if "style" in node.attributes:
         style = style_of(node)
@@ -236,9 +248,10 @@ def parts_of(node: Node) -> list[Node]:
     return parts
 
 
-def cells_of(table: Node, visible: bool) -> tuple[list[list[tuple[Node, bool]]], list[tuple[Node, bool]]]:
-    """The rows of cells of a table, without those of tables inside it, and its captions and stray content."""
-    rows: list[list[tuple[Node, bool]]] = []
+def cells_of(table: Node, visible: bool) -> tuple[list[list[tuple[Node, bool]] | None], list[tuple[Node, bool]]]:
+    """The rows of cells of a table, without those of tables inside it (None where a group of rows begins), and its captions and
+    stray content."""
+    rows: list[list[tuple[Node, bool]] | None] = []
     other: list[tuple[Node, bool]] = []
     stack: list[tuple[Node, bool, int]] = [(c, visible, 0) for c in reversed(parts_of(table))]
     open_row = False
@@ -256,11 +269,12 @@ def cells_of(table: Node, visible: bool) -> tuple[list[list[tuple[Node, bool]]],
                 rows.append([])
                 open_row = True
             else:
+                rows.append(None)
                 open_row = False
             stack += [(c, own, depth + 1) for c in reversed(parts_of(node))]
         else:
             other.append((node, own))
-    return [r for r in rows if r], other
+    return rows, other
 
 
 def layout(children: list, visible: bool) -> list[str]:
@@ -298,6 +312,9 @@ def _layout(children: list, visible: bool, depth: int) -> list[str]:
         elif tag == "img":
             if own and item.attributes.get("alt"):
                 out.add(item.attributes["alt"])
+        elif tag == "input":
+            if own and item.attributes.get("value"):
+                out.add(item.attributes["value"])
         elif tag == "table" and depth < DEPTH:
             out.end(1)
             out.block(_table(item, own, depth))
@@ -337,19 +354,27 @@ def _table(table: Node, visible: bool, depth: int) -> list[str]:
     for node, see in other:
         lines += _layout([node], see, depth + 1)
     laid, widths = [], {}
-    for row in rows:
+    until: dict[int, int] = {}  # the row in which a column is free again from cells of rows before
+    for r, row in enumerate(rows):
+        if row is None:
+            until.clear()
+            continue
         cells, column = [], 0
         for node, see in row:
             text = _layout(node.children, see, depth + 1)
-            span = node.attributes.get("colspan", "1")
-            span = min(int(span), 1000) if re.fullmatch(r"\d{1,6}", span) and int(span) else 1
+            while until.get(column, 0) > r:
+                column += 1
+            span, down = (min(int(n), 1000) if re.fullmatch(r"\d{1,6}", n) else 1 for n in (node.attributes.get(a, "1") for a in ("colspan", "rowspan")))
+            span, down = span or 1, down or len(rows)  # a rowspan of 0 reaches to the end
+            if down > 1:
+                until |= dict.fromkeys(range(column, column + span), r + down)
             cells.append((column, span, text))
             if span == 1:
                 widths[column] = max(widths.get(column, 0), max(map(width, text), default=0))
             column += span
         laid.append(cells)
     starts, at = {}, 0
-    for column in range(max((c + s for row in laid for c, s, _ in row), default=0)):
+    for column in sorted({c for row in laid for c, _, _ in row}):
         starts[column] = at
         at += widths.get(column, 0) + 2 if column in widths else 0
     for cells in laid:

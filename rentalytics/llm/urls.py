@@ -3,7 +3,8 @@
 A rule (verdict, host, path) fits its host and all subdomains where the URL's path starts with its path; the longest
 fitting rule decides.  Other URLs are judged by boosted trees trained on a bounded sample of the URLs that the rules
 label: length, depth, digits, entropy, parameters, labels and hyphens of the host, and how often the host's last
-labels and the first path segment were blocked among the labelled URLs (smoothed).
+labels and the first path segment were blocked among the labelled URLs (smoothed; for a labelled URL among those of
+other folds of hosts).
 
 Defined cases: null URLs and those without ``://`` have empty host and path, fit no rule and go to the trees like any
 other; if the labelled URLs are all of one verdict or none, the trees allow all; of rules of equal length the first
@@ -22,7 +23,7 @@ from rentalytics.llm.common import bounded_sample, keep
 
 #: The production rules.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-TRAIN_ROWS, TREES, TREE_DEPTH, SMOOTH, THRESHOLD = 10_000, 12, 4, 20.0, 0.5
+TRAIN_ROWS, TREES, TREE_DEPTH, SMOOTH, THRESHOLD, FOLDS = 10_000, 12, 4, 20.0, 0.5, 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ["length", "host_length", "depth", "digit_ratio", "entropy", "parameters", "host_labels", "hyphens",
             "suffix1_share", "suffix1_count", "suffix2_share", "suffix2_count", "segment_share", "segment_count"]
@@ -76,19 +77,29 @@ def judged_by_rules(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES)
         (F.length("host") - F.length(F.replace("host", F.lit("-"), F.lit("")))).cast("double").alias("hyphens"))
 
 
+def fold_of(host: Column) -> Column:
+    return F.pmod(F.xxhash64(host), F.lit(FOLDS)).cast("int")
+
+
 def with_statistics(rows: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Join, for each part of a URL, the smoothed share of blocked labelled URLs that have it and their log count."""
+    """Join, for each part of a URL, the smoothed share of blocked labelled URLs that have it and their log count.  For a
+    labelled URL those of its own fold of hosts don't count, so its shares know nothing of its own host's verdict."""
     blocked = F.sum((F.col("rule_verdict") == "block").cast("long"))
     prior = labelled.agg(F.coalesce(blocked / F.count("*"), F.lit(0.5))).first()[0]
     for part in ("suffix1", "suffix2", "segment"):
-        stats = labelled.groupBy(part).agg(((blocked + SMOOTH * prior) / (F.count("*") + SMOOTH)).alias(f"{part}_share"), F.log1p(F.count("*")).alias(f"{part}_count"))
-        rows = rows.join(stats, part, "left").fillna({f"{part}_share": prior, f"{part}_count": 0.0})
+        own = keep(labelled.groupBy(part, "fold").agg(blocked.alias("own_blocked"), F.count("*").alias("own_n")), "url-shares")
+        every = own.groupBy(part).agg(F.sum("own_blocked").alias("all_blocked"), F.sum("own_n").alias("all_n"))
+        rows = rows.join(every, part, "left").join(own, [part, "fold"], "left")
+        mine = F.col("rule_verdict").isNotNull()
+        b, n = (F.coalesce(F.col(f"all_{c}"), F.lit(0)) - F.when(mine, F.coalesce(F.col(f"own_{c}"), F.lit(0))).otherwise(F.lit(0)) for c in ("blocked", "n"))
+        rows = rows.withColumns({f"{part}_share": (b + SMOOTH * prior) / (n + SMOOTH), f"{part}_count": F.log1p(n)}).drop(
+            "own_blocked", "own_n", "all_blocked", "all_n")
     return rows
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """page_id, host, path, rule, verdict (the rule's, else the trees') and p_block."""
-    rows = keep(judged_by_rules(pages, rules), "url-features")
+    rows = keep(judged_by_rules(pages, rules).withColumn("fold", fold_of(F.col("host"))), "url-features")
     labelled = rows.where("rule_verdict is not null")
     full = with_statistics(rows, labelled)
     columns = ["page_id", "host", "path", "rule"]
