@@ -830,19 +830,29 @@ def _f06(spark, d):
     return o.select("o_orderkey", human_money("o_totalprice", "€").alias("label"), log1p("o_totalprice").alias("log_price"))
 
 
-@register("t03_orders_sorted", """
+@register("t01_first_orders", """
 SELECT o_orderkey, o_custkey, o_orderdate, place FROM (
   SELECT *, CAST(row_number() OVER (ORDER BY o_orderdate DESC, o_custkey, o_orderkey) AS BIGINT) AS place FROM orders) WHERE place <= 1000
 """)
-def _t03(spark, d):
-    """T03 multi-key order, T01 / T02 the first thousand of it with their places."""
+def _t01(spark, d):
+    """The first thousand of an order by three keys, with their places."""
     from pyspark.sql import Window
     from pyspark.sql import functions as F
-    from rentalytics.operators.windows import sort, top_k
+    from rentalytics.operators.windows import top_k
     keys, falling = ["o_orderdate", "o_custkey", "o_orderkey"], [True, False, False]
     top = top_k(read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), 1000, keys, falling)
-    placed = top.withColumn("place", F.row_number().over(Window.orderBy(F.desc(keys[0]), *keys[1:])).cast("long"))  # 1000 rows
-    return sort(placed, keys, falling)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(F.desc(keys[0]), *keys[1:])).cast("long"))  # 1000 rows
+
+
+@register("t03_orders_sorted", """
+SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice, CAST(row_number() OVER (ORDER BY o_orderdate DESC, o_custkey, o_orderkey) AS BIGINT) AS place FROM orders
+""")
+def _t03(spark, d):
+    """Every order with its place by three keys, in that order."""
+    from rentalytics.operators.windows import places, sort
+    keys, falling = ["o_orderdate", "o_custkey", "o_orderkey"], [True, False, False]
+    orders = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return sort(places(orders, keys, falling), ["place"])
 
 
 @register("u01_shipping_dates", """

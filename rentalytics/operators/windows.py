@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise_table
+
 
 def _order(cols: Sequence, descending: bool | Sequence[bool]) -> list[Column]:
     if isinstance(descending, bool):
@@ -56,6 +58,27 @@ def sort(df: DataFrame, cols: Sequence, descending: bool | Sequence[bool] = Fals
     return df.orderBy(*_order(list(cols), descending))
 
 
+def places(df: DataFrame, cols: Sequence, descending: bool | Sequence[bool] = False, out: str = "place") -> DataFrame:
+    """Every row with its place 1..n in a multi-key order, without ever ordering all rows in one task.
+
+    Rows are range-partitioned by the keys and written so, each with its place in its range; the ranges' sizes give,
+    by a running sum over one row a range, how many rows come before each.  Rows with equal keys get different places,
+    the same ones by whoever reads the result; a key that makes the order total makes the places repeatable too.
+    """
+    spark = df.sparkSession
+    order = _order(list(cols), descending)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("__at", F.monotonically_increasing_id()))  # the range's number, then the row's in it
+    ranged = materialise_table(ranged.withColumn("__range", F.shiftright("__at", 33)), "places")
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select(F.col("__range").alias("__of"), F.coalesce(F.sum("__n").over(
+        Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))  # a row a range
+    place = F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return (ranged.join(F.broadcast(before), F.col("__range") == F.col("__of"))
+            .withColumn(out, place).drop("__at", "__range", "__of", "__before"))
+
+
 RANK_METRICS = {
     "median_price": ("median_price", True),
     "listing_count": ("listing_count", True),

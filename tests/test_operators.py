@@ -225,3 +225,16 @@ def test_cumulative_before(spark):
     df = spark.createDataFrame([("g", "a", 10.0), ("g", "b", 30.0), ("g", "c", 60.0)], "k string, c string, v double")
     got = [r.cum for r in W.cumulative_before(df, "v", ["c"], ["k"], "cum").orderBy("c").collect()]
     assert got == [0.0, 10.0, 40.0]
+
+
+def test_places_of_a_total_order(spark):
+    """Places 1..n by two keys with nulls, a hot first key and many ranges; equal keys get different places."""
+    rng = np.random.default_rng(4)
+    rows = [(int(a) if a < 5 else None, float(b), i) for i, (a, b) in enumerate(zip(np.where(rng.random(3000) < 0.6, 1, rng.integers(0, 6, 3000)), rng.integers(0, 400, 3000)))]
+    df = spark.createDataFrame(rows, "a int, b double, i int").repartition(5)
+    got = W.places(df, ["a", "b", "i"], [True, False, False]).orderBy("place").collect()
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1], r[2]))
+    assert [(r.a, r.b, r.i) for r in got] == want and [r.place for r in got] == list(range(1, 3001))
+    tied = W.places(df.select("a"), ["a"])
+    assert sorted(r.place for r in tied.collect()) == list(range(1, 3001))
+    assert W.places(df.limit(0), ["a"]).count() == 0
