@@ -12,6 +12,7 @@ pure-Python normal and chi-square tails stay as references for the tests.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from collections.abc import Sequence
 
 import numpy as np
@@ -392,35 +393,67 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ("city",))
 
 
 # --------------------------------------------------------------------------- density
+#: Width of a cell in bandwidths, and powers kept of the distances to its middle.  With u = distance / bandwidth, at most
+#: CELL / 2, the term of power k of the kernel's expansion is below 1.09 * (CELL / 2)^k / sqrt(k!): 1.3e-14 for the first left out.
+CELL, POWERS = 0.5, 14
+
+
+def hermite_rows(n: int) -> list[list[int]]:
+    """Coefficients, from the constant up, of the first n polynomials with He(k + 1) = z He(k) - k He(k - 1)."""
+    rows = [[1], [0, 1]]
+    for k in range(1, n - 1):
+        up, back = [0, *rows[k]], [k * c for c in rows[k - 1]]
+        rows.append([x - (back[i] if i < len(back) else 0) for i, x in enumerate(up)])
+    return rows[:n]
+
+
 def gaussian_kde(df: DataFrame, value: str, grid_points: int = 200, by: Sequence[str] = (),
                  lo: float | None = None, hi: float | None = None) -> DataFrame:
-    """X11: Gaussian KDE (Scott bandwidth n^(-1/5) * sd) evaluated on an even grid.
+    """X11: Gaussian KDE (Scott bandwidth h = n^(-1/5) * sd) evaluated on an even grid.
 
-    The sample is collapsed to distinct values with counts; each distinct
-    value is exploded over the grid points (a generator, not a join) and the
-    contributions are summed per grid point, first in each task.  The grid
-    spans [lo, hi] or the data range per stratum.
+    A fast Gauss expansion: rows are summed into cells of half a bandwidth as powers of their distance to the cell's middle
+    (one aggregation, partial in each task), and each cell meets the grid once.  Around a middle s, with z = (x - s) / h and
+    u = (v - s) / h, exp(-(z - u)^2 / 2) is exp(-z^2 / 2) times the sum of He(k, z) u^k / k!, so a cell's sums of u^k are all that
+    the grid needs of its rows.  The error is below 1e-12 of a kernel's height; the work on the grid grows with the data's
+    range in bandwidths, not with distinct values.  The grid spans [lo, hi] or the data range per stratum.
     """
     by = list(by)
     if not by:
         df, by = df.withColumn("__all", F.lit(0)), ["__all"]
-    v = F.col(value)
-    base = df.where(v.isNotNull())
-    st = base.groupBy(*by).agg(F.count(v).alias("__n"), F.stddev_samp(v).alias("__sd"),
-                               F.min(v).alias("__min"), F.max(v).alias("__max"))
+    v = F.col(value).cast("double")
+    base = df.where(v.isNotNull()).select(*by, v.alias("__v"))
+    st = base.groupBy(*by).agg(F.count("__v").alias("__n"), F.stddev_samp("__v").alias("__sd"),
+                               F.min("__v").alias("__min"), F.max("__v").alias("__max"))
     st = st.withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
     st = st.withColumn("__lo", F.lit(lo) if lo is not None else F.col("__min")) \
            .withColumn("__hi", F.lit(hi) if hi is not None else F.col("__max"))
     st = st.where(F.col("__h") > 0)  # a stratum without spread has no Gaussian bandwidth
-    counts = base.groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    j = counts.join(st, [counts[c].eqNullSafe(st[c]) for c in by]).select(*[counts[c] for c in by], "__v", "__c", "__n", "__h", "__lo", "__hi")
-    g = grid_points - 1
-    j = j.withColumn("grid", F.explode(F.sequence(F.lit(0), F.lit(g))))
-    x = F.col("__lo") + F.col("grid") * (F.col("__hi") - F.col("__lo")) / F.lit(grid_points - 1)
-    z = (x - F.col("__v")) / F.col("__h")
-    contrib = F.col("__c") * F.exp(-0.5 * z * z) / (F.col("__h") * F.lit(math.sqrt(2 * math.pi)))
-    keys = [*by, "grid", "__lo", "__hi", "__n"]
-    out = j.groupBy(*keys).agg(F.sum(contrib).alias("__s"))
-    res = out.select(*by, "grid", (F.col("__lo") + F.col("grid") * (F.col("__hi") - F.col("__lo")) / F.lit(grid_points - 1)).alias("x"),
-                     (F.col("__s") / F.col("__n")).alias("density"))
+    of = {c: f"__of_{c}" for c in by}
+    strata = st.select(*[F.col(c).alias(of[c]) for c in by], "__n", "__h", "__min", "__lo", "__hi")
+    j = base.join(strata, [F.col(c).eqNullSafe(F.col(of[c])) for c in by])
+    width = F.col("__h") * F.lit(CELL)
+    j = j.withColumn("__cell", F.floor((F.col("__v") - F.col("__min")) / width))
+    j = j.withColumn("__u", (F.col("__v") - F.col("__min") - (F.col("__cell") + F.lit(0.5)) * width) / F.col("__h"))
+    for k in range(2, POWERS):
+        j = j.withColumn(f"__u{k}", F.col("__u" if k == 2 else f"__u{k - 1}") * F.col("__u"))
+    names = ["__u0", "__u1", *(f"__u{k}" for k in range(2, POWERS))]
+    keys = [*by, "__n", "__h", "__min", "__lo", "__hi"]
+    cells = j.withColumnsRenamed({"__u": "__u1"}).groupBy(*keys, "__cell").agg(
+        F.count(F.lit(1)).cast("double").alias("__u0"), *[F.sum(c).alias(c) for c in names[1:]])
+    # each cell's polynomial in z
+    rows = hermite_rows(POWERS)
+    terms = [reduce(lambda a, b: a + b, [F.col(names[k]) * F.lit(row[i] / math.factorial(k)) for k, row in enumerate(rows) if i < len(row) and row[i]])
+             for i in range(POWERS)]
+    cells = cells.select(*keys, "__cell", *[t.alias(f"__a{i}") for i, t in enumerate(terms)])
+    step = (F.col("__hi") - F.col("__lo")) / F.lit(grid_points - 1)
+    met = cells.withColumn("grid", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
+    met = met.withColumn("__z", (F.col("__lo") + F.col("grid") * step - F.col("__min") - (F.col("__cell") + F.lit(0.5)) * width) / F.col("__h"))
+    poly = F.col(f"__a{POWERS - 1}")
+    for i in range(POWERS - 2, -1, -1):
+        poly = poly * F.col("__z") + F.col(f"__a{i}")
+    # beyond 39 bandwidths the kernel is 0 in doubles
+    part = F.when(F.abs(F.col("__z")) < 39, F.exp(F.lit(-0.5) * F.col("__z") * F.col("__z")) * poly).otherwise(F.lit(0.0))
+    out = met.groupBy(*keys, "grid").agg(F.greatest(F.sum(part), F.lit(0.0)).alias("__s"))
+    res = out.select(*by, "grid", (F.col("__lo") + F.col("grid") * step).alias("x"),
+                     (F.col("__s") / (F.col("__n") * F.col("__h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
     return res.drop("__all")

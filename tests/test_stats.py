@@ -181,3 +181,23 @@ def test_kde_narrow_bandwidth_keeps_every_grid_point(spark):
     xs = np.linspace(vals.min(), vals.max(), 200)
     exp = [np.mean(np.exp(-0.5 * ((x - vals) / h) ** 2) / (h * math.sqrt(2 * math.pi))) for x in xs]
     assert len(out) == 200 and np.allclose(out["density"].values, exp, rtol=1e-9, atol=1e-15)
+
+
+def test_kde_expansion_equals_the_direct_sum(spark):
+    """Several strata, outliers, ties, grids inside and beyond the data: equal to the sum over all kernels."""
+    rng = np.random.default_rng(2)
+    groups = {"a": rng.normal(100, 5, 2000), "b": np.r_[rng.lognormal(3, 1.2, 1500), 1e5, -1e5], "c": rng.integers(0, 4, 900) / 2.0, None: 1e3 + rng.normal(0, 0.1, 400), "one": [3.0] * 5}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs], "g string, v double").repartition(4)
+    for lo, hi in ((None, None), (0.0, 120.0)):
+        got = S.gaussian_kde(df, "v", 50, by=["g"], lo=lo, hi=hi).toPandas()
+        assert "one" not in set(got["g"])
+        for g, vs in groups.items():
+            if g == "one":
+                continue
+            vs = np.asarray(vs, dtype=float)
+            rows = got[got["g"].isna() if g is None else got["g"] == g].sort_values("grid")
+            h = vs.std(ddof=1) * len(vs) ** -0.2
+            a, b = (vs.min(), vs.max()) if lo is None else (lo, hi)
+            x = a + np.arange(50) * (b - a) / 49
+            want = np.exp(-0.5 * ((x[:, None] - vs[None]) / h) ** 2).sum(1) / (len(vs) * h * np.sqrt(2 * np.pi))
+            assert len(rows) == 50 and np.abs(rows["density"].to_numpy() - want).max() <= 1e-10 * max(want.max(), 1 / h)
