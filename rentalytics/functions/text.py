@@ -31,13 +31,17 @@ def normalise_null_tokens(df: DataFrame) -> DataFrame:
     ])
 
 
-def parse_currency(c) -> Column:
+def parse_currency(c, allow_negative: bool = False) -> Column:
     """delete every character that is not a digit or a dot; '' or unparsable -> null.
 
-    The minus sign is deleted too, so ``-$5`` reads as 5.0 (kept on purpose).
+    The minus sign is deleted too, so ``-$5`` reads as 5.0 (kept on purpose); with ``allow_negative`` an amount that begins
+    with a minus sign or stands in parentheses is negative, so that the rule on negative prices (Q01) can fire.
     """
-    digits = F.regexp_replace(_c(c).cast("string"), r"[^0-9.]", "")
-    return F.nullif(F.trim(digits), F.lit("")).try_cast("double")
+    text = _c(c).cast("string")
+    amount = F.nullif(F.trim(F.regexp_replace(text, r"[^0-9.]", "")), F.lit("")).try_cast("double")
+    if not allow_negative:
+        return amount
+    return F.when(text.rlike(r"^[^0-9.]*[-\u2212]|^\s*\(.*\)\s*$"), -amount).otherwise(amount)
 
 
 def parse_percent(c) -> Column:

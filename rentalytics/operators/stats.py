@@ -195,14 +195,18 @@ def _materialise(df: DataFrame) -> DataFrame:
 
 
 def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: Sequence[str] = ("city",),
-                 alternative: str = "greater", continuity: bool = True, with_p: bool = True) -> DataFrame:
+                 alternative: str = "greater", continuity: bool = True, with_p: bool = True,
+                 convention: str = "source") -> DataFrame:
     """Mann-Whitney U of the first sample, tie-corrected normal approximation, rank-biserial r.
 
     ``first`` / ``second`` are predicates selecting the two samples.  U is
     the first sample's; ``alternative`` is ``greater``, ``less`` or
     ``two-sided`` (U = max(U1, U2)).  Output per stratum: n1, n2, u, z,
-    p_value, log10_p, rank_biserial (= 1 - 2U/(n1 n2), sign as the source).
+    p_value, log10_p, rank_biserial (= 1 - 2U/(n1 n2), sign as the source: negative where the first sample is larger;
+    ``convention="positive_first"`` turns it round).
     """
+    if convention not in ("source", "positive_first"):
+        raise ValueError(f"unknown convention {convention!r}")
     by = list(by)
     v = F.col(value)
     s = df.where(v.isNotNull() & (first | second)).select(*by, v.alias("v"), F.when(first, 1).otherwise(0).alias("g1"))
@@ -212,9 +216,8 @@ def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: S
         F.sum("c1").alias("n1"), (F.sum("cnt") - F.sum("c1")).alias("n2"),
         F.sum(F.col("c1") * F.col("midrank")).alias("r1"),
         F.sum(F.pow(F.col("cnt"), 3) - F.col("cnt")).alias("tie"))
-    if not with_p:
-        return mwu_stats(agg, by, alternative, continuity)
-    return mwu_from_sums(agg, by, alternative, continuity)
+    out = (mwu_from_sums if with_p else mwu_stats)(agg, by, alternative, continuity)
+    return out.withColumn("rank_biserial", -F.col("rank_biserial")) if convention == "positive_first" else out
 
 
 def mwu_stats(agg: DataFrame, by: Sequence[str], alternative: str = "greater", continuity: bool = True) -> DataFrame:

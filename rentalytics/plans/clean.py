@@ -56,15 +56,15 @@ def type_columns(df: DataFrame) -> DataFrame:
 
 
 def clean_listings(raw: DataFrame, config: DataFrame, *, property_groups: Mapping[str, str] = PROPERTY_TYPE_GROUPS,
-                   drop_columns: Sequence[str] = LISTING_DROP_COLUMNS) -> DataFrame:
+                   drop_columns: Sequence[str] = LISTING_DROP_COLUMNS, allow_negative: bool = False) -> DataFrame:
     """P01 -> F01 -> F02 -> F08 -> F28 -> F27 -> J06 -> F29, F18, F26.
 
-    ``raw`` must carry ``city``.  Validation counters are a separate
+    ``raw`` must carry ``city``; ``allow_negative`` keeps the sign of prices (``parse_currency``).  Validation counters are a separate
     operator (``operators.quality.listing_rule_counts``).
     """
     df = drop_present(raw, drop_columns)
     df = type_columns(df)
-    updates = {"price": parse_currency("price")}
+    updates = {"price": parse_currency("price", allow_negative)}
     for c in PERCENT_COLUMNS:
         if c in df.columns:
             updates[c] = parse_percent(c) if _is_string(df, c) else F.col(c).cast("double")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -27,13 +28,13 @@ def string_schema(columns: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_csv_raw(spark: SparkSession, path: str, columns: Iterable[str] | None = None,
-                 null_tokens: bool = True, corrupt: str | None = None) -> DataFrame:
+def read_csv_raw(spark: SparkSession, path: str | list[str], columns: Iterable[str] | None = None,
+                 null_tokens: bool = True, corrupt: str | None = None, file: str | None = None) -> DataFrame:
     """Header CSV with quoted multi-line text, everything as string; a file is read by as many tasks as it has splits.
 
     The columns are those of the header, in each file by its own (absent ones are null); ``columns`` picks some of them.
     ``corrupt`` names a column that holds the text of a record with too few or too many fields, or with quotes left
-    open at its file's end; other records have null there.  Fields that hold a quote are quoted themselves; a lone
+    open at its file's end; other records have null there.  ``file`` names a column for each record's file.  Fields that hold a quote are quoted themselves; a lone
     quote inside a bare field is a character of it, but at a bare field's end it is taken for a closing one.
     """
     records = csv_records(spark, path)
@@ -43,28 +44,30 @@ def read_csv_raw(spark: SparkSession, path: str, columns: Iterable[str] | None =
     heads = materialise(records.join(first, is_first).select("file", F.regexp_replace("record", "^\uFEFF", "").alias("head")))
     texts = sorted(r.head for r in heads.select("head").distinct().collect())  # files of one source share their header
     if not texts:
-        return spark.createDataFrame([], string_schema([*(columns or []), *([corrupt] if corrupt else [])]))
+        return spark.createDataFrame([], string_schema([*(columns or []), *(c for c in (corrupt, file) if c)]))
     body = records.join(first, is_first, "leftanti")
     frames = []
     for text in texts:
         names = next(csv.reader(io.StringIO(text, newline="")))
         mine = body if len(texts) == 1 else body.join(heads.where(F.col("head") == text).select("file"), "file")
-        frames.append(parsed_csv(mine, names, list(columns) if columns is not None else names, corrupt))
+        frames.append(parsed_csv(mine, names, list(columns) if columns is not None else names, corrupt, file))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return normalise_null_tokens(out) if null_tokens else out
 
 
-def parsed_csv(records: DataFrame, names: list[str], wanted: list[str], corrupt: str | None) -> DataFrame:
+def parsed_csv(records: DataFrame, names: list[str], wanted: list[str], corrupt: str | None, file: str | None) -> DataFrame:
     """The ``wanted`` columns of CSV records with the fields ``names``."""
     fields = [*names, "__corrupt"]
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in fields)
     row = F.from_csv("record", schema, {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"})
-    parsed = records.select(row.alias("r"), "closed", "record")
+    parsed = records.select(row.alias("r"), "closed", "record", "file")
     cols = [(F.col("r").getField(n) if n in names else F.lit(None).cast("string")).alias(n) for n in wanted]
     if corrupt:
         cols.append(F.when(~F.col("closed"), F.col("record")).otherwise(F.col("r").getField("__corrupt")).alias(corrupt))
+    if file:
+        cols.append(F.col("file").alias(file))
     return parsed.select(*cols)
 
 
@@ -124,16 +127,13 @@ def read_city_csv(spark: SparkSession, base: str, cities: Iterable[str], name: s
     Cities may ship different column sets; missing columns become null.  An optional file that is missing or cannot be
     read is skipped (S05).  ``corrupt`` names the column of broken records' texts (``read_csv_raw``).
     """
-    frames = []
-    for city in cities:
-        path = f"{base.rstrip('/')}/{city}/{name}.csv"
-        df = (read_optional(lambda p=path: read_csv_raw(spark, p, corrupt=corrupt), f"raw-{name}") if optional
-              else read_csv_raw(spark, path, corrupt=corrupt))
-        if df is not None:
-            frames.append(df.withColumn("city", F.lit(city)))
-    if not frames:
-        return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    paths = {city: f"{base.rstrip('/')}/{city}/{name}.csv" for city in cities}
+    if optional:  # each city's by itself, as any of them may be absent
+        frames = [df.withColumn("city", F.lit(city)) for city, path in paths.items()
+                  if (df := read_optional(lambda p=path: read_csv_raw(spark, p, corrupt=corrupt), f"raw-{name}")) is not None]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+    df = read_csv_raw(spark, list(paths.values()), corrupt=corrupt, file="__file")
+    of = F.lit(None).cast("string")
+    for city in paths:
+        of = F.when(F.url_decode(F.replace(F.col("__file"), F.lit("+"), F.lit("%2B"))).endswith(f"/{city}/{name}.csv"), city).otherwise(of)
+    return df.withColumn("city", of).drop("__file")

@@ -31,7 +31,7 @@ from ..session import materialise, materialise_table, ship_package
 SPLIT = ["file", "block"]
 
 
-def pieces(spark: SparkSession, path: str, separator: str) -> DataFrame:
+def pieces(spark: SparkSession, path: str | list[str], separator: str) -> DataFrame:
     """value, file and block (where its split begins) of every piece between separators, in file order within a task."""
     return spark.read.option("lineSep", separator).text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
@@ -112,7 +112,7 @@ def stitched(parts: DataFrame, separator: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ CSV
-def quote_steps(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
+def quote_steps(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> DataFrame:
     """Lines with ``odd``: whether they turn quotes on or off.  Doubled quotes and quotes in the middle of a bare field do not."""
     d = "\\" + delimiter
     single = F.replace(F.col("value"), F.lit('""'), F.lit(""))
@@ -120,7 +120,7 @@ def quote_steps(spark: SparkSession, path: str, delimiter: str = ",") -> DataFra
     return pieces(spark, path, "\n").withColumn("odd", F.when(F.col("value").contains('"'), turning % 2).otherwise(F.lit(0)).cast("int"))
 
 
-def csv_records(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
+def csv_records(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> DataFrame:
     """file, block, place, closed and record (its text) of every CSV record below ``path``, headers too; no empty lines."""
     ship_package(spark)
 

@@ -174,3 +174,9 @@ def test_rounding_of_values_and_aggregates(spark):
     r = spark.createDataFrame([(0.01499999999999, 2.675, 0.1 + 0.2)], "a double, b double, c double").select(
         round_even("a", 2).alias("a"), round_even("b", 2).alias("b"), round_aggregate("c", 1).alias("c")).first()
     assert (r.a, r.b, r.c) == (0.01, float(np.round(2.675, 2)), 0.3)
+
+
+def test_parse_currency_with_signs(spark):
+    vals = ["-$5.50", "$-5.50", "(1,200.00)", "$1,234.00", "−3", "12-3", "", None, "€ -7"]
+    got = [r[0] for r in one_col(spark, vals).select(RF.parse_currency("v", allow_negative=True)).collect()]
+    assert got == [-5.5, -5.5, -1200.0, 1234.0, -3.0, 123.0, None, None, -7.0]

@@ -201,3 +201,11 @@ def test_kde_expansion_equals_the_direct_sum(spark):
             x = a + np.arange(50) * (b - a) / 49
             want = np.exp(-0.5 * ((x[:, None] - vs[None]) / h) ** 2).sum(1) / (len(vs) * h * np.sqrt(2 * np.pi))
             assert len(rows) == 50 and np.abs(rows["density"].to_numpy() - want).max() <= 1e-10 * max(want.max(), 1 / h)
+
+
+def test_rank_biserial_conventions(spark):
+    df = spark.createDataFrame([("c", True, 5.0), ("c", True, 4.0), ("c", False, 1.0), ("c", False, 4.5)], "city string, first boolean, v double")
+    r = {c: S.mann_whitney(df, "v", F.col("first"), ~F.col("first"), convention=c).first() for c in ("source", "positive_first")}
+    assert r["source"].rank_biserial == -0.5 and r["positive_first"].rank_biserial == 0.5 and r["source"].u == r["positive_first"].u == 3.0
+    with pytest.raises(ValueError):
+        S.mann_whitney(df, "v", F.col("first"), ~F.col("first"), convention="other")
