@@ -16,10 +16,8 @@ and each part's manifest row counts them; repeated doc_ids are kept, ordered by
 from __future__ import annotations
 
 import os
-import sys
 from collections.abc import Iterator
-from functools import cache
-from unicodedata import category, normalize
+from unicodedata import normalize
 
 import numpy as np
 import public_tokenizers
@@ -39,17 +37,10 @@ END_ID = 1
 CACHE_WORDS, CACHE_CHARS = 250_000, 64
 #: New words encoded at a time.
 LOT = 2000
-
-
-@cache
-def break_pattern() -> str:
-    """A letter before ASCII punctuation that no special token and no contraction has: pieces of this vocabulary end there.
-    Only letters that end as letters once normalised and lowered; the others, some sixty, end in a combining mark, which
-    makes one piece with punctuation after it."""
-    good = [c for c in range(sys.maxunicode + 1) if category(chr(c))[0] == "L" and category(normalize("NFC", chr(c)).lower()[-1])[0] == "L"]
-    cuts = [0, *(i for i in range(1, len(good)) if good[i] != good[i - 1] + 1), len(good)]
-    letters = "".join(f"\\x{{{good[a]:x}}}-\\x{{{good[b - 1]:x}}}" for a, b in zip(cuts, cuts[1:]))
-    return rf"([{letters}])([!-&(-/:;=?-@\[-`{{}}~])"
+#: An ASCII letter before ASCII punctuation that no special token and no contraction has: pieces of this vocabulary end there.
+#: After other letters they need not, as some (Turkish dotted capital I, Hindi letters with a nukta) end in a combining mark
+#: once normalised and lowered, which makes one piece with the punctuation.
+BREAK = r"([A-Za-z])([!-&(-/:;=?-@\[-`{}~])"
 
 
 class Encoder:
@@ -106,7 +97,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
-        texts = pc.replace_substring_regex(texts, break_pattern(), r"\1 \2")
+        texts = pc.replace_substring_regex(texts, BREAK, r"\1 \2")
         if not pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens are told by case
             texts = pc.ascii_lower(texts)
         words, codes, offsets = split_words(texts)
