@@ -77,4 +77,4 @@ def test_odd_rows(spark, odd_docs):
 def test_registered():
     import __spark_entry__ as E
     assert "pipeline" in E.queries() and set(QUERIES) <= set(E.queries())
-    assert [int(n.split("_")[0][2:]) for n in sorted(QUERIES, key=lambda n: int(n.split("_")[0][2:]))] == list(range(1, 11))
+    assert [int(n.split("_")[0][2:]) for n in sorted(QUERIES, key=lambda n: int(n.split("_")[0][2:]))] == list(range(1, 14))
