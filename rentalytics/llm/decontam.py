@@ -4,8 +4,9 @@ The words of the training documents are counted for the benchmark's terms; each
 rarest terms.  Of those terms the postings (term, document, position) are stored, with the words around the position
 for terms that are the rarest of a window.  A window's occurrences are found from its rarest list: each posting less
 the term's offset is a possible start; it stays if the list of the second rarest term holds the position that its
-offset asks for; the words around confirm the phrase.  ``proximity_matches`` uses the same lists to find all words
-of a phrase within a span, in any order.
+offset asks for; the words around confirm the phrase.  The same lists give proximity matches: the words around an
+occurrence of the rarest term hold all words of the window within a span, in any order (``n_near_items``;
+``proximity_matches`` for the places themselves).
 
 Terms and windows are sent to all executors a block of ``BLOCK`` windows at a time, so what is broadcast has a fixed
 bound; a larger benchmark takes more passes.  Documents are never shuffled as text.  DataFrame functions only.
@@ -17,12 +18,16 @@ repeated rows get equal results; an empty table on either side gives no hits; ot
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentalytics.llm.common import keep
 
 WIDTH = 13
+#: Words within which a proximity match holds all words of a window: room for as many others among them.
+SPAN = 2 * WIDTH
 #: Windows whose terms are broadcast together: at most 13 words each.
 BLOCK = 50_000
 MIN_SHARE = 20  # contaminated if 20 * hit words >= words
@@ -89,41 +94,55 @@ def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
     return alone.unionByName(both).where((F.col("start") >= F.col("near_at")) & whole).select("window", "doc_id", "h", "start").distinct()
 
 
-def proximity_matches(docs: DataFrame, phrases: DataFrame, span: int) -> DataFrame:
+def all_within(window: Column, run: Column) -> Column:
+    """Whether every word of the window is among the words of the run."""
+    return F.size(F.array_except(window, run)) == 0
+
+
+def near_candidates(index: DataFrame, phrases: DataFrame, span: int) -> DataFrame:
+    """Occurrences of a phrase's rarest term with all its words within reach, and ``starts``: the indices in ``near`` of
+    the runs of ``span`` words that hold that occurrence and every word, whatever their order."""
+    at = F.col("pos") - F.col("near_at")
+    candidates = (index.where("near is not null").join(F.broadcast(phrases), "term")
+                  .where((F.col("term2").isNull() | F.expr("array_contains(near, term2)")) & all_within(F.col("window"), F.col("near"))))
+    first = F.greatest(at - (span - 1), F.lit(0))
+    return candidates.withColumn("starts", F.filter(
+        F.sequence(first, at), lambda i: all_within(F.col("window"), F.slice("near", i + 1, F.lit(span)))))
+
+
+def near_documents(index: DataFrame, phrases: DataFrame, span: int) -> DataFrame:
+    """window, doc_id, h of the documents that hold every word of a window within ``span`` words."""
+    return near_candidates(index, phrases, span).where("size(starts) > 0").select("window", "doc_id", "h").distinct()
+
+
+def near_runs(index: DataFrame, phrases: DataFrame, span: int) -> DataFrame:
+    """window, doc_id, h, start, end of every run that begins and ends with a word of the window."""
+    runs = near_candidates(index, phrases, span).withColumn("i", F.explode("starts")).where(
+        F.expr("array_contains(window, near[i])"))
+    run = F.slice("near", F.col("i") + 1, F.lit(span))
+    last = F.array_max(F.transform("window", lambda w: F.array_position(run, w)))
+    return runs.select("window", "doc_id", "h", (F.col("near_at") + F.col("i")).alias("start"),
+                       (F.col("near_at") + F.col("i") + last - 1).cast("int").alias("end")).distinct()
+
+
+def proximity_matches(docs: DataFrame, phrases: DataFrame, span: int, block: int = BLOCK) -> DataFrame:
     """phrase_id, doc_id, h, start, end: places where a run of at most ``span`` words holds every distinct word of a
     phrase (phrase_id, text), whatever their order.  Every occurrence of one of its words that begins such a run
-    gives a row, with the least end.  Runs are found round the occurrences of the phrase's rarest word, from all
-    occurrences within reach of it: less than two spans of words."""
-    asked = keep(phrases.select("phrase_id", F.array_distinct(words_of(F.col("text"))).alias("words")).where(F.size("words") > 0), "proximity-phrases")
+    gives a row, with the least end.  Runs are found round the occurrences of the phrase's rarest word, in the words
+    that are stored around it.  A phrase of more than ``span`` distinct words has none."""
+    asked = keep(phrases.select("phrase_id", F.array_sort(F.array_distinct(words_of(F.col("text")))).alias("window"))
+                 .where(F.size("window").between(1, span)), "proximity-phrases")
+    found = None
+    for index, some in indexed(docs, asked.select("window").distinct(), span, block):
+        runs = near_runs(index, some, span)
+        found = runs if found is None else found.unionByName(runs)
+    return found.join(asked, "window").select("phrase_id", "doc_id", "h", "start", "end")
+
+
+def indexed(docs: DataFrame, windows: DataFrame, reach: int, block: int) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The postings for each block of the distinct ``windows``, with ``reach`` - 1 words on both sides of a rarest
+    term, and the windows all of whose terms occur."""
     words = document_words(docs)
-    counts = term_counts(words, asked.select(F.explode("words").alias("term")).distinct())
-    ranked = asked.select("phrase_id", F.explode("words").alias("term"), F.size("words").alias("need")).join(counts, "term", "left")
-    terms = ranked.select("term", F.lit(False).alias("full")).distinct()
-    index = keep(postings(words, terms).drop("near", "near_at").distinct(), "proximity-postings")
-    order = Window.partitionBy("phrase_id").orderBy(F.coalesce("n", F.lit(0)), "term")
-    ranked = keep(ranked.withColumn("rank", F.row_number().over(order)), "proximity-terms")
-    rare = index.join(ranked.where("rank = 1").drop("n", "rank"), "term").select("phrase_id", "need", "doc_id", "h", F.col("pos").alias("anchor"))
-    # positions are dealt into cells of `span` words: an occurrence within reach lies in the same or a next cell
-    rare = rare.withColumn("cell", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: (F.col("anchor") / span).cast("long") + i)))
-    others = (index.join(ranked.select("phrase_id", "term"), "term")
-              .select("phrase_id", "term", F.col("doc_id").alias("d"), "h", "pos", (F.col("pos") / span).cast("long").alias("cell")))
-    pairs = rare.alias("a").join(others.alias("b"), F.expr("a.phrase_id <=> b.phrase_id and a.h = b.h and a.cell = b.cell and a.doc_id <=> b.d"))
-    near = (pairs.select("a.phrase_id", "need", "a.doc_id", "a.h", "anchor", "term", "pos").where(f"abs(pos - anchor) < {span}")
-            .groupBy("phrase_id", "need", "doc_id", "h", "anchor").agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("places")))
-    starts = near.withColumn("start", F.explode(F.filter(F.transform("places", lambda x: x["pos"]), lambda x: x <= F.col("anchor"))))
-
-    def first_of_each(run: Column, x: Column) -> Column:
-        inside = (x["pos"] >= F.col("start")) & (x["pos"] < F.col("start") + span) & ~F.array_contains(run["seen"], x["term"])
-        return F.when(inside, F.struct(F.array_append(run["seen"], x["term"]).alias("seen"), x["pos"].alias("end"))).otherwise(run)
-
-    none = F.struct(F.array().cast("array<string>").alias("seen"), F.lit(None).cast("int").alias("end"))
-    found = starts.withColumn("run", F.aggregate("places", none, first_of_each))
-    return found.where(F.size("run.seen") == F.col("need")).select("phrase_id", "doc_id", "h", "start", F.col("run.end").alias("end")).distinct()
-
-
-def window_matches(docs: DataFrame, windows: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
-    """window, doc_id, h, start of every occurrence of the distinct ``windows`` in the documents."""
-    words, found = document_words(docs), None
     blocks = max(1, -(-windows.count() // block))
     for b in range(blocks):
         some = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b)
@@ -131,16 +150,28 @@ def window_matches(docs: DataFrame, windows: DataFrame, width: int = WIDTH, bloc
         phrases = keep(anchored(some, counts), "decontam-phrases")
         terms = (phrases.select("term", F.lit(True).alias("full")).unionByName(phrases.where("term2 is not null").select(F.col("term2").alias("term"), F.lit(False).alias("full")))
                  .groupBy("term").agg(F.max("full").alias("full")))
-        index = keep(postings(words, terms, width - 1), "decontam-postings")
-        matches = phrase_matches(index, phrases)
-        found = matches if found is None else found.unionByName(matches)
-    return found
+        yield keep(postings(words, terms, reach - 1), "decontam-postings"), phrases
+
+
+def window_matches(docs: DataFrame, windows: DataFrame, width: int = WIDTH, span: int | None = None, block: int = BLOCK) -> tuple[DataFrame, DataFrame | None]:
+    """Of the distinct ``windows`` of at most ``width`` words: window, doc_id, h, start of every occurrence in the
+    documents; and with a ``span`` window, doc_id, h of the documents with all its words within that many words."""
+    exact = near = None
+    for index, phrases in indexed(docs, windows, max(width, span or 0), block):
+        here = phrase_matches(index, phrases)
+        exact = here if exact is None else exact.unionByName(here)
+        if span:
+            around = near_documents(index, phrases, span)
+            near = around if near is None else near.unionByName(around)
+    return exact, near
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """A row for each document: doc_id, h (hash of its text), n_words, n_hit, n_items, items_sha256, contaminated."""
+def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, span: int | None = None) -> DataFrame:
+    """A row for each document: doc_id, h (hash of its text), n_words, n_hit, n_items, items_sha256, contaminated; and
+    with a ``span`` also n_near_items, the items of which it holds all words of a window within that many words."""
     windows = keep(benchmark_windows(items, width), "decontam-windows")
-    matches = keep(window_matches(docs, windows.select("window").distinct(), width), "decontam-matches")
+    exact, near = window_matches(docs, windows.select("window").distinct(), width, span)
+    matches = keep(exact, "decontam-matches")
     covered = matches.select("doc_id", "h", F.explode(F.sequence("start", F.col("start") + F.size("window") - 1)).alias("pos")).distinct()
     hits = covered.groupBy("doc_id", "h").agg(F.count("*").alias("n_hit"))
     named = matches.join(windows, "window").select("doc_id", "h", "item_id").distinct()
@@ -151,7 +182,13 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
     joined = each.join(found, F.expr("doc_id <=> hit_id and h = hit_h"), "left")
     n_hit, none = F.coalesce("n_hit", F.lit(0)), F.array().cast("array<string>")
     ids = F.coalesce("ids", none)
-    return joined.select(
+    columns = [
         "doc_id", "h", "n_words", n_hit.cast("long").alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
-        ((n_hit > 0) & (MIN_SHARE * n_hit >= F.col("n_words"))).alias("contaminated"))
+        ((n_hit > 0) & (MIN_SHARE * n_hit >= F.col("n_words"))).alias("contaminated")]
+    if span is None:
+        return joined.select(columns)
+    about = (near.join(windows, "window").select("doc_id", "h", "item_id").distinct().groupBy("doc_id", "h").agg(F.count("*").alias("n_near"))
+             .select(F.col("doc_id").alias("near_id"), F.col("h").alias("near_h"), "n_near"))
+    return joined.join(about, F.expr("doc_id <=> near_id and h = near_h"), "left").select(
+        *columns, F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near_items"))

@@ -35,7 +35,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("h")
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), span=decontam.SPAN).drop("h")
 
 
 ORACLE_SQL["op7_decontamination"] = r"""
@@ -60,10 +60,26 @@ hits AS (SELECT rid, start, p.size, item_id FROM places p JOIN windows USING (wi
 covered AS (SELECT rid, count(DISTINCT pos) AS n_hit
             FROM (SELECT rid, unnest(range(start, start + size)) AS pos FROM hits) GROUP BY rid),
 named AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id COLLATE C)) AS items_sha256
-          FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY rid)
+          FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY rid),
+asked AS MATERIALIZED (
+  SELECT row_number() OVER () AS pid, item_id, ws
+  FROM (SELECT DISTINCT item_id, list_sort(list_distinct(w[i : i + 12])) AS ws
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0))),
+held AS (SELECT rid, unnest(w) AS t, generate_subscripts(w, 1) AS pos FROM words),
+sought AS (SELECT pid, unnest(ws) AS t FROM asked),
+often AS (SELECT t, count(*) AS n FROM held WHERE t IN (SELECT t FROM sought) GROUP BY t),
+rarest AS (SELECT pid, arg_min(t, {'n': coalesce(n, 0), 't': t}) AS t FROM sought LEFT JOIN often USING (t) GROUP BY pid),
+reach AS (
+  SELECT rid, item_id, ws, greatest(pos - 25, 1) AS lo, pos, w
+  FROM rarest JOIN held USING (t) JOIN asked USING (pid) JOIN words USING (rid)
+  WHERE list_has_all(w[greatest(pos - 25, 1) : pos + 25], ws)),
+around AS (
+  SELECT rid, count(DISTINCT item_id) AS n_near
+  FROM reach WHERE len(list_filter(range(lo, pos + 1), lambda s: list_has_all(w[s : s + 25], ws))) > 0 GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM words LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       coalesce(n_near, 0)::BIGINT AS n_near_items
+FROM words LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid) LEFT JOIN around USING (rid)
 """
 
 

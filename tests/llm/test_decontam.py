@@ -60,7 +60,8 @@ def test_blocks_of_windows_change_nothing(spark, monkeypatch):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     windows = decontam.benchmark_windows(spark.createDataFrame(items, "item_id long, text string")).select("window").distinct()
     key = lambda r: str(tuple(r))
-    assert sorted(decontam.window_matches(d, windows).collect(), key=key) == sorted(decontam.window_matches(d, windows, block=40).collect(), key=key)
+    for whole, cut in zip(decontam.window_matches(d, windows, span=20), decontam.window_matches(d, windows, span=20, block=40)):
+        assert sorted(whole.collect(), key=key) == sorted(cut.collect(), key=key)
 
 
 def test_empty_sides(spark):
@@ -111,6 +112,38 @@ def test_proximity_equals_plain_search(spark):
     assert (1, 100, 10, 17) in want
 
 
+def test_near_items_equal_plain_search(spark):
+    rng = random.Random(9)
+    docs, items = cases()
+    docs = docs[:40] + docs[60:]
+    for i in range(8):  # an item's words in another order, with others among them
+        w = words(items[i][1])[:13] + ["other"] * rng.randrange(0, 16)
+        rng.shuffle(w)
+        docs.append((200 + i, " ".join(w)))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    sets = {}
+    for item_id, text in items:
+        w = words(text)
+        for i in range(max(len(w) - 12, 1) if w else 0):
+            sets.setdefault(frozenset(w[i:i + 13]), set()).add(str(item_id) if item_id is not None else "")
+    for span in (13, 26):
+        want = []
+        for doc_id, text in docs:
+            w = words(text)
+            runs = {frozenset(w[i:i + span]) for i in range(max(len(w) - span + 1, 1))}
+            want.append((doc_id, len(set().union(*(ids for s, ids in sets.items() if any(s <= r for r in runs))))))
+        got = decontam.contamination(d, b, span=span)
+        assert sorted(((r.doc_id, r.n_near_items) for r in got.collect()), key=str) == sorted(want, key=str)
+        assert all(r.n_near_items >= r.n_items for r in got.collect())
+    assert any(r.n_near_items > r.n_items for r in got.collect())
+
+
+def test_more_distinct_words_than_the_span(spark):
+    d = spark.createDataFrame([(1, "a b c d")], "doc_id long, text string")
+    p = spark.createDataFrame([(1, "a b c d"), (None, "d c c")], "phrase_id long, text string")
+    assert [tuple(r)[:2] for r in decontam.proximity_matches(d, p, 3).drop("h").collect()] == [(None, 1)]
+
+
 @pytest.mark.parametrize("name", ["op7_decontamination"])
 def test_oracle(spark, name):
     d = "/root/testdata/sf0.001"
