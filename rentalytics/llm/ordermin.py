@@ -6,8 +6,8 @@ key, so texts meet that share words in the same order.  Candidates are verified
 the two shingle sequences inside the band of diagonals that a similarity of ``SIMILARITY`` allows: matched / (n + m - matched).
 
 Equal texts are one node.  In each bucket all members are aligned with one pivot, the member that meets most others;
-buckets whose members are then still in different components are compared in blocks of ``BLOCK`` texts, and of those
-only pairs of different components.  So every pair of a bucket is either compared or already linked, and no pairs
+buckets whose members are then still in different components are compared in blocks of ``BLOCK`` texts, or fewer of
+``BLOCK_BYTES`` together, and of those only pairs of different components.  So every pair of a bucket is either compared or already linked, and no pairs
 are written but verified ones.  Classes are the connected components.
 
 Defined cases: null text is empty; texts without words are near duplicates of equal texts alone; a text of fewer than
@@ -33,7 +33,8 @@ from rentalytics.llm.components import components
 SHINGLE, SIMILARITY = 5, 0.8
 #: Least shingles in a key and how many keys: a pair of similarity 0.8 shares a key with probability 0.9999.
 PICKED, BANDS = 6, 32
-BLOCK = 64
+#: Texts that are compared in one go, and how many bytes they have: of long texts a group holds fewer, one at least.
+BLOCK, BLOCK_BYTES = 64, 8 << 20
 #: Places of a shingle, on average, from which on two texts are aligned by bits.
 MANY_PLACES = 16
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -228,21 +229,28 @@ def node_of(text: Column) -> Column:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, node (which text) and its bucket keys."""
+    """doc_id, node (which text), its size in bytes and its bucket keys."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             keys = [bucket_keys(s) for s in labelled_shingles(text_array(batch.column("text")))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), pa.array(keys, pa.list_(pa.int64()))],
-                                             names=["doc_id", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), batch.column("bytes"), pa.array(keys, pa.list_(pa.int64()))],
+                                             names=["doc_id", "node", "bytes", "keys"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), node_of(F.col("text")).alias("node"), "text")
-            .mapInArrow(sketch, "doc_id long, node binary, keys array<long>"))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), node_of(F.col("text")).alias("node"),
+                        F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"), "text")
+            .mapInArrow(sketch, "doc_id long, node binary, bytes int, keys array<long>"))
+
+
+def group_count(texts: str, size: str) -> Column:
+    """Into how many groups so many texts of so many bytes are dealt."""
+    return F.greatest(F.ceil(F.col(texts) / BLOCK), F.ceil(F.col(size) / BLOCK_BYTES)).cast("int")
 
 
 def star_groups(members: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Every member with its bucket's pivot, in groups of about BLOCK members."""
-    pairs = members.join(pivots, "key").where("node <> pivot").select("pivot", "node").distinct()
-    parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    """Every member with its bucket's pivot, in groups of about BLOCK members or BLOCK_BYTES."""
+    pairs = members.join(pivots, "key").where("node <> pivot").select("pivot", "node", "bytes").distinct()
+    parts = (pairs.groupBy("pivot").agg(F.count("*").alias("own"), F.sum("bytes").alias("size"))
+             .select("pivot", group_count("own", "size").alias("parts")))
     gid = F.xxhash64("pivot", "part")
     dealt = pairs.join(parts, "pivot").select("pivot", "node", F.pmod(F.hash("node"), "parts").alias("part"))
     return (dealt.select(gid.alias("gid"), F.lit(1).alias("side"), "node")
@@ -257,17 +265,18 @@ def block_groups(members: DataFrame, pivots: DataFrame, labels: DataFrame) -> Da
     component are left out.  Buckets of equal members are compared once.
     """
     rest = (members.join(pivots, "key").where("node <> pivot").join(labels, "node", "left")
-            .select("key", "node", F.coalesce("label", "node").alias("comp")))
+            .select("key", "node", "bytes", F.coalesce("label", "node").alias("comp")))
     open_ = (rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"),
                                      F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("node")).alias("xor"))
              .where("lo <> hi").groupBy("n", "sum", "xor").agg(F.min("key").alias("key")).select("key"))
     rest = keep(rest.join(open_, "key"), "neardup-open")
-    sizes = rest.groupBy("key", "comp").agg(F.count("*").alias("own"))
-    many = sizes.where(f"own >= {BLOCK}").withColumn("pure", F.col("comp"))
-    few = sizes.where(f"own < {BLOCK}").groupBy("key").agg(F.sum("own").alias("loose"))
-    placed = (rest.join(many.withColumn("parts", F.ceil(F.col("own") / BLOCK)).select("key", "comp", "pure", "parts"), ["key", "comp"], "left")
-              .join(few, "key", "left")
-              .withColumn("parts", F.coalesce("parts", F.ceil(F.col("loose") / BLOCK)).cast("int"))
+    sizes = rest.groupBy("key", "comp").agg(F.count("*").alias("own"), F.sum("bytes").alias("size"))
+    full = (F.col("own") >= BLOCK) | (F.col("size") >= BLOCK_BYTES)
+    many = sizes.where(full).select("key", "comp", F.col("comp").alias("pure"), group_count("own", "size").alias("parts"))
+    few = (sizes.where(~full).groupBy("key").agg(F.sum("own").alias("own"), F.sum("size").alias("size"))
+           .select("key", group_count("own", "size").alias("loose")))
+    placed = (rest.join(many, ["key", "comp"], "left").join(few, "key", "left")
+              .withColumn("parts", F.coalesce("parts", "loose"))
               .select("key", "node", "comp", "pure", F.pmod(F.hash("node"), "parts").alias("part")))
     placed = keep(placed.withColumn("block", F.xxhash64("pure", "part")), "neardup-placed")
     blocks = placed.select("key", "block", "pure").distinct()
@@ -283,8 +292,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, node (hash of the text), class_id (least doc_id of the class) and class_node for each document."""
     small_batches(docs.sparkSession)
     sketched = keep(sketches(docs), "neardup-sketches")
-    groups = sketched.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys"))
-    keys = groups.select("node", "least", F.explode("keys").alias("key"))
+    groups = sketched.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bytes").alias("bytes"), F.first("keys").alias("keys"))
+    keys = groups.select("node", "least", "bytes", F.explode("keys").alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = keep(keys.join(sizes, "key"), "neardup-members")
     centre = members.groupBy("node").agg(F.sum("size").alias("met"))

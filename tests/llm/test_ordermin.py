@@ -82,6 +82,19 @@ def test_equals_all_pairs(spark):
     assert got == want
 
 
+def test_groups_of_few_bytes_change_nothing(spark, monkeypatch):
+    """Long texts make small groups and blocks; the classes stay."""
+    monkeypatch.setattr(ordermin, "BLOCK_BYTES", 2000)
+    rng = random.Random(12)
+    base = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    texts = [t for n in (6, 40, 120, 700) for t in family(rng, base(n), 8, max(n // 20, 1))]
+    shared = base(60)
+    texts += [shared + " " + base(80) for _ in range(12)] + family(rng, shared + " " + base(20), 6, 2)
+    rows = list(enumerate(texts))
+    want = sorted(((d, c) for (d, _), c in zip(rows, plain_classes(rows))), key=str)
+    assert classes(spark.createDataFrame(rows, "doc_id long, text string")) == want
+
+
 def test_chain_is_one_class(spark):
     """Each text is near the next alone: linked by components, whatever the pivot."""
     words = [f"c{i}" for i in range(200)]
