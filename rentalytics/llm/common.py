@@ -9,13 +9,15 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rentalytics.session import apply_conf, materialise_table, scratch_path, ship_package
 
 #: Text bytes that a Python task turns into words at a time: bounds its memory whatever the batch size.
 SLICE_BYTES = 2 << 20
+#: Bytes of text that a model is trained on at most, and of one text in it: they go to one task.
+SAMPLE_BYTES, SAMPLE_TEXT_BYTES = 128 << 20, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +60,15 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(h, F.col(key)).limit(rows)
 
 
+def bounded_bytes(sample: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """Of a bounded sample the rows of least hashed key whose texts have ``SAMPLE_BYTES`` together; texts longer than
+    ``SAMPLE_TEXT_BYTES`` are not trained on, neither whole nor in part."""
+    size = F.coalesce(F.octet_length(text), F.lit(0))
+    earlier = Window.orderBy(F.xxhash64(F.col(key).cast("string")), F.col(key), F.xxhash64(text)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (sample.where(size <= SAMPLE_TEXT_BYTES).withColumn("__upto", F.sum(size).over(earlier))
+            .where(F.col("__upto") <= SAMPLE_BYTES).drop("__upto"))
+
+
 def fitted(sample: DataFrame, order: str, fit: Callable[[pa.Table], object]) -> object:
     """What ``fit`` makes of a bounded sample in ``order``: it runs in one task, so that neither the rows nor the
     work on them are the driver's; only its result, a small model, comes back."""

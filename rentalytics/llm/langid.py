@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rentalytics.llm.common import bounded_sample, fitted, slices, small_batches, split_words, text_array
+from rentalytics.llm.common import bounded_bytes, bounded_sample, fitted, slices, small_batches, split_words, text_array
 
 TRAIN_ROWS = 6_000
 TABLE, GRAMS = 1 << 16, 4
@@ -145,7 +145,7 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS) -> Languages | None:
     """Learn from at most ``rows`` labelled documents that are not held out."""
     usable = docs.where("doc_id is not null and text is not null and lang is not null").where(~held_out(F.col("doc_id")))
     some = bounded_sample(usable.select("doc_id", "text", F.col("lang").cast("string").alias("lang")), "doc_id", rows)
-    return fitted(some, "doc_id", lambda rows: learn(text_array(rows.column("text")), rows.column("lang").to_pylist()) if rows else None)
+    return fitted(bounded_bytes(some, "doc_id"), "doc_id", lambda rows: learn(text_array(rows.column("text")), rows.column("lang").to_pylist()) if rows else None)
 
 
 def label(docs: DataFrame, model: Languages | None) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentalytics.llm.common import bounded_sample, fitted, slices, small_batches, text_array
+from rentalytics.llm.common import bounded_bytes, bounded_sample, fitted, slices, small_batches, text_array
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base rules.
@@ -310,7 +310,7 @@ def all_spans(text: str, model: Model) -> tuple[list, list]:
 def fit(docs: DataFrame, rows: int = TRAIN_DOCS) -> Model:
     """Train on at most ``rows`` documents that hold a digit or "@"."""
     some = bounded_sample(docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]")), "doc_id", rows)
-    return fitted(some, "doc_id", lambda rows: train(rows.column("text").to_pylist() if rows else []))
+    return fitted(bounded_bytes(some, "doc_id"), "doc_id", lambda rows: train(rows.column("text").to_pylist() if rows else []))
 
 
 def named(spans: list[tuple[int, int, int]]) -> str:

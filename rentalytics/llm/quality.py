@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentalytics.llm.common import bounded_sample, fitted, slices, small_batches, split_words, text_array
+from rentalytics.llm.common import bounded_bytes, bounded_sample, fitted, slices, small_batches, split_words, text_array
 
 #: Rows that one task trains on.
 LABELLED_ROWS, POOL_ROWS = 6_000, 3_000
@@ -228,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
         bounded_sample(ids.join(worst, "doc_id", "leftanti").distinct(), "doc_id", pool_rows), allowMissingColumns=True)
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"))
             .join(F.broadcast(chosen), "doc_id"))  # labelled_rows + pool_rows at most
-    return fitted(one_row_an_id(rows), "doc_id", train)
+    return fitted(bounded_bytes(one_row_an_id(rows), "doc_id"), "doc_id", train)
 
 
 def one_row_an_id(rows: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rentalytics.llm import langid, pii, quality, render, urls
+from rentalytics.llm import common, langid, pii, quality, render, urls
 
 SF = "/root/testdata/sf0.01"
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -362,3 +362,16 @@ def test_fit_is_repeatable_with_repeated_ids(spark):
     docs = spark.createDataFrame([(i % 40, f"text {i} " + "word " * (i % 7), "en", "s") for i in range(200)], "doc_id long, text string, lang string, source string")
     picked = [sorted(map(tuple, quality.one_row_an_id(docs.repartition(n)).select("doc_id", "text").collect())) for n in (1, 3, 8)]
     assert picked[0] == picked[1] == picked[2] and len(picked[0]) == 40
+
+
+# ------------------------------------------------------------------ samples
+def test_samples_are_bounded_in_bytes(spark, monkeypatch):
+    rows = [(i, "x" * (10 * i), "t") for i in range(50)] + [(None, None, "t"), (3, "x" * 30, "u")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, size string")
+    assert sorted(map(str, common.bounded_bytes(df, "doc_id").collect())) == sorted(map(str, df.collect()))
+    monkeypatch.setattr(common, "SAMPLE_BYTES", 2000)
+    monkeypatch.setattr(common, "SAMPLE_TEXT_BYTES", 300)
+    some = [len(r.text or "") for r in common.bounded_bytes(df, "doc_id").collect()]
+    assert max(some) <= 300 and 1700 < sum(some) <= 2000
+    assert sorted(map(str, common.bounded_bytes(df, "doc_id").collect())) == sorted(map(str, common.bounded_bytes(df.repartition(7), "doc_id").collect()))
+    assert common.bounded_bytes(df.limit(0), "doc_id").count() == 0
