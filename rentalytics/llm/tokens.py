@@ -37,6 +37,8 @@ END_ID = 1
 CACHE_WORDS, CACHE_CHARS = 250_000, 64
 #: New words encoded at a time.
 LOT = 2000
+#: Ids that a reading task takes, about: tasks and the files they may write go by the ids, not by the shuffle partitions.
+READ_IDS = 4 << 20
 #: An ASCII letter before ASCII punctuation that no special token and no contraction has: pieces of this vocabulary end there.
 #: After other letters they need not, as some (Turkish dotted capital I, Hindi letters with a nukta) end in a combining mark
 #: once normalised and lowered, which makes one piece with the punctuation.
@@ -187,7 +189,8 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
 
     path = f"{folder}/manifest"
     written = ranged.mapInArrow(write, "part long, n_docs long, n_null long, n_tokens long, id_type string")
-    written.write.parquet(f"{folder}/counts")
+    # one row a part: dealt to one file, not to as many tiny ones (each of which starts a child of the executor to set its mode)
+    written.repartition(1).write.parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
     # one row a file: the one window over all of them stays small
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -215,5 +218,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                         pa.array([ids[a:b].tobytes() for a, b in zip(inner[:-1], inner[1:])], pa.binary())],
                         names=["doc_id", "start", "n_tokens", "ids"])
 
-    return (manifest.repartition(partitions(manifest.sparkSession))
+    size = manifest.agg(F.count(F.lit(1)).alias("files"), F.sum("n_tokens").alias("ids")).first()
+    tasks = max(1, min(size.files, -(-(size.ids or 0) // READ_IDS)))
+    return (manifest.repartition(tasks)
             .mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary"))

@@ -159,3 +159,17 @@ def test_plan_places_every_remainder(seed):
 def test_hot_length_takes_few_plan_rows():
     rows, sequences = packing.plan_windows({700: 10_000_000, 648: 10_000_000, 13: 5}, 2048)
     assert len(rows) < 200 and sequences >= 10_000_000 * 1348 // 2048
+
+
+def test_small_files_and_reading_tasks_go_by_ids(spark, tmp_path, monkeypatch):
+    rows = spark.range(64).selectExpr("id as doc_id", "concat('some words of ', id) as text")
+    manifest = tokens.write_token_files(rows, str(tmp_path / "t"))
+    files = manifest.count()
+    assert files > 1
+    assert len(list((tmp_path / "t" / "counts").glob("part-*.parquet"))) == 1
+    read = tokens.read_token_files(manifest)
+    assert read.rdd.getNumPartitions() == 1 and read.count() == 64
+    monkeypatch.setattr(tokens, "READ_IDS", 1)
+    more = tokens.read_token_files(manifest)
+    assert more.rdd.getNumPartitions() == files
+    assert sorted(read.collect()) == sorted(more.collect())
