@@ -2,7 +2,9 @@
 
 Equi-joins are left to Catalyst + AQE (sort-merge or shuffled hash, skew
 splitting, runtime conversion to broadcast when a side is measured small):
-no side is broadcast by a hint here.
+no side is broadcast by a hint here.  Callers that attach a row per city, or
+areas they counted, hint it: AQE keeps a sort-merge join whose keys fill few
+partitions, and a detail table would then go to as many tasks as keys.
 """
 
 from __future__ import annotations

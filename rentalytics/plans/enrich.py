@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import age_years, pct_deviation, price_tier, round_aggregate, round_even, row_mean, safe_ratio
 from ..operators.aggregates import agg_with_quantiles
 from ..operators.joins import attach
-from ..operators.quantiles import exact_quantiles, merge_group_rows
+from ..operators.quantiles import BROADCAST_TARGETS, exact_quantiles, merge_group_rows
 
 REVIEW_SCORE_COLUMNS = [
     "review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness",
@@ -86,11 +86,16 @@ def enrich_listings(listings: DataFrame, occupancy: DataFrame,
         from ..session import materialise_table
         df = materialise_table(df, "listings_occupancy")
     area_medians, city_quartiles = price_quantile_levels(df)
-    df = attach(df, neighbourhood_benchmarks(df, medians=area_medians), ["city", "neighbourhood_cleansed"])
+    areas = neighbourhood_benchmarks(df, medians=area_medians)
+    # one row per area, as many as medians: counted, and broadcast unless there are very many, as a join by area
+    # would send each area's listings to one task
+    if area_medians.count() <= BROADCAST_TARGETS:
+        areas = F.broadcast(areas)
+    df = attach(df, areas, ["city", "neighbourhood_cleansed"])
     df = df.withColumn("price_vs_neighbourhood",
                        round_even(pct_deviation("price", "neighbourhood_median_price"), 2))
     # one row per city: bounded, broadcast
-    df = attach(df, city_quartiles, ["city"])
+    df = attach(df, F.broadcast(city_quartiles), ["city"])
     df = df.withColumn("price_tier", price_tier("price", "price_p25", "price_p75")).drop("price_p25", "price_p75")
     if "first_review" in df.columns:
         df = df.withColumn("listing_age_years", age_years(F.col("scrape_date"), F.col("first_review")))

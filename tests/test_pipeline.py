@@ -236,3 +236,30 @@ def test_listing_rules(market):
     assert got[("aldmere", "outside_coordinates")] == 2                         # 39.9 lat and null coords
     assert got[("brisk", "outside_coordinates")] is None                        # no bounds configured
     assert got[("aldmere", "minimum_nights_over_365")] == 1 and got[("aldmere", "negative_price")] == 0
+
+
+def executed_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_no_listing_is_dealt_out_by_city_or_area(spark):
+    """A city's or an area's listings would all go to one task."""
+    from rentalytics.plans import clean, enrich
+    from rentalytics.sources.config import with_city_config
+    cities = spark.range(400).selectExpr("id", "if(id % 2 = 0, 'bangkok', 'lisbon') as city", "'x' as host_since", "1.5D as hosts_time_as_host_years")
+    by_city = r"hashpartitioning\((city|__cfg_city)#"
+    config = with_city_config(cities, config_frame(spark))
+    assert "SortMergeJoin" not in executed_plan(config) and not re.search(by_city, executed_plan(config))
+    tenure = executed_plan(clean.with_host_tenure(config.withColumn("host_since", F.lit(None).cast("date"))))
+    assert "SortMergeJoin" not in tenure
+    listings = spark.range(400).selectExpr(
+        "id", "if(id % 2 = 0, 'bangkok', 'lisbon') as city", "concat('a', id % 5) as neighbourhood_cleansed", "100D + id as price",
+        "4D as review_scores_rating", "date'2025-01-01' as scrape_date")
+    occupancy = spark.range(400).selectExpr("id as listing_id", "if(id % 2 = 0, 'bangkok', 'lisbon') as city", "10L as total_days",
+                                            "4L as available_days", "6L as booked_days", "60D as occupancy_rate")
+    enriched = enrich.enrich_listings(listings, occupancy)
+    plan = executed_plan(enriched)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    rows = {r.id: r for r in enriched.collect()}
+    assert len(rows) == 400 and rows[0].neighbourhood_median_price == 295.0 and rows[0].price_tier == "Budget"
