@@ -116,7 +116,6 @@ def raw_listings(part: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> D
 def raw_calendar(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """One calendar row per lineitem; the city comes from the listing's brand."""
     p = part.select(F.col("p_partkey"), city_of_brand("p_brand").alias("city"))
-    p = p.hint("shuffle_hash")  # the lines, many times the parts, are not sorted for the join
     li = lineitem.select("l_partkey", "l_shipdate", "l_returnflag", "l_linenumber", "l_quantity")
     return li.join(p, li.l_partkey == p.p_partkey, "inner").select(
         F.col("l_partkey").alias("listing_id"),
